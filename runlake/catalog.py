@@ -1,0 +1,4 @@
+"""The registered queries and their oracles."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
