@@ -18,19 +18,21 @@ BLOCK, PERIOD, TEMPERATURE = 64, 1000, 0.5
 RANGES = 4096
 
 
-def numbered(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def numbered(docs: DataFrame, block: int = BLOCK, carry: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows of (doc_id, source, block, place) and of (source, n): each source's rows in hash order.
 
     The numbers come from counts of (source, range of hashes) and an order within each, so that a source
-    with a third of all rows is spread over all ranges.
+    with a third of all rows is spread over all ranges. With ``carry`` each row keeps its own columns in ``row``.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
+    own = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), *own)
     keyed = keyed.withColumn("hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("range", F.conv(F.substring("hash", 1, 3), 16, 10).cast("int"))
     counted = keyed.groupBy("source", "range").agg(F.count(F.lit(1)).alias("n"))
     before = counted.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("range")) - F.col("n")).select("source", "range", "before")
     within = F.row_number().over(Window.partitionBy("source", "range").orderBy("hash", "doc_id"))
     at = F.col("before") + F.col("within") - 1
-    rows = keyed.withColumn("within", within).join(before, ["source", "range"]).select("doc_id", "source", F.floor(at / block).alias("block"), (at % block).cast("int").alias("place"))
+    rows = keyed.withColumn("within", within).join(before, ["source", "range"])
+    rows = rows.select("doc_id", "source", F.floor(at / block).alias("block"), (at % block).cast("int").alias("place"), *(["row"] if carry else []))
     return rows, counted.groupBy("source").agg(F.sum("n").alias("n"))
 
 
@@ -78,7 +80,7 @@ def schedule(shares: DataFrame) -> DataFrame:
     return turns.select(F.expr("sources[won.source].source").alias("source"), F.expr("sources[won.source].n").alias("n"), F.expr("sources[won.source].slots").alias("slots"), "period", F.col("won.turn").alias("turn"), F.col("slot").cast("long").alias("slot"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD, carry: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, block, slot, place, in_mix.
 
     (slot, place) is the order of the mix; each slot holds one block, the last of a source perhaps not full.
@@ -87,9 +89,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     out stay empty. Weights default to the square root of each source's rows; a stated source that isn't there is
     ignored, one not stated gets the least share. ``period`` must be at least twice the number of sources.
     A null source counts as the source ''. A null doc_id stays null. Rows that repeat an id get places of their
-    own. Other columns are ignored. An empty table gives an empty one.
+    own. Other columns are ignored, or with ``carry`` kept in ``row``. An empty table gives an empty one.
     """
-    rows, sizes = numbered(docs, block)
+    rows, sizes = numbered(docs, block, carry)
     # A row for each slot of a period and no more, whatever the data: safe to broadcast.
     plan = schedule(slots_of(sizes, weights, period))
     out = F.col("turn") + F.floor((F.ceil(F.col("n") / block) - F.col("turn") + F.col("slots") - 1) / F.col("slots")) * F.col("slots")
@@ -102,5 +104,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     return (
         placed.join(F.broadcast(turns), (placed["source"] == turns["__source"]) & (placed["turn"] == turns["__turn"]))
         .withColumn("slot", F.floor(F.col("block") / F.col("slots")) * F.col("period") + F.col("__slot"))
-        .select("doc_id", "source", F.col("block").cast("long").alias("block"), F.col("slot").cast("long").alias("slot"), "place", (F.col("slot") < F.col("horizon")).alias("in_mix"))
+        .select("doc_id", "source", F.col("block").cast("long").alias("block"), F.col("slot").cast("long").alias("slot"), "place", (F.col("slot") < F.col("horizon")).alias("in_mix"), *(["row"] if carry else []))
     )
+
+
+def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+    """All rows and columns of ``docs`` in the order of the mix, over range partitions in that order."""
+    return mix(docs, weights, block, period, carry=True).orderBy("slot", "place").select("row.*")

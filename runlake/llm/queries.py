@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embedding_dedup, mixing, oracles, quality_mil, quality_rules, secret_scan, simhash
+from . import byte_bpe, embedding_dedup, license_scan, mixing, oracles, quality_mil, quality_rules, secret_scan, sharding, simhash, warc
 from .common import table
 
 
@@ -32,6 +32,18 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +58,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_sharding": op6_sharding,
+    "op7_warc": op7_warc,
+    "op8_license_scan": op8_license_scan,
     "op9_quality_mil": op9_quality_mil,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
