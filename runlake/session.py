@@ -13,7 +13,12 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors, once for each application, as ``--py-files`` would."""
+    """Send this package to the executors, once for each application, as ``--py-files`` would.
+
+    Times are read and written in UTC.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         top = Path(__file__).resolve().parent
