@@ -1 +1,94 @@
-"""To come."""
+"""Queries of archives, file names, bytes and the lake."""
+
+from __future__ import annotations
+
+import io
+import tarfile
+import uuid
+
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import selection as S
+from ..plans import sink
+from ..sources import archives, manifest
+from ..sources.routing import route_files
+from .registry import events, lines, query, table
+from .selections import runs
+
+
+def _packed(rows: pa.Table) -> pa.Table:
+    """An archive of one run: a member for each kind of event, a line for each event."""
+    rows = rows.sort_by("event_id")
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:xz", preset=0) as archive:
+        for kind in sorted(set(rows["event_type"].to_pylist())):
+            own = rows.filter(pa.compute.equal(rows["event_type"], kind))
+            data = "".join(f"{t}\n" for t in own["text"].to_pylist()).encode()
+            member = tarfile.TarInfo(f"{kind}.log")
+            member.size = len(data)
+            archive.addfile(member, io.BytesIO(data))
+    content = out.getvalue()
+    id_ = rows["id"][0].as_py()
+    return pa.table({"id": pa.array([id_], pa.int64()), "content": pa.array([content[: len(content) // 2] if id_ % 10 == 0 else content], pa.binary())})
+
+
+@query("archive_scan", """
+SELECT user_id AS id, event_type || '.log' AS name, event_id || ' ' || event_type AS line, NULL AS error FROM events WHERE user_id % 10 <> 0
+UNION ALL SELECT DISTINCT user_id, NULL, NULL, 'cannot read archive' FROM events WHERE user_id % 10 = 0""")
+def archive_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Events packed as an archive for each run and scanned again; that of every tenth run is cut off in the middle."""
+    rows = table(spark, d, "events").select(F.col("user_id").alias("id"), "event_id", "event_type", F.concat_ws(" ", "event_id", "event_type").alias("text"))
+    packed = rows.groupBy("id").applyInArrow(_packed, "id long, content binary")
+    scanned = archives.scan_stored(packed)
+    failed = scanned.filter("error is not null").select("id").distinct()
+    read = scanned.filter("error is null").join(failed, "id", "left_anti").select("id", "name", F.col("line").cast("string").alias("line"), "error")
+    return read.unionByName(failed.select("id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("line"), F.lit("cannot read archive").alias("error")))
+
+
+@query("utf8_decode", """
+SELECT user_id AS id, event_id AS line_no, event_type || ' é' AS line, NULL AS bad FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 97 = 0)
+UNION ALL SELECT DISTINCT user_id, NULL::BIGINT, NULL, 'os.javalog' FROM events WHERE event_id % 97 = 0""")
+def utf8_decode(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes of lines, some of which aren't UTF-8: their files give no lines."""
+    text = "concat(encode(event_type || ' é', 'utf-8'), if(event_id % 97 = 0, unhex('FF'), unhex('')))"
+    raw = lines(events(spark, d), text, "'os.javalog'").withColumn("error", F.lit(None).cast("string"))
+    rows, bad = archives.as_text(raw)
+    told = bad.select("id", F.lit(None).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("line"), F.col("name").alias("bad"))
+    return rows.select("id", "line_no", "line", F.lit(None).cast("string").alias("bad")).unionByName(told)
+
+
+_NAMES = ("gc.javalog", "jvm0.txt", "jvm0.stdout", "runner12.exit", "dacapo-latency-usec-simple-b-3.csv", "mark_abuse7.csv", "disk/io.sadf", "run.raw", "x-Controller.log", "./gc.javalog", "other.bin")
+_FEEDS = {
+    "gc.javalog": ["zgc_phases", "zgc_gc_summary", "zgc_stats", "zgc_task_workers", "g1_phases"],
+    "jvm0.txt": ["zgc_phases", "zgc_gc_summary", "zgc_stats", "zgc_task_workers", "g1_phases", "java_threads", "os_log", "dacapo_iteration"],
+    "jvm0.stdout": ["dacapo_iteration"],
+    "runner12.exit": ["runner_exit:12"],
+    "dacapo-latency-usec-simple-b-3.csv": ["dacapo_latency:simple-b/3"],
+    "mark_abuse7.csv": ["mark_abuse:7"],
+    "disk/io.sadf": ["sadf:disk/io"],
+    "run.raw": ["specjbb_summary"],
+    "x-Controller.log": ["specjbb_profile"],
+}
+
+
+@query("file_routing", "SELECT o_orderkey AS id, unnest(CASE o_custkey % 11 " + " ".join(f"WHEN {_NAMES.index(n)} THEN {f}" for n, f in _FEEDS.items()) + " ELSE [] END) AS feeds FROM orders")
+def file_routing(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("o_custkey") % 11 + 1).cast("int")).alias("name"))
+    captured = F.concat_ws("/", "runner", "latency_type", "iteration", "process", "stem")
+    return route_files(rows).select("id", F.concat("table", F.when(captured != "", F.concat(F.lit(":"), captured)).otherwise("")).alias("feeds"))
+
+
+@query("sink_roundtrip", "SELECT collection, o_orderkey AS id, o_custkey AS customer, o_totalprice AS price FROM (SELECT *, unnest(['fast', 'slow']) AS collection FROM orders) WHERE (collection = 'fast' AND o_orderstatus = 'F') OR (collection = 'slow' AND o_custkey % 7 = 3)")
+def sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written to a lake of two collections, over an older one, and read again."""
+    base = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/runlake-lake-{uuid.uuid4().hex}"
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("price"))
+    task = manifest.Task(base, {"fast": {"benchmark": ["dacapo_samples2"]}, "slow": {"timeout": [3]}}, ("secret",))
+    selected = S.select_runs(runs(spark, d), task)
+    sink.write_tables({"prices": rows.withColumn("price", F.lit(0.0))}, selected, base)
+    sink.reset_collections(spark, base, sorted(task.collect))
+    sink.write_tables({"prices": rows, "secret": rows}, selected, base, task.drop_tables, narrow=True)
+    return spark.read.parquet(f"{base}/prices").select("collection", F.col("id").cast("bigint").alias("id"), F.col("customer").cast("bigint").alias("customer"), "price")

@@ -1 +1,143 @@
-"""To come."""
+"""Queries of reductions, lookups, windows and data quality."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import extract as X
+from ..operators import quality as Q
+from ..operators import reduce as R
+from ..plans.extractors import Extractor, run_extractor
+from ..sources.routing import Rule
+from .registry import events, lines, query, table
+
+_KEYED = "SELECT user_id, event_id // 500 AS grp, event_id, event_type, value FROM events"
+
+
+def _keyed(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("user_id", F.expr("event_id div 500").alias("grp"), "event_id", "event_type", "value")
+
+
+@query("first_wins", f"SELECT user_id, grp, arg_min(event_type, event_id) AS event_type FROM ({_KEYED}) GROUP BY 1, 2")
+def first_wins(spark: SparkSession, d: str) -> DataFrame:
+    return R.first_wins(_keyed(spark, d), ["user_id", "grp"], ["event_id"], "event_type")
+
+
+@query("last_wins", f"SELECT user_id, grp, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM ({_KEYED}) GROUP BY 1, 2")
+def last_wins(spark: SparkSession, d: str) -> DataFrame:
+    return R.last_wins(_keyed(spark, d), ["user_id", "grp"], ["event_id"], ["event_type", "value"])
+
+
+@query("lookup_join_default", f"""
+WITH k AS ({_KEYED}), types AS (SELECT user_id, grp, arg_min(event_type, event_id) AS kind FROM k WHERE event_type NOT IN ('error', 'view') GROUP BY 1, 2)
+SELECT event_id, user_id, grp, coalesce(kind, '') AS kind FROM k LEFT JOIN types USING (user_id, grp)""")
+def lookup_join_default(spark: SparkSession, d: str) -> DataFrame:
+    rows = _keyed(spark, d)
+    types = R.first_wins(rows.filter("event_type not in ('error', 'view')"), ["user_id", "grp"], ["event_id"], "event_type").withColumnRenamed("event_type", "kind")
+    return R.lookup_with_default(rows, types, ["user_id", "grp"], "kind").select("event_id", "user_id", "grp", "kind")
+
+
+@query("suffix_sum", f"SELECT event_id, sum(floor(value * 4) / 4) OVER (PARTITION BY user_id, grp ORDER BY event_id DESC ROWS UNBOUNDED PRECEDING) AS rest FROM ({_KEYED})")
+def suffix_sum(spark: SparkSession, d: str) -> DataFrame:
+    rows = _keyed(spark, d).withColumn("ms", F.floor(F.col("value") * 4) / F.lit(4.0))
+    return R.suffix_sum(rows, "ms", ["user_id", "grp"], ["event_id"], "rest").select("event_id", "rest")
+
+
+@query("match_ordinal", "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at FROM events WHERE event_type = 'purchase'")
+def match_ordinal(spark: SparkSession, d: str) -> DataFrame:
+    return R.ordinal(table(spark, d, "events").filter("event_type = 'purchase'"), ["user_id"], ["event_id"], "at").select("event_id", "user_id", "at")
+
+
+_NARROWED = ("l_orderkey", "l_partkey", "l_suppkey", "low", "flag")
+_NARROW_SQL = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber - 100 AS low, l_linenumber % 2 AS flag FROM lineitem"
+
+
+@query("int_narrowing", " UNION ALL ".join(f"""
+SELECT '{c}' AS name, CASE WHEN min({c}) >= -128 AND max({c}) < 128 THEN 'tinyint' WHEN min({c}) >= -32768 AND max({c}) < 32768 THEN 'smallint'
+  WHEN min({c}) >= -2147483648 AND max({c}) < 2147483648 THEN 'int' ELSE 'bigint' END AS kind, CAST(sum({c}) AS BIGINT) AS total FROM ({_NARROW_SQL})""" for c in _NARROWED))
+def int_narrowing(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", (F.col("l_linenumber") - 100).cast("bigint").alias("low"), (F.col("l_linenumber") % 2).cast("bigint").alias("flag"))
+    narrow = R.narrow_ints(rows)
+    sums = narrow.agg(*(F.sum(c).alias(c) for c in narrow.columns))
+    kinds = dict(narrow.dtypes)
+    return sums.select(F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.lit(kinds[c]).alias("kind"), F.col(c).cast("bigint").alias("total")) for c in narrow.columns))).alias("r")).select("r.*")
+
+
+@query("run_status", """
+WITH per AS (
+  SELECT user_id AS id, CASE WHEN user_id % 5 = 0 THEN 'timeout' ELSE 'Success' END AS written,
+    min(event_id % 8) FILTER (event_type = 'error' AND user_id % 3 = 0) AS runner, user_id % 7 = 0 AS marked, user_id % 11 = 0 AS lacking
+  FROM events GROUP BY user_id)
+SELECT id, CASE WHEN lacking THEN 'unknown' WHEN lower(written) <> 'success' THEN written WHEN runner IS NOT NULL THEN 'runner' || runner || ' exited with code 1'
+  WHEN marked THEN 'resctrl_failed' ELSE written END AS status FROM per""")
+def run_status(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").withColumnRenamed("user_id", "id")
+    users = rows.select("id").distinct()
+    status = users.filter("id % 11 <> 0").select("id", F.expr("if(id % 5 = 0, ' timeout\\n', 'Success \\n')").alias("text"))
+    exits = R.last_wins(
+        rows.select("id", (F.col("event_id") % 8).cast("int").alias("runner"), F.expr("event_type = 'error' and id % 3 = 0").cast("int").alias("code"), "event_id"), ["id", "runner"], ["code"], ["code"]
+    )
+    marks = users.select("id", F.expr("if(id % 7 = 0, '[1.2s] Resctrl: Failed to write', 'Resctrl: ok')").alias("line"))
+    return R.run_status(users, status, exits, marks)
+
+
+@query("first_file_wins", """
+SELECT user_id AS id, event_id % 4 AS ord, event_id AS line_no, NULL AS message FROM events
+QUALIFY event_id % 4 = min(event_id % 4) OVER (PARTITION BY user_id)
+UNION ALL
+SELECT DISTINCT user_id, event_id % 4, NULL::BIGINT, 'Duplicate file for git_info' FROM events QUALIFY event_id % 4 > min(event_id % 4) OVER (PARTITION BY user_id)""")
+def first_file_wins(spark: SparkSession, d: str) -> DataFrame:
+    routed = lines(events(spark, d), "number", "concat('copy', event_id % 4, '/git_info.csv')").withColumn("ord", (F.col("line_no") % 4).cast("bigint"))
+    rows, issues = Q.first_file_wins(routed, "git_info")
+    told = issues.select("id", F.substring("name", 5, 1).cast("bigint").alias("ord"), F.lit(None).cast("bigint").alias("line_no"), "message")
+    return rows.select("id", "ord", "line_no", F.lit(None).cast("string").alias("message")).unionByName(told)
+
+
+@query("table_collision", """
+SELECT user_id AS id, 'table made twice: ' || event_type AS message FROM (SELECT DISTINCT user_id, event_type, event_id % 3 AS collector FROM events) GROUP BY user_id, event_type HAVING count(*) > 1""")
+def table_collision(spark: SparkSession, d: str) -> DataFrame:
+    made = table(spark, d, "events").select(F.col("user_id").alias("id"), (F.col("event_id") % 3).alias("collector"), F.col("event_type").alias("table")).distinct()
+    return Q.assert_unique_tables(made).select("id", "message")
+
+
+@query("value_constraints", """
+SELECT o_orderkey AS id, CASE WHEN o_custkey % 7 = 0 THEN 'timeout is zero' WHEN o_custkey % 7 = 1 THEN 'timeout is negative' WHEN o_orderkey % 11 = 0 THEN 'memory_ratio is negative'
+  WHEN o_orderkey % 11 = 1 THEN 'memory_ratio is zero' WHEN o_orderkey % 11 = 2 THEN 'memory_ratio is not a number' END AS reason FROM orders""")
+def value_constraints(spark: SparkSession, d: str) -> DataFrame:
+    ratio = "case o_orderkey % 11 when 0 then -0.0D when 1 then 0.0D when 2 then double('NaN') when 3 then double('Infinity') else o_totalprice end"
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.expr("case o_custkey % 7 when 1 then -5L when 2 then null else o_custkey % 7 end").alias("timeout"), F.expr(ratio).alias("memory_ratio"))
+    ok, rejects = Q.validate(rows, on_error="keep")
+    return ok.select("id", F.lit(None).cast("string").alias("reason")).unionByName(rejects.select("id", "reason"))
+
+
+def _overflowing(spark: SparkSession, d: str) -> DataFrame:
+    """Worker lines; a run whose id is divisible by nine writes one number too large for its type in its last line."""
+    number = "if(user_id % 9 = 0 and event_id % 5 = 0, '99999999999', cast(event_id as string))"
+    return lines(events(spark, d), f"concat('[', clock, '][info][gc,task] GC(', {number}, ') Using ', event_id % 16, ' Workers for Old Generation')", "'gc.javalog'")
+
+
+@query("parse_issues", """
+WITH bad AS (SELECT DISTINCT user_id FROM events WHERE user_id % 9 = 0 AND event_id % 5 = 0)
+SELECT user_id AS id, event_id AS gc_number, NULL AS message FROM events WHERE user_id NOT IN (SELECT user_id FROM bad)
+UNION ALL SELECT user_id, NULL, 'failed to parse for zgc_task_workers' FROM bad""")
+def parse_issues(spark: SparkSession, d: str) -> DataFrame:
+    rows, issues = X.zgc_task_workers(_overflowing(spark, d))
+    return rows.select("id", "gc_number", F.lit(None).cast("string").alias("message")).unionByName(issues.select("id", F.lit(None).cast("bigint").alias("gc_number"), "message"))
+
+
+@query("run_failures", "SELECT user_id AS id, event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND event_id % 10 = 0)")
+def run_failures(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select(F.col("user_id").alias("id"), "event_id", "event_type")
+    issues = Q.issue(rows.filter("event_type = 'error' and event_id % 10 = 0"), "run", None, F.lit("cannot read archive"))
+    return Q.withhold(rows, issues).select("id", "event_id")
+
+
+@query("custom_extractor", "SELECT doc_id AS id, lang AS language, source AS origin, n_chars AS size FROM documents")
+def custom_extractor(spark: SparkSession, d: str) -> DataFrame:
+    """A format of one's own: a line for each document, with what is known of it."""
+    text = "array(concat('doc lang=', lang, ' source=', source, ' chars=', n_chars), concat('note lang=', lang))"
+    body = lines(table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars"), text, "'docs.log'", "doc_id", "0")
+    own = Extractor("docs", (Rule("docs", r"^docs\.log$"),), X.Grammar("doc lang=", r"doc lang=(\S+) source=(\S+) chars=(\d+)", {"language": X.text, "origin": X.text, "size": X.C.to_int}))
+    rows, _ = run_extractor(own, body)
+    return rows.select("id", "language", "origin", "size")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import io
+import lzma
 import tarfile
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _members(id_: int, file, wanted: tuple[str, ...]) -> Iterator[tuple]:
     """The lines of an open archive; only members whose name has a wanted ending are read."""
-    with tarfile.open(fileobj=file, mode="r|xz") as archive:
+    with lzma.open(file) as plain, tarfile.open(fileobj=plain, mode="r|") as archive:
         ord_ = 0
         for member in archive:
             if not member.isfile():
@@ -38,6 +40,8 @@ def _members(id_: int, file, wanted: tuple[str, ...]) -> Iterator[tuple]:
                     last = line.removesuffix(b"\n")
                 yield id_, ord_, member.name, n, last or b"", True, None
             ord_ += 1
+        while plain.read(1 << 20):  # a stream that was cut off after the last member is found out here
+            pass
 
 
 def _scanned(open_: callable, wanted: tuple[str, ...]):
@@ -53,12 +57,8 @@ def _scanned(open_: callable, wanted: tuple[str, ...]):
                             if len(rows) >= BATCH_LINES or held >= BATCH_BYTES:
                                 yield _batch(rows)
                                 rows, held = [], 0
-                except (OSError, EOFError, tarfile.TarError) as wrong:  # lzma's errors are of these
+                except (OSError, EOFError, tarfile.TarError, lzma.LZMAError) as wrong:
                     rows.append((id_, None, None, None, None, None, f"cannot read archive: {type(wrong).__name__}"))
-                except Exception as wrong:
-                    if type(wrong).__name__ != "LZMAError":
-                        raise
-                    rows.append((id_, None, None, None, None, None, "cannot read archive: LZMAError"))
         if rows:
             yield _batch(rows)
 
@@ -78,8 +78,6 @@ def scan_archives(paths: DataFrame, wanted: tuple[str, ...] = (), tasks: int | N
 
 def scan_stored(archives: DataFrame, wanted: tuple[str, ...] = ()) -> DataFrame:
     """Lines of archives given as (id, content): for stores that only Spark's readers open."""
-    import io
-
     return archives.select("id", F.col("content").alias("source")).mapInArrow(_scanned(io.BytesIO, wanted), LOG_LINES)
 
 
