@@ -22,7 +22,7 @@ from .common import spooled
 from .components import connected_components, forest
 
 #: Blocks of axes; most axes of a grid; vectors that a cell should hold on average; rows of one side of a unit.
-BLOCKS, GRID_AXES, CELL_ROWS, CHUNK = 4, 4, 16384, 4096
+BLOCKS, GRID_AXES, CELL_ROWS, CHUNK = 4, 4, 65536, 16384
 #: Rotated coordinates are whole multiples of 1 / SCALE, so that squared distances are exact in any order of adding.
 SCALE = float(1 << 20)
 #: What rounding to those multiples may add to a squared distance, for any number of axes up to 4,096.
@@ -84,18 +84,30 @@ def _cells(q: np.ndarray, axes: np.ndarray, radius: float, k: int, dims: np.ndar
     return name(home), corners
 
 
-def _placed(axes: np.ndarray, parts: list[np.ndarray], budgets: np.ndarray, grid: int, dim: int):
-    """For ``mapInArrow``: a row for each vector, block and cell; role 0 is home, 1 a probe."""
+def turned(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Unit vectors on the axes, in whole multiples of 1 / SCALE.
+
+    Added axis by axis, so that a vector gets the same numbers in whatever batch it stands: each block's
+    join must come to the same verdict on which block a pair belongs to.
+    """
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    out = np.zeros((len(x), axes.shape[1]))
+    for k in range(axes.shape[0]):
+        out += x[:, k : k + 1] * axes[k]
+    return np.rint(out * SCALE)
+
+
+def _placed(axes: np.ndarray, parts: list[np.ndarray], budgets: np.ndarray, grid: int, dim: int, width: str):
+    """For ``mapInArrow``: a row for each vector, block and cell; role 0 is home, 1 a probe. ``width`` is the numbers' own type."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
                 x = _matrix(batch["embedding"], dim)
-                q = np.rint(x / np.linalg.norm(x, axis=1, keepdims=True) @ axes * SCALE)
+                q = turned(x, axes)
                 dims = batch["embedding"].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                turned = pa.array([r.tobytes() for r in q.astype("<f4")], pa.binary())
-                plain = pa.array([r.tobytes() for r in x.astype("<f8")], pa.binary())
+                plain = pa.array([r.tobytes() for r in x.astype(width)], pa.binary())
                 for k, own in enumerate(parts):
                     home, corners = _cells(q, own[:grid], math.sqrt(budgets[k]), k, dims)
                     seen: list[np.ndarray] = []
@@ -108,14 +120,14 @@ def _placed(axes: np.ndarray, parts: list[np.ndarray], budgets: np.ndarray, grid
                         take = pa.array(np.flatnonzero(new))
                         n = len(take)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(n, k, np.int32)), pa.array(cell[new]), pa.array(np.full(n, role, np.int32)), batch["cid"].take(take), batch["n"].take(take), turned.take(take), plain.take(take)],
-                            names=["block", "cell", "role", "cid", "n", "turned", "plain"],
+                            [pa.array(np.full(n, k, np.int32)), pa.array(cell[new]), pa.array(np.full(n, role, np.int32)), batch["cid"].take(take), batch["n"].take(take), plain.take(take)],
+                            names=["block", "cell", "role", "cid", "n", "plain"],
                         )
 
     return run
 
 
-def _verified(parts: list[np.ndarray], budgets: np.ndarray, least: float):
+def _verified(axes: np.ndarray, parts: list[np.ndarray], budgets: np.ndarray, least: float, width: str):
     """For ``mapInArrow`` over rows sorted by unit: each vector's links found there, and a forest of the links."""
     limits = np.floor(budgets * SCALE * SCALE)
 
@@ -128,12 +140,14 @@ def _verified(parts: list[np.ndarray], budgets: np.ndarray, least: float):
     def of_unit(k: int, h: dict, p: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Positions of linked pairs, some hundred home rows at a time."""
         own = parts[k]
+        # one product gives h.p - |h|^2 / 2 - |p|^2 / 2, which is minus half the squared distance
         hb, pb = ((x["turned"][:, own] / SCALE).astype(np.float32) for x in (h, p))
-        ps = (pb * pb).sum(1)
+        half = [-0.5 * (x * x).sum(1, keepdims=True) for x in (hb, pb)]
+        hb = np.concatenate([hb, half[0], np.ones_like(half[0])], axis=1)
+        pb = np.concatenate([pb, np.ones_like(half[1]), half[1]], axis=1)
         for at in range(0, len(hb), 512):
-            part = hb[at : at + 512]
-            close = (part * part).sum(1)[:, None] + ps[None, :] - 2 * (part @ pb.T) <= budgets[k] + 1e-4
-            a, b = np.nonzero(close)
+            close = hb[at : at + 512] @ pb.T >= -0.5 * (budgets[k] + 1e-4)
+            a, b = np.divmod(np.flatnonzero(close), close.shape[1])
             if len(a) > 0.1 * close.size:  # a dense group: whole products, exact for whole numbers
                 near = []
                 for e in range(k + 1):
@@ -155,8 +169,8 @@ def _verified(parts: list[np.ndarray], budgets: np.ndarray, least: float):
     def side(rows: dict, role: int) -> dict:
         own = rows["role"] == role
         out = {c: rows[c][own] for c in ("cid", "n")}
-        out["turned"] = np.stack([np.frombuffer(x, "<f4") for x in rows["turned"][own]]).astype(np.float64)
-        out["plain"] = np.stack([np.frombuffer(x, "<f8") for x in rows["plain"][own]])
+        out["plain"] = np.frombuffer(b"".join(rows["plain"][own]), width).reshape(int(own.sum()), -1).astype(np.float64)
+        out["turned"] = turned(out["plain"], axes)
         out["norm"] = np.linalg.norm(out["plain"], axis=1)
         out["unit"] = out["plain"] / out["norm"][:, None]
         return out
@@ -185,7 +199,7 @@ def _verified(parts: list[np.ndarray], budgets: np.ndarray, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
         for batch in batches:
-            now = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("unit", "block", "role", "cid", "n", "turned", "plain")}
+            now = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("unit", "block", "role", "cid", "n", "plain")}
             if held:
                 now = {c: np.concatenate([held[c], v]) for c, v in now.items()}
             starts = np.flatnonzero(np.r_[True, now["unit"][1:] != now["unit"][:-1]]).tolist() if len(now["unit"]) else []
@@ -208,7 +222,7 @@ def _units(placed: DataFrame) -> DataFrame:
     other = F.explode(F.when(F.col("role") == 0, F.sequence(F.lit(0), chunks[1] - 1)).otherwise(F.sequence(F.lit(0), chunks[0] - 1)))
     joined = joined.withColumn("__own", own).withColumn("__other", other)
     first, second = (F.when(F.col("role") == r, F.col("__own")).otherwise(F.col("__other")) for r in (0, 1))
-    return joined.withColumn("unit", F.xxhash64("block", "cell", first, second)).select("unit", "block", "role", "cid", "n", "turned", "plain")
+    return joined.withColumn("unit", F.xxhash64("block", "cell", first, second)).select("unit", "block", "role", "cid", "n", "plain")
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
@@ -226,14 +240,15 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     rows = rows.withColumn("cid", F.when(F.col("embedding").isNotNull(), F.xxhash64("embedding")))
     classes = spooled(rows.filter("cid is not null").groupBy("cid", "embedding").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "vectors")
     dim = classes.agg(F.max(F.size("embedding"))).first()[0] or 1
+    width = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
     axes, variance, n = rotation(classes, dim)
     parts = dealt(variance, BLOCKS)
     total = 2 - 2 * least + SLACK
     budgets = np.array([variance[p].sum() for p in parts])
     budgets = total * np.maximum(budgets, 1e-3 * budgets.sum()) / np.maximum(budgets, 1e-3 * budgets.sum()).sum() if budgets.sum() else np.full(len(parts), total / len(parts))
     grid = min(GRID_AXES, *(len(p) for p in parts), max(1, math.ceil(math.log(max(n, 1) / CELL_ROWS, 2.5))) if n > CELL_ROWS else 1)
-    placed = classes.select("cid", "n", "embedding").mapInArrow(_placed(axes, parts, budgets, grid, dim), "block int, cell long, role int, cid long, n long, turned binary, plain binary")
-    found = spooled(_units(placed).repartition("unit").sortWithinPartitions("unit").mapInArrow(_verified(parts, budgets, least), "a long, b long, links long"), "verified")
+    placed = classes.select("cid", "n", "embedding").mapInArrow(_placed(axes, parts, budgets, grid, dim, width), "block int, cell long, role int, cid long, n long, plain binary")
+    found = spooled(_units(placed).repartition("unit").sortWithinPartitions("unit").mapInArrow(_verified(axes, parts, budgets, least, width), "a long, b long, links long"), "verified")
     links = found.filter("b is null").groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "cid")
     reached = connected_components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "cid")
     named = classes.select("cid", "first_id", "n").join(reached, "cid", "left").withColumn("root", F.coalesce("component", "cid"))
