@@ -113,7 +113,7 @@ def expected(bits: list[int], threshold: int, n: int, alone: np.ndarray, both_ag
         chance[1:] = chance[1:] * p + chance[:-1] * (1 - p)
         chance[0] *= p
     signatures = math.comb(len(bits), threshold)
-    return signatures * (n * ROW_COST + chance[0] * n * n / 2) + chance[1:].sum() * n * n / 2
+    return signatures * (max(n, 1) * ROW_COST + chance[0] * n * n / 2) + chance[1:].sum() * n * n / 2
 
 
 def plan(n: int, both: np.ndarray, radius: int) -> list[tuple[list[int], int]]:
