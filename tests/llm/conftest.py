@@ -1,0 +1,33 @@
+import random
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+PROSE = "the quick brown fox jumps over the lazy dog near a quiet river bank while seven small birds sing about the morning light that fell across old stone walls and "
+
+
+def prose(k, n=80):
+    return " ".join(random.Random(k).choices(PROSE.split(), k=n))
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls in every column, empty, blank and very long texts, repeated rows, and columns that clash with the operators' own."""
+    rows = [(k, prose(k), "en", f"src{k % 3}", 1) for k in range(40)]
+    rows += [(100, None, "en", "src0", None), (101, "", None, None, 0), (102, " \t\n ", "en", "src1", 4), (None, prose(7), "en", "src0", 3), (None, None, None, None, None)]
+    rows += [(103, prose(3, 60_000), "en", "src2", 9), (104, "x" * 300_000, "en", "src2", 9), (5, prose(5), "en", "src2", 1), (5, prose(5), "en", "src2", 1)]
+    rows += [(105, prose(9) + " end", "en", "src0", 1), (106, "naïve café — 日本語 \U0001f600 \r\n\r\n tail", "fr", "src1", 5)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    from pyspark.sql import functions as F
+
+    return df.withColumns({n: F.lit(f"own {n}") for n in ("fp", "slot", "row", "block", "kept", "component_id", "shard", "arrival", "__x", "unit", "n", "text_sha256", "spans")})
+
+
+@pytest.fixture(scope="session")
+def empty(odd):
+    return odd.limit(0)
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    return spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(40)] + [(None, 1, 0), (3, None, 0), (5, 1, 1), (5, 1, 1)], "doc_id long, quality int, toxic int")

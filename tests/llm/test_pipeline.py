@@ -1,0 +1,67 @@
+"""The pipeline's stages against brute force over each stage's own input."""
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from runlake.llm import byte_bpe, quality_rules, secret_scan
+
+from .test_tables import plain_fingerprint, roots
+
+
+@pytest.fixture(scope="module")
+def data(spark, odd, labels, tmp_path_factory):
+    top = tmp_path_factory.mktemp("corpus")
+    odd.write.parquet(f"{top}/documents.parquet")
+    labels.write.parquet(f"{top}/labels.parquet")
+    return str(top)
+
+
+def test_registered():
+    import __spark_entry__
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "secret_scans", "mixing_sources", "byte_level_bpe"]
+    assert "pipeline" in __spark_entry__.queries() and "pipeline" not in __spark_entry__.oracle_sql()
+
+
+def test_stages(spark, odd, data):
+    docs = odd
+    good = corpus_pipeline.quality(spark, docs, data)
+    verdict = Counter((r.doc_id, r.kept) for r in quality_rules.judge(docs, spark.read.parquet(f"{data}/labels.parquet")).collect())
+    assert good.columns == docs.columns and good.count() == sum(n for (_, kept), n in verdict.items() if kept)
+
+    left = corpus_pipeline.near_dedup(spark, docs, data)
+    rows = docs.collect()
+    prints = [plain_fingerprint(r.text or "") for r in rows]
+    root = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3])
+    assert left.columns == docs.columns
+    kept = left.collect()
+    assert len(kept) == len(set(root))
+    best = {}
+    for r, k in zip(rows, root, strict=True):
+        if r.doc_id is not None:
+            best[k] = min(best.get(k, r.doc_id), r.doc_id)
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(best.values())
+
+    masked = {(r.doc_id, r.text) for r in corpus_pipeline.secrets(spark, docs, data).collect()}
+    assert masked == {(r.doc_id, secret_scan.redacted(r.text, secret_scan.scan(r.text)[1], "[SECRET]") if r.text else r.text) for r in rows}
+
+    mixed = corpus_pipeline.mix(spark, docs, data)
+    assert mixed.columns == docs.columns and Counter(mixed.collect()) == Counter(rows)
+
+    bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = corpus_pipeline.encode(spark, docs, data).collect()
+    assert Counter((r.doc_id, r.ids_sha256) for r in encoded) == Counter((r.doc_id, hashlib.sha256(bpe.encode_packed(r.text or "")).hexdigest()) for r in rows)
+
+
+def test_whole_run(spark, data):
+    rows = corpus_pipeline.run(spark, data).collect()
+    assert rows and all(r.round_trip for r in rows) and len({r.doc_id for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_empty_input(spark, empty, data, k):
+    assert corpus_pipeline.STAGES[k][1](spark, empty, data).count() == 0
