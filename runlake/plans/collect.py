@@ -124,7 +124,7 @@ def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str
     tables = {name: quality.withhold(rows, failed) if name in ("config", "status") else rows for name, rows in tables.items()}
     tables["parse_status"] = spark.read.schema(ISSUES).parquet(issues_at).select("message", "id")
     reset_collections(spark, base, sorted(task.collect))
-    written = write_tables(tables, selected, base, task.drop_tables, narrow)
+    written = write_tables(tables, selected, base, task.drop_tables, narrow, sorted(task.collect))
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     scratch = path(f"{base}/_staged")
     scratch.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(scratch, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.reduce import narrow_ints
 from ..operators.selection import fan_out
@@ -21,20 +22,36 @@ def reset_collections(spark: SparkSession, base: str, names: list[str]) -> None:
             fs.delete(found.getPath(), True)
 
 
-def write_table(df: DataFrame, table: str, base: str, narrow: bool = False) -> None:
-    """Write rows that have a column ``collection``; partitions of other collections stay.
+def write_table(df: DataFrame, table: str, base: str, narrow: bool = False) -> StructType:
+    """Write rows that have a column ``collection``; partitions of other collections stay. Returns the schema written.
 
     Rows are rebalanced by collection, so that files have a good size and a large collection many of them.
     With ``narrow`` integers take the least width for the whole table, at the price of a pass over it.
     """
-    rows = (narrow_ints(df) if narrow else df).hint("rebalance", F.col("collection"))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL)
+    rows = narrow_ints(df) if narrow else df
+    writer = rows.hint("rebalance", F.col("collection")).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL)
     writer.option("parquet.block.size", GROUP_BYTES).option("maxRecordsPerFile", FILE_ROWS).partitionBy("collection").parquet(f"{base}/{table}")
+    return rows.schema
 
 
-def write_tables(tables: dict[str, DataFrame], selected: DataFrame, base: str, drop_tables: tuple[str, ...] = (), narrow: bool = False) -> list[str]:
-    """Write each table to the collections of its runs; dropped tables are never computed. Returns the names written."""
+def fill_empty(spark: SparkSession, schema: StructType, table: str, base: str, names: list[str]) -> None:
+    """Give each collection without rows of a table a file that holds its schema: empty isn't absent."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    plain = StructType([f for f in schema.fields if f.name != "collection"])
+    for name in names:
+        if not fs.exists(path(f"{base}/{table}/collection={name}")):
+            spark.createDataFrame([], plain).write.parquet(f"{base}/{table}/collection={name}")
+
+
+def write_tables(tables: dict[str, DataFrame], selected: DataFrame, base: str, drop_tables: tuple[str, ...] = (), narrow: bool = False, collections: list[str] | None = None) -> list[str]:
+    """Write each table to the collections of its runs; dropped tables are never computed. Returns the names written.
+
+    Of ``collections``, those without rows get an empty table.
+    """
     kept = sorted(set(tables) - set(drop_tables))
     for name in kept:
-        write_table(fan_out(tables[name], selected), name, base, narrow)
+        schema = write_table(fan_out(tables[name], selected), name, base, narrow)
+        fill_empty(selected.sparkSession, schema, name, base, collections or [])
     return kept

@@ -61,6 +61,7 @@ def test_from_archives_to_the_lake(spark, tmp_path):
     told = {(r.id, r.message.split(":")[0]) for r in read("parse_status").filter("collection = 'all'").collect()}
     assert {r.id for r in read("parse_status").filter("collection = 'z'").collect()} <= {1, 2} and read("parse_status").filter("id = 98").count() == 1
     assert {(3, "cannot read archive"), (4, "cannot read archive"), (5, "no collectors for benchmark nope"), (2, "invalid UTF-8 for zgc_phases")} <= told
+    assert read("g1_phases").count() == 0 and "gc_type" in read("g1_phases").columns  # empty, not absent
     assert {r.id for r in read("config").collect()} == {1, 2}
     assert config_table(runs).columns[0] == "benchmark" and len(config_table(runs).columns) == 60
 
