@@ -85,6 +85,8 @@ def extract_all(lines: DataFrame, runs: DataFrame, routed: DataFrame) -> tuple[d
         tables[table] = csvtables.load_table(own.filter("name <> 'cpu_data.csv'").unionByName(commas), table)
     tables["status"] = _status(runs, text, routed)
     for own in registered():
+        if own.table in tables:
+            raise ValueError(f"two extractors make the table {own.table}")
         rows, wrong = run_extractor(own, selection.gc_gate(text, runs, own.gate) if own.gate else text)
         tables[own.table] = rows
         issues.append(wrong)
