@@ -49,9 +49,10 @@ def rotation(classes: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray, int]
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim + 1, dtype=np.int32)), pa.array(np.append(total.ravel(), n))], names=["at", "total"])
 
+    # dim * dim + 1 rows, whatever the number of vectors
+    sums = classes.select("embedding").mapInArrow(run, "at int, total double").groupBy("at").agg(F.sum("total").alias("total")).toArrow()
     flat = np.zeros(dim * dim + 1)
-    for row in classes.select("embedding").mapInArrow(run, "at int, total double").groupBy("at").agg(F.sum("total").alias("total")).collect():  # dim * dim + 1 rows
-        flat[row["at"]] = row["total"]
+    flat[sums["at"].to_numpy()] = sums["total"].to_numpy()
     n = int(flat[-1])
     square = flat[:-1].reshape(dim, dim) / max(n, 1)
     variance, axes = np.linalg.eigh((square + square.T) / 2)
