@@ -63,4 +63,28 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
 FROM numbers
 """
 
-ORACLES: dict[str, str] = {"op1_mixing": MIXING, "op7_warc": WARC}
+#: All pairs of usable vectors of one length; then each row takes the least id of its neighbours until none changes.
+EMBEDDINGS = """
+WITH RECURSIVE numbered AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), usable AS MATERIALIZED (
+  SELECT row, vec_id, v, len(v) AS size FROM numbered
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), pairs AS MATERIALIZED (
+  SELECT a.row AS a, b.row AS b FROM usable a JOIN usable b ON a.size = b.size AND a.row < b.row AND list_cosine_similarity(a.v, b.v) >= 0.95
+), links AS MATERIALIZED (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reached(row, component) USING KEY (row) AS (
+  SELECT row, vec_id FROM numbered
+  UNION
+  (SELECT own.row, min(near.component) FROM reached near JOIN links ON links.b = near.row JOIN recurring.reached own ON own.row = links.a
+   WHERE own.component IS NULL OR near.component < own.component GROUP BY own.row HAVING min(near.component) IS NOT NULL)
+), counted AS (
+  SELECT a AS row, count(*) AS n FROM links GROUP BY a
+)
+SELECT n.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, r.component AS component_id,
+       coalesce(n.vec_id = r.component, u.row IS NULL) AS kept
+FROM numbered n JOIN reached r USING (row) LEFT JOIN counted c USING (row) LEFT JOIN usable u USING (row)
+"""
+
+ORACLES: dict[str, str] = {"op1_mixing": MIXING, "op7_warc": WARC, "op10_embedding_near_dedup": EMBEDDINGS}

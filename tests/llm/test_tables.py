@@ -157,6 +157,9 @@ def test_embeddings(spark, monkeypatch):
         assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
     assert embedding_dedup.near_duplicates(df.filter("vec_id is null or size(embedding) = 0")).count() == 2
+    embeddings = df.select("vec_id", "embedding").toArrow()  # noqa: F841 - the table that the SQL names
+    sql = duckdb.sql(oracles.EMBEDDINGS).fetchall()
+    assert Counter(sql) == Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got)
 
 
 def page_rows():
