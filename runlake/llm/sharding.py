@@ -3,7 +3,8 @@
 Arrivals are appended as small immutable shards. Shards of like size form a tier; when a tier has enough
 of them they are merged into files of the target size, whole shards to a task, without a shuffle. Every
 change commits a new manifest by a rename that fails if that version is there already, so a reader
-sees one version whole, and a job that dies leaves only files that no manifest names.
+sees one version whole, and a job that dies leaves only files that no manifest names. Merged shards stay
+for the readers of earlier versions until ``vacuum`` gives those versions up.
 """
 
 from __future__ import annotations
@@ -103,12 +104,25 @@ class Shards:
             merged = self._written(self.spark.read.parquet(*(s["path"] for s in due)).coalesce(files))
             gone = {s["path"] for s in due}
             version = self._commit(version, [s for s in shards if s["path"] not in gone] + merged)
-            for path in gone:  # no later version names them
-                self._fs.delete(self._path(path), False)
             if len(merged) >= len(due):
                 break  # Spark's reader cut the files finer than the merge could join them
         return version
 
+    def vacuum(self, keep: int = 1) -> int:
+        """Give up all but the last ``keep`` versions, and delete the shards that only those name; returns their number.
+
+        Files that no version names are left alone: another writer may be about to commit them.
+        """
+        last = self.version()
+        given_up = [v for v in range(1, last - max(keep, 1) + 1) if self._fs.exists(self._manifest(v))]
+        old = {s["path"] for v in given_up for s in self.shards(v)}
+        old -= {s["path"] for v in range(max(1, last - max(keep, 1) + 1), last + 1) for s in self.shards(v)}
+        for path in sorted(old):
+            self._fs.delete(self._path(path), False)
+        for v in given_up:  # last, so that a vacuum that dies can be done again
+            self._fs.delete(self._manifest(v), False)
+        return len(old)
+
     def read(self, version: int | None = None) -> DataFrame | None:
         """The rows of a version with the shard of each in the column ``shard``; None before the first append."""
         shards = self.shards(version)
@@ -130,6 +144,7 @@ def shard_documents(docs: DataFrame, arrivals: int = ARRIVALS, target: int = TAR
     for k in range(arrivals):
         store.append(docs.filter(arrival == k))
         version = store.compact()
+    store.vacuum()
     names = sorted(s["path"] for s in store.shards(version))
     rows = store.read(version).select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.col("text").cast("string"), 256).alias("text_sha256"), arrival.alias("arrival"), "shard")
     # A manifest's entry for each shard: metadata, one row for each file of the target size.

@@ -226,7 +226,11 @@ def test_compaction_and_versions(spark, tmp_path):
     assert version > 5 and len(store.shards()) < sharding.FANOUT
     assert sorted(r.id for r in store.read().collect()) == list(range(500))
     assert store.compact() == version  # nothing is left to merge
-    assert len(list(tmp_path.glob("data/*/*.parquet"))) == len(store.shards())
+    assert sorted(r.id for r in store.read(5).collect()) == list(range(500))  # merged shards stay for its readers
+    assert store.vacuum(keep=version - 4) == 0 and store.shards(5) == before
+    assert store.vacuum() == 10 and store.vacuum() == 0
+    assert len(list(tmp_path.glob("data/*/*.parquet"))) == len(store.shards()) and len(list(tmp_path.glob("manifest/[0-9]*.json"))) == 1
+    assert sorted(r.id for r in store.read().collect()) == list(range(500))
     with pytest.raises(Exception):  # another writer has this version already
         store._commit(version - 1, [])
     assert store.version() == version
