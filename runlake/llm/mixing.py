@@ -29,7 +29,8 @@ def numbered(docs: DataFrame, block: int = BLOCK, carry: bool = False) -> tuple[
     keyed = keyed.withColumn("hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("range", F.conv(F.substring("hash", 1, 3), 16, 10).cast("int"))
     counted = keyed.groupBy("source", "range").agg(F.count(F.lit(1)).alias("n"))
     before = counted.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("range")) - F.col("n")).select("source", "range", "before")
-    within = F.row_number().over(Window.partitionBy("source", "range").orderBy("hash", "doc_id"))
+    # rows that repeat an id are told apart by what they hold, so that a task that runs again comes to the same order
+    within = F.row_number().over(Window.partitionBy("source", "range").orderBy("hash", "doc_id", *([F.xxhash64("row")] if carry else [])))
     at = F.col("before") + F.col("within") - 1
     rows = keyed.withColumn("within", within).join(before, ["source", "range"])
     rows = rows.select("doc_id", "source", F.floor(at / block).alias("block"), (at % block).cast("int").alias("place"), *(["row"] if carry else []))
@@ -37,23 +38,26 @@ def numbered(docs: DataFrame, block: int = BLOCK, carry: bool = False) -> tuple[
 
 
 def slots_of(sizes: DataFrame, weights: dict[str, float] | None, period: int) -> DataFrame:
-    """Each source's whole number of slots in a period: (source, n, slots), by largest remainders, one at least."""
+    """Each source's whole number of slots in a period: (source, n, slots), by largest remainders, one at least.
+
+    Every source has one slot; the others follow what each source's exact share has beyond one. Where no
+    share is under one slot, these are the exact shares. A period has at least two slots for each source.
+    """
     if weights is None:
         weighed = sizes.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(TEMPERATURE)))
     else:
         stated = F.create_map(*(F.lit(x) for pair in sorted(weights.items()) for x in pair)) if weights else F.lit(None).cast("map<string,double>")
         weighed = sizes.withColumn("w", F.greatest(F.coalesce(F.try_element_at(stated, F.col("source")), F.lit(0.0)).cast("double"), F.lit(1e-9)))
     everyone = Window.partitionBy(F.lit(0))  # a row for each source: the schedule is over sources, not over rows
-    share = F.greatest(F.floor(F.col("exact")), F.lit(1))
+    slots = F.greatest(F.lit(period), 2 * F.count(F.lit(1)).over(everyone))
     return (
-        weighed.withColumn("exact", F.col("w") / F.sum("w").over(everyone) * period)
-        .withColumn("whole", share.cast("long"))
-        .withColumn("left", F.lit(period) - F.sum("whole").over(everyone))
+        weighed.withColumn("period", slots)
+        .withColumn("beyond", F.greatest(F.col("w") / F.sum("w").over(everyone) * F.col("period") - 1, F.lit(0.0)))
+        .withColumn("exact", F.col("beyond") / F.sum("beyond").over(everyone) * (F.col("period") - F.count(F.lit(1)).over(everyone)))
+        .withColumn("whole", F.floor("exact").cast("long"))
+        .withColumn("left", F.col("period") - F.sum(F.col("whole") + 1).over(everyone))
         .withColumn("rank", F.row_number().over(everyone.orderBy((F.col("exact") - F.col("whole")).desc(), "source")))
-        .withColumn("largest", F.row_number().over(everyone.orderBy(F.col("whole").desc(), "source")))
-        # fewer than no slots are left only where many sources were lifted to one; the largest give them back
-        .withColumn("slots", F.col("whole") + F.when(F.col("left") > 0, (F.col("rank") <= F.col("left")).cast("long")).otherwise(F.when(F.col("largest") == 1, F.col("left")).otherwise(0)))
-        .select("source", "n", "slots")
+        .select("source", "n", (F.col("whole") + 1 + (F.col("rank") <= F.col("left")).cast("long")).alias("slots"))
     )
 
 
@@ -87,7 +91,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     Every row gets a place: nothing is dropped or repeated. ``in_mix`` holds for the slots before the first
     source has run out, over which each source keeps to its weight; later slots of a source that has run
     out stay empty. Weights default to the square root of each source's rows; a stated source that isn't there is
-    ignored, one not stated gets the least share. ``period`` must be at least twice the number of sources.
+    ignored, one not stated gets the least share. A period of fewer slots than twice the number of sources is
+    lengthened to that. Sources are the parts of a mix, few beside the rows: the schedule walks their slots in one task.
     A null source counts as the source ''. A null doc_id stays null. Rows that repeat an id get places of their
     own. Other columns are ignored, or with ``carry`` kept in ``row``. An empty table gives an empty one.
     """

@@ -10,19 +10,21 @@ WITH RECURSIVE keyed AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY hash, doc_id) - 1 AS at FROM keyed
 ), sizes AS (
   SELECT source, count(*) AS n FROM keyed GROUP BY source
+), weighed AS (
+  SELECT source, n, greatest(1000, 2 * count(*) OVER ()) AS period, count(*) OVER () AS k, sqrt(n) / sum(sqrt(n)) OVER () AS w FROM sizes
+), beyond AS (
+  SELECT *, greatest(w * period - 1, 0) AS beyond FROM weighed
 ), exact AS (
-  SELECT source, n, sqrt(n) / sum(sqrt(n)) OVER () * 1000 AS exact FROM sizes
+  SELECT *, beyond / sum(beyond) OVER () * (period - k) AS exact FROM beyond
 ), whole AS (
-  SELECT *, greatest(CAST(floor(exact) AS BIGINT), 1) AS whole FROM exact
+  SELECT *, CAST(floor(exact) AS BIGINT) AS whole FROM exact
 ), ranked AS (
-  SELECT *, 1000 - sum(whole) OVER () AS spare, row_number() OVER (ORDER BY exact - whole DESC, source) AS rank,
-         row_number() OVER (ORDER BY whole DESC, source) AS largest FROM whole
+  SELECT *, period - sum(whole + 1) OVER () AS spare, row_number() OVER (ORDER BY exact - whole DESC, source) AS rank FROM whole
 ), shares AS (
-  SELECT source, n, CAST(whole + CASE WHEN spare > 0 THEN CASE WHEN rank <= spare THEN 1 ELSE 0 END
-                                      WHEN largest = 1 THEN spare ELSE 0 END AS BIGINT) AS slots,
+  SELECT source, n, CAST(whole + 1 + CASE WHEN rank <= spare THEN 1 ELSE 0 END AS BIGINT) AS slots,
          row_number() OVER (ORDER BY source) AS i FROM ranked
 ), listed AS (
-  SELECT list(slots ORDER BY i) AS slots, count(*) AS k FROM shares
+  SELECT list(slots ORDER BY i) AS slots, count(*) AS k, CAST(sum(slots) AS BIGINT) AS period FROM shares
 ), walk(t, had, won) AS (
   SELECT CAST(-1 AS BIGINT), list_transform(range(k), lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM listed WHERE k > 0
   UNION ALL
@@ -30,17 +32,17 @@ WITH RECURSIVE keyed AS (
   FROM (
     SELECT t + 1 AS t, had,
            list_min(list_filter(list_transform(range(1, k + 1), lambda i:
-             CASE WHEN had[i] * 1000 // slots[i] <= t + 1 AND had[i] < slots[i]
-                  THEN ((had[i] + 1) * 1000 + slots[i] - 1) // slots[i] * 1000000 + i END), lambda x: x IS NOT NULL)) % 1000000 AS won
-    FROM walk, listed WHERE t < 999
+             CASE WHEN had[i] * period // slots[i] <= t + 1 AND had[i] < slots[i]
+                  THEN ((had[i] + 1) * period + slots[i] - 1) // slots[i] * 1000000 + i END), lambda x: x IS NOT NULL)) % 1000000 AS won
+    FROM walk, listed WHERE t < period - 1
   )
 ), turns AS (
   SELECT t AS slot, won AS i, had[won] - 1 AS turn FROM walk WHERE won IS NOT NULL
 ), horizon AS (
-  SELECT min(CAST(ceil(greatest(ceil(n / 64.0) - turn, 0) / slots) AS BIGINT) * 1000 + slot) AS horizon FROM turns JOIN shares USING (i)
+  SELECT min(CAST(ceil(greatest(ceil(n / 64.0) - turn, 0) / s.slots) AS BIGINT) * l.period + slot) AS horizon FROM turns JOIN shares s USING (i), listed l
 ), final AS (
-  SELECT p.doc_id, p.source, p.at // 64 AS block, (p.at // 64) // s.slots * 1000 + t.slot AS slot, CAST(p.at % 64 AS INTEGER) AS place
-  FROM placed p JOIN shares s USING (source) JOIN turns t ON t.i = s.i AND t.turn = (p.at // 64) % s.slots
+  SELECT p.doc_id, p.source, p.at // 64 AS block, (p.at // 64) // s.slots * l.period + t.slot AS slot, CAST(p.at % 64 AS INTEGER) AS place
+  FROM placed p JOIN shares s USING (source) JOIN turns t ON t.i = s.i AND t.turn = (p.at // 64) % s.slots, listed l
 )
 SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(slot AS BIGINT) AS slot, place, slot < horizon AS in_mix FROM final, horizon
 """

@@ -126,6 +126,20 @@ def test_no_source_is_a_whole_block_off(spark):
         assert all(abs(had[s] - w * t) < 1 for s, w in list(weights.items())[:3])
 
 
+def test_few_slots_for_many_sources(spark):
+    sizes = spark.createDataFrame([(f"s{i:03d}", 10_000 if i % 2 else 1) for i in range(100)], "source string, n long")
+    weights = {f"s{i:03d}": 1.0 if i % 2 else 1e-6 for i in range(100)}
+    for stated, period in ((weights, 200), (weights, 10), (None, 200), ({}, 150)):
+        slots = {r.source: r.slots for r in mixing.slots_of(sizes, stated, period).collect()}
+        assert len(slots) == 100 and min(slots.values()) >= 1 and sum(slots.values()) == max(period, 200)
+        assert stated == {} or min(slots[s] for s in slots if int(s[1:]) % 2) >= 2
+    docs = spark.range(520).selectExpr("id AS doc_id", "concat('s', id) AS source")
+    got = mixing.mix(docs)
+    documents = docs.toArrow()  # noqa: F841 - the table that the SQL names
+    columns = sorted(got.columns)
+    assert Counter(map(tuple, got.select(columns).collect())) == Counter(duckdb.sql(f"SELECT {', '.join(columns)} FROM ({oracles.MIXING})").fetchall())
+
+
 def vectors(spark):
     rng = np.random.default_rng(9)
     base = rng.standard_normal((60, 16))
