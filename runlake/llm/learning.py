@@ -23,13 +23,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
 
     The sample is the smallest ids by hash, so it doesn't depend on partitioning. It is bounded by ``most``
     whatever the input, which is why it may be broadcast. Rows without an id or label are passed over;
-    of repeated labels one (the least) counts, of documents that repeat an id each.
+    of repeated labels one (the least) counts, of documents that repeat an id the one of the least text.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)").filter(fold(F.col("doc_id")) != HELD_OUT)
     chosen = known.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").withColumn("fold", fold(F.col("doc_id")))
+    # one text an id, chosen before the shuffle, or a document repeated without end would have no bound
+    taught = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return taught.withColumn("fold", fold(F.col("doc_id")))
 
 
 def fitted(rows: DataFrame, encode: Callable[[str], np.ndarray], fit: Callable[[list], object]) -> object | None:

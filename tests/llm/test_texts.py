@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import public_tokenizers
@@ -12,7 +13,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from runlake.llm import byte_bpe, license_scan, quality_mil, quality_rules, secret_scan, text_features
+from runlake.llm import byte_bpe, learning, license_scan, quality_mil, quality_rules, secret_scan, text_features
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE = byte_bpe.load(VOCABULARY, public_tokenizers.PATTERN)
@@ -127,6 +128,15 @@ def test_quality_of_a_table(odd, empty, labels):
     assert quality_rules.keep_good(odd, labels.limit(0)).count() == sum(r.kept for r in without)
 
 
+def test_the_sample_has_its_bound_whatever_repeats(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i % 7}", "x") for i in range(3000)] + [(50, None, "y"), (None, "z", "z")], "doc_id long, text string, label string")
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(60)] * 2, "doc_id long, quality int, toxic int")
+    rows = learning.training_rows(docs, labels, "quality", 1000).collect()
+    outside = [i for i in (0, 1, 2, 50) if zlib.crc32(str(i).encode()) % 5 != 0]
+    assert sorted((r.doc_id, r.label, r.text) for r in rows) == [(i, i % 2, "" if i == 50 else "text 0") for i in outside]
+    assert len(learning.training_rows(docs, labels, "quality", 1).collect()) <= 1
+
+
 def test_hashed_words_do_not_depend_on_where_they_stand():
     import numpy as np
 
