@@ -25,7 +25,9 @@ from .common import smaller_batches, text_or_empty
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")  # '=' pads the end; before a value it parts name and value
+#: How a token that fits no alphabet is cut: into parts of base64url, of base64, and of letters and digits alone.
+WAYS = tuple(re.compile(x) for x in (r"[^+/]{16,}", r"[^_-]{16,}", r"[^+/_-]{16,}"))
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 KINDS = ("assign", "access", "hex", "random")
 
@@ -92,6 +94,21 @@ def chance(token: str) -> float:
     return math.exp(log) * (1 - log)
 
 
+def tested_parts(text: str, start: int, end: int) -> list[tuple[int, int, float]]:
+    """(start, end, chance) of a token, or of its parts if no alphabet holds all of it.
+
+    Of parts that overlap the one of least chance is taken; chances are raised by the number of ways to cut.
+    """
+    if encoding_of(text[start:end].rstrip("=")):
+        return [(start, end, chance(text[start:end]))]
+    parts = {(m.start(), m.end()) for way in WAYS for m in way.finditer(text, start, end)}
+    taken: list[tuple[int, int, float]] = []
+    for p, s, e in sorted((min(1.0, len(WAYS) * chance(text[s:e])), s, e) for s, e in parts):
+        if all(e <= other or s >= until for other, until, _ in taken):
+            taken.append((s, e, p))
+    return taken
+
+
 def discoveries(tokens: list[tuple[int, int, float]]) -> list[tuple[int, int]]:
     """Of (start, end, chance) those that the weighted step-up procedure lets through; weights follow length."""
     if not tokens:
@@ -126,7 +143,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             reach = max(reach, base[at][2])
             at += 1
         if reach <= start:
-            tested.append((start, end, chance(text[start:end])))
+            tested += tested_parts(text, start, end)
     return base, sorted(base + [(start, 3, end) for start, end in discoveries(tested)])
 
 

@@ -76,6 +76,25 @@ def test_ordinary_tokens_are_left_alone(token):
     assert secret_scan.scan(f"we keep {token} here")[1] == []
 
 
+@pytest.mark.parametrize("name", ["aws_access", "sig", "AccountKey", "export SIGNING_SALT", "?x", "a_rather_long_configuration_name"])
+@pytest.mark.parametrize("value", ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "Xk29fLq8Zr04TbVw7NcY", "q9ZpT4rX7mK2wB8nV5cJ1hG6==", "c2VjcmV0LXRva2VuLXZhbHVlLTEyMzQ1Njc4"])
+def test_random_values_of_any_name_are_found(name, value):
+    text = f"{name}={value}; rest"
+    assert secret_scan.scan(text)[1] == [(len(name) + 1, 3, len(name) + 1 + len(value))]
+    assert secret_scan.redacted(text, secret_scan.scan(text)[1], "*") == f"{name}=*; rest"
+
+
+@pytest.mark.parametrize("before, key, after", [("/files/of-users/", "Xk29fLq8Zr04TbVw7NcY", ""), ("/file/d/", "1aB9xQ-7kLmZ2_pR4tVw8YcN3sD6", "/edit"), ("my-bucket-", "wJalrXUtnFEMI/K7MDENG+bPxRfiCY8Qz", ""), ("some_dir/other-dir/", "q9ZpT4rX7mK2wB8nV5cJ1hG6", "==")])
+def test_random_parts_of_mixed_tokens_are_found(before, key, after):
+    ((start, kind, end),) = secret_scan.scan(f"see {before}{key}{after} here")[1]
+    assert kind == 3 and start <= 4 + len(before) and 4 + len(before + key) <= end
+
+
+@pytest.mark.parametrize("text", ["mode=internationalization", "path=node_modules/some-package/dist/index", "a_very_long_variable_name=another_very_long_name", "first-part/second_part/third-part/index", "x" * 20 + "=" * 30 + "y" * 20])
+def test_ordinary_values_and_mixed_tokens_are_left_alone(text):
+    assert secret_scan.scan(text)[1] == []
+
+
 def test_false_discoveries_are_held_to_their_rate():
     rng = random.Random(3)
     letters, weights = zip(*secret_scan.PROSE.items())
