@@ -1,17 +1,19 @@
 """License scans by conditional compression.
 
-Blocks of text that speak of licensing are compressed once alone and once with each template as a raw
-dictionary. The template that saves most tells best what the block says; the leading ones are then
-confirmed by the exact differences in wording between block and template.
+The words within reach of one that speaks of licensing make a block, however its lines are broken. Each template
+is fitted to the block's words, wherever it differs least; stretches that fit are compressed once alone and once with
+the template as a raw dictionary. A template must save bytes; of fits that overlap, the one with the fewest
+differences in wording, then of most savings, tells what is stated there.
 """
 
 from __future__ import annotations
 
-import difflib
 import functools
 import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -36,70 +38,142 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 #: Words that a block must hold one of to be a candidate, in lower case.
 SIGNS = ("licen", "copyright", "public domain", "permission is hereby", "redistribution and use")
-#: Words that may differ, out of a hundred of the template's; templates that are compared word by word; bytes of a block.
-MAY_DIFFER, LEADING, LONGEST = 34, 3, 2000
+#: Words that may differ, out of a hundred of the template's.
+MAY_DIFFER = 34
 
-_SIGN = re.compile("|".join(SIGNS), re.IGNORECASE | re.ASCII)
+#: A sign's own words may stand on two lines, with comment marks between them.
+_SIGN = re.compile("|".join(x.replace(" ", r"\W+") for x in SIGNS), re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"\w+(?:[-.]\w+)*")
+_BREAK = re.compile(r"\s*\n[^\w\n]*")
+_STOP = re.compile(r"[^\w\s]*")
+
+#: Each template as (license, text, words as numbers, numbers of its words with digits, words that may differ).
+_NUMBER: dict[str, int] = {}
+_FITTED: list[tuple[str, str, list[int], set[int], int]] = []
+for _name, _texts in TEMPLATES.items():
+    for _text in _texts:
+        _words = [(w, _NUMBER.setdefault(w, len(_NUMBER) + 1)) for w in _WORD.findall(_text.lower())]
+        _FITTED.append((_name, _text, [n for _, n in _words], {n for w, n in _words if any(ch.isdigit() for ch in w)}, MAY_DIFFER * len(_words) // 100))
+_HOLDS = np.zeros((len(_FITTED), len(_NUMBER) + 1), dtype=np.int32)
+for _i, _fitted in enumerate(_FITTED):
+    _HOLDS[_i, _fitted[2]] = 1
+#: Words of the longest fit, which is how far a block reaches round a sign; words that are looked at at once.
+REACH, AT_ONCE = max(len(x[2]) + x[4] for x in _FITTED), 1 << 14
 
 
 @functools.lru_cache(maxsize=1)
-def _compressors() -> tuple[zstandard.ZstdCompressor, list[tuple[str, str, zstandard.ZstdCompressor]]]:
+def _compressors() -> tuple[zstandard.ZstdCompressor, list[zstandard.ZstdCompressor]]:
     options = zstandard.ZstdCompressionParameters.from_level(9, write_content_size=False, write_checksum=False, write_dict_id=False)
-    own = [(name, text, zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=options)) for name, texts in TEMPLATES.items() for text in texts]
+    own = [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(x[1].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=options) for x in _FITTED]
     return zstandard.ZstdCompressor(compression_params=options), own
 
 
-def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Where the candidates start and end: lines with a sign, and of long lines the sentences with one."""
-    if not _SIGN.search(text):
-        return
-    at = 0
-    for line in text.split("\n"):
-        if _SIGN.search(line):
-            cuts = [0, len(line)] if len(line) <= LONGEST else [0, *(m.end() for m in re.finditer(r"[.;:]\s", line)), len(line)]
-            for start, end in zip(cuts, cuts[1:]):
-                for s in range(start, end, LONGEST):  # a run without a stop, whole, piece by piece
-                    e = min(end, s + LONGEST)
-                    if _SIGN.search(line, s, e):
-                        yield at + s, at + e
-        at += len(line) + 1
-
-
-def differences(block: str, template: str) -> tuple[int, int, list[str]]:
-    """Words of the template that the block lacks, their number, and exact differences between the first and last match."""
-    have, want = _WORD.findall(block.lower()), _WORD.findall(template.lower())
-    same = [m for m in difflib.SequenceMatcher(None, have, want, autojunk=False).get_matching_blocks() if m.size]
-    missing = len(want) - sum(m.size for m in same)
-    between = [] if not same else have[same[0].a : same[-1].a + same[-1].size]
-    extra = len(between) - sum(m.size for m in same)
-    named = {w for w in want if any(ch.isdigit() for ch in w)}
-    return missing + extra, len(want), sorted(named - set(have))
+@functools.lru_cache(maxsize=20_000)
+def saved(notice: str, template: int) -> int:
+    """The bytes that a template as dictionary saves of a notice."""
+    plain, own = _compressors()
+    data = notice.encode()
+    return len(plain.compress(data)) - len(own[template].compress(data))
+
+
+def words_of(text: str) -> tuple[array, array, array]:
+    """Where each word starts and ends, and its number among the templates' words (0: in none)."""
+    starts, ends, numbers = array("q"), array("q"), array("i")
+    for m in _WORD.finditer(text):
+        starts.append(m.start())
+        ends.append(m.end())
+        numbers.append(_NUMBER.get(m[0].lower(), 0))
+    return starts, ends, numbers
+
+
+def blocks(text: str, starts: array, ends: array) -> list[tuple[int, int]]:
+    """From and to which word the candidates go: all words within reach of a sign, touching ones as one."""
+    first, last, out = np.frombuffer(starts, dtype=np.int64), np.frombuffer(ends, dtype=np.int64), []
+    for m in _SIGN.finditer(text):
+        low = max(0, int(np.searchsorted(last, m.start(), "right")) - REACH)
+        high = min(len(first), int(np.searchsorted(first, m.end())) + REACH)
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], high)
+        else:
+            out.append((low, high))
+    return out
+
+
+def fits(have: list[int], want: list[int], most: int) -> list[tuple[int, int, int]]:
+    """(words that differ, from, to) for each end of a stretch of ``have`` that differs from ``want`` in at most ``most`` words.
+
+    Words differ that one side has and the other lacks. Of stretches with one end the least different is taken,
+    then the shortest. A cell holds differences times ``big`` less the start.
+    """
+    big, n = len(have) + 1, len(want)
+    column, out = [i * big for i in range(n + 1)], []
+    for j, word in enumerate(have, 1):
+        before, column[0] = column[0], -j
+        for i in range(1, n + 1):
+            here, left = column[i - 1] + big, column[i] + big
+            least = here if here < left else left
+            if want[i - 1] == word and before < least:
+                least = before
+            before, column[i] = column[i], least
+        differ = -(-column[n] // big)
+        if differ <= most:
+            out.append((differ, differ * big - column[n], j))
+    return out
 
 
 @functools.lru_cache(maxsize=20_000)
+def found_in(numbers: bytes) -> list[tuple[int, int, int, int]]:
+    """(differences, template, from, to) for each fit of each template to some words in order."""
+    ids = np.frombuffer(numbers, dtype=np.int32)
+    sums = np.concatenate([np.zeros((len(_FITTED), 1), dtype=np.int32), np.cumsum(_HOLDS[:, ids], axis=1, dtype=np.int32)], axis=1)
+    out = []
+    for k, (_, _, want, named, most) in enumerate(_FITTED):
+        wide = len(want) + most
+        ends = np.minimum(np.arange(len(ids)) + wide, len(ids))
+        enough = np.flatnonzero(sums[k, ends] - sums[k, :-1] >= len(want) - most)  # a fit has so many of the template's words
+        for part in np.split(enough, np.flatnonzero(np.diff(enough) > 1) + 1) if len(enough) else []:
+            low, high = int(part[0]), int(ends[part[-1]])
+            have = ids[low:high].tolist()
+            out += [(d, k, low + s, low + e) for d, s, e in fits(have, want, most) if named <= set(have[s:e])]
+    return out
+
+
+def notices(text: str) -> tuple[int, list[tuple[int, int, str, int, int]]]:
+    """The number of blocks, and (start, end, license, bytes saved, words that differ) of each notice by start.
+
+    A notice ends with the stops that follow its last word.
+    """
+    if not _SIGN.search(text):
+        return 0, []
+    starts, ends, numbers = words_of(text)
+    at, fitted = blocks(text, starts, ends), set()
+    for low, high in at:
+        for s in range(low, max(low + 1, high - REACH), AT_ONCE):  # any fit lies in one piece: they overlap by its length
+            fitted |= {(d, k, s + a, s + e) for d, k, a, e in found_in(numbers[s : min(high, s + AT_ONCE + REACH)].tobytes())}
+    ranked = []
+    for differ, k, a, e in fitted:
+        start, end = starts[a], _STOP.match(text, ends[e - 1]).end()
+        bytes_saved = saved(_BREAK.sub(" ", text[start:end]), k)
+        if bytes_saved > 0:
+            ranked.append((differ / len(_FITTED[k][2]), -bytes_saved, _FITTED[k][0], a, e, start, end, differ))
+    taken, used = [], bytearray(len(starts))
+    for _, less, name, a, e, start, end, differ in sorted(ranked):
+        if not any(used[a:e]):
+            used[a:e] = b"\1" * (e - a)
+            taken.append((start, end, name, -less, differ))
+    return len(at), sorted(taken)
+
+
 def licence(block: str) -> tuple[str, int, int] | None:
-    """The license that a block states, the bytes that its template saves, and the words that differ."""
-    plain, own = _compressors()
-    data = block.encode()
-    alone = len(plain.compress(data))
-    saved = sorted(((len(c.compress(data)) - alone, name, text) for name, text, c in own))[:LEADING]
-    found = []
-    for less, name, text in saved:
-        differ, words, lacking = differences(block, text)
-        if less < 0 and not lacking and 100 * differ <= MAY_DIFFER * words:
-            found.append((differ / words, less, name, differ))
-    if not found:
-        return None
-    _, less, name, differ = min(found)
-    return name, -less, differ
+    """The license that a text states in the words nearest its template, the bytes saved, and the words that differ."""
+    return min(((name, saves, differ) for _, _, name, saves, differ in notices(block)[1]), key=lambda x: (x[2], -x[1], x[0]), default=None)
 
 
 def find_licenses(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_blocks (candidates), n_found, licenses, spans, saved_bytes.
+    """One row per row of ``docs``: doc_id, n_blocks (candidates), n_found (notices), licenses, spans, saved_bytes.
 
-    ``licenses`` are the different identifiers in order, comma-joined; ``spans`` are identifier:start:end in
-    code points, ends exclusive. Whole texts are searched; a null text counts as an empty one. Repeated rows
+    ``licenses`` are the different identifiers in order, comma-joined; ``spans`` are identifier:start:end of each
+    notice in code points, ends exclusive. A notice may run over lines of any length. Whole texts are searched; a null text counts as an empty one. Repeated rows
     each give a row, a null doc_id stays null, other columns are ignored, an empty table gives an empty one.
     """
     schema = "doc_id long, n_blocks long, n_found long, licenses string, spans string, saved_bytes long"
@@ -109,9 +183,8 @@ def find_licenses(docs: DataFrame) -> DataFrame:
             for batch in smaller_batches(whole, "text", 8 << 20):
                 rows = []
                 for text in batch["text"].to_pylist():
-                    at = list(blocks(text))
-                    found = [(*got, s, e) for s, e in at if (got := licence(text[s:e]))]
-                    rows.append((len(at), len(found), ",".join(sorted({f[0] for f in found})), ",".join(f"{f[0]}:{f[3]}:{f[4]}" for f in found), sum(f[1] for f in found)))
+                    n, found = notices(text)
+                    rows.append((n, len(found), ",".join(sorted({f[2] for f in found})), ",".join(f"{f[2]}:{f[0]}:{f[1]}" for f in found), sum(f[3] for f in found)))
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names=[c.split()[0] for c in schema.split(", ")])
 

@@ -220,3 +220,42 @@ def test_licenses_of_a_table(spark, odd, empty):
     rows = {r.doc_id: r for r in license_scan.find_licenses(odd.unionByName(spark.createDataFrame([(900, "é first\nReleased under the MIT License.\nlast")], "doc_id long, text string"), allowMissingColumns=True)).collect()}
     assert rows[900].spans == "MIT:8:39" and rows[900].licenses == "MIT" and rows[100].n_found == 0
     assert license_scan.find_licenses(empty).count() == 0
+
+WRAPPED = {
+    "MIT": 'MIT License\n\nCopyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction',
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n",
+    "BSD-3-Clause": "Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n",
+    "CC0-1.0": "Dedicated to the public\ndomain under CC0 1.0.",
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "-- "])
+@pytest.mark.parametrize("name", WRAPPED)
+def test_notices_over_lines_are_found(name, mark):
+    text = "def f():\n    return 1\n" + "".join(f"{mark}{line}\n" for line in WRAPPED[name].split("\n")) + "the code goes on"
+    _, found = license_scan.notices(text)
+    assert [x[2] for x in found] == [name] and text[found[0][0] : found[0][1]].count("\n") >= 1
+
+
+def plain_fits(have, want, most):
+    """For each end: the least number of words to drop from a stretch and from ``want`` to make them equal."""
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row[:]
+            for i, y in enumerate(b, 1):
+                row[i] = last[i - 1] + 1 if x == y else max(last[i], row[i - 1])
+        return row[-1]
+
+    for j in range(1, len(have) + 1):
+        differ, short, s = min((j - s + len(want) - 2 * common(have[s:j], want), j - s, s) for s in range(j + 1))
+        if differ <= most:
+            yield differ, s, j
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(1, 4), min_size=1, max_size=6), st.integers(0, 4))
+def test_fits_are_those_of_all_stretches(have, want, most):
+    assert license_scan.fits(have, want, most) == list(plain_fits(have, want, most))
