@@ -259,3 +259,20 @@ def plain_fits(have, want, most):
 @given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(1, 4), min_size=1, max_size=6), st.integers(0, 4))
 def test_fits_are_those_of_all_stretches(have, want, most):
     assert license_scan.fits(have, want, most) == list(plain_fits(have, want, most))
+
+
+@pytest.mark.parametrize("around", [("", ""), ("x " * 1500, " y" * 1500), ("no stop " * 400, ""), ("z" * 5000 + " ", "")])
+@pytest.mark.parametrize("notice, names", [("Released under the MIT License. Licensed under the Apache License, Version 2.0.", ["MIT", "Apache-2.0"]), ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ["MPL-2.0"]), ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]), (" and ".join(["Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Dedicated to the public domain under CC0 1.0.", "Released under the BSD 2-Clause License.", "Released under the MIT License."]), ["CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "BSD-2-Clause", "MIT"])])
+def test_notices_do_not_depend_on_the_length_of_a_line(around, notice, names):
+    found = license_scan.notices(around[0] + notice + around[1])[1]
+    assert [x[2] for x in found] == names
+    assert [(s - len(around[0]), e - len(around[0])) for s, e, *_ in found] == [(s, e) for s, e, *_ in license_scan.notices(notice)[1]]
+
+
+def test_notices_are_found_across_every_cut(monkeypatch):
+    text = " and ".join(f"word {k} Released under the MIT License. It is licensed under CC BY 4.0. Copyright" for k in range(30))
+    want = license_scan.notices(text)
+    assert len(want[1]) == 60
+    for size in (1, 7, 50):
+        monkeypatch.setattr(license_scan, "AT_ONCE", size)
+        assert license_scan.notices(text) == want
