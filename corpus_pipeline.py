@@ -7,6 +7,7 @@ are masked in the texts; the documents are put into the order of the mix; and ev
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +46,24 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_mixed_order(docs)
 
 
+def as_written(docs: DataFrame) -> DataFrame:
+    """A table read from Parquet in the order in which its rows were written; any other one as it is.
+
+    A reader deals files out by size. The names of Spark's files hold the number of the partition.
+    """
+    try:
+        at = docs.metadataColumn("_metadata")
+        placed = docs.select(F.struct("*").alias("row"), at["file_name"].alias("file"), at["row_index"].alias("at"))
+    except AnalysisException:  # not from files: no order to restore
+        return docs
+    part = F.expr("try_cast(regexp_extract(file, 'part-([0-9]+)', 1) as bigint)")
+    return placed.orderBy(part, "file", "at").select("row.*")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's token ids, their number and hash, and whether decoding gives the text back."""
+    """Each document's token ids, their number and hash, and whether decoding gives the text back, in the mix's order."""
     ship(spark)
-    return byte_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=True)
+    return byte_bpe.encode_texts(as_written(docs), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=True)
 
 
 STAGES = [
@@ -64,7 +79,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows, over all of the documents table."""
+    """The last stage's rows, over all of the documents table, in the mix's order."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = shared_dir(spark, name)

@@ -7,8 +7,9 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from runlake.llm import byte_bpe, quality_rules, secret_scan
+from runlake.llm import byte_bpe, mixing, quality_rules, secret_scan
 
+from .conftest import SCHEMA, prose
 from .test_tables import plain_fingerprint, roots
 
 
@@ -65,3 +66,20 @@ def test_whole_run(spark, data):
 @pytest.mark.parametrize("k", range(5))
 def test_empty_input(spark, empty, data, k):
     assert corpus_pipeline.STAGES[k][1](spark, empty, data).count() == 0
+
+
+def test_the_result_is_in_the_mixs_order(spark, labels, tmp_path):
+    rows = [(k, prose(k, 60 + 97 * k % 500), "en", f"src{min(k % 7, 2)}", 1) for k in range(400)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        got = [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset(key)
+    left = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for stage in (corpus_pipeline.quality, corpus_pipeline.near_dedup, corpus_pipeline.secrets):
+        left = stage(spark, left, str(tmp_path))
+    want = [r.doc_id for r in mixing.mix(left).orderBy("slot", "place").collect()]
+    assert len(want) > 300 and got == want
