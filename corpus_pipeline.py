@@ -25,14 +25,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest doc_id of each group of linked fingerprints.
 
     Documents without an id get one from their text that is larger than any real one, so they give way to
-    documents with an id. Of rows that repeat an id and a text one stays.
+    documents with an id. Of rows that repeat an id and a text one stays; of different texts of one id, one in
+    each group that has that id as its smallest.
     """
     ship(spark)
-    stand_in = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
-    found = simhash.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text"))
-    kept = found.filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return named.join(kept, F.col("__id") == F.col("__kept"), "left_semi").dropDuplicates(["__id", "text"]).select(docs.columns)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    stand_in = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), stand_in), "__text": F.sha2(text, 256)})
+    found = simhash.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text", "__text"), carry="__text")
+    kept = found.filter("kept").groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("__text").alias("__text")).select("__id", "__text").distinct()
+    return named.join(kept, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

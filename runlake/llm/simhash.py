@@ -45,15 +45,17 @@ def fingerprint(text: str, width: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a long) of each row; a null text counts as an empty one."""
+def fingerprints(docs: DataFrame, width: int = 3, carry: str | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a long) and the string column ``carry`` of each row; a null text counts as an empty one."""
+    more = [] if carry is None else [carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.fromiter((fingerprint(t.as_py(), width) for t in batch["text"]), dtype=np.uint64, count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), *(batch[c] for c in more)], names=["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *(F.col(c) for c in more)]
+    return docs.select(*columns).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"`{c}` string" for c in more)]))
 
 
 def agreement(distinct: DataFrame) -> tuple[int, np.ndarray]:
@@ -186,7 +188,7 @@ def _chunks_by_unit(batches: Iterator[pa.RecordBatch], held: list) -> Iterator[t
         yield held[0], held[1].view(np.uint64), held[2]
 
 
-def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, carry: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, kept.
 
     Rows with one fingerprint are one class, represented by it, so copies are never paired. component_id is
@@ -194,9 +196,10 @@ def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3) -> DataFra
     text has fingerprint zero and links like any other; so does one of white space. Very long texts are
     read whole. Null doc_ids don't count for the smallest (a component of none but these has a null
     component_id and kept false). Rows that repeat a doc_id each give a row. Other columns are ignored; an
-    empty table gives an empty one.
+    empty table gives an empty one. With ``carry`` that string column is kept, and ``root`` tells components
+    apart that have one component_id, as they may where an id is repeated with several texts.
     """
-    prints = spooled(fingerprints(docs, width), "simhash")
+    prints = spooled(fingerprints(docs, width, carry), "simhash")
     classes = spooled(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     n, both = agreement(classes)
     parts = plan(n, both, radius)
@@ -206,7 +209,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3) -> DataFra
     reached = connected_components(links)
     named = classes.join(reached, classes["fp"] == reached["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = named.join(least, "root").select("fp", "component_id")
+    members = named.join(least, "root").select("fp", "component_id", *([] if carry is None else ["root"]))
     return prints.join(members, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), *([] if carry is None else [carry, "root"])
     )

@@ -83,3 +83,11 @@ def test_the_result_is_in_the_mixs_order(spark, labels, tmp_path):
         left = stage(spark, left, str(tmp_path))
     want = [r.doc_id for r in mixing.mix(left).orderBy("slot", "place").collect()]
     assert len(want) > 300 and got == want
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark, data):
+    a, b, c = prose(1), prose(2), prose(4)
+    rows = [(5, a), (5, b), (2, b), (7, a), (9, c), (9, c), (9, prose(8)), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(k, t, "en", "src0", 1) for k, t in rows], SCHEMA)
+    left = [(r.doc_id, r.text or "") for r in corpus_pipeline.near_dedup(spark, docs, data).collect()]
+    assert sorted(left) == sorted([(5, a), (2, b), (9, c), (9, prose(8)), (8, "")])
