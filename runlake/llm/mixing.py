@@ -97,7 +97,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     own. Other columns are ignored, or with ``carry`` kept in ``row``. An empty table gives an empty one.
     """
     rows, sizes = numbered(docs, block, carry)
-    # A row for each slot of a period and no more, whatever the data: safe to broadcast.
+    # A row for each slot of a period, max(period, 2 x sources): bounded by the sources, not by the rows. The schedule
+    # rewrites one list of all sources for each slot, so its work is slots x sources in one task: for sources that are
+    # few, not for columns of many values such as hosts.
     plan = schedule(slots_of(sizes, weights, period))
     out = F.col("turn") + F.floor((F.ceil(F.col("n") / block) - F.col("turn") + F.col("slots") - 1) / F.col("slots")) * F.col("slots")
     empty = (out - F.col("turn")) / F.col("slots") * F.col("period") + F.col("slot")
