@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import warnings
 from collections.abc import Callable
 
 import numpy as np
@@ -10,6 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import spooled
+
+#: Bits of the hash by which the sample is found.
+PART_BITS = 14
 #: Folds by crc32 of the id's text; rows of fold HELD_OUT never teach anything.
 FOLDS, HELD_OUT = 5, 0
 
@@ -21,14 +26,21 @@ def fold(doc_id: F.Column) -> F.Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """doc_id, text, label and fold of at most ``most`` labelled documents outside the held-out fold.
 
-    The sample is the smallest ids by hash, so it doesn't depend on partitioning. It is bounded by ``most``
-    whatever the input, which is why it may be broadcast. Rows without an id or label are passed over;
-    of repeated labels one (the least) counts, of documents that repeat an id the one of the least text.
+    The sample is those of smallest hash among the ids that both tables have, so it doesn't depend on
+    partitioning, nor on labels of other documents. It is bounded by ``most`` whatever the input, which is why it
+    may be broadcast. Rows without an id or label are passed over; of repeated labels one (the least) counts, of
+    documents that repeat an id the one of the least text.
     """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)").filter(fold(F.col("doc_id")) != HELD_OUT)
-    chosen = known.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    known = known.groupBy("doc_id").agg(F.min("label").alias("label")).join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = spooled(known.withColumn("part", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - PART_BITS)), "labelled")
+    # the parts of the hashes that the sample lies in, so that no task sorts more than the sample and one part
+    parts = known.groupBy("part").count().orderBy("part").collect()  # 2**PART_BITS rows at most
+    reached = np.searchsorted(np.cumsum([r["count"] for r in parts]), most)
+    last = parts[min(int(reached), len(parts) - 1)]["part"] if parts else -1
+    chosen = known.filter(F.col("part") <= last).orderBy("part", F.xxhash64("doc_id"), "doc_id").limit(most).drop("part")
     # one text an id, chosen before the shuffle, or a document repeated without end would have no bound
     taught = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return taught.withColumn("fold", fold(F.col("doc_id")))
@@ -37,7 +49,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
 def fitted(rows: DataFrame, encode: Callable[[str], np.ndarray], fit: Callable[[list], object]) -> object | None:
     """Encode the sample's texts in parallel, fit in one task over the bounded sample, return the small model.
 
-    ``fit`` gets (features, label, fold) in the order of doc_id and may return None.
+    ``fit`` gets (features, label, fold) in the order of doc_id and may return None, which is warned of. What
+    ``encode`` returns must have a bound of its own, whatever the text's length: one task holds all of the sample.
     """
 
     def encoded(batches):
@@ -51,7 +64,10 @@ def fitted(rows: DataFrame, encode: Callable[[str], np.ndarray], fit: Callable[[
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], names=["model"])
 
     done = rows.mapInArrow(encoded, "doc_id long, label int, fold int, x binary").repartition(1).mapInArrow(trained, "model binary").collect()
-    return pickle.loads(bytes(done[0]["model"])) if done else None
+    model = pickle.loads(bytes(done[0]["model"])) if done else None
+    if model is None:
+        warnings.warn("no model: the labelled documents of the training folds lack one of the two labels", stacklevel=3)
+    return model
 
 
 def sigmoid(x: np.ndarray | float) -> np.ndarray:

@@ -1,6 +1,6 @@
 """A quality classifier by attention-based multiple-instance learning.
 
-A document is a bag of passages. Each passage is encoded from hashed words and runs of bytes; a gated
+A document is a bag of passages. Each passage is encoded from hashed words and runs of characters; a gated
 attention weighs the passages; the weighted sum is scored. Encoder, attention and scorer are learned
 together from the labels of whole documents, on a bounded sample outside the held-out fold.
 """
@@ -18,8 +18,9 @@ from . import text_features
 from .common import smaller_batches, text_or_empty
 from .learning import HELD_OUT, calibration, fitted, fold, sigmoid, training_rows
 
-#: At most so many labelled rows teach the model: the bound of its sample.
-SAMPLE = 3000
+#: At most so many labelled rows teach the model, with so many passages each, spread over the document: the bounds of
+#: its sample, 200 MB in the task that fits. Scores are made of all passages.
+SAMPLE, TAUGHT_PASSAGES = 3000, 32
 #: Words of a passage, 2**BITS features of each family, sizes of the encoding and of the attention.
 PASSAGE, BITS, CODE, GATE = 128, 9, 24, 12
 EPOCHS, BATCH, RATE, PENALTY, CALIBRATION_FOLD, SEED = 12, 64, 0.01, 1e-5, 1, 7
@@ -37,14 +38,22 @@ def _start() -> Model:
 
 def forward(m: Model, x: np.ndarray, bag: np.ndarray) -> dict[str, np.ndarray]:
     """The score of each bag (before calibration) and what led to it; ``bag`` holds where each bag starts."""
+    return pooled(m, *encoded(m, x), bag)
+
+
+def encoded(m: Model, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The encoding of each passage, and the two sides of its gated attention."""
     code = np.tanh(x @ m["E"] + m["e"])
-    open_, gate = np.tanh(code @ m["V"]), sigmoid(code @ m["U"])
+    return code, np.tanh(code @ m["V"]), sigmoid(code @ m["U"])
+
+
+def pooled(m: Model, code: np.ndarray, open_: np.ndarray, gate: np.ndarray, bag: np.ndarray) -> dict[str, np.ndarray]:
     raw = (open_ * gate) @ m["a"]
-    sizes = np.diff(np.append(bag, len(x)))
+    sizes = np.diff(np.append(bag, len(code)))
     raw = np.exp(raw - np.repeat(np.maximum.reduceat(raw, bag), sizes))
     weight = raw / np.repeat(np.add.reduceat(raw, bag), sizes)
-    pooled = np.add.reduceat(weight[:, None] * code, bag, axis=0)
-    return {"code": code, "open": open_, "gate": gate, "weight": weight, "pooled": pooled, "sizes": sizes, "score": pooled @ m["c"] + m["b"][0]}
+    mean = np.add.reduceat(weight[:, None] * code, bag, axis=0)
+    return {"code": code, "open": open_, "gate": gate, "weight": weight, "pooled": mean, "sizes": sizes, "score": mean @ m["c"] + m["b"][0]}
 
 
 def gradients(m: Model, x: np.ndarray, bag: np.ndarray, target: np.ndarray, importance: np.ndarray) -> Model:
@@ -91,24 +100,34 @@ def _bags(features: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(text: str) -> np.ndarray:
-    return text_features.passages(text, BITS, PASSAGE).astype(np.float16)
+    """At most TAUGHT_PASSAGES passages of a text, evenly spaced, whatever its length."""
+    kept, every, at = [], 1, 0
+    for rows in text_features.passages(text, BITS, PASSAGE):
+        for row in rows.astype(np.float16):
+            if at % every == 0:
+                kept.append(row)
+            if len(kept) > TAUGHT_PASSAGES:
+                kept, every = kept[::2], 2 * every
+            at += 1
+    return np.stack(kept)
 
 
 def score(model: Model | None, text: str) -> tuple[float, int, float]:
     """The calibrated score, the number of passages, and the weight of the one that counts most."""
-    x = text_features.passages(text, BITS, PASSAGE)
+    rows = text_features.passages(text, BITS, PASSAGE)
     if model is None:
-        return 0.5, len(x), 1.0
-    f = forward(model, x, np.array([0]))
+        return 0.5, sum(map(len, rows)), 1.0
+    code, open_, gate = (np.concatenate(x) for x in zip(*(encoded(model, x) for x in rows)))
+    f = pooled(model, code, open_, gate, np.array([0]))
     slope, offset = model["calibration"]
-    return float(sigmoid(slope * float(f["score"][0]) + offset)), len(x), float(f["weight"].max())
+    return float(sigmoid(slope * float(f["score"][0]) + offset)), len(code), float(f["weight"].max())
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, n_passages, top_weight.
 
     Scores come from the text alone. A null text counts as an empty one: a single passage without words,
-    which gets a score like any other. Without labels of both kinds every score is 0.5. A null doc_id is
+    which gets a score like any other. Without labels of both kinds every score is 0.5, and a warning says so. A null doc_id is
     in no fold (held_out false). Repeated rows each give a row, other columns are ignored, an empty table
     gives an empty one.
     """

@@ -1,7 +1,7 @@
 """Quality rules: counts over the whole text, and a calibrated classifier of hashed n-grams.
 
-The classifier is a logistic regression over hashed words, pairs of words and runs of 3 and 4 bytes. It is
-trained on a bounded sample of labelled rows; one fold of that sample is kept back to calibrate its
+The classifier is a logistic regression over hashed words, pairs of words and runs of 3 and 4 characters.
+It is trained on a bounded sample of labelled rows; one fold of that sample is kept back to calibrate its
 probabilities. Texts are then scored in Arrow batches and held against a fixed threshold.
 """
 
@@ -101,7 +101,7 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: f
     base_failed, kept, probability.
 
     Whole texts are counted and scored. A null text counts as an empty one and fails for want of words.
-    Without labels of both kinds there is no model, and the base rules alone decide. Repeated rows each give a
+    Without labels of both kinds there is no model (a warning says so), and the base rules alone decide, with probability 1. Repeated rows each give a
     row, a null doc_id stays null, other columns are ignored, an empty table gives an empty one.
     """
     model = train(docs, labels, sample)
@@ -127,11 +127,11 @@ def _verdict(model, text: str, threshold: float) -> tuple:
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the rules and the classifier keep, with all their columns."""
-    model, names = train(docs, labels, sample), docs.columns
+    model = train(docs, labels, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(names.index("text"))
-            yield batch.filter(pa.array([_verdict(model, t.as_py() or "", threshold)[6] for t in texts], pa.bool_()))
+        for whole in batches:
+            for batch in smaller_batches(whole, "text", 8 << 20):
+                yield batch.filter(pa.array([_verdict(model, t.as_py() or "", threshold)[6] for t in batch["text"]], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -15,6 +16,8 @@ from hypothesis import strategies as st
 
 from runlake.llm import byte_bpe, learning, license_scan, quality_mil, quality_rules, secret_scan, text_features
 
+from .conftest import prose
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE = byte_bpe.load(VOCABULARY, public_tokenizers.PATTERN)
 PLAIN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(VOCABULARY, "rb"))}, special_tokens={})
@@ -156,23 +159,102 @@ def test_the_sample_has_its_bound_whatever_repeats(spark):
     assert len(learning.training_rows(docs, labels, "quality", 1).collect()) <= 1
 
 
-def test_hashed_words_do_not_depend_on_where_they_stand():
-    import numpy as np
+def plain_hashes(units, mask=(1 << 64) - 1):
+    return sum((ord(ch) + 1) * pow(0x100000001B3, i, 1 << 64) for i, ch in enumerate(units)) * 0x9E3779B97F4A7C15 & mask
 
-    data = np.frombuffer(b"one two one", dtype=np.uint8)
-    hashes = text_features.word_hashes(data, *text_features.words(data))
-    assert hashes[0] == hashes[2] != hashes[1]
 
+def plain_features(text, bits):
+    """Word, word-pair and character features, counted one by one."""
+    full, prime, mix = (1 << 64) - 1, 0x100000001B3, 0x9E3779B97F4A7C15
+    at = lambda h: ((h * mix) & full) >> (64 - bits)
+    words = [plain_hashes(w) for w in re.findall("[^\x20\x09-\x0d]+", text)]
+    out = [Counter(map(at, words)) + Counter(at((a * prime + b) & full) for a, b in zip(words, words[1:])), Counter()]
+    for n in (3, 4):
+        for i in range(len(text) - n + 1):
+            h = ord(text[i]) + n
+            for ch in text[i + 1 : i + n]:
+                h = (h * prime + ord(ch)) & full
+            out[1][at(h)] += 1
+    rows = [np.array([np.log1p(c[k]) for k in range(1 << bits)]) for c in out]
+    return np.concatenate([r / max(np.sqrt((r * r).sum()), 1e-6) for r in rows])
 
-def test_very_long_texts_are_read_to_their_end(monkeypatch):
-    monkeypatch.setattr(text_features, "PIECE", 64)
-    text = " ".join(f"w{i}" for i in range(200))
-    assert b"".join(p.tobytes() for p in text_features.pieces(text)).decode() == text
 
+CUT = st.lists(st.sampled_from(["a", "bc", "é", "日本", " ", "  ", "\n", "\x1f", "\U0001f600", "word "]), max_size=60).map("".join)
+
+
+@settings(max_examples=60, deadline=None)
+@given(CUT, st.sampled_from([1, 2, 3, 7, 1 << 16]))
+def test_features_are_the_plain_ones_wherever_the_text_is_cut(text, piece):
+    kept, text_features.PIECE = text_features.PIECE, piece
+    try:
+        assert np.allclose(text_features.document(text, 6), plain_features(text, 6), atol=1e-5)
+        rows = np.concatenate(list(text_features.passages(text, 5, 4)))
+    finally:
+        text_features.PIECE = kept
+    assert np.array_equal(rows, np.concatenate(list(text_features.passages(text, 5, 4))))
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    assert len(rows) == max(1, -(-len(words) // 4))
+    for k in range(0, len(words), 4):
+        own = words[k : k + 4]
+        pairs = list(zip(own, own[1:]))
+        shape = [len(set(own)) / len(own), sum(a == b for a, b in pairs) / max(1, len(pairs)), len(set(pairs)) / max(1, len(pairs)), len(own) / 4, np.log1p(len(own)) / 5]
+        assert np.allclose(rows[k // 4, -5:], shape, atol=1e-5)
+
+
+def test_a_long_text_has_the_features_of_one_piece(monkeypatch):
+    text = prose(4, 60_000)
+    assert len(text) > 300_000
+    cut = text_features.document(text, 9), np.concatenate(list(text_features.passages(text, 6, 128)))
+    monkeypatch.setattr(text_features, "PIECE", len(text))
+    for name, base in (("_FORTH", 0x100000001B3), ("_BACK", pow(0x100000001B3, -1, 1 << 64))):
+        monkeypatch.setattr(text_features, name, text_features._powers(base))
+    assert np.array_equal(cut[0], text_features.document(text, 9)) and np.allclose(cut[1], np.concatenate(list(text_features.passages(text, 6, 128))))
+
+
+def test_few_passages_of_a_long_text_teach():
+    rows = quality_mil.encode(prose(4, 30_000))
+    assert 16 <= len(rows) <= quality_mil.TAUGHT_PASSAGES
+    assert len(quality_mil.encode("")) == 1 and len(quality_mil.encode(prose(4, 300))) == 3
+
+
+def test_labels_of_other_documents_do_not_count(spark):
+    docs = spark.range(200).selectExpr("id * 7 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(200_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality", "0 AS toxic")
+    outside = [7 * i for i in range(200) if zlib.crc32(str(7 * i).encode()) % 5 != 0]
+    assert sorted(r.doc_id for r in learning.training_rows(docs, labels, "quality", 3000).collect()) == outside
+    first = [r.doc_id for r in learning.training_rows(docs, labels, "quality", 20).collect()]
+    least = spark.createDataFrame([(i,) for i in outside], "doc_id long").selectExpr("doc_id", "shiftrightunsigned(xxhash64(doc_id), 50) AS part", "xxhash64(doc_id) AS h").orderBy("part", "h").limit(20)
+    assert sorted(first) == sorted(r.doc_id for r in least.collect())
+
+
+def test_verdicts_are_those_of_a_plain_score(spark, odd, labels):
+    model = quality_rules.train(odd, labels)
+    assert model is not None
+    w, slope, offset = model
+    for r in quality_rules.judge(odd, labels).join(odd.select("doc_id", "text").distinct(), "doc_id").collect():
+        if len(r.text or "") > 5000:
+            continue
+        x = plain_features(r.text or "", quality_rules.BITS)
+        chance = 1 / (1 + np.exp(-(slope * (x @ w[:-1] + w[-1]) + offset)))
+        assert abs(r.probability - chance) < 1e-3
+        if abs(chance - 0.3) > 1e-3:
+            assert r.kept == (not r.base_failed and chance >= 0.3)
+
+
+def test_scores_are_those_of_a_plain_forward_pass(odd, labels):
+    model = learning.fitted(learning.training_rows(odd, labels, "quality", quality_mil.SAMPLE), quality_mil.encode, quality_mil._fit)
+    squash = lambda v: 1 / (1 + np.exp(-v))
+    for text in [r.text or "" for r in odd.select("text").distinct().collect()]:
+        x = np.concatenate(list(text_features.passages(text, quality_mil.BITS, quality_mil.PASSAGE))).astype(np.float64)
+        code = np.tanh(x @ model["E"] + model["e"])
+        raw = (np.tanh(code @ model["V"]) * squash(code @ model["U"])) @ model["a"]
+        weight = np.exp(raw) / np.exp(raw).sum()
+        want = squash(model["calibration"][0] * ((weight[:, None] * code).sum(0) @ model["c"] + model["b"][0]) + model["calibration"][1])
+        got, n, _ = quality_mil.score(model, text)
+        assert abs(got - want) < 1e-3 and n == len(x)
 
-def test_gradients_of_the_attention():
-    import numpy as np
 
+def test_gradients_of_the_attention():
     rng = np.random.default_rng(0)
     m = {k: v.astype(np.float64) for k, v in quality_mil._start().items()}
     x, bag, y = rng.random((5, len(m["E"]))), np.array([0, 2]), np.array([1.0, 0.0])
