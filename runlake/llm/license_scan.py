@@ -2,8 +2,9 @@
 
 The words within reach of one that speaks of licensing make a block, however its lines are broken. Each template
 is fitted to the block's words, wherever it differs least; stretches that fit are compressed once alone and once with
-the template as a raw dictionary. A template must save bytes; of fits that overlap, the one with the fewest
-differences in wording, then of most savings, tells what is stated there.
+the template as a raw dictionary. Fits are ranked by the bytes that this saves, less what the words that differ
+would take; a fit is confirmed if few words differ and none of those that tell licenses apart. Of fits that
+overlap, the first in rank tells what is stated there.
 """
 
 from __future__ import annotations
@@ -21,25 +22,88 @@ from pyspark.sql import functions as F
 
 from .common import smaller_batches, text_or_empty
 
-#: Wordings of notices, by SPDX identifier. Public license notices, a list for each license.
+# Parts of public license notices.
+_GRANT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without '
+    "restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+    "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+    'Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR '
+    "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+    "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_MAY_USE = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_RETAIN = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+    "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_NO_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_NO_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY '
+    "AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+    "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY "
+    "OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+_APACHE_REST = (
+    'You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" '
+    "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
+)
+
+
+def _gnu(kind: str, version: str) -> tuple[str, ...]:
+    """The notices of one license of the GNU family: by name, and the header for a program or a library."""
+    lesser = "General" != kind.split()[0] and "Affero" not in kind
+    what = "library" if lesser else "program"
+    return (
+        f"This work is licensed under the GNU {kind}, version {version}.",
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+        f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation; version {version} of the License.",
+    )
+
+
+def _commons(terms: str, names: str, version: str) -> tuple[str, ...]:
+    return f"Licensed under CC {terms} {version}.", f"This work is licensed under a Creative Commons {names} {version} International License."
+
+
+#: Wordings of notices, by SPDX identifier, a list for each license.
 TEMPLATES: dict[str, tuple[str, ...]] = {
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
-    "BSD-2-Clause": ("Released under the BSD 2-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
-    "BSD-3-Clause": ("Released under the BSD 3-Clause License.", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "AGPL-3.0": _gnu("Affero General Public License", "3"),
+    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", _APACHE, f"{_APACHE} {_APACHE_REST}"),
+    "Artistic-2.0": ("This is free software, licensed under the Artistic License 2.0.",),
+    "BSD-2-Clause": ("Released under the BSD 2-Clause License.", _MAY_USE, f"{_MAY_USE} {_RETAIN} {_NO_WARRANTY}"),
+    "BSD-3-Clause": ("Released under the BSD 3-Clause License.", _NO_NAMES, f"{_MAY_USE} {_RETAIN} {_NO_NAMES} {_NO_WARRANTY}"),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "CC-BY-4.0": _commons("BY", "Attribution", "4.0"),
+    "CC-BY-NC-4.0": _commons("BY-NC", "Attribution-NonCommercial", "4.0"),
+    "CC-BY-NC-ND-4.0": _commons("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives", "4.0"),
+    "CC-BY-NC-SA-4.0": _commons("BY-NC-SA", "Attribution-NonCommercial-ShareAlike", "4.0"),
+    "CC-BY-ND-4.0": _commons("BY-ND", "Attribution-NoDerivatives", "4.0"),
+    "CC-BY-SA-4.0": _commons("BY-SA", "Attribution-ShareAlike", "4.0"),
     "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "MIT": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",),
+    "GPL-2.0": _gnu("General Public License", "2"),
+    "GPL-3.0": _gnu("General Public License", "3"),
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "LGPL-2.0": _gnu("Library General Public License", "2"),
+    "LGPL-2.1": _gnu("Lesser General Public License", "2.1"),
+    "LGPL-3.0": _gnu("Lesser General Public License", "3"),
+    "MIT": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.", _GRANT),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "Zlib": ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",),
 }
 #: Words that a block must hold one of to be a candidate, in lower case.
-SIGNS = ("licen", "copyright", "public domain", "permission is hereby", "redistribution and use")
-#: Words that may differ, out of a hundred of the template's.
-MAY_DIFFER = 34
+SIGNS = ("licen", "copyright", "public domain", "permission is hereby", "permission to use", "redistribution and use", "software is provided")
+#: Words that tell licenses of like wording apart: a notice has those of its template and no others. So it is with words that hold digits.
+TELLING = ("affero", "lesser", "noncommercial", "sharealike", "noderivatives", "noderivs")
+#: Words that may differ, out of a hundred of the template's, and the bytes that each of them counts for in the rank.
+MAY_DIFFER, WORD_BYTES = 34, 6
 
 #: A sign's own words may stand on two lines, with comment marks between them.
 _SIGN = re.compile("|".join(x.replace(" ", r"\W+") for x in SIGNS), re.IGNORECASE | re.ASCII)
@@ -47,13 +111,14 @@ _WORD = re.compile(r"\w+(?:[-.]\w+)*")
 _BREAK = re.compile(r"\s*\n[^\w\n]*")
 _STOP = re.compile(r"[^\w\s]*")
 
-#: Each template as (license, text, words as numbers, numbers of its words with digits, words that may differ).
-_NUMBER: dict[str, int] = {}
+#: Each template as (license, text, words as numbers, numbers of the words it must hold, words that may differ).
+_NUMBER: dict[str, int] = {w: i for i, w in enumerate(TELLING, 1)}
+_TELL = set(_NUMBER.values())
 _FITTED: list[tuple[str, str, list[int], set[int], int]] = []
 for _name, _texts in TEMPLATES.items():
     for _text in _texts:
         _words = [(w, _NUMBER.setdefault(w, len(_NUMBER) + 1)) for w in _WORD.findall(_text.lower())]
-        _FITTED.append((_name, _text, [n for _, n in _words], {n for w, n in _words if any(ch.isdigit() for ch in w)}, MAY_DIFFER * len(_words) // 100))
+        _FITTED.append((_name, _text, [n for _, n in _words], {n for w, n in _words if n in _TELL or any(ch.isdigit() for ch in w)}, MAY_DIFFER * len(_words) // 100))
 _HOLDS = np.zeros((len(_FITTED), len(_NUMBER) + 1), dtype=np.int32)
 for _i, _fitted in enumerate(_FITTED):
     _HOLDS[_i, _fitted[2]] = 1
@@ -121,6 +186,12 @@ def fits(have: list[int], want: list[int], most: int) -> list[tuple[int, int, in
     return out
 
 
+def confirmed(named: set[int], have: list[int]) -> bool:
+    """Whether a stretch has the words that tell its template from others, and none that tell others from it."""
+    held = set(have)
+    return named <= held and not (held & _TELL) - named
+
+
 @functools.lru_cache(maxsize=20_000)
 def found_in(numbers: bytes) -> list[tuple[int, int, int, int]]:
     """(differences, template, from, to) for each fit of each template to some words in order."""
@@ -134,7 +205,7 @@ def found_in(numbers: bytes) -> list[tuple[int, int, int, int]]:
         for part in np.split(enough, np.flatnonzero(np.diff(enough) > 1) + 1) if len(enough) else []:
             low, high = int(part[0]), int(ends[part[-1]])
             have = ids[low:high].tolist()
-            out += [(d, k, low + s, low + e) for d, s, e in fits(have, want, most) if named <= set(have[s:e])]
+            out += [(d, k, low + s, low + e) for d, s, e in fits(have, want, most) if confirmed(named, have[s:e])]
     return out
 
 
@@ -155,12 +226,12 @@ def notices(text: str) -> tuple[int, list[tuple[int, int, str, int, int]]]:
         start, end = starts[a], _STOP.match(text, ends[e - 1]).end()
         bytes_saved = saved(_BREAK.sub(" ", text[start:end]), k)
         if bytes_saved > 0:
-            ranked.append((differ / len(_FITTED[k][2]), -bytes_saved, _FITTED[k][0], a, e, start, end, differ))
+            ranked.append((WORD_BYTES * differ - bytes_saved, differ, _FITTED[k][0], a, e, start, end, bytes_saved))
     taken, used = [], bytearray(len(starts))
-    for _, less, name, a, e, start, end, differ in sorted(ranked):
+    for _, differ, name, a, e, start, end, bytes_saved in sorted(ranked):
         if not any(used[a:e]):
             used[a:e] = b"\1" * (e - a)
-            taken.append((start, end, name, -less, differ))
+            taken.append((start, end, name, bytes_saved, differ))
     return len(at), sorted(taken)
 
 
@@ -173,8 +244,9 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_blocks (candidates), n_found (notices), licenses, spans, saved_bytes.
 
     ``licenses`` are the different identifiers in order, comma-joined; ``spans`` are identifier:start:end of each
-    notice in code points, ends exclusive. A notice may run over lines of any length. Whole texts are searched; a null text counts as an empty one. Repeated rows
-    each give a row, a null doc_id stays null, other columns are ignored, an empty table gives an empty one.
+    notice in code points, ends exclusive. A notice may run over lines of any length. Whole texts are searched; a
+    null text counts as an empty one. Repeated rows each give a row, a null doc_id stays null, other columns are
+    ignored, an empty table gives an empty one.
     """
     schema = "doc_id long, n_blocks long, n_found long, licenses string, spans string, saved_bytes long"
 

@@ -358,3 +358,69 @@ def test_notices_are_found_across_every_cut(monkeypatch):
     for size in (1, 7, 50):
         monkeypatch.setattr(license_scan, "AT_ONCE", size)
         assert license_scan.notices(text) == want
+
+
+FULL = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons\nAttribution-NonCommercial-ShareAlike 4.0 International License.",
+    "BSD-3-Clause": "Copyright (c) 2019, The Authors\nAll rights reserved.\n\n" + license_scan._MAY_USE + "\n\n1. " + license_scan._RETAIN + "\n\n3. " + license_scan._NO_NAMES.replace("the copyright holder", "The Example Project") + "\n\n" + license_scan._NO_WARRANTY,
+    "BSD-2-Clause": license_scan._MAY_USE + "\n * " + license_scan._RETAIN + "\n\n" + license_scan._NO_WARRANTY,
+    "MIT": "MIT License\n\nCopyright (c) 2021 A. Person\n\n" + license_scan._GRANT,
+    "ISC": 'Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS"',
+    "Apache-2.0": license_scan._APACHE + "\n\n    " + license_scan._APACHE_REST,
+}
+
+
+@pytest.mark.parametrize("name", FULL)
+def test_full_notices_give_one_license(name):
+    found = license_scan.notices(f"some words first\n{FULL[name]}\nthen the text goes on and on")[1]
+    assert [x[2] for x in found] == [name]
+
+
+@pytest.mark.parametrize("text", ["Licensed under CC BY-XX 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 International License.", "A licence to kill is no license to use.", "This work is licensed under the GNU General Public License, version 5."])
+def test_like_wordings_of_other_licenses_are_left_alone(text):
+    assert license_scan.notices(text)[1] == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, len(license_scan._FITTED) - 1), st.integers(0, 30), st.lists(st.integers(0, 12), max_size=3)), min_size=1, max_size=3), st.randoms(use_true_random=False))
+def test_every_template_is_fitted_to_every_stretch(parts, rng):
+    """Against all templates over all words, without looking first for where one may fit."""
+    words = []
+    for k, start, out in parts:
+        own = license_scan._FITTED[k][2][start : start + 25]
+        words += [rng.choice([0, 0, 7, 12]) for _ in range(rng.randint(0, 4))] + [w for i, w in enumerate(own) if i not in out]
+    got = sorted(license_scan.found_in(np.array(words, dtype=np.int32).tobytes()))
+    want = []
+    for k, (_, _, own, named, most) in enumerate(license_scan._FITTED):
+        if len(own) - most <= len(words):
+            want += [(d, k, s, e) for d, s, e in license_scan.fits(words, own, most) if named <= set(words[s:e]) and not {w for w in words[s:e] if w in license_scan._TELL} - named]
+    assert got == sorted(want)
+
+
+def test_the_first_in_rank_is_taken():
+    """Of all fits of a text with several notices: by bytes saved less those of words that differ, never overlapping."""
+    text = "x Released under the MIT License. Licensed under the Apache License, Version 2.0; you may not use this file. Licensed under CC BY-SA 4.0 y"
+    starts, ends, numbers = license_scan.words_of(text)
+    ranked = []
+    for d, k, a, e in license_scan.found_in(numbers.tobytes()):
+        stretch = text[starts[a] : license_scan._STOP.match(text, ends[e - 1]).end()]
+        gain = license_scan.saved(stretch, k)
+        if gain > 0:
+            ranked.append((6 * d - gain, d, license_scan._FITTED[k][0], a, e))
+    taken = []
+    for _, _, name, a, e in sorted(ranked):
+        if all(e <= s or a >= t for s, t, _ in taken):
+            taken.append((a, e, name))
+    assert [x[2] for x in license_scan.notices(text)[1]] == [n for *_, n in sorted(taken)] == ["MIT", "Apache-2.0", "CC-BY-SA-4.0"]
+
+
+def test_licenses_of_a_table_are_those_of_its_texts(odd):
+    rows = license_scan.find_licenses(odd).collect()
+    want = Counter()
+    for (i, t), n in texts_of(odd).items():
+        blocks, found = license_scan.notices(t)
+        want[(i, blocks, len(found), ",".join(sorted({f[2] for f in found})), ",".join(f"{f[2]}:{f[0]}:{f[1]}" for f in found))] += n
+    assert Counter((r.doc_id, r.n_blocks, r.n_found, r.licenses, r.spans) for r in rows) == want
