@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-#: Shares by largest remainders, one period by earliest deadline first (a recursive walk over its slots), then places.
+#: Exact weights, one period by earliest deadline first (a recursive walk over its slots), then places.
 MIXING = """
 WITH RECURSIVE keyed AS (
-  SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS hash FROM documents
+  SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(CAST(doc_id AS VARCHAR), '?' || coalesce(text, ''))) AS hash FROM documents
 ), placed AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY hash, doc_id) - 1 AS at FROM keyed
-), sizes AS (
-  SELECT source, count(*) AS n FROM keyed GROUP BY source
-), weighed AS (
-  SELECT source, n, greatest(1000, 2 * count(*) OVER ()) AS period, count(*) OVER () AS k, sqrt(n) / sum(sqrt(n)) OVER () AS w FROM sizes
-), beyond AS (
-  SELECT *, greatest(w * period - 1, 0) AS beyond FROM weighed
-), exact AS (
-  SELECT *, beyond / sum(beyond) OVER () * (period - k) AS exact FROM beyond
-), whole AS (
-  SELECT *, CAST(floor(exact) AS BIGINT) AS whole FROM exact
-), ranked AS (
-  SELECT *, period - sum(whole + 1) OVER () AS spare, row_number() OVER (ORDER BY exact - whole DESC, source) AS rank FROM whole
 ), shares AS (
-  SELECT source, n, CAST(whole + 1 + CASE WHEN rank <= spare THEN 1 ELSE 0 END AS BIGINT) AS slots,
-         row_number() OVER (ORDER BY source) AS i FROM ranked
+  SELECT source, count(*) AS n, CAST(floor(sqrt(count(*))) AS BIGINT) AS w FROM keyed GROUP BY source
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY w, source) AS i FROM shares
 ), listed AS (
-  SELECT list(slots ORDER BY i) AS slots, count(*) AS k, CAST(sum(slots) AS BIGINT) AS period FROM shares
+  SELECT list(w ORDER BY i) AS w, count(*) AS k, CAST(sum(w) AS BIGINT) AS period FROM numbered
 ), walk(t, had, won) AS (
   SELECT CAST(-1 AS BIGINT), list_transform(range(k), lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM listed WHERE k > 0
   UNION ALL
@@ -32,19 +21,23 @@ WITH RECURSIVE keyed AS (
   FROM (
     SELECT t + 1 AS t, had,
            list_min(list_filter(list_transform(range(1, k + 1), lambda i:
-             CASE WHEN had[i] * period // slots[i] <= t + 1 AND had[i] < slots[i]
-                  THEN ((had[i] + 1) * period + slots[i] - 1) // slots[i] * 1000000 + i END), lambda x: x IS NOT NULL)) % 1000000 AS won
+             CASE WHEN had[i] * period // w[i] <= t + 1
+                  THEN ((had[i] + 1) * period + w[i] - 1) // w[i] * 1000000 + i END), lambda x: x IS NOT NULL)) % 1000000 AS won
     FROM walk, listed WHERE t < period - 1
   )
 ), turns AS (
   SELECT t AS slot, won AS i, had[won] - 1 AS turn FROM walk WHERE won IS NOT NULL
+), ends AS (
+  SELECT *, CAST(ceil(n / 64.0) AS BIGINT) AS blocks FROM numbered
 ), horizon AS (
-  SELECT min(CAST(ceil(greatest(ceil(n / 64.0) - turn, 0) / s.slots) AS BIGINT) * l.period + slot) AS horizon FROM turns JOIN shares s USING (i), listed l
+  SELECT min(blocks // s.w * l.period + t.slot) AS horizon FROM ends s JOIN turns t ON t.i = s.i AND t.turn = blocks % s.w, listed l
 ), final AS (
-  SELECT p.doc_id, p.source, p.at // 64 AS block, (p.at // 64) // s.slots * l.period + t.slot AS slot, CAST(p.at % 64 AS INTEGER) AS place
-  FROM placed p JOIN shares s USING (source) JOIN turns t ON t.i = s.i AND t.turn = (p.at // 64) % s.slots, listed l
+  SELECT p.doc_id, p.source, p.at // 64 AS block, (p.at // 64) // s.w * l.period + t.slot AS early, CAST(p.at % 64 AS INTEGER) AS place,
+         ((p.at // 64 + 1) * l.period + s.w - 1) // s.w AS due, s.i, l.k
+  FROM placed p JOIN numbered s USING (source) JOIN turns t ON t.i = s.i AND t.turn = (p.at // 64) % s.w, listed l
 )
-SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(slot AS BIGINT) AS slot, place, slot < horizon AS in_mix FROM final, horizon
+SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(CASE WHEN early < horizon THEN early ELSE horizon + (due - horizon - 1) * k + i - 1 END AS BIGINT) AS slot,
+       place, early < horizon AS in_mix FROM final, horizon
 """
 
 #: Each five hex digits of a SHA-1 are four base32 letters.

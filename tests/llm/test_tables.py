@@ -103,41 +103,107 @@ def test_a_large_group_of_near_fingerprints(spark):
     assert all((a ^ b).bit_count() <= 3 for a, b in got)
 
 
-def test_mix_against_sql(spark, odd, empty):
+def test_mix_against_sql(odd, empty):
+    documents = odd.select("doc_id", "source", "text").toArrow()
     got = mixing.mix(odd)
-    con = duckdb.connect()
-    con.register("documents", odd.select("doc_id", "source").toPandas().astype({"doc_id": "Int64"}))
     columns = sorted(got.columns)
+    con = duckdb.connect()
+    con.register("documents", documents)
     want = con.sql(f"SELECT {', '.join(columns)} FROM ({oracles.MIXING})").fetchall()
     assert Counter(map(tuple, got.select(columns).collect())) == Counter(want)
-    assert mixing.mix(empty).count() == 0
+    assert mixing.mix(empty).count() == 0 and mixing.mix(empty, {"a": 1}).count() == 0
     mixed = mixing.in_mixed_order(odd)
     assert mixed.columns == odd.columns and Counter(mixed.collect()) == Counter(odd.collect())
 
 
-def test_no_source_is_a_whole_block_off(spark):
+def test_many_sources_against_sql(spark):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('s', cast(sqrt(id * 30) as int)) AS source", "cast(null as string) AS text")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    got = mixing.mix(docs)
+    columns = sorted(got.columns)
+    assert Counter(map(tuple, got.select(columns).collect())) == Counter(con.sql(f"SELECT {', '.join(columns)} FROM ({oracles.MIXING})").fetchall())
+
+
+def plain_schedule(weights, slots):
+    """Earliest deadline first with fractions; ties go to the smaller weight, then to the source that is first."""
+    from fractions import Fraction
+
+    total, had, out = sum(weights.values()), Counter(), []
+    for t in range(slots):
+        due = [(math.ceil(Fraction(had[s] + 1) * total / w), w, s) for s, w in weights.items() if math.floor(Fraction(had[s]) * total / w) <= t]
+        out.append(min(due)[2])
+        had[out[-1]] += 1
+    return out
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"a": 1, "b": 1, "c": 1},
+        {"a": 1 / 3, "b": 1 / 3, "c": 1 / 3},
+        {"a": 0.5, "b": 0.3, "c": 0.2, "gone": 0.4},
+        {"a": math.sqrt(2), "b": math.sqrt(3), "c": math.sqrt(5)},
+        {"a": 1e-6, "b": 1, "c": 1},
+        {"a": 997, "b": 13, "c": 7},
+    ],
+)
+def test_no_source_is_a_whole_block_off_its_exact_weight(spark, weights):
     docs = spark.createDataFrame([(i, "a" if i % 3 else "b" if i % 2 else "c") for i in range(6000)], "doc_id long, source string")
-    weights = {"a": 0.5, "b": 0.3, "c": 0.2, "gone": 0.4}
-    rows = mixing.mix(docs, weights, block=4, period=100).filter("in_mix").select("slot", "source").distinct().orderBy("slot").collect()
-    assert [r.slot for r in rows] == list(range(len(rows))) and len(rows) > 100
+    every = mixing.mix(docs, weights, block=4)
+    rows = every.filter("in_mix").select("slot", "source").distinct().orderBy("slot").collect()
+    assert [r.slot for r in rows] == list(range(len(rows))) and len(rows) > (1 if weights["a"] == 997 else 20)
+    total = sum(w for s, w in weights.items() if s != "gone")
     had = Counter()
     for t, r in enumerate(rows, 1):
         had[r.source] += 1
-        assert all(abs(had[s] - w * t) < 1 for s, w in list(weights.items())[:3])
+        assert all(abs(had[s] - w / total * t) < 1 for s, w in weights.items() if s != "gone")
+    assert every.count() == 6000 and every.groupBy("slot", "place").count().filter("count > 1").count() == 0
+    if max(weights.values()) <= 1000 and all(isinstance(w, int) for w in weights.values()):
+        assert [r.source for r in rows] == plain_schedule(weights, len(rows))
 
 
-def test_few_slots_for_many_sources(spark):
-    sizes = spark.createDataFrame([(f"s{i:03d}", 10_000 if i % 2 else 1) for i in range(100)], "source string, n long")
-    weights = {f"s{i:03d}": 1.0 if i % 2 else 1e-6 for i in range(100)}
-    for stated, period in ((weights, 200), (weights, 10), (None, 200), ({}, 150)):
-        slots = {r.source: r.slots for r in mixing.slots_of(sizes, stated, period).collect()}
-        assert len(slots) == 100 and min(slots.values()) >= 1 and sum(slots.values()) == max(period, 200)
-        assert stated == {} or min(slots[s] for s in slots if int(s[1:]) % 2) >= 2
-    docs = spark.range(520).selectExpr("id AS doc_id", "concat('s', id) AS source")
-    got = mixing.mix(docs)
-    documents = docs.toArrow()  # noqa: F841 - the table that the SQL names
-    columns = sorted(got.columns)
-    assert Counter(map(tuple, got.select(columns).collect())) == Counter(duckdb.sql(f"SELECT {', '.join(columns)} FROM ({oracles.MIXING})").fetchall())
+def test_weights_are_read_exactly():
+    assert mixing.exact({"a": 1 / 3, "b": 0.05, "c": 2}) == {"a": 20, "b": 3, "c": 120}
+    assert mixing.exact({"a": 5000, "b": 3000, "c": 0}) == {"a": 5, "b": 3, "c": 0}
+    irrational = mixing.exact({"a": math.sqrt(2), "b": math.pi, "c": math.e})
+    assert abs(irrational["a"] / irrational["b"] - math.sqrt(2) / math.pi) < 1e-9
+    with pytest.raises(ValueError):
+        mixing.exact({"a": -1})
+
+
+def test_sources_without_a_weight_come_after_the_mix(spark):
+    docs = spark.createDataFrame([(i, "abcd"[i % 4]) for i in range(400)], "doc_id long, source string")
+    rows = mixing.mix(docs, {"a": 2, "b": 1, "c": 0}, block=10).collect()
+    last = max(r.slot for r in rows if r.source in "ab")
+    assert sorted({(r.source, r.slot - last) for r in rows if r.source in "cd"}) == [("c", k) for k in range(1, 11)] + [("d", k) for k in range(11, 21)]
+    assert not any(r.in_mix for r in rows if r.source in "cd") and any(r.in_mix for r in rows)
+
+
+def test_thousands_of_sources_take_seconds(spark):
+    import time
+
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('s', id) AS source")
+    began = time.time()
+    rows = mixing.mix(docs).select("slot", "source").collect()
+    assert len({r.slot for r in rows}) == 3000 and [r.source for r in sorted(rows)] == sorted(r.source for r in rows)
+    assert time.time() - began < 20
+
+
+def test_rows_without_an_id_spread_over_ranges(spark):
+    docs = spark.range(4000).selectExpr("cast(null as long) AS doc_id", "'one' AS source", "concat('text ', id) AS text")
+    _, ranges = mixing.counted(docs, False)
+    assert ranges.count() > 1500
+    assert sorted((r.block, r.place) for r in mixing.mix(docs).collect()) == [(k // 64, k % 64) for k in range(4000)]
+
+
+def test_a_schedule_too_long_for_one_task_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LONGEST", 50)
+    docs = spark.range(12800).selectExpr("id AS doc_id", "concat('s', id % 2) AS source")
+    with pytest.raises(ValueError, match="slots"):
+        mixing.mix(docs, {"s0": 997, "s1": 991})
+    monkeypatch.setattr(mixing, "BROADCAST", 1)  # the way without a broadcast
+    assert mixing.mix(docs, {"s0": 2, "s1": 1}).select("slot", "place").distinct().count() == 12800
 
 
 def vectors(spark):
