@@ -1,11 +1,12 @@
 """Secret scans: fixed patterns, and tokens that a battery of randomness tests tells from ordinary text.
 
-For each long token the encoding is inferred as the smallest usual alphabet that holds it. Three tests look
-at its symbols: a chi-squared statistic against uniform use of the alphabet, the number of runs of one
-class of characters, and the correlation of neighbours. The first two give the chance that ordinary text,
-with prose's letters and identifiers' changes of class, would look as random; Fisher's method combines
-them. A token whose neighbours correlate as random ones wouldn't (counting up, keyboard rows) is left out.
-Chances are then held against a false-discovery rate within the document, longer tokens weighing more.
+For each long token the encoding is inferred as the smallest usual alphabet that holds it. Three tests look at
+its symbols, twice each. As tests of randomness, a chi-squared statistic against uniform use of the alphabet, the
+number of runs of one class of characters and the correlation of neighbours leave out tokens that random ones
+would hardly look like (words, counting up, keyboard rows). As evidence against ordinary text, the same three (letters
+used as in prose or evenly, changes between words and numbers, vowels beside consonants) give a likelihood ratio;
+ordinary tokens exceed one of x with a chance of at most 1 / x. That chance is held to a rate of false
+discoveries for each token, which grows with its length and doesn't depend on the text around it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +28,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")  # '=' pads the end; before a value it parts name and value
-#: How a token that fits no alphabet is cut: into parts of base64url, of base64, and of letters and digits alone.
-WAYS = tuple(re.compile(x) for x in (r"[^+/]{16,}", r"[^_-]{16,}", r"[^+/_-]{16,}"))
+#: How a token is cut into parts, beside taking it whole: at the signs of base64, of base64url, and of both.
+CUTS = tuple(re.compile(x) for x in (r"[^+/]+", r"[^_-]+", r"[^+/_-]+"))
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 KINDS = ("assign", "access", "hex", "random")
 
@@ -40,83 +42,119 @@ ALPHABETS = (
     ("base62", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("base64 of both kinds", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 )
 PROSE = dict(zip("abcdefghijklmnopqrstuvwxyz", (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1), strict=True))
-#: How often ordinary tokens change between upper case, lower case and digits, and the rate of false discoveries.
-CHANGES, FALSE_RATE, ORDERED = 0.12, 1e-4, 1e-3
+#: How often ordinary tokens change from one word or number to the next, and how many times as often as by chance a
+#: vowel (True) or consonant (False) follows another in words.
+CHANGES, FOLLOWS = 0.06, {(True, True): 0.3, (True, False): 1.45, (False, True): 1.5, (False, False): 0.68}
+#: Ordinary tokens of AT_LENGTH symbols that are taken for secrets, at most; a test of randomness must be passed at this level.
+FALSE_RATE, AT_LENGTH, LEVEL = 1e-3, 32, 1e-3
+LEAST = 16
 
 
-def _expected(alphabet: str) -> tuple[float, float, float, float]:
-    """Under prose, the chi-squared statistic over n symbols has mean a + b n and variance c + d n."""
-    share = np.array([PROSE.get(ch.lower(), 4) * (1.0 if ch.islower() or not any(x.islower() for x in alphabet) else 0.1) for ch in alphabet])
-    f, k = share / share.sum(), len(alphabet)
-    off = f - 1 / k
-    return k * (f * (1 - f)).sum(), k * (off**2).sum(), 2 * k * k * (f**2).sum() ** 2, 4 * k * k * ((f * off**2).sum() - (f * off).sum() ** 2)
+def _kind(symbol: str) -> int:
+    return 0 if symbol.isdigit() else 1 if symbol.islower() else 2 if symbol.isupper() else 3
 
 
-_VALUES = [(name, {ch: i for i, ch in enumerate(letters)}, len(letters), _expected(letters)) for name, letters in ALPHABETS]
-_CLASS = {ch: 0 if ch.isdigit() else 1 if ch.islower() else 2 for _, letters in ALPHABETS for ch in letters if ch.isalnum()}
+def _facts(letters: str) -> tuple[dict[str, int], dict[str, float], float, float]:
+    """Each symbol's place, the evidence of each letter, and the share of digits and the rate of changes in random tokens."""
+    share = Counter(ch.lower() for ch in letters if ch.isalpha())
+    prose = sum(PROSE[ch] for ch in share)
+    evidence = {ch: math.log(n / share.total() / (PROSE[ch] / prose)) for ch, n in share.items()}
+    kinds = Counter(map(_kind, letters))
+    known = sum(kinds[k] for k in (0, 1, 2))
+    same = sum((kinds[k] / known) ** 2 for k in (0, 1, 2)) + kinds[2] * kinds[1] / known**2
+    return {ch: i for i, ch in enumerate(letters)}, evidence, kinds[0] / known, 1 - same
 
 
-def encoding_of(token: str) -> tuple[str, dict[str, int], int, tuple] | None:
+_VALUES = [(name, *_facts(letters)) for name, letters in ALPHABETS]
+_KIND = {ch: _kind(ch) for ch in ALPHABETS[-1][1]}
+_FOLDED = {ch: i for i, ch in enumerate("abcdefghijklmnopqrstuvwxyz0123456789+/-_")}
+_VOWELS = frozenset("aeiouAEIOU")
+
+
+def encoding_of(token: str) -> tuple[str, dict[str, int], dict[str, float], float, float] | None:
     """The smallest alphabet that holds the token without its padding."""
     symbols = set(token)
     return next((x for x in _VALUES if symbols <= x[1].keys()), None)
 
 
-def _below(z: float) -> float:
-    return 0.5 * math.erfc(-z / math.sqrt(2))
+def _above(z: float) -> float:
+    return 0.5 * math.erfc(z / math.sqrt(2))
+
+
+def _log_binomial(k: int, n: int, p: float) -> float:
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log(1 - p)
+
+
+def _correlated(values: list[int]) -> bool:
+    """Whether neighbours go together as those of a random token wouldn't."""
+    at = np.array(values, dtype=np.float64)
+    centred = at - at.mean()
+    spread = float((centred**2).sum())
+    return not spread or math.erfc(abs(float((centred[1:] * centred[:-1]).sum()) / spread) * math.sqrt(len(at) / 2)) < LEVEL
+
+
+def looks_random(token: str, values: dict[str, int], changed: float, changes: int, pairs: int) -> bool:
+    """The battery against a random token: alphabet use, runs and neighbours, each at LEVEL."""
+    n, k = len(token), len(values)
+    at = [values[ch] for ch in token]
+    uniform = float(((np.bincount(at, minlength=k) - n / k) ** 2).sum() * k / n)
+    spread = 2 / (9 * (k - 1))  # the cube root of a chi-squared variable is nearly normal
+    if _above(((uniform / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)) < LEVEL:
+        return False
+    if pairs and _above((pairs * changed - changes) / math.sqrt(pairs * changed * (1 - changed))) < LEVEL:  # too few runs
+        return False
+    return not _correlated(at) and not _correlated([_FOLDED[ch.lower()] for ch in token])
 
 
 def chance(token: str) -> float:
-    """The chance that an ordinary token looks as random as this one; 1 if it isn't random in order."""
+    """The chance, at most, that an ordinary token looks as random as this one; 1 if it fails a test of randomness."""
     token = token.rstrip("=")
     found = encoding_of(token)
-    n = len(token)
-    if found is None or n < 16:
-        return 1.0
-    _, values, k, (a, b, c, d) = found
-    at = np.fromiter(map(values.__getitem__, token), dtype=np.float64, count=n)
-    counts = np.bincount(at.astype(np.int64), minlength=k)
-    uniform = float(((counts - n / k) ** 2).sum() * k / n)
-    p_uniform = _below((uniform - a - b * n) / math.sqrt(c + d * n))
-    classes = [x for x in map(_CLASS.get, token) if x is not None]
-    changes, pairs = sum(x != y for x, y in zip(classes, classes[1:])), len(classes) - 1
-    if pairs < 1:
+    if found is None or len(token) < LEAST:
         return 1.0
-    z = (changes - 0.5 - pairs * CHANGES) / math.sqrt(pairs * CHANGES * (1 - CHANGES))
-    p_runs = _below(-z) if pairs > 400 else sum(math.comb(pairs, i) * CHANGES**i * (1 - CHANGES) ** (pairs - i) for i in range(changes, pairs + 1))
-    centred = at - at.mean()
-    spread = float((centred**2).sum())
-    if not spread or math.erfc(abs(float((centred[1:] * centred[:-1]).sum()) / spread) * math.sqrt(n / 2)) < ORDERED:
+    _, values, letters, share, changed = found
+    kinds = [_KIND[ch] for ch in token]
+    changes = pairs = 0
+    for x, y in zip(kinds, kinds[1:]):
+        if x < 3 and y < 3:  # a capital goes with the small letters of its word
+            pairs += 1
+            changes += x != y and (x, y) != (2, 1)
+    if not any(k in (1, 2) for k in kinds) or not looks_random(token, values, changed, changes, pairs):
         return 1.0
-    log = math.log(max(p_uniform, 1e-300)) + math.log(max(min(p_runs, 1.0), 1e-300))
-    return math.exp(log) * (1 - log)
+    # ordinary tokens have no digits or else any number of them alike; random ones have their alphabet's share
+    digits, known = kinds.count(0), len(kinds) - kinds.count(3)
+    evidence = _log_binomial(digits, known, share) - math.log(0.5 if not digits else 0.5 / known)
+    evidence += sum(letters[ch.lower()] for ch, k in zip(token, kinds) if k in (1, 2))
+    evidence += changes * math.log(changed / CHANGES) + (pairs - changes) * math.log((1 - changed) / (1 - CHANGES))
+    for x, y in zip(token, token[1:]):
+        if x.isalpha() and y.isalpha():
+            evidence -= math.log(FOLLOWS[x in _VOWELS, y in _VOWELS])
+    return math.exp(-max(evidence, 0.0))
 
 
-def tested_parts(text: str, start: int, end: int) -> list[tuple[int, int, float]]:
-    """(start, end, chance) of a token, or of its parts if no alphabet holds all of it.
+def allowed(length: int) -> float:
+    """The rate of false discoveries for a token of so many symbols."""
+    return FALSE_RATE * length / AT_LENGTH
 
-    Of parts that overlap the one of least chance is taken; chances are raised by the number of ways to cut.
-    """
-    if encoding_of(text[start:end].rstrip("=")):
-        return [(start, end, chance(text[start:end]))]
-    parts = {(m.start(), m.end()) for way in WAYS for m in way.finditer(text, start, end)}
-    taken: list[tuple[int, int, float]] = []
-    for p, s, e in sorted((min(1.0, len(WAYS) * chance(text[s:e])), s, e) for s, e in parts):
-        if all(e <= other or s >= until for other, until, _ in taken):
-            taken.append((s, e, p))
-    return taken
 
+def discoveries(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Where a token holds what is taken for random: the whole of it, or parts.
 
-def discoveries(tokens: list[tuple[int, int, float]]) -> list[tuple[int, int]]:
-    """Of (start, end, chance) those that the weighted step-up procedure lets through; weights follow length."""
-    if not tokens:
+    Of parts that overlap the one of least chance for its length is taken; chances are raised by the number of ways to cut.
+    """
+    if end - start < LEAST:
         return []
-    mean = sum(end - start for start, end, _ in tokens) / len(tokens)
-    ranked = sorted((p * mean / (end - start), start, end) for start, end, p in tokens)
-    last = max((i for i, (p, _, _) in enumerate(ranked, 1) if p <= FALSE_RATE * i / len(ranked)), default=0)
-    return [(start, end) for _, start, end in ranked[:last]]
+    parts = {(start, end)} | {(m.start(), m.end()) for way in CUTS for m in way.finditer(text, start, end) if m.end() - m.start() >= LEAST}
+    ways = 1 if len(parts) == 1 else len(CUTS) + 1
+    found = sorted((ways * chance(text[s:e]) / allowed(e - s), s, e) for s, e in parts)
+    taken: list[tuple[int, int]] = []
+    for ratio, s, e in found:
+        if ratio <= 1 and all(e <= other or s >= until for other, until in taken):
+            taken.append((s, e))
+    return taken
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -143,8 +181,8 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             reach = max(reach, base[at][2])
             at += 1
         if reach <= start:
-            tested += tested_parts(text, start, end)
-    return base, sorted(base + [(start, 3, end) for start, end in discoveries(tested)])
+            tested += discoveries(text, start, end)
+    return base, sorted(base + [(start, 3, end) for start, end in tested])
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -193,7 +231,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in smaller_batches(whole, "text", 8 << 20)):
             texts, columns = batch.column(at).to_pylist(), list(batch.columns)
             found = [scan(text)[1] if text else [] for text in texts]
             if any(found):

@@ -107,6 +107,113 @@ def test_false_discoveries_are_held_to_their_rate():
     assert sum(bool(secret_scan.scan(f"a {s} b")[1]) for s in secrets) >= 195
 
 
+@pytest.mark.parametrize("name, letters", secret_scan.ALPHABETS)
+def test_recall_of_random_tokens_by_encoding_and_length(name, letters):
+    rng = random.Random(name)
+    for n, least in ((16, 0.7), (20, 0.85), (24, 0.88), (32, 0.94), (64, 0.96)):
+        tokens = ["".join(rng.choices(letters, k=n)) for _ in range(250)]
+        found = sum(any(min(e, 8 + n) - max(s, 8) >= 0.8 * n for s, _, e in secret_scan.scan(f"we keep {t} here")[1]) for t in tokens)
+        assert found >= least * len(tokens), (n, found)
+
+
+IDENTIFIERS = "getUserAccountBalanceById2024 AbCdEfGhIjKlMnOpQrStUvWxYz XMLHttpRequestFactoryBean 20240115T103045Z order20240115number12345 user_12345678901234567890 INV-2024-000123-A qwertyuiopasdfghjklzxcvbnm przedsiebiorstwami Rindfleischetikettierungsueberwachungsaufgabe A1B2C3D4E5F6G7H8 1234567890abcdef MAX_BUFFER_SIZE_IN_BYTES_V2 https/www/example/com/index/html/2024/05/17 iPhone15ProMax256GB model_checkpoint_epoch_12_step_3400 img_20230412_153022_HDR test_case_017_should_return_404 x86_64-unknown-linux-gnu org/apache/spark/sql/catalyst/expressions 4713403953524564"
+
+
+@pytest.mark.parametrize("token", IDENTIFIERS.split())
+def test_identifiers_are_left_alone(token):
+    assert secret_scan.scan(f"we keep {token} here")[1] == []
+
+
+def test_a_verdict_does_not_depend_on_the_text_around():
+    rng = random.Random(11)
+    long_words = [w for w in IDENTIFIERS.split() for _ in range(10)]
+    for token in ["".join(rng.choices(secret_scan.ALPHABETS[4][1], k=24)) for _ in range(50)]:
+        alone = [text[s:e] for text in [f"a {token} b"] for s, _, e in secret_scan.scan(text)[1]]
+        within = " ".join(long_words[:100] + [token] + long_words[100:])
+        assert alone == [within[s:e] for s, _, e in secret_scan.scan(within)[1]]
+
+
+def plain_random(text):
+    """Random spans again, from the docstring: all cuts of each long token, each tested with sums over symbols."""
+    from itertools import groupby
+    from statistics import NormalDist
+
+    normal, log = NormalDist(), np.log
+    alphabets = [a for _, a in secret_scan.ALPHABETS]
+    kind = lambda ch: "d" if ch in "0123456789" else "l" if ch.islower() else "u" if ch.isupper() else "x"
+
+    def level(values):
+        x = np.array(values, dtype=float) - np.mean(values)
+        return 0.0 if not (x * x).sum() else 2 * (1 - normal.cdf(abs((x[1:] * x[:-1]).sum() / (x * x).sum()) * np.sqrt(len(x))))
+
+    def evidence(token):
+        letters = next(a for a in alphabets if set(token) <= set(a))
+        size, n, kinds = len(letters), len(token), list(map(kind, token))
+        if not set(kinds) & {"l", "u"}:
+            return 0.0
+        known = [kind(ch) for ch in letters if kind(ch) != "x"]
+        share = {k: known.count(k) / len(known) for k in "dlu"}
+        changed = 1 - sum(v * v for v in share.values()) - share["u"] * share["l"]
+        pairs = [(a, b) for a, b in zip(kinds, kinds[1:]) if "x" not in (a, b)]
+        changes = sum(a != b and (a, b) != ("u", "l") for a, b in pairs)
+        counts = Counter(token)
+        chi = sum((counts[ch] - n / size) ** 2 for ch in letters) * size / n
+        small = 2 / (9 * (size - 1))
+        folded = "abcdefghijklmnopqrstuvwxyz0123456789+/-_"
+        levels = [1 - normal.cdf(((chi / (size - 1)) ** (1 / 3) - 1 + small) / np.sqrt(small)), level([letters.index(ch) for ch in token]), level([folded.index(ch.lower()) for ch in token])]
+        if pairs:
+            levels.append(normal.cdf((changes - len(pairs) * changed) / np.sqrt(len(pairs) * changed * (1 - changed))))
+        if min(levels) < 1e-3:
+            return 0.0
+        digits, total = kinds.count("d"), n - kinds.count("x")
+        ways = 1
+        for i in range(digits):
+            ways = ways * (total - i) // (i + 1)
+        out = float(log(ways) + digits * log(share["d"]) + (total - digits) * log(1 - share["d"]) - log(0.5 if digits == 0 else 0.5 / total))
+        used = Counter(ch.lower() for ch in letters if ch.isalpha())
+        prose = sum(secret_scan.PROSE[ch] for ch in used)
+        out += sum(log(used[ch.lower()] / used.total() * prose / secret_scan.PROSE[ch.lower()]) for ch in token if ch.isalpha())
+        out += changes * log(changed / 0.06) + (len(pairs) - changes) * log((1 - changed) / 0.94)
+        follows = {"vv": 0.3, "vc": 1.45, "cv": 1.5, "cc": 0.68}
+        for word, own in groupby(token, str.isalpha):
+            sounds = ["v" if ch.lower() in "aeiou" else "c" for ch in own] if word else []
+            out -= sum(log(follows[a + b]) for a, b in zip(sounds, sounds[1:]))
+        return max(0.0, out)
+
+    found = []
+    base = plain_spans(text)
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?", text):
+        if any(s < m.end() and e > m.start() for s, _, e in base):
+            continue
+        parts = {(m.start(), m.end())} | {(m.start() + p.start(), m.start() + p.end()) for cut in ("[^+/]+", "[^_-]+", "[^+/_-]+") for p in re.finditer(cut, m[0]) if len(p[0]) >= 16}
+        ranked = sorted(((1 if len(parts) == 1 else 4) * np.exp(-evidence(text[s:e].rstrip("="))) / (1e-3 * (e - s) / 32) if len(text[s:e].rstrip("=")) >= 16 else 1e9, s, e) for s, e in parts)
+        taken = []
+        for ratio, s, e in ranked:
+            if ratio <= 1 and not any(s < b and e > a for a, b in taken):
+                taken.append((s, e))
+        found += [(s, 3, e) for s, e in taken]
+    return sorted(found)
+
+
+def test_random_spans_are_those_of_a_plain_battery(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(300):
+        words = []
+        for _ in range(12):
+            letters = rng.choice(secret_scan.ALPHABETS)[1]
+            token = "".join(rng.choices(letters, k=rng.choice([12, 16, 18, 24, 40])))
+            words.append(rng.choice([token, token, rng.choice(IDENTIFIERS.split()), f"name={token}", f"/some/path/{token}/x", f"my-{token}_b", token + "==", "secret: " + token]))
+        rows.append((k, " ".join(words)))
+    got = {r.doc_id: r.spans for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = 0
+    for k, text in rows:
+        own = plain_random(text)
+        n += len(own)
+        assert got[k] == secret_scan.written(sorted(plain_spans(text) + own)), text
+    assert n > 1000
+
+
 def test_secrets_of_a_table(odd, empty):
     rows = secret_scan.find_secrets(odd).collect()
     want = Counter()
