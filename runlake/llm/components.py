@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,10 +59,10 @@ def connected_components(links: DataFrame, left: str = "a", right: str = "b") ->
 
 
 def in_units(rows: DataFrame, keys: list[str], spread: str, most: int) -> DataFrame:
-    """Cut each group of two or more rows into chunks, and pair the chunks: adds ``unit`` and ``side``.
+    """Cut each group of two or more rows into chunks, and pair the chunks: adds ``low``, ``high`` and ``side``.
 
-    Every two rows of a group meet in at least one unit: those of different chunks in that of both chunks
-    (``side`` 0 and 1), those of one chunk in its own (``side`` 0 only). A unit holds two chunks of about
+    Every two rows of a group meet in at least one unit (keys, low, high): those of different chunks in that of both
+    chunks (``side`` 0 and 1), those of one chunk in its own (``side`` 0 only). A unit holds two chunks of about
     ``most`` rows, whatever the group's size. ``spread`` is a column of well mixed 64-bit values.
     """
     sizes = rows.groupBy(*keys).count().filter("count > 1").select(*keys, F.ceil(F.col("count") / most).cast("int").alias("__chunks"))
@@ -69,7 +72,29 @@ def in_units(rows: DataFrame, keys: list[str], spread: str, most: int) -> DataFr
         rows.join(sizes, keys)
         .withColumn("__own", chunk)
         .withColumn("__other", other)
-        .withColumn("unit", F.xxhash64(*keys, F.least("__own", "__other"), F.greatest("__own", "__other")))
+        .withColumn("low", F.least("__own", "__other"))
+        .withColumn("high", F.greatest("__own", "__other"))
         .withColumn("side", (F.col("__own") > F.col("__other")).cast("int"))
         .drop("__chunks", "__own", "__other")
     )
+
+
+def whole_units(batches: Iterator[pa.RecordBatch], unit: list[str], others: list[str]) -> Iterator[tuple[dict[str, np.ndarray], list[int]]]:
+    """Of rows sorted by the columns ``unit``: the columns of some whole units, and where each starts.
+
+    The last unit of a batch waits for the next batch. A unit is bounded, so this is too.
+    """
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        now = {c: batch[c].to_numpy(zero_copy_only=False) for c in (*unit, *others)}
+        if held:
+            now = {c: np.concatenate([held[c], v]) for c, v in now.items()}
+        if not batch.num_rows:
+            continue
+        change = np.logical_or.reduce([now[c][1:] != now[c][:-1] for c in unit])
+        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        if len(starts) > 1:
+            yield {c: v[: starts[-1]] for c, v in now.items()}, starts[:-1]
+        held = {c: v[starts[-1] :] for c, v in now.items()}
+    if held:
+        yield held, [0]

@@ -19,14 +19,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spooled, text_or_empty
-from .components import connected_components, forest, in_units
+from .common import smaller_batches, spooled, text_or_empty
+from .components import connected_components, forest, in_units, whole_units
 
 BITS = 64
 #: Rows of one chunk of a group; a unit compares two chunks.
 CHUNK = 256
 #: What a signature row costs to deal out, counted in comparisons of two fingerprints.
 ROW_COST = 200.0
+UNIT = ["probe", "key", "low", "high"]
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -50,7 +51,7 @@ def fingerprints(docs: DataFrame, width: int = 3, carry: str | None = None) -> D
     more = [] if carry is None else [carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in smaller_batches(whole, "text", 8 << 20)):
             prints = np.fromiter((fingerprint(t.as_py(), width) for t in batch["text"]), dtype=np.uint64, count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), *(batch[c] for c in more)], names=["doc_id", "fp", *more])
 
@@ -160,10 +161,9 @@ def _links(radius: int):
         return left[a[kept]], right[b[kept]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for unit, prints, side in _chunks_by_unit(batches, held):
-            starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-            sizes = np.diff(np.r_[starts, len(unit)])
+        for rows, starts in whole_units(batches, UNIT, ["fp", "side"]):
+            prints, side, starts = rows["fp"].view(np.uint64), rows["side"], np.array(starts)
+            sizes = np.diff(np.r_[starts, len(prints)])
             out = [(prints[starts[sizes == 2]], prints[starts[sizes == 2] + 1])]
             out[0] = tuple(x[np.bitwise_count(out[0][0] ^ out[0][1]) <= radius] for x in out[0])
             out += [of_unit(prints[s : s + n], side[s : s + n]) for s, n in zip(starts.tolist(), sizes.tolist()) if n > 2]
@@ -174,20 +174,6 @@ def _links(radius: int):
     return run
 
 
-def _chunks_by_unit(batches: Iterator[pa.RecordBatch], held: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Whole units only: the last unit of a batch waits for the next batch. A unit is bounded, so this is too."""
-    for batch in batches:
-        now = [batch[c].to_numpy(zero_copy_only=False) for c in ("unit", "fp", "side")]
-        if held:
-            now = [np.concatenate(x) for x in zip(held, now)]
-        cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-        held[:] = [x[cut:] for x in now]
-        if cut:
-            yield now[0][:cut], now[1][:cut].view(np.uint64), now[2][:cut]
-    if held and len(held[0]):
-        yield held[0], held[1].view(np.uint64), held[2]
-
-
 def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, carry: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, kept.
 
@@ -204,8 +190,8 @@ def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, carry: str
     n, both = agreement(classes)
     parts = plan(n, both, radius)
     signed = classes.select("fp", F.explode(_signatures(parts)).alias("s")).select("fp", "s.probe", "s.key", F.xxhash64("fp").alias("spread"))
-    units = in_units(signed, ["probe", "key"], "spread", CHUNK).select("unit", "fp", "side")
-    links = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_links(radius), "a long, b long")
+    units = in_units(signed, ["probe", "key"], "spread", CHUNK).select(*UNIT, "fp", "side")
+    links = units.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(_links(radius), "a long, b long")
     reached = connected_components(links)
     named = classes.join(reached, classes["fp"] == reached["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
