@@ -48,7 +48,7 @@ def test_units_hold_every_pair(spark):
     got = components.in_units(rows, ["k"], "h", 8).collect()
     units = defaultdict(list)
     for r in got:
-        units[r.unit].append((r.k, r.i))
+        units[r.k, r.low, r.high].append((r.k, r.i))
     pairs = {(k, a, b) for own in units.values() for k, a in own for _, b in own if a < b}
     assert pairs == {(k, a, b) for k, n in ((2, 5), (3, 60)) for a in range(n) for b in range(a + 1, n)}
     assert max(map(len, units.values())) < 40
@@ -94,8 +94,8 @@ def test_a_large_group_of_near_fingerprints(spark):
     prints = sorted({0x0123456789ABCDEF ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(1500)})
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in prints], "fp long")
     signed = df.select("fp", F.explode(simhash._signatures([(list(range(16 * k, 16 * k + 16)), 0) for k in range(4)])).alias("s")).select("fp", "s.probe", "s.key", F.xxhash64("fp").alias("spread"))
-    units = components.in_units(signed, ["probe", "key"], "spread", 64).select("unit", "fp", "side")
-    links = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(simhash._links(3), "a long, b long")
+    units = components.in_units(signed, ["probe", "key"], "spread", 64).select(*simhash.UNIT, "fp", "side")
+    links = units.repartition(*simhash.UNIT).sortWithinPartitions(*simhash.UNIT).mapInArrow(simhash._links(3), "a long, b long")
     got = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links.distinct().collect()]
     at = {f: i for i, f in enumerate(prints)}
     want = roots(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3])
@@ -229,9 +229,16 @@ def test_embeddings(spark, monkeypatch):
         if vec is not None:
             least[root[i]] = min(least.get(root[i], vec), vec)
     want = Counter((vec, count[i], least.get(root[i]) if fine[i] else vec) for i, (vec, _) in enumerate(rows))
-    for chunk, cell_rows in ((16384, 65536), (16, 8)):  # small units and a finer grid come to the same
+    # small units, finer grids, other blocks and hashes that clash come to the same
+    for chunk, axes, blocks, together in ((16384, (0, 1, 2, 3), (4, 8, 16), 256), (16, (0,), (4,), 5), (16, (3,), (4,), 16), (7, (2,), (8,), 16), (1000, (1,), (16,), 4)):
         monkeypatch.setattr(embedding_dedup, "CHUNK", chunk)
-        monkeypatch.setattr(embedding_dedup, "CELL_ROWS", cell_rows)
+        monkeypatch.setattr(embedding_dedup, "GRID_AXES", axes)
+        monkeypatch.setattr(embedding_dedup, "CELL", ["block", "dims", *(f"c{j}" for j in range(max(axes)))])
+        monkeypatch.setattr(embedding_dedup, "UNIT", [*embedding_dedup.CELL, "low", "high"])
+        monkeypatch.setattr(embedding_dedup, "BLOCKS", blocks)
+        monkeypatch.setattr(embedding_dedup, "TOGETHER", together)
+        if chunk == 7:
+            monkeypatch.setattr(embedding_dedup, "_vector_hash", lambda: F.when(F.col("embedding").isNotNull(), F.pmod(F.xxhash64("embedding"), F.lit(2))))
         got = embedding_dedup.near_duplicates(df).collect()
         assert Counter((r.vec_id, r.n_links, r.component_id) for r in got) == want
         assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
