@@ -302,6 +302,11 @@ def test_shards(spark, odd, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_the_same_table_gives_the_same_shards(spark, odd):
+    first, second = (Counter((r.doc_id, r.text_sha256, r.shard) for r in sharding.shard_documents(odd.repartition(6, "doc_id"), target=200_000).collect()) for _ in range(2))
+    assert first == second and len({s for _, _, s in first}) > 1
+
+
 def test_compaction_and_versions(spark, tmp_path):
     store = sharding.Shards(spark, f"file://{tmp_path}", target=1 << 20)
     assert store.version() == 0 and store.read() is None
@@ -317,7 +322,48 @@ def test_compaction_and_versions(spark, tmp_path):
     assert store.vacuum(keep=version - 4) == 0 and store.shards(5) == before
     assert store.vacuum() == 10 and store.vacuum() == 0
     assert len(list(tmp_path.glob("data/*/*.parquet"))) == len(store.shards()) and len(list(tmp_path.glob("manifest/[0-9]*.json"))) == 1
+    assert len(list(tmp_path.glob("segments/*.jsonl"))) == len(store.segments(version))
     assert sorted(r.id for r in store.read().collect()) == list(range(500))
-    with pytest.raises(Exception):  # another writer has this version already
-        store._commit(version - 1, [])
-    assert store.version() == version
+
+
+def test_a_second_writer_tries_again(spark, tmp_path, monkeypatch):
+    first, second = (sharding.Shards(spark, f"file://{tmp_path}") for _ in range(2))
+    first.append(spark.range(0, 10, 1, 1))
+    with pytest.raises(sharding.Conflict):
+        first._publish(0, [])
+    with monkeypatch.context() as m:
+        m.setattr(sharding, "RENAMING", ())  # as on an object store
+        with pytest.raises(sharding.Conflict):
+            first._publish(0, [])
+    stale = iter([1, 1])  # what it sees before the other one's append
+    first.append(spark.range(10, 20, 1, 1))
+    monkeypatch.setattr(second, "version", lambda: next(stale, None) or sharding.Shards.version(second))
+    assert second.append(spark.range(20, 30, 1, 1)) == 3
+    assert sorted(r.id for r in first.read().collect()) == list(range(30))
+    own = first.shards()
+    merged = first._written(first.read().drop("shard").coalesce(1))
+    assert first._change(own[:2], merged) == 4
+    assert first._change(own, merged) is None and first.version() == 4  # one of them has gone by now
+
+
+def test_tiers(spark, tmp_path, monkeypatch):
+    """Merges by plain lists of sizes; segments are cut small, so shards of a tier stand in many."""
+    monkeypatch.setattr(sharding, "SEGMENT_SHARDS", 3)
+    store, rng = sharding.Shards(spark, f"file://{tmp_path}", target=10_000), random.Random(5)
+    sizes: list[int] = []
+    for k in range(30):
+        sizes.append(rng.choice([10, 60, 300, 900, 3000, 4900, 5001, 9000]))
+        store._change([], [{"path": f"/{k:04d}", "bytes": sizes[-1]}])
+        plain: dict[int, list[str]] = defaultdict(list)
+        for path, n in sorted((s["path"], s["bytes"]) for s in store.shards()):
+            if n <= 5000:
+                plain[next(t for t in range(20) if n < 4 ** (t + 1))].append(path)
+        want = next((own for _, own in sorted(plain.items()) if len(own) >= 4), [])
+        due = store.due(store.segments(store.version()))
+        assert [s["path"] for s in due] == want
+        if due:
+            new = {"path": f"/{k:04d}m", "bytes": sum(s["bytes"] for s in due)}
+            sizes = [n for n in sizes]
+            store._change(due, [new])
+            assert {s["path"] for s in store.shards()}.isdisjoint(s["path"] for s in due)
+    assert sum(s["bytes"] for s in store.shards()) == sum(sizes) and all(s["n"] <= 3 for s in store.segments(store.version()))
