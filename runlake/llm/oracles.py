@@ -43,9 +43,10 @@ SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(CASE WHEN early < ho
 #: Each five hex digits of a SHA-1 are four base32 letters.
 WARC = """
 WITH payloads AS (
-  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+  SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
 ), firsts AS (
-  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM payloads
+  SELECT *, min(page_id) OVER own AS first, row_number() OVER (own ORDER BY page_id NULLS LAST, url NULLS FIRST) = 1 AS answers
+  FROM payloads WINDOW own AS (PARTITION BY hex)
 ), numbers AS (
   SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(hex, CAST(i * 5 + 1 AS INTEGER), 5) AS BIGINT)) AS fives FROM firsts
 )
@@ -53,8 +54,8 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
        array_to_string(list_transform(fives, lambda v:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 15) & 31 AS INTEGER) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 10) & 31 AS INTEGER) + 1, 1) ||
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 5) & 31 AS INTEGER) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
-       CASE WHEN first IS NOT NULL AND (page_id IS NULL OR page_id > first) THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN first IS NOT NULL AND (page_id IS NULL OR page_id > first) THEN first END AS refers_to
+       CASE WHEN first IS NOT NULL AND NOT answers THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND NOT answers THEN first END AS refers_to
 FROM numbers
 """
 

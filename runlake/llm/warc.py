@@ -72,12 +72,18 @@ def _one_line(value: str) -> str:
     return " ".join(value.split())
 
 
+def name_of(page_id: int | str | None, digest: str, mark: str = "") -> str:
+    """A record's identifier; a response with a page's id has no mark, for a payload has one such response only."""
+    return f"<urn:x-page:{'' if page_id is None else page_id}:{digest}{mark}>"
+
+
 def records_of(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, mark: str) -> list[bytes]:
-    """The records of a page; ``mark`` tells apart pages that repeat an id."""
-    name = f"<urn:x-page:{'' if page_id is None else page_id}:{mark}>"
+    """The records of a page; ``mark`` tells apart pages that repeat an id, or have none."""
+    response = refers_to is None and page_id is not None
+    name = name_of(page_id, digest, "" if response else f":{mark}")
     fields = {"WARC-Record-ID": name, "WARC-Target-URI": _one_line(url or ""), "WARC-Payload-Digest": f"sha1:{digest}"}
     if refers_to is not None:
-        fields |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "X-Refers-To-Page": str(refers_to)}
+        fields |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": name_of(refers_to, digest)}
         return [record("revisit", fields | {"Content-Type": "application/http;msgtype=response"}, HEAD)]
     block = HEAD + chunked(payload)
     parts = cut(block, SEGMENT)
@@ -86,34 +92,55 @@ def records_of(page_id: int | None, url: str | None, payload: bytes, digest: str
         return [record("response", first, block)]
     out = [record("response", first | {"WARC-Segment-Number": "1"}, parts[0])]
     for number, part in enumerate(parts[1:], 2):
-        own = {"WARC-Record-ID": f"<urn:x-page:{'' if page_id is None else page_id}:{mark}:{number}>", "WARC-Segment-Origin-ID": name, "WARC-Segment-Number": str(number)}
+        own = {"WARC-Record-ID": name_of(page_id, digest, f":{mark}:{number}"), "WARC-Segment-Origin-ID": name, "WARC-Segment-Number": str(number)}
         out.append(record("continuation", own | ({"WARC-Segment-Total-Length": str(len(block))} if number == len(parts) else {}), part))
     return out
 
 
+def verdicts(rows: DataFrame) -> DataFrame:
+    """For each different page (key): its rows ``n``, ``refers_to``, and ``first``: whether it is its payload's response.
+
+    Of pages with one payload the first by (page_id, url) is the response; pages without an id come last. All this
+    is over narrow rows, so that a payload of very many pages burdens no task with texts.
+    """
+    pages = rows.groupBy("key", "page_id", "url", "sha1").agg(F.count(F.lit(1)).alias("n"))
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url", "key"))).alias("least")
+    firsts = pages.groupBy("sha1").agg(least, F.sum("n").alias("total")).filter("total > 1 and least is not null").select("sha1", F.col("least.page_id").alias("first_id"), F.col("least.key").alias("first_key"))
+    judged = pages.join(firsts, "sha1", "left").withColumn("first", F.coalesce(F.col("key") == F.col("first_key"), F.lit(False)))
+    return spooled(judged.select("key", "n", "first", F.when(~F.col("first"), F.col("first_id")).alias("refers_to")), "verdicts")
+
+
 def write(pages: DataFrame, path: str) -> None:
     """Write a WARC record for each page (page_id, url, html) under ``path``, as gzipped files.
 
-    Of pages with one payload, that with the smallest page_id is a response and the others revisit it.
+    Of pages with one payload, that with the smallest page_id is a response and the others revisit it; of several
+    rows with that id the one of the least url, and of equal rows one.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha1", F.sha1("html"))
-    copies = rows.select("page_id", "sha1").groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null").select("sha1", "first")
-    rows = rows.join(copies, "sha1", "left").withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("first")), F.col("first")))
+    rows = rows.withColumn("key", F.sha1(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce(F.concat(F.lit("="), "url"), F.lit("")), "sha1")))
+    known = verdicts(rows)
+    columns = ["page_id", "url", "html", "sha1", "refers_to"]
+    joined, again = rows.join(known, "key"), known.filter("first and n > 1")
+    if again.isEmpty():
+        out = joined.select(columns)
+    else:  # equal rows that come first: one of them answers, the others revisit it and need no text
+        whole = rows.join(again, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("page_id", "url", "html", "sha1", "n")))
+        each = whole.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).withColumn("refers_to", F.when(F.col("k") > 1, F.col("page_id")))
+        out = joined.filter("not (first and n > 1)").select(columns).unionByName(each.withColumn("html", F.when(F.col("k") == 1, F.col("html"))).select(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, at = TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in smaller_batches(whole, "html", 8 << 20):
                 out = []
-                for page_id, url, html, refers_to in zip(*(batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True):
-                    payload = html.encode()
-                    out += records_of(page_id, url, payload, base32_sha1(payload), refers_to, f"{task}-{at}")
+                for page_id, url, html, sha1, refers_to in zip(*(batch[c].to_pylist() for c in ("page_id", "url", "html", "sha1", "refers_to")), strict=True):
+                    digest = base64.b32encode(bytes.fromhex(sha1)).decode()
+                    out += records_of(page_id, url, (html or "").encode(), digest, refers_to, f"{task}-{at}")
                     at += 1
                 yield pa.RecordBatch.from_arrays([pa.array([r.decode() for r in out], pa.string())], names=["value"])
 
-    out = rows.select("page_id", "url", "html", "refers_to").mapInArrow(run, "value string")
-    out.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    out.mapInArrow(run, "value string").write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -168,7 +195,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     number = int(f["warc-segment-number"]) if "warc-segment-number" in f else None
                     digest = f.get("warc-payload-digest", "").removeprefix("sha1:") or None
                     size = verified(block, digest) if f["warc-type"] == "response" and number is None else None
-                    refers_to = int(f["x-refers-to-page"]) if "x-refers-to-page" in f else None
+                    refers_to = int(f["warc-refers-to"][len("<urn:x-page:") :].split(":")[0]) if "warc-refers-to" in f else None
                     total = int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None
                     rows.append((int(page) if page else None, f.get("warc-target-uri"), size, digest, f["warc-type"], refers_to, f.get("warc-segment-origin-id", name), number, total, block if number else None))
                     held += len(block) if number else 200
@@ -209,8 +236,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
 
     Columns: page_id, payload_bytes, payload_digest, record_type, refers_to. A null html is an
     empty payload, and empty payloads equal each other. A null page_id is larger than any: it revisits a
-    page with an id, and is a response where there is none. Rows that repeat the smallest id and its payload
-    are responses too. Other columns are ignored; an empty table gives an empty one.
+    page with an id, and is a response where there is none. Of rows that repeat the smallest id and its payload
+    one is the response, that of the least url. Other columns are ignored; an empty table gives an empty one.
     """
     path = shared_dir(pages.sparkSession, "warc")
     write(pages, path)

@@ -251,7 +251,7 @@ def test_embeddings(spark, monkeypatch):
 
 def page_rows():
     long = "".join(f"<p>é{i}\r\n\r\nWARC/1.1</p>" for i in range(4000))
-    return [(5, "http://a", "<b>x</b>"), (3, None, "<b>x</b>"), (9, "u\r\nv", "<b>x</b>"), (1, "u", None), (2, "u", ""), (4, "u", long), (6, "u", long), (None, "u", "<b>x</b>"), (None, "u", "only"), (None, "u", "only"), (8, "u", "tail\r\n\r\n"), (11, "u", "0\r\n\r\n"), (12, "u", "twice"), (12, "u", "twice")]
+    return [(5, "http://a", "<b>x</b>"), (3, None, "<b>x</b>"), (9, "u\r\nv", "<b>x</b>"), (1, "u", None), (2, "u", ""), (4, "u", long), (6, "u", long), (None, "u", "<b>x</b>"), (None, "u", "only"), (None, "u", "only"), (8, "u", "tail\r\n\r\n"), (11, "u", "0\r\n\r\n"), (12, "u", "twice"), (12, "u", "twice"), (12, "v", "twice"), (13, "u", "twice"), (14, "u", long), (1, "u", "")]
 
 
 def test_warc(spark):
@@ -262,14 +262,20 @@ def test_warc(spark):
         if i is not None:
             first[html or ""] = min(first.get(html or "", i), i)
     want = Counter()
+    answered = set()
     for i, _, html in rows:
         data = (html or "").encode()
         least = first.get(html or "")
-        back = least if least is not None and (i is None or i > least) else None
+        back = None if least is None or (i == least and (html or "") not in answered) else least
+        if i == least:
+            answered.add(html or "")
         want[(i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response" if back is None else "revisit", back)] += 1
     got = warc.round_trip(df)
     assert Counter(map(tuple, got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect())) == want
     assert warc.round_trip(df.limit(0)).count() == 0
+    con = duckdb.connect()
+    con.register("pages", df.select("page_id", "url", "html").toArrow())
+    assert Counter(con.sql(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({oracles.WARC})").fetchall()) == want
 
 
 def test_segments_are_verified():
