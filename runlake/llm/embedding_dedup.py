@@ -28,7 +28,7 @@ BLOCKS, GRID_AXES = (4, 8, 16), (0, 1, 2, 3)
 #: What a comparison of two vectors takes, for each and for each of its axes, and what a row takes to be dealt out, in nanoseconds.
 PAIR_NS, AXIS_NS, ROW_NS = 1.2, 0.07, 20_000.0
 #: Rows and bytes of one side of a unit at most; a vector takes three arrays of 8 bytes a number there.
-CHUNK, SIDE_BYTES = 16384, 64 << 20
+CHUNK, SIDE_BYTES = 32768, 64 << 20
 #: Axes that are rotated together.
 TOGETHER = 256
 #: Rotated coordinates are whole multiples of 1 / SCALE, so that squared distances are exact in any order of adding.
