@@ -37,7 +37,56 @@ def csv_headerless(spark: SparkSession, d: str) -> DataFrame:
 @query("csv_inferred", "SELECT user_id AS id, event_id AS n, value AS x, event_type AS kind FROM events")
 def csv_inferred(spark: SparkSession, d: str) -> DataFrame:
     body = with_header(lines(events(spark, d), "concat_ws(',', event_id, number, event_type)", "'any.csv'"), "n,x,kind")
-    return csvfiles.inferred(body).select("id", "n", "x", "kind")
+    return csvfiles.inferred(body)[0].select("id", "n", "x", "kind")
+
+
+@query("csv_crlf", """
+SELECT user_id AS id, event_id AS n, value AS x, event_type AS kind, event_id AS read_id FROM events WHERE user_id % 2 = 0
+UNION ALL SELECT user_id, event_id, value, event_type, NULL FROM events WHERE user_id % 2 = 1""")
+def csv_crlf(spark: SparkSession, d: str) -> DataFrame:
+    """Files of every second run end their lines with \\r\\n; those are read with known columns as well."""
+    end = "if(user_id % 2 = 0, '\\r', '')"
+    rows = events(spark, d)
+    body = with_header(lines(rows, f"concat(concat_ws(',', event_id, number, event_type), {end})", "'any.csv'"), "n,x,kind")
+    body = body.withColumn("line", F.when((F.col("line_no") == 0) & (F.col("id") % 2 == 0), F.concat("line", F.lit("\r"))).otherwise(F.col("line")))
+    known = csvfiles.declared(body.filter("id % 2 = 0"), "n long, x double, kind string")[0].select("id", F.col("n").alias("read_id"), "n")
+    return csvfiles.inferred(body)[0].select("id", "n", "x", "kind").join(known, ["id", "n"], "left").select("id", "n", "x", "kind", "read_id")
+
+
+@query("csv_quoted", """
+SELECT user_id AS id, event_id AS n, event_type || ', "' || event_id || '"' || chr(10) || 'more' AS "a,b", value AS n_duplicated_0, event_id * 1000000000000000000::DECIMAL(38,0) AS big,
+  CASE WHEN event_id % 2 = 0 THEN '' END AS note FROM events WHERE user_id % 7 <> 0""")
+def csv_quoted(spark: SparkSession, d: str) -> DataFrame:
+    """Cells that hold separators, quotes and line ends, a name that stands twice in the header, numbers beyond 64 bits and
+    cells that are empty or quoted; each seventh run has records with a cell too many and gives no rows."""
+    cell = "concat('\"', event_type, ', \"\"', event_id, '\"\"\\nmore\"')"
+    text = f"concat_ws(',', event_id, {cell}, number, cast(event_id * 1000000000000000000BD as decimal(38,0)), if(event_id % 2 = 0, '\"\"', ''), if(user_id % 7 = 0, 'x', null))"
+    body = with_header(lines(events(spark, d), text, "'any.csv'"), 'n,"a,b",n,big,note')
+    return csvfiles.inferred(body)[0].select("id", "n", "a,b", "n_duplicated_0", F.col("big").cast("decimal(38,0)").alias("big"), "note")
+
+
+@query("sadf_issues", """
+WITH bad AS (SELECT DISTINCT user_id FROM events WHERE event_id % 50 = 0)
+SELECT user_id AS id, date_trunc('second', ts) AS timestamp, value AS "%user", NULL AS message FROM events WHERE user_id NOT IN (SELECT user_id FROM bad)
+UNION ALL SELECT user_id, NULL, NULL, 'failed to parse for disk_sadf' FROM bad""")
+def sadf_issues(spark: SparkSession, d: str) -> DataFrame:
+    """A load export with a time that isn't one gives no rows but an issue."""
+    text = "concat_ws(';', 'host', 60, if(event_id % 50 = 0, 'restart', date_format(ts, 'yyyy-MM-dd HH:mm:ss') || ' UTC'), number)"
+    rows, issues = T.load_table(with_header(lines(events(spark, d), text, "'disk.sadf'"), "# hostname;interval;timestamp;%user"), "disk_sadf")
+    told = issues.select("id", F.lit(None).cast("timestamp").alias("timestamp"), F.lit(None).cast("double").alias("%user"), "message")
+    return rows.select("id", "timestamp", "%user", F.lit(None).cast("string").alias("message")).unionByName(told)
+
+
+@query("csv_issues", """
+WITH bad AS (SELECT DISTINCT user_id FROM events WHERE event_id % 60 = 0)
+SELECT user_id AS id, event_type AS branch, event_id AS commits, NULL AS message FROM events WHERE user_id NOT IN (SELECT user_id FROM bad)
+UNION ALL SELECT user_id, NULL, NULL, 'failed to parse for git_info' FROM bad""")
+def csv_issues(spark: SparkSession, d: str) -> DataFrame:
+    """A file with a record of too few cells is an issue of its own."""
+    body = with_header(lines(events(spark, d), "concat_ws(',', event_type, if(event_id % 60 = 0, null, event_id))", "'git_info.csv'"), "branch,commits")
+    rows, issues = T.git_info(body)
+    told = issues.select("id", F.lit(None).cast("string").alias("branch"), F.lit(None).cast("bigint").alias("commits"), "message")
+    return rows.select("id", "branch", "commits", F.lit(None).cast("string").alias("message")).unionByName(told)
 
 
 @query("dacapo_latency", """
@@ -95,12 +144,12 @@ def _load_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @query("csv_sadf", "SELECT 'host' AS hostname, 60::BIGINT AS interval, event_id % 9 - 1 AS CPU, value AS \"%user\", user_id AS id FROM events")
 def csv_sadf(spark: SparkSession, d: str) -> DataFrame:
-    return csvfiles.inferred(_load_lines(spark, d), sep=";", comment="# ").select("hostname", "interval", "CPU", "%user", "id")
+    return csvfiles.inferred(_load_lines(spark, d), sep=";", comment="# ")[0].select("hostname", "interval", "CPU", "%user", "id")
 
 
 @query("sadf_per_core", "SELECT date_trunc('second', ts) AS timestamp, event_id % 9 - 1 AS CPU, value AS \"%user\", user_id AS id FROM events WHERE event_id % 9 <> 0")
 def sadf_per_core(spark: SparkSession, d: str) -> DataFrame:
-    return T.load_table(_load_lines(spark, d), "cpu_all_cores_sadf").select("timestamp", "CPU", "%user", "id")
+    return T.load_table(_load_lines(spark, d), "cpu_all_cores_sadf")[0].select("timestamp", "CPU", "%user", "id")
 
 
 @query("sadf_tables", """
@@ -110,7 +159,7 @@ def sadf_tables(spark: SparkSession, d: str) -> DataFrame:
     cpu = with_header(lines(events(spark, d), f"replace({_LOAD}, ';', ',')", "'cpu_data.csv'"), _LOAD_HEAD[2:].replace(";", ","))
     memory_text = "concat_ws(';', 'host', 60, date_format(ts, 'yyyy-MM-dd HH:mm:ss') || ' UTC', number, 1, 2)"
     memory = with_header(lines(events(spark, d), memory_text, "'memory.sadf'"), "# hostname;interval;timestamp;kbmemfree;%memused;%commit")
-    made = [T.load_table(cpu, "cpu_sadf", ",").withColumn("made", F.lit("cpu_sadf")), T.load_table(memory, "memory_sadf").withColumn("made", F.lit("memory_sadf"))]
+    made = [T.load_table(cpu, "cpu_sadf", ",")[0].withColumn("made", F.lit("cpu_sadf")), T.load_table(memory, "memory_sadf")[0].withColumn("made", F.lit("memory_sadf"))]
     return union_tables(made).select("made", "timestamp", "CPU", "%user", "kbmemfree", "id")
 
 
@@ -128,10 +177,10 @@ def prefix_rename(spark: SparkSession, d: str) -> DataFrame:
 @query("time_table", "SELECT event_id AS elapsed, CASE WHEN event_id % 10 <> 0 THEN event_id % 200 END AS cpu_percent, user_id AS id FROM events")
 def time_table(spark: SparkSession, d: str) -> DataFrame:
     body = lines(events(spark, d), "concat_ws(',', event_id, if(event_id % 10 = 0, '?', concat(event_id % 200, '%')))", "'jvm0.time'")
-    return T.time_table(with_header(body, "elapsed,cpu_percent"))
+    return T.time_table(with_header(body, "elapsed,cpu_percent"))[0]
 
 
 @query("git_info", "SELECT 'repo' || (event_id % 3) AS repository, event_type AS branch, event_id AS commits, user_id AS id FROM events")
 def git_info(spark: SparkSession, d: str) -> DataFrame:
     body = lines(events(spark, d), "concat_ws(',', concat('repo', event_id % 3), event_type, event_id)", "'git_info.csv'")
-    return T.git_info(with_header(body, "repository,branch,commits"))
+    return T.git_info(with_header(body, "repository,branch,commits"))[0]

@@ -4,23 +4,28 @@ from __future__ import annotations
 
 import io
 import tarfile
-import uuid
 
 import pyarrow as pa
 import pyarrow.compute
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import selection as S
 from ..plans import sink
+from ..session import shared_folder
 from ..sources import archives, manifest
 from ..sources.routing import route_files
 from .registry import events, lines, query, table
 from .selections import runs
 
 
+#: Events of one archive at most.
+PACKED = 20_000
+
+
 def _packed(rows: pa.Table) -> pa.Table:
-    """An archive of one run: a member for each kind of event, a line for each event."""
+    """An archive of events of one run: a member for each kind of event, a line for each event."""
     rows = rows.sort_by("event_id")
     out = io.BytesIO()
     with tarfile.open(fileobj=out, mode="w:xz", preset=0) as archive:
@@ -39,9 +44,9 @@ def _packed(rows: pa.Table) -> pa.Table:
 SELECT user_id AS id, event_type || '.log' AS name, event_id || ' ' || event_type AS line, NULL AS error FROM events WHERE user_id % 10 <> 0
 UNION ALL SELECT DISTINCT user_id, NULL, NULL, 'cannot read archive' FROM events WHERE user_id % 10 = 0""")
 def archive_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Events packed as an archive for each run and scanned again; that of every tenth run is cut off in the middle."""
+    """Events packed as archives of a bounded size and scanned again; those of every tenth run are cut off in the middle."""
     rows = table(spark, d, "events").select(F.col("user_id").alias("id"), "event_id", "event_type", F.concat_ws(" ", "event_id", "event_type").alias("text"))
-    packed = rows.groupBy("id").applyInArrow(_packed, "id long, content binary")
+    packed = rows.groupBy("id", F.expr(f"event_id div {PACKED}")).applyInArrow(_packed, "id long, content binary")
     scanned = archives.scan_stored(packed)
     failed = scanned.filter("error is not null").select("id").distinct()
     read = scanned.filter("error is null").join(failed, "id", "left_anti").select("id", "name", F.col("line").cast("string").alias("line"), "error")
@@ -81,14 +86,77 @@ def file_routing(spark: SparkSession, d: str) -> DataFrame:
     return route_files(rows).select("id", F.concat("table", F.when(captured != "", F.concat(F.lit(":"), captured)).otherwise("")).alias("feeds"))
 
 
-@query("sink_roundtrip", "SELECT collection, o_orderkey AS id, o_custkey AS customer, o_totalprice AS price FROM (SELECT *, unnest(['fast', 'slow']) AS collection FROM orders) WHERE (collection = 'fast' AND o_orderstatus = 'F') OR (collection = 'slow' AND o_custkey % 7 = 3)")
+def _lake_task(base: str) -> manifest.Task:
+    return manifest.Task(base, {"fast": {"benchmark": ["dacapo_samples2"]}, "slow": {"timeout": [3]}}, ("secret",))
+
+
+_COLLECTED = "(SELECT *, unnest(['fast', 'slow']) AS collection FROM orders) WHERE (collection = 'fast' AND o_orderstatus = 'F') OR (collection = 'slow' AND o_custkey % 7 = 3)"
+
+
+def _prices(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("price"))
+
+
+@query("sink_roundtrip", f"SELECT collection, o_orderkey AS id, o_custkey AS customer, o_totalprice AS price FROM {_COLLECTED}")
 def sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Orders written to a lake of two collections, over an older one, and read again."""
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/runlake-lake-{uuid.uuid4().hex}"
-    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("price"))
-    task = manifest.Task(base, {"fast": {"benchmark": ["dacapo_samples2"]}, "slow": {"timeout": [3]}}, ("secret",))
+    base = shared_folder(spark, "lake")
+    rows, task = _prices(spark, d), _lake_task(base)
     selected = S.select_runs(runs(spark, d), task)
     sink.write_tables({"prices": rows.withColumn("price", F.lit(0.0))}, selected, base)
     sink.reset_collections(spark, base, sorted(task.collect))
     sink.write_tables({"prices": rows, "secret": rows}, selected, base, task.drop_tables, narrow=True)
     return spark.read.parquet(f"{base}/prices").select("collection", F.col("id").cast("bigint").alias("id"), F.col("customer").cast("bigint").alias("customer"), "price")
+
+
+@query("drop_tables", f"SELECT 'prices' AS table_name, collection, count(*) AS n FROM {_COLLECTED} GROUP BY collection")
+def drop_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The tables that a lake holds after two were to be written, one of which the task drops."""
+    base = shared_folder(spark, "lake")
+    rows, task = _prices(spark, d), _lake_task(base)
+    sink.write_tables({"prices": rows, "secret": rows}, S.select_runs(runs(spark, d), task), base, task.drop_tables)
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(base).select("path")
+    place = [F.regexp_extract("path", r"/([^/]+)/collection=([^/]+)/", i) for i in (1, 2)]
+    n = spark.read.parquet(f"{base}/*").groupBy(F.col("collection")).agg(F.count(F.lit(1)).alias("n"))
+    return there.select(place[0].alias("table_name"), place[1].alias("collection")).distinct().join(n, "collection").select("table_name", "collection", "n")
+
+
+#: Bytes in memory of a file of the query that follows: about five hundred rows.
+_SMALL_FILE = 16_000
+
+
+def _footers(batches):
+    for batch in batches:
+        rows = []
+        for content in batch["content"]:
+            meta = pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
+            groups = [meta.row_group(k) for k in range(meta.num_row_groups)]
+            columns = [g.column(i) for g in groups for i in range(meta.num_columns)]
+            rows.append((meta.num_rows, max((g.num_rows for g in groups), default=0), all(c.compression == "ZSTD" for c in columns), all(c.is_stats_set for c in columns)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))], names=["n", "most", "zstd", "stats"])
+
+
+@query("sink_options", f"SELECT count(*) AS n, TRUE AS zstd, TRUE AS has_statistics, TRUE AS groups_bounded, TRUE AS files_bounded, TRUE AS rolled_over FROM {_COLLECTED}")
+def sink_options(spark: SparkSession, d: str) -> DataFrame:
+    """What the footers of a lake's files tell: compression, statistics, rows of groups and of files, and that files roll over."""
+    base = shared_folder(spark, "lake")
+    rows = S.fan_out(_prices(spark, d), S.select_runs(runs(spark, d), _lake_task(base)))
+    sink.write_table(rows, "prices", base, narrow=True, file_bytes=_SMALL_FILE)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{base}/prices").select("content")
+    found = files.mapInArrow(_footers, "n long, most long, zstd boolean, stats boolean")
+    limit = F.lit(_SMALL_FILE / 28)  # three columns of eight bytes, and a collection's name
+    return found.agg(F.sum("n").alias("n"), F.bool_and("zstd").alias("zstd"), F.bool_and("stats").alias("has_statistics"), (F.max("most") <= sink.GROUP_ROWS).alias("groups_bounded"), (F.max("n") <= limit).alias("files_bounded"), (F.count(F.lit(1)) * limit >= F.sum("n")).alias("rolled_over"))
+
+
+@query("task_read", """
+SELECT o_orderkey AS id, concat_ws(',', CASE WHEN o_custkey % 7 = (SELECT max(o_custkey % 7) FROM orders) THEN 'late' END, CASE WHEN o_orderstatus = (SELECT min(o_orderstatus) FROM orders) THEN 'first' END) AS collections, 'secret' AS dropped
+FROM orders WHERE o_custkey % 7 = (SELECT max(o_custkey % 7) FROM orders) OR o_orderstatus = (SELECT min(o_orderstatus) FROM orders)""")
+def task_read(spark: SparkSession, d: str) -> DataFrame:
+    """A task file whose filters come from the runs, written, read again and applied."""
+    path = shared_folder(spark, "task")
+    first = F.min_by("benchmark", F.when(F.col("benchmark") == "dacapo_samples2", 0).when(F.col("benchmark") == "specjbb", 1).otherwise(2))  # by the order's status
+    filters = runs(spark, d).agg(F.max("timeout").alias("timeout"), first.alias("benchmark"))
+    made = F.struct(F.lit(path).alias("location"), F.struct(F.struct(F.array("timeout").alias("timeout")).alias("late"), F.struct(F.array("benchmark").alias("benchmark")).alias("first")).alias("collect"), F.array(F.lit("secret")).alias("drop_tables"))
+    filters.select(F.to_json(made)).coalesce(1).write.text(path)
+    task = manifest.load_task(spark, path)
+    return S.select_runs(runs(spark, d), task).select("id", F.concat_ws(",", F.sort_array("collections", asc=False)).alias("collections"), F.lit(",".join(task.drop_tables)).alias("dropped"))

@@ -135,12 +135,13 @@ def _profile_lines(spark: SparkSession, d: str) -> DataFrame:
     rows = rows.join(F.broadcast(first), rows["user_id"] == first["first_user"], "left")  # one row
     zone = "case when first_user is not null then 'PST' when month(ts) % 2 = 1 then 'EDT' else 'EST' end"
     phase = "element_at(array('PROFILE', 'RT_CURVE', 'VALIDATION', 'TRANSITION', 'WARMUP'), cast(event_id % 5 as int) + 1)"
-    text = f"concat('<', date_format(ts, 'EEE MMM d HH:mm:ss'), ' ', {zone}, ' ', year(ts), '> org.spec.jbb.controller: ', {phase}, ': steady, (rIR:aIR:PR = ', event_id, ':', event_id div 2, ':', event_id div 3, ') (tPR = ', cast(floor(value) as bigint), ') [OK]')"
+    text = f"concat('<', date_format(if(event_id % 6 = 0, ts + interval 1 day, ts), 'EEE'), ' ', date_format(ts, 'MMM d HH:mm:ss'), ' ', {zone}, ' ', year(ts), '> org.spec.jbb.controller: ', {phase}, ': steady, (rIR:aIR:PR = ', event_id, ':', event_id div 2, ':', event_id div 3, ') (tPR = ', cast(floor(value) as bigint), ') [OK]')"
     return lines(rows, text, "'spec-Controller.log'")
 
 
-@query("specjbb_profile", f"SELECT date_trunc('second', ts) + {_ODD} AS clock_time, {_PROFILE_FIELDS} FROM events WHERE NOT {_FOREIGN}")
+@query("specjbb_profile", f"SELECT CASE WHEN event_id % 6 <> 0 THEN date_trunc('second', ts) + {_ODD} END AS clock_time, {_PROFILE_FIELDS} FROM events WHERE NOT {_FOREIGN}")
 def specjbb_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Each sixth line has a weekday that its date doesn't have, which gives no time."""
     return X.specjbb_profile(_profile_lines(spark, d))[0]
 
 
@@ -152,11 +153,12 @@ def zone_abbreviations(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("parse_timestamps", f"""
-SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN {CLOCK} END AS iso_time, CASE WHEN event_id % 10 <> 1 THEN date_trunc('second', ts) END AS load_time FROM events""")
+SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN {CLOCK} END AS iso_time, CASE WHEN event_id % 10 <> 1 THEN date_trunc('second', ts) END AS load_time, event_id % 10 = 1 AS load_fails FROM events""")
 def parse_timestamps(spark: SparkSession, d: str) -> DataFrame:
+    """A text that isn't an ISO time has none; one without a load export's time fails its file (see sadf_issues)."""
     iso = F.expr("if(event_id % 10 = 0, replace(clock, 'T', ' at '), clock)")
     load = F.concat(F.lit("at "), F.when(F.expr("event_id % 10 = 1"), F.date_format("ts", "yyyy-MM")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")), F.lit(" UTC"))
-    return events(spark, d).select("event_id", C.parse_iso(iso).alias("iso_time"), C.parse_sadf(load).alias("load_time"))
+    return events(spark, d).select("event_id", C.parse_iso(iso).alias("iso_time"), C.parse_sadf(load).alias("load_time"), (load.isNotNull() & C.parse_sadf(load).isNull()).alias("load_fails"))
 
 
 @query("epoch_timestamps", """

@@ -44,9 +44,9 @@ def suffix_sum(spark: SparkSession, d: str) -> DataFrame:
     return R.suffix_sum(rows, "ms", ["user_id", "grp"], ["event_id"], "rest").select("event_id", "rest")
 
 
-@query("match_ordinal", "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at FROM events WHERE event_type = 'purchase'")
+@query("match_ordinal", "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at FROM events")
 def match_ordinal(spark: SparkSession, d: str) -> DataFrame:
-    return R.ordinal(table(spark, d, "events").filter("event_type = 'purchase'"), ["user_id"], ["event_id"], "at").select("event_id", "user_id", "at")
+    return R.ordinal(table(spark, d, "events"), ["user_id"], ["event_id"], "at").select("event_id", "user_id", "at")
 
 
 _NARROWED = ("l_orderkey", "l_partkey", "l_suppkey", "low", "flag")

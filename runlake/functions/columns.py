@@ -51,7 +51,7 @@ def parse_iso(c: Column) -> Column:
 
 
 def parse_sadf(c: Column) -> Column:
-    """The first date and time in the text, as UTC."""
+    """The first date and time in the text, as UTC; null where there is none, which fails a load export."""
     found = F.regexp_extract(c, r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", 0)
     return F.try_to_timestamp(F.concat(F.nullif(found, F.lit("")), F.lit("+0000")), F.lit("yyyy-MM-dd HH:mm:ssxx"))
 
@@ -64,9 +64,8 @@ def zone_offset(zone: Column, zones: dict[str, str] | None = None) -> Column:
     return known
 
 
-def parse_zoned(month: Column, day: Column, time: Column, zone: Column, year: Column, weekday: Column | None = None) -> Column:
-    """The instant of a log's parts; null for an unknown zone, and for a weekday that the date doesn't have."""
-    offset = zone_offset(zone)
+def parse_offset(month: Column, day: Column, time: Column, offset: Column, year: Column, weekday: Column | None = None) -> Column:
+    """The instant of a log's parts; null for a time that isn't one, and for a weekday that the date doesn't have."""
     parsed = F.try_to_timestamp(F.concat_ws(" ", month, F.lpad(day, 2, "0"), time, offset, year), F.lit("MMM dd HH:mm:ss xx yyyy"))
     if weekday is not None:
         date = F.try_to_timestamp(F.concat_ws(" ", month, F.lpad(day, 2, "0"), year), F.lit("MMM dd yyyy"))
@@ -74,6 +73,11 @@ def parse_zoned(month: Column, day: Column, time: Column, zone: Column, year: Co
     return F.when(offset.isNotNull(), parsed)
 
 
+def parse_zoned(month: Column, day: Column, time: Column, zone: Column, year: Column, weekday: Column | None = None) -> Column:
+    """As ``parse_offset`` with a zone's abbreviation; null for an unknown zone."""
+    return parse_offset(month, day, time, zone_offset(zone), year, weekday)
+
+
 def from_epoch_ms(c: Column) -> Column:
     return F.timestamp_millis(c)
 

@@ -12,6 +12,9 @@ from ..functions import columns as C
 from .quality import FILE, file_verdicts
 from .reduce import first_wins, last_wins, lookup_with_default, only_in, ordinal, suffix_sum
 
+Made = tuple[DataFrame, DataFrame]
+Stage = Callable[[DataFrame], DataFrame]
+
 text: Callable[[Column], Column] = lambda c: c
 trimmed: Callable[[Column], Column] = C.trim_ws
 u32: Callable[[Column], Column] = lambda c: C.to_int(c, C.U32)
@@ -66,27 +69,24 @@ def read_fields(found: DataFrame, grammar: Grammar) -> DataFrame:
     return found.select(*keep, *(c.alias(n) for n, c in read.items()), bad.alias("bad"))
 
 
-def extract(lines: DataFrame, grammar: Grammar, table: str, once: bool = True) -> tuple[DataFrame, DataFrame]:
+def extract(lines: DataFrame, grammar: Grammar, table: str, once: bool = True, files: DataFrame | None = None, stage: Stage = lambda df: df) -> Made:
     """The table's rows (with id, ord, line_no, pos) and issues, for text lines of the files that feed it.
 
     A file with a field that can't be read gives no rows. With ``once`` only each run's first good file
-    counts; otherwise all good files do. Files are judged by one aggregate; only its result is shuffled again.
+    counts; otherwise all good files do. ``files`` are the files that feed the table (id, ord, name, perhaps valid), or
+    else found from the lines. ``stage`` may write what is captured and read it back, so that lines are read once.
     """
     rows = read_fields(captures(lines, grammar), grammar)
     file_name = "file_name" if "name" in grammar.fields else "name"
+    rows = stage(rows.drop(file_name, "line", "is_last", "error", "valid", "file_kind"))
     failed = rows.filter("bad").select("id", "ord", F.lit(True).alias("__bad")).distinct()
-    files = lines.select(*FILE).distinct().join(failed, ["id", "ord"], "left")
-    if once:
-        kept, issues = file_verdicts(files, F.coalesce("__bad", F.lit(False)), table)
-    else:
-        kept = files.filter("__bad is null").select(*FILE)
-        _, issues = file_verdicts(files.filter("__bad"), F.lit(True), table)
-    good = rows.join(kept.select("id", "ord"), ["id", "ord"], "left_semi")
-    return good.drop("bad", file_name, "line", "is_last", "error"), issues
-
-
-def zgc_phases(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, ZGC_PHASE, "zgc_phases")
+    files = lines.select(*FILE).distinct() if files is None else files
+    kept, issues = file_verdicts(files.join(failed, ["id", "ord"], "left"), F.coalesce("__bad", F.lit(False)), table, once)
+    return rows.filter("not bad").drop("bad").join(kept.select("id", "ord"), ["id", "ord"], "left_semi"), issues
+
+
+def zgc_phases(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, ZGC_PHASE, "zgc_phases", **how)
     clock = C.parse_iso(F.col("clock_text"))
     letter = F.col("letter")
     return rows.select(
@@ -95,8 +95,8 @@ def zgc_phases(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     ), issues
 
 
-def zgc_gc_summary(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, ZGC_SUMMARY, "zgc_gc_summary")
+def zgc_gc_summary(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, ZGC_SUMMARY, "zgc_gc_summary", **how)
     return rows.select(
         C.parse_iso(F.col("clock_text")).alias("end_time"), "gc_number", F.lower("kind").alias("type"), "cause", "start_memory_mb",
         F.col("start_percent").cast("smallint").alias("start_percent"), "end_memory_mb", F.col("end_percent").cast("smallint").alias("end_percent"),
@@ -104,14 +104,14 @@ def zgc_gc_summary(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     ), issues
 
 
-def zgc_stats(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, ZGC_STATS, "zgc_stats")
+def zgc_stats(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, ZGC_STATS, "zgc_stats", **how)
     numbers = [n for n in ZGC_STATS.fields if n.endswith(("_avg", "_max"))]
     return rows.select(C.parse_iso(F.col("clock_text")).alias("clock_time"), "stat_type", "name", "unit", *numbers, "id"), issues
 
 
-def zgc_task_workers(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, ZGC_WORKERS, "zgc_task_workers")
+def zgc_task_workers(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, ZGC_WORKERS, "zgc_task_workers", **how)
     return rows.select("gc_number", F.when(F.lower("generation") == "young", "y").otherwise("o").alias("age"), "num_workers", "id"), issues
 
 
@@ -136,35 +136,34 @@ def g1_types(lines: DataFrame) -> DataFrame:
     return first_wins(read_fields(found, G1_TYPE), ["id", "ord", "gc_number"], ["line_no", "pos"], "gc_type")
 
 
-def g1_phases(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, G1_PHASE, "g1_phases")
+def g1_phases(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, G1_PHASE, "g1_phases", **how)
     rows = lookup_with_default(rows, g1_types(lines), ["id", "ord", "gc_number"], "gc_type")
     rows = suffix_sum(rows, "time_ms", ["id", "ord", "gc_number"], ["line_no", "pos"], "rest_ms")
     clock = C.parse_iso(F.col("clock_text"))
     return rows.select(clock.alias("clock_time"), "gc_number", "gc_type", "name", C.to_micros(F.col("time_ms"), 1e3).alias("time_us"), C.minus_ms(clock, F.col("rest_ms")).alias("start_time"), "id"), issues
 
 
-def java_threads(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    made, issues = extract(lines, CREATED, "java_threads")
+def java_threads(lines: DataFrame, **how) -> Made:
+    made, issues = extract(lines, CREATED, "java_threads", **how)
     made = last_wins(made, ["id", "pid"], ["ord", "line_no", "pos"], ["thread_name", "thread_type"])
-    attached, _ = extract(lines, ATTACHED, "java_threads")
+    attached, _ = extract(lines, ATTACHED, "java_threads", **how)
     others = only_in(attached, made, ["id", "pid"]).withColumns({"thread_name": F.lit("unknown"), "thread_type": F.lit("unknown")})
     return made.unionByName(others).select("pid", "thread_name", "thread_type", "id"), issues
 
 
-def dacapo_iteration(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, ITERATION, "dacapo_iteration")
+def dacapo_iteration(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, ITERATION, "dacapo_iteration", **how)
     rows = ordinal(rows.filter("dacapo_iteration_time_ms is not null"), ["id"], ["line_no", "pos"], "dacapo_iteration")
     return rows.select("dacapo_iteration", "dacapo_iteration_time_ms", "id"), issues
 
 
-def specjbb_summary(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, SCORE, "specjbb_summary")
+def specjbb_summary(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, SCORE, "specjbb_summary", **how)
     return rows.select("metric", "value", "id"), issues
 
 
-def specjbb_profile(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows, issues = extract(lines, PROFILE, "specjbb_profile")
-    stamp = F.concat_ws(" ", "month", F.lpad(F.col("day").cast("string"), 2, "0"), "time", "offset", "year")
-    clock = F.try_to_timestamp(stamp, F.lit("MMM dd HH:mm:ss xx yyyy"))
+def specjbb_profile(lines: DataFrame, **how) -> Made:
+    rows, issues = extract(lines, PROFILE, "specjbb_profile", **how)
+    clock = C.parse_offset(F.col("month"), F.col("day").cast("string"), F.col("time"), F.col("offset"), F.col("year"), F.col("weekday"))
     return rows.select(clock.alias("clock_time"), "phase", "requested_ir", "achieved_ir", "passed_requests", "total_passed_requests", "id"), issues

@@ -15,20 +15,29 @@ def issue(df: DataFrame, stage: str, collector: str | None, message: Column) ->
     return df.select("id", F.lit(stage).alias("stage"), F.lit(collector).cast("string").alias("collector"), name.alias("name"), message.alias("message"))
 
 
-def file_verdicts(files: DataFrame, failed: Column, table: str, duplicates: str = "Duplicate") -> tuple[DataFrame, DataFrame]:
-    """Of each run's files for a table, the first that parses is kept: (kept files, issues).
+def file_verdicts(files: DataFrame, failed: Column, table: str, once: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Which of each run's files for a table count: (kept files, issues).
 
-    ``files`` has one row for each (id, ord, name), ``failed`` whether that file failed to parse. A bad file
-    lets the next one in; a second good file is an issue.
+    ``files`` has one row for each (id, ord, name), and perhaps ``valid``: whether the file is UTF-8; ``failed``
+    is whether it failed to parse. With ``once`` the first good file of each run is kept: a bad file lets the next one in, and
+    a second good file is an issue. Otherwise all good files are kept.
     """
-    judged = files.withColumn("__failed", failed)
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("__failed", "ord"))
+    valid = F.coalesce("valid", F.lit(True)) if "valid" in files.columns else F.lit(True)
+    judged = files.withColumn("__valid", valid).withColumn("__failed", failed | ~valid)
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("__failed", "ord")) if once else F.lit(1)
     judged = judged.withColumn("__rank", rank)
-    message = F.when(F.col("__failed"), F.lit("failed to parse")).otherwise(F.lit(f"{duplicates} file"))
+    message = F.when(~F.col("__valid"), F.lit("invalid UTF-8")).when(F.col("__failed"), F.lit("failed to parse")).otherwise(F.lit("Duplicate file"))
     issues = issue(judged.filter("__failed or __rank > 1"), "collector", table, F.concat(message, F.lit(f" for {table}")))
     return judged.filter("not __failed and __rank = 1").select(*FILE), issues
 
 
+def kept_rows(rows: DataFrame, bad: DataFrame, files: DataFrame, table: str, once: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that count, and issues: ``bad`` are the files (id, ord, name) that failed to parse."""
+    judged = files.join(bad.select(*FILE).withColumn("__bad", F.lit(True)), FILE, "left")
+    kept, issues = file_verdicts(judged, F.coalesce("__bad", F.lit(False)), table, once)
+    return rows.join(kept, FILE, "left_semi"), issues
+
+
 def first_file_wins(routed: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Rows of each run's first file, and an issue for every further one."""
     kept, issues = file_verdicts(routed.select(*FILE).distinct(), F.lit(False), table)
@@ -48,14 +57,14 @@ def assert_unique_tables(made: DataFrame) -> DataFrame:
 
 def _broken(kind: str, c: Column) -> Column:
     """What is wrong with a value, null if nothing: positive numbers exclude zero of either sign and NaN."""
-    if kind == "f":
+    if kind == "positive number":
         negative = (c < 0) | ((c == 0) & c.cast("string").startswith("-"))
         return F.when(F.isnan(c), "is not a number").when(negative, "is negative").when(c == 0, "is zero")
-    if kind == "p":
+    if kind == "positive":
         return F.when(c < 0, "is negative").when(c == 0, "is zero")
-    if kind == "n":
+    if kind == "natural":
         return F.when(c < 0, "is negative")
-    if kind == "y":
+    if kind == "byte":
         return F.when(~c.between(0, 255), "is out of range")
     return F.lit(None).cast("string")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import trim_ws
@@ -69,15 +69,22 @@ def run_status(runs: DataFrame, status: DataFrame, exits: DataFrame, os_lines: D
     return all_.select("id", outcome.alias("status"))
 
 
-def narrow_ints(df: DataFrame) -> DataFrame:
-    """Every long column as the narrowest integer type that holds all its values: one aggregate, then casts."""
-    names = [n for n, kind in df.dtypes if kind == "bigint"]
-    if not names:
-        return df
-    ends = df.agg(*(f(n).alias(f"{k}{i}") for i, n in enumerate(names) for k, f in (("a", F.min), ("z", F.max)))).first()
+def extremes(df: DataFrame) -> list[Column]:
+    """The least and the greatest of each long column, for ``narrowed``."""
+    return [f(F.col(f"`{n}`")).alias(f"{k}{i}") for i, (n, kind) in enumerate(df.dtypes) if kind == "bigint" for k, f in (("least", F.min), ("most", F.max))]
+
+
+def narrowed(df: DataFrame, found: Row) -> DataFrame:
+    """Every long column as the narrowest integer type that holds all its values, given its ``extremes``."""
 
     def kind(i: int) -> str:
-        low, high = ends[f"a{i}"] or 0, ends[f"z{i}"] or 0
+        low, high = found[f"least{i}"] or 0, found[f"most{i}"] or 0
         return next((t for t, bits in (("tinyint", 7), ("smallint", 15), ("int", 31)) if -(1 << bits) <= low and high < 1 << bits), "bigint")
 
-    return df.withColumns({n: F.col(n).cast(kind(i)) for i, n in enumerate(names)})
+    return df.withColumns({n: F.col(f"`{n}`").cast(kind(i)) for i, (n, k) in enumerate(df.dtypes) if k == "bigint"})
+
+
+def narrow_ints(df: DataFrame) -> DataFrame:
+    """Every long column as the narrowest integer type that holds all its values: one aggregate, then casts."""
+    ends = extremes(df)
+    return narrowed(df, df.agg(*ends).first()) if ends else df

@@ -1,7 +1,14 @@
-"""The whole job: from a task file to the lake."""
+"""The whole job: from a task file to the lake.
+
+Archives are read once; their lines are staged in a partition for each kind of file, so that a table reads the
+lines of its own files only, and once: what it captures from them is staged in turn. Which files there are stands
+in a small table, from which names, duplicates and verdicts come without a look at the lines.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +16,13 @@ from ..operators import csvtables, extract, quality, selection
 from ..operators.reduce import run_status
 from ..schema import ISSUES
 from ..sources import archives, manifest
-from ..sources.routing import route_files
-from .extractors import registered, run_extractor
-from .sink import reset_collections, write_tables
+from ..sources.routing import RULES, Rule, feeds, kind_of, route_files
+from .extractors import Extractor, registered, run_extractor
+from .sink import delete, reset_collections, write_tables
 
 #: Endings of the members that any table reads; others aren't decompressed into lines.
 WANTED = (".javalog", "jvm0.txt", "jvm0.stdout", "status.txt", ".exit", "jvm0.time", ".csv", ".sadf", ".raw", "-Controller.log")
+#: Tables by name: collector, what makes them, and the word that the run's garbage collector must hold.
 LOG_TABLES = {
     "zgc_phases": ("zgc_phases", extract.zgc_phases, "zgc"),
     "zgc_gc_summary": ("zgc_gc_summary", extract.zgc_gc_summary, "zgc"),
@@ -34,100 +42,165 @@ CSV_TABLES = {
     "dacapo_latency": ("dacapo_latency", csvtables.dacapo_latency),
 }
 PLAIN_TABLES = {"time": ("time", csvtables.time_table), "git_info": ("git_info", csvtables.git_info)}
+LOADS = ("cpu_sadf", "sadf")
+COLLECTOR = {t: c for tables in (LOG_TABLES, CSV_TABLES, PLAIN_TABLES) for t, (c, *_) in tables.items()} | {"cpu_sadf": "system_load", "sadf": "system_load"} | dict.fromkeys(("status", "runner_exit", "os_log"), "status")
 
 
-def broken_archives(lines: DataFrame) -> DataFrame:
-    """An issue for each run whose archive couldn't be read to its end."""
-    broken = lines.filter("error is not null").select("id", F.lit(None).cast("string").alias("name"), "error").distinct()
-    return quality.issue(broken, "run", None, F.col("error"))
+class Staging:
+    """A folder of intermediate tables: written, not cached, so plans stay short and a lost executor loses nothing."""
 
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.folder = spark, f"{base}/_staged-{uuid.uuid4().hex}"
 
-def extract_all(lines: DataFrame, runs: DataFrame, routed: DataFrame) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """Every table of the given lines (of ``archives.scan_archives``), and the issues of their files, frame by frame."""
-    issues: list[DataFrame] = []
-    text, invalid = archives.as_text(lines)
+    def put(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
+        columns = [f for f in df.schema.fields if f.name != by] + [f for f in df.schema.fields if f.name == by]
+        return self.spark.read.schema(type(df.schema)(columns)).parquet(path)
+
+    def clear(self) -> None:
+        delete(self.spark, self.folder)
+
+
+class Corpus:
+    """The staged lines of all archives and the files that they came from."""
 
-    def of(table: str, collector: str, source: DataFrame = text) -> DataFrame:
-        return route_files(source, (table,)).join(routed.filter(F.col("collector") == collector).select("id"), "id", "left_semi")
+    def __init__(self, staging: Staging, lines: DataFrame, own: list[Extractor]):
+        self.staging, self.rules = staging, RULES + [r for e in own for r in e.rules]
+        kind = F.when(F.col("error").isNotNull(), "error").otherwise(kind_of(F.col("name"), self.rules))
+        text = F.expr("try_validate_utf8(cast(line as string))")
+        spark, key = staging.spark, "spark.sql.maxConcurrentOutputFileWriters"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "64")  # a writer for each kind of file, instead of a sort of all lines
+        try:
+            self.lines = staging.put(lines.withColumn("file_kind", kind).filter("file_kind <> ''").withColumn("line", text), "lines", by="file_kind")
+        finally:
+            spark.conf.set(key, before)
+        self.files = staging.put(self.lines.filter("is_last").select("id", "ord", "name", "file_kind", "valid"), "files")
+        broken = self.lines.filter("file_kind = 'error'").select("id", F.lit(None).cast("string").alias("name"), "error").distinct()
+        self.broken = quality.issue(broken, "run", None, F.col("error"))
 
-    for table in LOG_TABLES:
-        hit = route_files(invalid, (table,))
-        issues.append(quality.issue(hit, "collector", table, F.lit(f"invalid UTF-8 for {table}")))
+    def of(self, wanted: list[Rule], runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Lines and files that match one of the rules, of these runs."""
+        mine = feeds(F.col("file_kind"), wanted, self.rules)
+        return tuple(df.filter(mine).join(runs.select("id"), "id", "left_semi") for df in (self.lines.drop("error"), self.files))
+
+
+def made_tables(files: DataFrame, routed: DataFrame, own: list[Extractor]) -> DataFrame:
+    """(id, collector, table) for each table that a run's files make."""
+    fed = route_files(files.select("id", "name")).withColumn("collector", F.try_element_at(F.create_map(*(F.lit(x) for pair in COLLECTOR.items() for x in pair)), F.col("table")))
+    name = F.when(F.col("table") == "sadf", F.concat("stem", F.lit("_sadf"))).when(F.col("table") == "dacapo_latency", F.concat(F.lit("dacapo_latency_"), F.replace("latency_type", F.lit("-"), F.lit("_")))).otherwise(F.col("table"))
+    fed = fed.filter("collector is not null").select("id", "collector", name.alias("table")).join(routed, ["id", "collector"], "left_semi")
+    for e in own:
+        fed = fed.unionByName(route_files(files.select("id", "name"), rules=list(e.rules)).select("id", F.lit(f"own {e.table}").alias("collector"), F.lit(e.table).alias("table")))
+    return fed.distinct()
+
+
+def extract_all(corpus: Corpus, runs: DataFrame, routed: DataFrame, own: list[Extractor]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Every table of the lines, and the issues of their files, frame by frame."""
+    issues: list[DataFrame] = []
     tables: dict[str, DataFrame] = {"config": selection.config_table(runs)}
-    for table, (collector, make, gate) in LOG_TABLES.items():
-        own = of(table, collector)
-        rows, wrong = make(selection.gc_gate(own, runs, gate) if gate else own)
-        tables[table] = rows
-        issues.append(wrong)
-    for table, (collector, make) in CSV_TABLES.items():
-        own = of(table, collector)
-        if table not in ("mark_abuse", "dacapo_latency"):  # those take all their files
-            own, twice = quality.first_file_wins(own, table)
-            issues.append(twice)
-        rows, bad = make(own)
-        issues.append(quality.issue(bad, "collector", table, F.lit(f"failed to parse for {table}")))
-        if table == "dacapo_latency":
-            kinds = [r[0] for r in rows.select("latency_type").distinct().collect()]  # a few names
-            tables |= {f"dacapo_latency_{k}": rows.filter(F.col("latency_type") == k).drop("latency_type") for k in kinds}
+
+    def of(table: str, gate: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """The lines with a rule's captures, and the files."""
+        mine = routed.filter(F.col("collector") == COLLECTOR[table])
+        lines, files = corpus.of([r for r in RULES if r.table == table], selection.gc_gate(mine, runs, gate) if gate else mine)
+        return route_files(lines, (table,)), files
+
+    def stage(table: str):
+        n = iter(range(99))
+        return lambda df: corpus.staging.put(df, f"captured/{table}-{next(n)}")
+
+    def take(table: str, made: tuple[DataFrame, DataFrame]) -> None:
+        tables[table] = made[0]
+        issues.append(made[1])
+
+    for table, (_, make, gate) in LOG_TABLES.items():
+        lines, files = of(table, gate)
+        take(table, make(lines.drop("table"), files=files, stage=stage(table)))
+    for table, (_, make) in CSV_TABLES.items():
+        lines, files = of(table)
+        take(table, make(lines, files=files, stage=stage(table)))
+    latency = tables.pop("dacapo_latency")
+    kinds = route_files(of("dacapo_latency")[1].select("name"), ("dacapo_latency",)).select(F.replace("latency_type", F.lit("-"), F.lit("_"))).distinct().collect()  # a few names
+    tables |= {f"dacapo_latency_{k}": latency.filter(F.col("latency_type") == k).drop("latency_type") for (k,) in kinds}
+    for table, (_, make) in PLAIN_TABLES.items():
+        lines, files = of(table)
+        if not files.isEmpty():
+            take(table, make(lines, files=files, stage=stage(table)))
+    for table, some in _loads(of, stage):
+        tables[table] = some[0]
+        issues += some[1:]
+    tables["status"] = _status(runs, of, corpus)
+    for e in own:
+        lines, files = corpus.of(list(e.rules), selection.gc_gate(runs, runs, e.gate) if e.gate else runs)
+        if not isinstance(e.how, extract.Grammar):
+            lines = lines.join(files.filter("not valid").select("id", "ord"), ["id", "ord"], "left_anti")
+            take(e.table, run_extractor(e, lines))
         else:
-            tables[table] = rows
-    for table, (collector, make) in PLAIN_TABLES.items():
-        own, twice = quality.first_file_wins(of(table, collector), table)
-        issues.append(twice)
-        if own.head(1):
-            tables[table] = make(own)
-    loads = of("cpu_sadf", "system_load").withColumn("made", F.lit("cpu_sadf")).unionByName(of("sadf", "system_load").withColumn("made", F.concat("stem", F.lit("_sadf"))))
-    for table in [r[0] for r in loads.select("made").distinct().collect()]:  # a name for each kind of export
-        own, twice = quality.first_file_wins(loads.filter(F.col("made") == table), table)
-        issues.append(twice)
-        # the two sources of one table differ in their separator; a line tells by what it holds
-        commas = own.filter("name = 'cpu_data.csv'").withColumn("line", F.replace("line", F.lit(","), F.lit(";")))
-        tables[table] = csvtables.load_table(own.filter("name <> 'cpu_data.csv'").unionByName(commas), table)
-    tables["status"] = _status(runs, text, routed)
-    for own in registered():
-        if own.table in tables:
-            raise ValueError(f"two extractors make the table {own.table}")
-        rows, wrong = run_extractor(own, selection.gc_gate(text, runs, own.gate) if own.gate else text)
-        tables[own.table] = rows
-        issues.append(wrong)
+            take(e.table, run_extractor(e, lines, files=files, stage=stage(e.table)))
     return tables, issues
 
 
-def _status(runs: DataFrame, text: DataFrame, routed: DataFrame) -> DataFrame:
-    said = route_files(text, ("status",)).groupBy("id", "ord").agg(F.concat_ws("\n", F.array_sort(F.collect_list(F.struct("line_no", "line"))).getField("line")).alias("text"))
+def _loads(of, stage):
+    """(table, (rows, issues, ...)) of the load exports; a comma parts the cells of one file name and a semicolon those of others."""
+    (commas, comma_files), (lines, files) = of("cpu_sadf"), of("sadf")
+    made = route_files(files, ("sadf",)).select(*files.columns, F.concat("stem", F.lit("_sadf")).alias("made"))
+    names = [r[0] for r in made.select("made").distinct().collect()]  # a name for each kind of export
+    for table in sorted({*names, *(() if comma_files.isEmpty() else ("cpu_sadf",))}):
+        own = lines.filter(F.concat("stem", F.lit("_sadf")) == table)
+        rows, issues = csvtables.load_table(own, table, ";", made.filter(F.col("made") == table).drop("made"), stage(table))
+        if table == "cpu_sadf" and not comma_files.isEmpty():
+            more, wrong = csvtables.load_table(commas, table, ",", comma_files, stage(f"{table}-commas"))
+            if table not in names:
+                yield table, (more, wrong)
+                continue
+            # a run with both has two files of one table; the export of the usual name counts
+            both = made.filter(F.col("made") == table).select("id", "ord", "name").join(comma_files.select("id").distinct(), "id", "left_semi")
+            twice = quality.issue(both, "collector", table, F.lit(f"Duplicate file for {table}"))
+            yield table, (rows.join(both.select("id"), "id", "left_anti").unionByName(more, allowMissingColumns=True), issues, wrong, twice)
+        else:
+            yield table, (rows, issues)
+
+
+def _status(runs: DataFrame, of, corpus: Corpus) -> DataFrame:
+    def text(table: str) -> DataFrame:
+        lines, files = of(table)
+        return lines.join(files.filter("not valid").select("id", "ord"), ["id", "ord"], "left_anti")
+
+    said = text("status").groupBy("id", "ord").agg(F.concat_ws("\n", F.array_sort(F.collect_list(F.struct("line_no", "line"))).getField("line")).alias("text"))
     first = said.groupBy("id").agg(F.min_by("text", "ord").alias("text"))
-    exits = route_files(text, ("runner_exit",)).filter("trim(line) <> ''")
+    exits = text("runner_exit").filter("trim(line) <> ''")
     codes = exits.groupBy("id", F.col("runner").try_cast("int").alias("runner")).agg(F.max_by(F.trim("line").try_cast("int"), F.col("ord")).alias("code"))
-    return run_status(runs, first, codes, route_files(text, ("os_log",)).select("id", "line"))
+    return run_status(runs, first, codes, text("os_log").select("id", "line"))
 
 
 def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str, narrow: bool = True, strict: bool = True) -> list[str]:
     """Select runs, scan their archives once, extract every table and write the lake; returns the tables written."""
-    def staged(df: DataFrame, name: str) -> DataFrame:
-        """Written, not cached: every table reads these, plans stay short, and a lost executor loses nothing."""
-        df.write.mode("overwrite").parquet(f"{base}/_staged/{name}")
-        return spark.read.schema(df.schema).parquet(f"{base}/_staged/{name}")
-
+    staging, own = Staging(spark, base), registered()
+    taken = {*LOG_TABLES, *CSV_TABLES, *PLAIN_TABLES, "config", "status", "parse_status", "cpu_sadf"}
+    for e in own:
+        if e.table in taken:
+            raise ValueError(f"two extractors make the table {e.table}")
     checked, _ = quality.validate(runs)
-    selected = staged(selection.select_runs(checked, task, strict), "runs")
+    selected = staging.put(selection.select_runs(checked, task, strict), "runs")
     known, unknown = selection.route_collectors(selected)
-    routed = staged(known, "collectors")
+    routed = staging.put(known, "collectors")
     paths = routed.select("id").distinct().select("id", manifest.archive_path(F.col("id"), task.location).alias("path"))
-    wanted = (*WANTED, *(e for own in registered() for e in own.endings)) if all(own.endings for own in registered()) else ()
-    lines = staged(archives.scan_archives(paths, wanted), "lines")
-    failed = staged(unknown.unionByName(broken_archives(lines)), "failed")
+    wanted = (*WANTED, *(x for e in own for x in e.endings)) if all(e.endings for e in own) else ()
+    corpus = Corpus(staging, archives.scan_archives(paths, wanted), own)
+    twice = quality.assert_unique_tables(made_tables(corpus.files, routed, own))
+    failed = staging.put(unknown.unionByName(corpus.broken).unionByName(twice), "failed")
+    # a failed run has no rows but those of its failure, whether they come from its lines or its attributes
+    good = staging.put(quality.withhold(selected, failed), "good")
     # issues are gathered one small job after another: one plan over all tables would be too large to plan
-    issues_at = f"{base}/_staged/issues"
+    issues_at = f"{staging.folder}/issues"
     failed.write.mode("overwrite").parquet(issues_at)
-    tables, issues = extract_all(quality.withhold(lines, failed), selected, routed)
+    tables, issues = extract_all(corpus, good, quality.withhold(routed, failed), own)
     for some in issues:
         some.write.mode("append").parquet(issues_at)
-    # a failed run has no rows but those of its failure, whether they come from its lines or its attributes
-    tables = {name: quality.withhold(rows, failed) if name in ("config", "status") else rows for name, rows in tables.items()}
     tables["parse_status"] = spark.read.schema(ISSUES).parquet(issues_at).select("message", "id")
     reset_collections(spark, base, sorted(task.collect))
     written = write_tables(tables, selected, base, task.drop_tables, narrow, sorted(task.collect))
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    scratch = path(f"{base}/_staged")
-    scratch.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(scratch, True)
+    staging.clear()
     return written

@@ -17,8 +17,8 @@ Made = tuple[DataFrame, DataFrame]
 class Extractor:
     """A table, the rules of its files, and how lines become rows: a grammar, or a function of lines.
 
-    The function takes the routed text lines of all runs and returns (rows, issues); it is plain
-    DataFrame code. ``gate`` is a word that the run's collector must hold for its files to be read, and
+    The function takes the routed text lines of all runs, without files that aren't UTF-8, and returns (rows,
+    issues); it is plain DataFrame code. ``gate`` is a word that the run's collector must hold for its files to be read, and
     ``endings`` are those of its files' names; without any, every member of an archive is read.
     """
 
@@ -44,7 +44,7 @@ def registered() -> list[Extractor]:
     return list(_OWN.values())
 
 
-def run_extractor(extractor: Extractor, lines: DataFrame) -> Made:
-    """The table's rows and issues from the text lines of all runs."""
+def run_extractor(extractor: Extractor, lines: DataFrame, **how) -> Made:
+    """The table's rows and issues from the text lines of all runs; ``how`` is for ``extract``."""
     routed = route_files(lines, rules=list(extractor.rules))
-    return extract(routed, extractor.how, extractor.table) if isinstance(extractor.how, Grammar) else extractor.how(routed)
+    return extract(routed, extractor.how, extractor.table, **how) if isinstance(extractor.how, Grammar) else extractor.how(routed)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.reduce import narrow_ints
+from ..operators.reduce import extremes, narrowed
 from ..operators.selection import fan_out
 
-#: Rows of a file at most, bytes of a row group, and zstandard's level.
-FILE_ROWS, GROUP_BYTES, LEVEL = 20_000_000, 128 << 20, 18
+# Bytes in memory of a file's rows at most, rows of a row group, and zstandard's level.
+FILE_BYTES, GROUP_ROWS, LEVEL = 750 << 20, 1_000_000, 18
 
 
 def reset_collections(spark: SparkSession, base: str, names: list[str]) -> None:
@@ -22,19 +24,39 @@ def reset_collections(spark: SparkSession, base: str, names: list[str]) -> None:
             fs.delete(found.getPath(), True)
 
 
-def write_table(df: DataFrame, table: str, base: str, narrow: bool = False) -> StructType:
+def measured(df: DataFrame) -> Row:
+    """Rows ``n``, their ``bytes`` in memory, and least and greatest of each long column, by one aggregate."""
+    texts = [F.sum(F.octet_length(F.col(f"`{n}`").cast("string"))) for n, kind in df.dtypes if kind in ("string", "binary")]
+    width = sum(1 if kind == "boolean" else 8 for _, kind in df.dtypes)
+    total = F.count(F.lit(1)) * width + sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0))
+    return df.agg(F.count(F.lit(1)).alias("n"), total.alias("bytes"), *extremes(df)).first()
+
+
+def write_table(df: DataFrame, table: str, base: str, narrow: bool = False, file_bytes: int = FILE_BYTES) -> StructType:
     """Write rows that have a column ``collection``; partitions of other collections stay. Returns the schema written.
 
-    Rows are rebalanced by collection, so that files have a good size and a large collection many of them.
-    With ``narrow`` integers take the least width for the whole table, at the price of a pass over it.
+    Rows are rebalanced by collection, so that files have a good size and a large collection many of them; a file
+    holds at most the rows that take ``file_bytes`` in memory. With ``narrow`` integers take the least width for
+    the whole table. The rows are written once as they are and measured there, so that what makes them runs once.
     """
-    rows = narrow_ints(df) if narrow else df
+    spark, wide = df.sparkSession, f"{base}/_wide/{table}-{uuid.uuid4().hex}"
+    df.write.parquet(wide)
+    rows = spark.read.schema(df.schema).parquet(wide)
+    found = measured(rows)
+    rows = narrowed(rows, found) if narrow else rows
+    most = max(1, int(file_bytes * found["n"] / found["bytes"])) if found["bytes"] else 0
     writer = rows.hint("rebalance", F.col("collection")).write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL)
-    writer.option("parquet.block.size", GROUP_BYTES).option("maxRecordsPerFile", FILE_ROWS).partitionBy("collection").parquet(f"{base}/{table}")
+    writer.option("parquet.block.row.count.limit", GROUP_ROWS).option("maxRecordsPerFile", most).partitionBy("collection").parquet(f"{base}/{table}")
+    delete(spark, wide)
     return rows.schema
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fill_empty(spark: SparkSession, schema: StructType, table: str, base: str, names: list[str]) -> None:
     """Give each collection without rows of a table a file that holds its schema: empty isn't absent."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

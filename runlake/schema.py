@@ -4,34 +4,73 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"s": T.StringType(), "n": T.LongType(), "d": T.DoubleType(), "b": T.BooleanType(), "y": T.ShortType()}
+#: What a kind of attribute is to Spark: text, whole numbers above zero and from zero, numbers above zero, truth, 0 to 255.
+TYPES = {"text": T.StringType(), "positive": T.LongType(), "natural": T.LongType(), "positive number": T.DoubleType(), "boolean": T.BooleanType(), "byte": T.ShortType()}
 
-# The run attributes in declaration order. After the colon: s text, p whole number above zero,
-# n whole number from zero, f positive number, b boolean, y whole number from 0 to 255.
-REQUIRED = ("benchmark:s", "tar_file:s", "iteration:n")
-OPTIONAL = (
-    "timeout:p", "cpu_mask:p", "jdk:s", "process_count:p", "gc:s", "classpath:s", "gc_logging:s", "java_log_gc:s", "java_log_os:s",
-    "memory_ratio:f", "memory_config:p", "softmax:s", "softmax_ratio:f", "concgcthreads:p", "jdk_tiered_compilation:b",
-    "zgc_barrier_use_global_variable:b", "zgc_barrier_rewrite_on_phase_change:b", "GCThreadCPUs:s", "NonGCThreadCPUs:s",
-    "zgc_deactivate_proactive:b", "opp_zgc:b", "opp_zgc_period:p", "opp_zgc_minor_threshold:n", "opp_zgc_major_threshold:n",
-    "opp_zgc_avg_cpu_window:p", "java_thp:b", "ResctrlIdleGCMask:p", "ResctrlMarkingGCMask:p", "ResctrlCollectingGCMask:p",
-    "ResctrlIdleAppMask:p", "ResctrlMarkingAppMask:p", "ResctrlCollectingAppMask:p", "dacapo_benchmark:s", "dacapo_location:s",
-    "dacapo_threads:p", "dacapo_harness:s", "specjbb_location:s", "specjbb_props:s", "specjbb_opts:s", "specjbb_args:s",
-    "specjbb_report_level:y", "mark_abuse_location:s", "mark_abuse_cardinality:p", "mark_abuse_keys:p", "mark_abuse_iterations:p",
-    "mark_abuse_warmup:p", "mark_abuse_graph_nodes:p", "mark_abuse_edges_per_node:p", "mark_abuse_rotate_interval:n",
-    "mark_abuse_rotate_fraction:f", "threadstat_location:s", "threadstat_wrapper_location:s", "threadstat_event:s",
-    "threadstat_frequency:p", "cos_config:s", "cache_ways:p",
-)
-
-
-def _kinds(names: tuple[str, ...]) -> dict[str, str]:
-    return dict(x.split(":") for x in names)
-
-
-REQUIRED_KINDS, KINDS = _kinds(REQUIRED), _kinds(REQUIRED) | _kinds(OPTIONAL)
-RUN = T.StructType([T.StructField(name, _TYPES[{"p": "n", "f": "d"}.get(kind, kind)], name not in REQUIRED_KINDS) for name, kind in KINDS.items()])
+# The run attributes in declaration order, and what kind of value each has.
+REQUIRED_KINDS = {"benchmark": "text", "tar_file": "text", "iteration": "natural"}
+OPTIONAL_KINDS = {
+    "timeout": "positive",
+    "cpu_mask": "positive",
+    "jdk": "text",
+    "process_count": "positive",
+    "gc": "text",
+    "classpath": "text",
+    "gc_logging": "text",
+    "java_log_gc": "text",
+    "java_log_os": "text",
+    "memory_ratio": "positive number",
+    "memory_config": "positive",
+    "softmax": "text",
+    "softmax_ratio": "positive number",
+    "concgcthreads": "positive",
+    "jdk_tiered_compilation": "boolean",
+    "zgc_barrier_use_global_variable": "boolean",
+    "zgc_barrier_rewrite_on_phase_change": "boolean",
+    "GCThreadCPUs": "text",
+    "NonGCThreadCPUs": "text",
+    "zgc_deactivate_proactive": "boolean",
+    "opp_zgc": "boolean",
+    "opp_zgc_period": "positive",
+    "opp_zgc_minor_threshold": "natural",
+    "opp_zgc_major_threshold": "natural",
+    "opp_zgc_avg_cpu_window": "positive",
+    "java_thp": "boolean",
+    "ResctrlIdleGCMask": "positive",
+    "ResctrlMarkingGCMask": "positive",
+    "ResctrlCollectingGCMask": "positive",
+    "ResctrlIdleAppMask": "positive",
+    "ResctrlMarkingAppMask": "positive",
+    "ResctrlCollectingAppMask": "positive",
+    "dacapo_benchmark": "text",
+    "dacapo_location": "text",
+    "dacapo_threads": "positive",
+    "dacapo_harness": "text",
+    "specjbb_location": "text",
+    "specjbb_props": "text",
+    "specjbb_opts": "text",
+    "specjbb_args": "text",
+    "specjbb_report_level": "byte",
+    "mark_abuse_location": "text",
+    "mark_abuse_cardinality": "positive",
+    "mark_abuse_keys": "positive",
+    "mark_abuse_iterations": "positive",
+    "mark_abuse_warmup": "positive",
+    "mark_abuse_graph_nodes": "positive",
+    "mark_abuse_edges_per_node": "positive",
+    "mark_abuse_rotate_interval": "natural",
+    "mark_abuse_rotate_fraction": "positive number",
+    "threadstat_location": "text",
+    "threadstat_wrapper_location": "text",
+    "threadstat_event": "text",
+    "threadstat_frequency": "positive",
+    "cos_config": "text",
+    "cache_ways": "positive",
+}
+KINDS = REQUIRED_KINDS | OPTIONAL_KINDS
+RUN = T.StructType([T.StructField(name, TYPES[kind], name not in REQUIRED_KINDS) for name, kind in KINDS.items()])
 
-LOG_LINES = "id long, ord int, name string, line_no long, line binary, is_last boolean, error string"
+LOG_LINES = "id long, ord int, name string, line_no long, line binary, is_last boolean, error string, valid boolean"
 ISSUES = "id long, stage string, collector string, name string, message string"
 
 THREADSTAT_EVENT = "read_id long, count long, event_id long"

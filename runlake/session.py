@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -29,3 +31,18 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _shipped.add(app)
     return spark
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder under the one that all executors share, for intermediate tables.
+
+    ``spark.checkpoint.dir`` names it. Only where Spark runs in one process, as in tests, may it be unset: a folder
+    of the machine is made then. On a cluster that would lose data, so it is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="runlake-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/runlake-{label}-{uuid.uuid4().hex}"

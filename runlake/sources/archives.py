@@ -16,29 +16,58 @@ from ..schema import LOG_LINES
 #: Lines of a batch, and bytes of it, whichever comes first.
 BATCH_LINES, BATCH_BYTES = 5000, 4 << 20
 
-_NAMES = ("id", "ord", "name", "line_no", "line", "is_last", "error")
-_KINDS = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string())
+_NAMES = ("id", "ord", "name", "line_no", "line", "is_last", "error", "valid")
+_KINDS = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.bool_())
+#: Endings of CSV members, whose records may run over lines.
+CSV_ENDINGS = (".csv", ".sadf", ".time")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], names=list(_NAMES))
 
 
+def _is_text(line: bytes) -> bool:
+    if line.isascii():
+        return True
+    try:
+        line.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def _records(member: Iterator[bytes]) -> Iterator[bytes]:
+    """The lines of a CSV member, those that a quoted cell runs over as one."""
+    held = b""
+    for line in member:
+        held += line
+        if held.count(b'"') % 2 == 0:
+            yield held
+            held = b""
+    if held:
+        yield held
+
+
 def _members(id_: int, file, wanted: tuple[str, ...]) -> Iterator[tuple]:
-    """The lines of an open archive; only members whose name has a wanted ending are read."""
+    """The lines of an open archive; only members whose name has a wanted ending are read.
+
+    A member's last row tells whether all of it is UTF-8.
+    """
     with lzma.open(file) as plain, tarfile.open(fileobj=plain, mode="r|") as archive:
         ord_ = 0
         for member in archive:
             if not member.isfile():
                 continue
             if not wanted or member.name.endswith(wanted):
-                last, n = None, 0
-                for line in archive.extractfile(member):
+                last, n, valid = None, 0, True
+                content = archive.extractfile(member)
+                for line in _records(content) if member.name.endswith(CSV_ENDINGS) else content:
                     if last is not None:
-                        yield id_, ord_, member.name, n, last, False, None
+                        yield id_, ord_, member.name, n, last, False, None, None
                         n += 1
                     last = line.removesuffix(b"\n")
-                yield id_, ord_, member.name, n, last or b"", True, None
+                    valid = valid and _is_text(last)
+                yield id_, ord_, member.name, n, last or b"", True, None, valid
             ord_ += 1
         while plain.read(1 << 20):  # a stream that was cut off after the last member is found out here
             pass
@@ -58,7 +87,7 @@ def _scanned(open_: callable, wanted: tuple[str, ...]):
                                 yield _batch(rows)
                                 rows, held = [], 0
                 except (OSError, EOFError, tarfile.TarError, lzma.LZMAError) as wrong:
-                    rows.append((id_, None, None, None, None, None, f"cannot read archive: {type(wrong).__name__}"))
+                    rows.append((id_, None, None, None, None, None, f"cannot read archive: {type(wrong).__name__}", None))
         if rows:
             yield _batch(rows)
 

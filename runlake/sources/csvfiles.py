@@ -1,57 +1,114 @@
-"""CSV members read by line, with Spark's own parser."""
+"""CSV members read record by record, without a schema or with one.
+
+A record is a line, or some lines where a quoted cell holds line ends (the scan joins those). Line ends may be \\n or \\r\\n.
+A file with a record that doesn't fit gives no rows at all.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "__corrupt"
+FILE = ["id", "ord", "name"]
+#: Columns that tell a row's place; a column of the file with such a name gets a line after it.
+PLACE = (*FILE, "line_no")
+
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Lines as text, without the carriage return of a \\r\\n, and without empty ones below the first."""
+    text = lines.withColumn("line", F.regexp_replace(F.col("line").cast("string"), r"\r$", ""))
+    return text.filter("line_no = 0 or line <> '' or line is null")
 
 
-def declared(lines: DataFrame, schema: str, header: bool = True, sep: str = ",", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Rows of files with known columns, and the files (id, ord, name) with a value that doesn't fit.
+def _clear(name: str) -> str:
+    return f"{name}_" if name.lower() in PLACE else name
 
-    A file with one bad value gives no rows at all.
+
+def declared(lines: DataFrame, schema: str, header: bool = True, sep: str = ",", keep: tuple[str, ...] = (), stage: Stage = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """Rows of files with known columns, and the files (id, ord, name) with a value or a record that doesn't fit.
+
+    ``stage`` may write what is parsed and read it back, so that lines are read once.
     """
-    body = lines.filter("line_no > 0 or line is null") if header else lines
+    body = _records(lines)
+    body = body.filter("line_no > 0 or line is null") if header else body
     fields = T._parse_datatype_string(schema).fieldNames()
     wide = f"{schema}, {CORRUPT} string"
-    parsed = body.withColumn("__row", F.from_csv(F.col("line").cast("string"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep}))
-    bad = parsed.filter(F.col(f"__row.{CORRUPT}").isNotNull() | F.col("__row").isNull()).select("id", "ord", "name").distinct()
-    rows = parsed.join(bad, ["id", "ord", "name"], "left_anti")
-    return rows.select("id", "ord", "name", "line_no", *keep, *(F.col(f"__row.`{f}`").alias(f if f != "name" else "name_") for f in fields)), bad
+    row = F.from_csv("line", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep, "multiLine": "true"})
+    parsed = body.select(*PLACE, *keep, row.alias("__row"))
+    broken = F.col(f"__row.{CORRUPT}").isNotNull() | F.col("__row").isNull()
+    parsed = stage(parsed.select(*PLACE, *keep, broken.alias("__broken"), *(F.col(f"__row.`{f}`").alias(_clear(f)) for f in fields)))
+    bad = parsed.filter("__broken").select(*FILE).distinct()
+    return parsed.join(bad, FILE, "left_anti").drop("__broken"), bad
+
+
+def cells(line: Column, sep: str) -> Column:
+    """The cells of a record; null for one with text beside a cell's quotes. An empty cell is null, a quoted one isn't."""
+    mark = re.escape(sep)
+    led = F.concat(F.lit(sep), line)
+    found = F.regexp_extract_all(led, F.lit(rf'{mark}("(?:[^"]|"")*"|[^"{mark}][^{mark}]*|)(?={mark}|\z)'), F.lit(0))
+    cut = F.transform(found, lambda c: F.substring(c, len(sep) + 1, 1 << 30))
+    plain = F.transform(cut, lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).when(c != "", c))
+    return F.when(F.array_join(found, "") == led, plain)
+
 
+def header_names(head: Column) -> Column:
+    """A header's names; one that is there already, in either case, gets a number."""
+    named = F.transform(head, lambda h: F.coalesce(h, F.lit("")))
 
-def inferred(lines: DataFrame, sep: str = ",", comment: str = "") -> DataFrame:
-    """Rows of files with a header each, types inferred once over all runs with that header.
+    def numbered(h: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(named, F.lit(1), i), lambda x: F.lower(x) == F.lower(h)))
+        return F.when(before > 0, F.concat(h, F.lit("_duplicated_"), (before - 1).cast("string"))).otherwise(h)
 
-    Headers are few (one for each version of the writing tool), so they are looked up on the driver; the rows are
-    parsed by Spark in one job for each. Rows carry id, ord and name.
+    return F.transform(named, numbered)
+
+
+def inferred(lines: DataFrame, sep: str = ",", comment: str = "", stage: Stage = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """Rows of files with a header each, and the files (id, ord, name) that don't parse. Rows carry id, ord, name and line_no.
+
+    Types are inferred once for each column, over all files that have it: whole numbers of 64 bits, of 38 digits,
+    doubles, or text. A file is bad if a record has more or fewer cells than its header, or text beside quotes.
+    ``stage`` may write the records' cells and read them back, so that lines are read once.
     """
-    text = lines.withColumn("line", F.col("line").cast("string"))
-    text = text.withColumn("line", F.when(F.col("line_no") == 0, F.regexp_replace("line", f"^{comment}", "")).otherwise(F.col("line"))) if comment else text
-    heads = text.filter("line_no = 0").select("id", "ord", "name", F.col("line").alias("__head"))
-    found = [r[0] for r in heads.select("__head").distinct().collect()]
-    out: DataFrame | None = None
-    for head in sorted(found):
-        body = text.filter("line_no > 0").join(heads.filter(F.col("__head") == head), ["id", "ord", "name"])
-        names = [h.strip('"') for h in head.split(sep)]
-        strings = ", ".join(f"`{n}` string" for n in names)
-        plain = body.select("id", "ord", "name", "line_no", F.from_csv("line", strings, {"sep": sep}).alias("__row"))
-        kinds = _inferred_types(plain, names)
-        part = plain.select("id", "ord", "name", "line_no", *(F.col(f"__row.`{n}`").try_cast(kinds[n]).alias(n) for n in names))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        return text.select("id", "ord", "name", "line_no").limit(0)
-    return out
-
-
-def _inferred_types(rows: DataFrame, names: list[str]) -> dict[str, str]:
-    """bigint, double or string for each column, by one aggregate over all rows."""
-    tests = []
-    for i, n in enumerate(names):
-        c = F.col(f"__row.`{n}`")
-        tests += [F.bool_and(c.isNull() | c.rlike(r"^[+-]?[0-9]{1,18}$")).alias(f"n{i}"), F.bool_and(c.isNull() | c.try_cast("double").isNotNull()).alias(f"d{i}")]
-    seen = rows.agg(*tests).first()
-    return {n: "bigint" if seen[f"n{i}"] else "double" if seen[f"d{i}"] else "string" for i, n in enumerate(names)}
+    text = _records(lines)
+    if comment:
+        text = text.withColumn("line", F.when(F.col("line_no") == 0, F.regexp_replace("line", f"^{re.escape(comment)}", "")).otherwise(F.col("line")))
+    split = stage(text.select(*PLACE, cells(F.col("line"), sep).alias("__cells")))
+    heads = split.filter("line_no = 0").select(*FILE, header_names(F.col("__cells")).alias("__head"))
+    rows = split.filter("line_no > 0").join(heads, FILE, "left")
+    fits = F.coalesce(F.size("__cells") == F.size("__head"), F.lit(False))
+    bad = rows.filter(~fits).select(*FILE).unionByName(heads.filter("__head is null").select(*FILE)).distinct()
+    good = rows.filter(fits).join(bad, FILE, "left_anti")
+    mapped = good.select(*FILE, "line_no", F.map_from_arrays("__head", "__cells").alias("__row"))
+    spelled: dict[str, list[tuple[str, str]]] = {}
+    for name, kind in _inferred_types(mapped, heads.join(bad, FILE, "left_anti")):
+        spelled.setdefault(name.lower(), []).append((name, kind))
+    columns = [_column(own) for _, own in sorted(spelled.items())]
+    return mapped.select(*FILE, "line_no", *columns), bad
+
+
+#: Kinds of columns from the narrowest; a column takes the widest that one of its values needs.
+KINDS = ("bigint", "decimal(38,0)", "double", "string")
+
+
+def _inferred_types(rows: DataFrame, heads: DataFrame) -> list[tuple[str, str]]:
+    """(column, type) for each name in a header, by one aggregate over all values: one row for each column."""
+    c = F.col("value")
+    whole = c.rlike(r"^[+-]?[0-9]+$")
+    kind = F.when(c.isNull(), -1).when(whole & c.try_cast("bigint").isNotNull(), 0).when(whole & (F.length(c) <= 38), 1).when(c.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity|nan)$"), 2).otherwise(3)
+    of_values = rows.select(F.explode("__row").alias("key", "value")).groupBy("key").agg(F.max(kind).alias("kind"))
+    named = heads.select(F.explode("__head").alias("key")).distinct()
+    found = named.join(of_values, "key", "left").select("key", F.coalesce("kind", F.lit(3)).alias("kind")).collect()
+    return sorted((r["key"], KINDS[3 if r["kind"] < 0 else r["kind"]]) for r in found)
+
+
+def _column(own: list[tuple[str, str]]) -> Column:
+    """One column for the spellings of a name, of the widest type among them."""
+    kind = max((kind for _, kind in own), key=KINDS.index)
+    return F.coalesce(*(F.try_element_at("__row", F.lit(name)) for name, _ in own)).try_cast(kind).alias(_clear(own[0][0]))

@@ -64,3 +64,19 @@ def route_files(lines: DataFrame, tables: tuple[str, ...] | None = None, rules:
     """Lines of the files that feed a table, once for each: adds ``table`` and the captures as columns."""
     rules = [r for r in (RULES if rules is None else rules) if tables is None or r.table in tables]
     return lines.withColumn("__to", F.explode(tables_of(F.col("name"), rules))).select(*lines.columns, "__to.*")
+
+
+def kind_of(name: Column, rules: list[Rule]) -> Column:
+    """Which patterns a file's name matches, by their place among all: '' for none. Few names match more than one."""
+    patterns = patterns_of(rules)
+    return F.concat_ws("+", *(F.when(name.rlike(p), F.lit(str(i))) for i, p in enumerate(patterns)))
+
+
+def patterns_of(rules: list[Rule]) -> list[str]:
+    return list(dict.fromkeys(r.pattern for r in rules))
+
+
+def feeds(kind: Column, wanted: list[Rule], rules: list[Rule]) -> Column:
+    """Whether files of a kind match one of the wanted rules: a condition on the kind alone, so that it prunes partitions."""
+    places = [str(i) for i, p in enumerate(patterns_of(rules)) if any(r.pattern == p for r in wanted)]
+    return F.arrays_overlap(F.split(kind, r"\+"), F.array(*map(F.lit, places)))

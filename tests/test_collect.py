@@ -3,8 +3,12 @@
 import io
 import tarfile
 
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
 from runlake.operators.selection import config_table
-from runlake.plans.collect import collect
+from runlake.plans import extractors, sink
+from runlake.plans.collect import Staging, collect
 from runlake.plans.extractors import Extractor, register_extractor
 from runlake.operators.extract import Grammar, text
 from runlake.sources import archives
@@ -12,13 +16,13 @@ from runlake.sources.manifest import Task, parse_runs
 from runlake.sources.routing import Rule
 
 ZGC = {
-    "gc.javalog": "[2026-07-17T10:50:06.042-0400][info   ][gc          ] GC(0) Major Collection (Warmup) 228M(0%)->34M(0%) 0.042s\n[2026-07-17T10:50:06.042-0400][info][gc,phases   ] GC(0) y: Pause Mark Start 0.5ms",
+    "gc.javalog": "[2031-03-05T08:15:20.125-0400][info   ][gc          ] GC(2) Minor Collection (Timer) 640M(8%)->80M(1%) 0.125s\n[2031-03-05T08:15:20.125-0400][info][gc,phases   ] GC(2) y: Pause Mark End 0.75ms",
     "status.txt": "success\n",
     "runner1.exit": "0\n",
     "dacapo-latency-usec-metered-full-0.csv": "10,30,1\n20,25,2\n",
     "dacapo-latency-usec-metered-full-1.csv": "1,2,3\n",
-    "cpu_all_cores.sadf": "# hostname;interval;timestamp;CPU;%user;%idle[...]\nh;1;2026-07-17 10:50:06 UTC;-1;5.5;9\nh;1;2026-07-17 10:50:06 UTC;0;6.5;9\n",
-    "cpu_data.csv": "hostname,interval,timestamp,CPU,%user,%idle\nh,1,2026-07-17 10:50:06,0,7.5,9\n",
+    "cpu_all_cores.sadf": "# hostname;interval;timestamp;CPU;%user;%idle[...]\nh;1;2031-03-05 08:15:20 UTC;-1;5.5;9\nh;1;2031-03-05 08:15:20 UTC;0;6.5;9\n",
+    "cpu_data.csv": "hostname,interval,timestamp,CPU,%user,%idle\nh,1,2031-03-05 08:15:20,0,7.5,9\n",
     "jvm0.time": "elapsed,cpu_percent\n12,97%\n",
     "own.txt": "mine=1\nmine=2\n",
     "threadstat-event.csv": "read_id,count,event_id\n1,5,2\n2,-1,2\n",
@@ -51,8 +55,8 @@ def test_from_archives_to_the_lake(spark, tmp_path):
     stale.write.partitionBy("collection").parquet(f"{lake}/parse_status")
     written = collect(spark, task, runs, lake, narrow=False)
     read = lambda t: spark.read.parquet(f"{lake}/{t}")
-    assert "threadstat_event" not in written and not (tmp_path / "lake" / "_staged").exists()
-    assert sorted((r.id, r.collection, r.time_us) for r in read("zgc_gc_summary").collect()) == [(1, "all", 42000), (1, "z", 42000)]
+    assert "threadstat_event" not in written and not (tmp_path / "lake" / "threadstat_event").exists() and not [p for p in (tmp_path / "lake").glob("_*") if any(p.rglob("*.parquet"))]
+    assert sorted((r.id, r.collection, r.time_us) for r in read("zgc_gc_summary").collect()) == [(1, "all", 125000), (1, "z", 125000)]
     assert sorted((r.id, r.status) for r in read("status").filter("collection = 'all'").collect()) == [(1, "success"), (2, "failed")]
     assert sorted((r.duration_ns, r.iteration) for r in read("dacapo_latency_metered_full").filter("collection = 'z'").collect()) == [(1, 1), (5, 0), (20, 0)]
     assert [(r.CPU, r["%user"]) for r in read("cpu_all_cores_sadf").filter("collection = 'z'").collect()] == [(0, 6.5)]
@@ -66,6 +70,90 @@ def test_from_archives_to_the_lake(spark, tmp_path):
     assert config_table(runs).columns[0] == "benchmark" and len(config_table(runs).columns) == 60
 
 
+HEAD = "# hostname;interval;timestamp;CPU;%user;%idle[...]\n"
+BAD = {
+    1: {"jvm0.time": "elapsed,cpu_percent\n12,97%\n13\n", "git_info.csv": "repository,commit\nours,abc\n"},
+    2: {"jvm0.time": "elapsed,cpu_percent\r\n12,97%\r\n13,?\r\n", "git_info.csv": 'repository,note,note\nours,"a, b","two\nlines"\n'},
+    3: {"disk.sadf": HEAD + "h;1;yesterday;0;1.5;9\n", "cpu_all_cores.sadf": HEAD + "h;1;2031-03-05 08:15:20 UTC;0;1.5;9\n"},
+    4: {"cpu.sadf": HEAD + "h;1;2031-03-05 08:15:20 UTC;0;1.5;9\n", "cpu_data.csv": "hostname,interval,timestamp,CPU,%user,%idle\nh,1,2031-03-05 08:15:20,0,7.5,9\n"},
+    5: {"threadstat-event.csv": "read_id,count,event_id\r\n1,5,2\r\n", "threadstat-read.csv": "read_id,timestamp,time_running,time_enabled\n1,x,2,3\n"},
+}
+
+
+def runs_of(spark, ids, benchmark="dacapo_samples2"):
+    runs = ", ".join(f'"{i}": {{"benchmark": "{benchmark}", "tar_file": "t", "iteration": 1, "gc": "ZGC"}}' for i in ids)
+    return parse_runs(spark.createDataFrame([(f'{{"bench_index": 1.0, "benchmark_runs": {{{runs}}}}}',)], "value string"))
+
+
+def test_files_that_do_not_parse_are_issues_of_their_own(spark, tmp_path):
+    for id_, files in BAD.items():
+        pack(tmp_path, id_, files)
+    lake = f"{tmp_path}/lake"
+    collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, BAD), lake)
+    read = lambda t: spark.read.parquet(f"{lake}/{t}")
+    assert sorted((r.id, r.elapsed, r.cpu_percent) for r in read("time").collect()) == [(2, 12, 97), (2, 13, None)]
+    assert {r.id: (r.repository, r.note, r.note_duplicated_0, r.commit) for r in read("git_info").collect()} == {1: ("ours", None, None, "abc"), 2: ("ours", "a, b", "two\nlines", None)}
+    assert [(r.id, r["%user"]) for r in read("cpu_all_cores_sadf").collect()] == [(3, 1.5)] and read("disk_sadf").count() == 0
+    assert [(r.id, r.count) for r in read("threadstat_event").select("id", F.col("count").alias("count_")).toDF("id", "count_").collect()][0][0] == 5 and read("threadstat_read").count() == 0
+    told = sorted((r.id, r.message) for r in read("parse_status").collect())
+    assert told == [(1, "failed to parse for time"), (3, "failed to parse for disk_sadf"), (4, "Duplicate file for cpu_sadf"), (5, "failed to parse for threadstat_read")]
+    assert [(r.id, r["%user"]) for r in read("cpu_sadf").collect()] == [(4, 7.5)]
+    assert dict(read("config").dtypes)["iteration"] == "tinyint"
+
+
+def test_a_table_made_twice_fails_its_run_alone(spark, tmp_path):
+    pack(tmp_path, 1, {"twice.txt": "mine=1\n", "twice.sadf": HEAD + "h;1;2031-03-05 08:15:20 UTC;0;1.5;9\n", "status.txt": "success"})
+    pack(tmp_path, 2, {"twice.txt": "mine=2\n", "status.txt": "success"})
+    own = Extractor("twice_sadf", (Rule("twice_sadf", r"^twice\.txt$"),), Grammar("mine=", r"mine=(\d+)", {"mine": text}), endings=("twice.txt",))
+    kept = dict(extractors._OWN)
+    register_extractor(own)
+    try:
+        collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, (1, 2)), f"{tmp_path}/lake")
+    finally:
+        extractors._OWN.clear()
+        extractors._OWN.update(kept)
+    assert [(r.id, r.message) for r in spark.read.parquet(f"{tmp_path}/lake/parse_status").collect()] == [(1, "table made twice: twice_sadf")]
+    assert [r.id for r in spark.read.parquet(f"{tmp_path}/lake/status").collect()] == [2]
+    assert [(r.id, r.mine) for r in spark.read.parquet(f"{tmp_path}/lake/twice_sadf").collect()] == [(2, "2")]
+
+
+def test_each_table_reads_its_own_lines_once(spark, tmp_path, monkeypatch):
+    pack(tmp_path, 1, ZGC)
+    plans = {}
+    put = Staging.put
+
+    def watched(self, df, name, by=None):
+        scans = [x for x in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in x and "line:string" in x]
+        plans[name] = len(scans), all("PartitionFilters: [" in x and "arrays_overlap(split(file_kind" in x for x in scans)
+        return put(self, df, name, by)
+
+    monkeypatch.setattr(Staging, "put", watched)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, (1,)), f"{tmp_path}/lake")
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    captured = {n: p for n, p in plans.items() if n.startswith("captured/")}
+    assert len(captured) > 12 and {n: p for n, p in captured.items() if p != (1, True)} == {}
+
+
+def test_files_of_the_lake(spark, tmp_path):
+    rows = spark.range(50_000).selectExpr("id", "concat('text ', id) AS t", "if(id < 40000, 'a', 'b') AS collection")
+    sink.write_table(rows, "wide", str(tmp_path), narrow=True, file_bytes=400_000)
+    found = {p: pq.ParquetFile(p).metadata for p in tmp_path.glob("wide/*/*.parquet")}
+    assert len(found) >= 4 and all(m.num_rows * 27 <= 450_000 for m in found.values()) and sum(m.num_rows for m in found.values()) == 50_000
+    meta = next(iter(found.values())).row_group(0).column(0)
+    assert meta.compression == "ZSTD" and meta.is_stats_set and str(meta.physical_type) == "INT32"
+    assert not list(tmp_path.glob("_wide/*/*.parquet"))
+
+
+def test_row_groups_have_their_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "GROUP_ROWS", 7000)
+    sink.write_table(spark.range(20_000).selectExpr("id", "'a' AS collection").coalesce(1), "rows", str(tmp_path))
+    sizes = [m.row_group(k).num_rows for p in tmp_path.glob("rows/*/*.parquet") for m in [pq.ParquetFile(p).metadata] for k in range(m.num_row_groups)]
+    assert max(sizes) <= 7000 and sum(sizes) == 20_000 and len(sizes) >= 3
+
+
 def test_lines_of_members(spark, tmp_path):
     pack(tmp_path, 7, {"a.raw": "one\ntwo", "b.raw": "", "c.bin": "no"})
     paths = spark.createDataFrame([(7, f"{tmp_path}/runs/{7:016X}.tar.xz"), (8, f"{tmp_path}/runs/none")], "id long, path string")
