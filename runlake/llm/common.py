@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +9,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; Spark's reader opens the path, so any store that Spark knows will do."""
@@ -18,15 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the one that all executors share.
-
-    ``spark.checkpoint.dir`` names it on a cluster. Where it is unset, as in tests, a local one is made.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="runlake-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/runlake-{label}-{uuid.uuid4().hex}"
+    """A new folder under the one that all executors share; without one, an error on a cluster."""
+    return shared_folder(spark, label)
 
 
 def spooled(df: DataFrame, label: str) -> DataFrame:
