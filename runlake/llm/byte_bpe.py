@@ -125,7 +125,7 @@ class ByteBpe:
     def encode_piece(self, piece: bytes) -> list[int]:
         text = piece.decode("latin-1")
         whole = self.ids.get(text)
-        if whole is not None and text in self.reachable:
+        if whole is not None:  # a piece that is a token is that token, even if no merges make it
             return [whole]
         size, pairs, shorter, lengths = len(text), self.pairs, self.shorter, self.lengths
         longest: list[int | None] = [None] * (size + 1)

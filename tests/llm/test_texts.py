@@ -43,6 +43,14 @@ def test_long_runs(text):
     assert ids(text) == PLAIN.encode_ordinary(text)
 
 
+def test_a_token_that_no_merges_make():
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"xy": 257, b"xyz": 258}
+    own = byte_bpe.ByteBpe(ranks, r"\S+|\s+")
+    public = tiktoken.Encoding("odd", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    for text in ("abc", "abcd", "xyz", "xyzabc", "abc xyz  abcabc", "xy"):
+        assert list(memoryview(own.encode_packed(text)).cast("I")) == public.encode_ordinary(text)
+
+
 def test_encoding_of_a_table(odd, empty):
     rows = byte_bpe.encode_texts(odd, VOCABULARY, public_tokenizers.PATTERN, ids=True).collect()
     packed = lambda t: b"".join(i.to_bytes(4, "little") for i in PLAIN.encode_ordinary(t))
