@@ -44,7 +44,10 @@ def write_table(df: DataFrame, table: str, base: str, narrow: bool = False, file
     rows = spark.read.schema(df.schema).parquet(wide)
     found = measured(rows)
     rows = narrowed(rows, found) if narrow else rows
-    most = max(1, int(file_bytes * found["n"] / found["bytes"])) if found["bytes"] else 0
+    if not found["n"]:
+        delete(spark, wide)
+        return rows.schema
+    most = max(1, int(file_bytes * found["n"] / found["bytes"])) 
     writer = rows.hint("rebalance", F.col("collection")).write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL)
     writer.option("parquet.block.row.count.limit", GROUP_ROWS).option("maxRecordsPerFile", most).partitionBy("collection").parquet(f"{base}/{table}")

@@ -4,6 +4,7 @@ import io
 import tarfile
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from runlake.operators.selection import config_table
@@ -41,7 +42,23 @@ def pack(folder, id_, files, cut=None):
     (folder / "runs" / f"{id_:016X}.tar.xz").write_bytes(out.getvalue()[:cut])
 
 
-def test_from_archives_to_the_lake(spark, tmp_path):
+@pytest.fixture
+def scans(spark, monkeypatch):
+    """How many scans of the staged lines each staged table takes, and whether all of them prune by kind of file."""
+    plans, put = {}, Staging.put
+
+    def watched(self, df, name, by=None):
+        found = [x for x in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in x and "line:string" in x]
+        plans[name] = len(found), all("PartitionFilters: [" in x and "arrays_overlap(split(file_kind" in x for x in found)
+        return put(self, df, name, by)
+
+    monkeypatch.setattr(Staging, "put", watched)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    yield plans
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_from_archives_to_the_lake(spark, tmp_path, scans):
     pack(tmp_path, 1, ZGC)
     pack(tmp_path, 2, ZGC | {"gc.javalog": b"\xff\xfe broken", "status.txt": "failed"})
     pack(tmp_path, 3, ZGC, cut=-40)
@@ -68,6 +85,8 @@ def test_from_archives_to_the_lake(spark, tmp_path):
     assert read("g1_phases").count() == 0 and "gc_type" in read("g1_phases").columns  # empty, not absent
     assert {r.id for r in read("config").collect()} == {1, 2}
     assert config_table(runs).columns[0] == "benchmark" and len(config_table(runs).columns) == 60
+    captured = {n: p for n, p in scans.items() if n.startswith("captured/")}  # each table reads its own lines, once
+    assert len(captured) > 12 and {n: p for n, p in captured.items() if p != (1, True)} == {}
 
 
 HEAD = "# hostname;interval;timestamp;CPU;%user;%idle[...]\n"
@@ -76,6 +95,8 @@ BAD = {
     2: {"jvm0.time": "elapsed,cpu_percent\r\n12,97%\r\n13,?\r\n", "git_info.csv": 'repository,note,note\nours,"a, b","two\nlines"\n'},
     3: {"disk.sadf": HEAD + "h;1;yesterday;0;1.5;9\n", "cpu_all_cores.sadf": HEAD + "h;1;2031-03-05 08:15:20 UTC;0;1.5;9\n"},
     4: {"cpu.sadf": HEAD + "h;1;2031-03-05 08:15:20 UTC;0;1.5;9\n", "cpu_data.csv": "hostname,interval,timestamp,CPU,%user,%idle\nh,1,2031-03-05 08:15:20,0,7.5,9\n"},
+    6: {"twice.txt": "mine=1\n", "twice.sadf": HEAD + "h;1;2031-03-05 08:15:20 UTC;0;1.5;9\n", "status.txt": "success"},
+    7: {"twice.txt": "mine=2\n", "status.txt": "success"},
     5: {"threadstat-event.csv": "read_id,count,event_id\r\n1,5,2\r\n", "threadstat-read.csv": "read_id,timestamp,time_running,time_enabled\n1,x,2,3\n"},
 }
 
@@ -88,55 +109,26 @@ def runs_of(spark, ids, benchmark="dacapo_samples2"):
 def test_files_that_do_not_parse_are_issues_of_their_own(spark, tmp_path):
     for id_, files in BAD.items():
         pack(tmp_path, id_, files)
-    lake = f"{tmp_path}/lake"
-    collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, BAD), lake)
+    lake, kept = f"{tmp_path}/lake", dict(extractors._OWN)
+    extractors._OWN.clear()
+    register_extractor(Extractor("twice_sadf", (Rule("twice_sadf", r"^twice\.txt$"),), Grammar("mine=", r"mine=(\d+)", {"mine": text}), endings=("twice.txt",)))
+    try:
+        collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, BAD), lake)
+    finally:
+        extractors._OWN.clear()
+        extractors._OWN.update(kept)
     read = lambda t: spark.read.parquet(f"{lake}/{t}")
     assert sorted((r.id, r.elapsed, r.cpu_percent) for r in read("time").collect()) == [(2, 12, 97), (2, 13, None)]
     assert {r.id: (r.repository, r.note, r.note_duplicated_0, r.commit) for r in read("git_info").collect()} == {1: ("ours", None, None, "abc"), 2: ("ours", "a, b", "two\nlines", None)}
     assert [(r.id, r["%user"]) for r in read("cpu_all_cores_sadf").collect()] == [(3, 1.5)] and read("disk_sadf").count() == 0
     assert [(r.id, r.count) for r in read("threadstat_event").select("id", F.col("count").alias("count_")).toDF("id", "count_").collect()][0][0] == 5 and read("threadstat_read").count() == 0
     told = sorted((r.id, r.message) for r in read("parse_status").collect())
-    assert told == [(1, "failed to parse for time"), (3, "failed to parse for disk_sadf"), (4, "Duplicate file for cpu_sadf"), (5, "failed to parse for threadstat_read")]
+    assert told == [(1, "failed to parse for time"), (3, "failed to parse for disk_sadf"), (4, "Duplicate file for cpu_sadf"), (5, "failed to parse for threadstat_read"), (6, "table made twice: twice_sadf")]  # that run has no rows but this one
+    assert {r.id for r in read("status").collect()} == {1, 2, 3, 4, 5, 7} and [(r.id, r.mine) for r in read("twice_sadf").collect()] == [(7, "2")]
     assert [(r.id, r["%user"]) for r in read("cpu_sadf").collect()] == [(4, 7.5)]
     assert dict(read("config").dtypes)["iteration"] == "tinyint"
 
 
-def test_a_table_made_twice_fails_its_run_alone(spark, tmp_path):
-    pack(tmp_path, 1, {"twice.txt": "mine=1\n", "twice.sadf": HEAD + "h;1;2031-03-05 08:15:20 UTC;0;1.5;9\n", "status.txt": "success"})
-    pack(tmp_path, 2, {"twice.txt": "mine=2\n", "status.txt": "success"})
-    own = Extractor("twice_sadf", (Rule("twice_sadf", r"^twice\.txt$"),), Grammar("mine=", r"mine=(\d+)", {"mine": text}), endings=("twice.txt",))
-    kept = dict(extractors._OWN)
-    register_extractor(own)
-    try:
-        collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, (1, 2)), f"{tmp_path}/lake")
-    finally:
-        extractors._OWN.clear()
-        extractors._OWN.update(kept)
-    assert [(r.id, r.message) for r in spark.read.parquet(f"{tmp_path}/lake/parse_status").collect()] == [(1, "table made twice: twice_sadf")]
-    assert [r.id for r in spark.read.parquet(f"{tmp_path}/lake/status").collect()] == [2]
-    assert [(r.id, r.mine) for r in spark.read.parquet(f"{tmp_path}/lake/twice_sadf").collect()] == [(2, "2")]
-
-
-def test_each_table_reads_its_own_lines_once(spark, tmp_path, monkeypatch):
-    pack(tmp_path, 1, ZGC)
-    plans = {}
-    put = Staging.put
-
-    def watched(self, df, name, by=None):
-        scans = [x for x in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in x and "line:string" in x]
-        plans[name] = len(scans), all("PartitionFilters: [" in x and "arrays_overlap(split(file_kind" in x for x in scans)
-        return put(self, df, name, by)
-
-    monkeypatch.setattr(Staging, "put", watched)
-    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
-    try:
-        collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, (1,)), f"{tmp_path}/lake")
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    captured = {n: p for n, p in plans.items() if n.startswith("captured/")}
-    assert len(captured) > 12 and {n: p for n, p in captured.items() if p != (1, True)} == {}
-
-
 def test_files_of_the_lake(spark, tmp_path):
     rows = spark.range(50_000).selectExpr("id", "concat('text ', id) AS t", "if(id < 40000, 'a', 'b') AS collection")
     sink.write_table(rows, "wide", str(tmp_path), narrow=True, file_bytes=400_000)
