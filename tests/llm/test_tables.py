@@ -178,6 +178,9 @@ def test_sources_without_a_weight_come_after_the_mix(spark):
     last = max(r.slot for r in rows if r.source in "ab")
     assert sorted({(r.source, r.slot - last) for r in rows if r.source in "cd"}) == [("c", k) for k in range(1, 11)] + [("d", k) for k in range(11, 21)]
     assert not any(r.in_mix for r in rows if r.source in "cd") and any(r.in_mix for r in rows)
+    for weights in ({}, {"a": 0}, {"elsewhere": 1}):
+        rows = mixing.mix(docs, weights, block=10).collect()
+        assert sorted({(r.slot, r.source) for r in rows}) == [(k, "abcd"[k // 10]) for k in range(40)] and not any(r.in_mix for r in rows)
 
 
 def test_thousands_of_sources_take_seconds(spark):
