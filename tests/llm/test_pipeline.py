@@ -37,7 +37,7 @@ def test_stages(spark, odd, data):
     left = corpus_pipeline.near_dedup(spark, docs, data)
     rows = docs.collect()
     prints = [plain_fingerprint(r.text or "") for r in rows]
-    root = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3])
+    root = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= corpus_pipeline.RADIUS])
     assert left.columns == docs.columns
     kept = left.collect()
     assert len(kept) == len(set(root))
