@@ -78,7 +78,7 @@ def extract(lines: DataFrame, grammar: Grammar, table: str, once: bool = True, f
     """
     rows = read_fields(captures(lines, grammar), grammar)
     file_name = "file_name" if "name" in grammar.fields else "name"
-    rows = stage(rows.drop(file_name, "line", "is_last", "error", "valid", "file_kind"))
+    rows = stage(rows.drop(file_name, "line", "is_last", "error", "valid", "last_text", "file_kind"))
     failed = rows.filter("bad").select("id", "ord", F.lit(True).alias("__bad")).distinct()
     files = lines.select(*FILE).distinct() if files is None else files
     kept, issues = file_verdicts(files.join(failed, ["id", "ord"], "left"), F.coalesce("__bad", F.lit(False)), table, once)
@@ -115,30 +115,35 @@ def zgc_task_workers(lines: DataFrame, **how) -> Made:
     return rows.select("gc_number", F.when(F.lower("generation") == "young", "y").otherwise("o").alias("age"), "num_workers", "id"), issues
 
 
-def g1_types(lines: DataFrame) -> DataFrame:
+def g1_types(lines: DataFrame, files: DataFrame | None = None, stage: Stage = lambda df: df) -> DataFrame:
     """(id, ord, gc_number, gc_type): the first type that a log gives each collection.
 
     A line that ends with its type counts only if nothing but blank space follows in the file, or the next text
-    starts with a digit: the pattern's end is the end of the text, and its gap may span lines. Only such
-    lines, blank ones and those that start with a digit are put in order, which are few in a log.
+    starts with a digit: the pattern's end is the end of the text, and its gap may span lines. Only lines of types,
+    blank ones and those that start with a digit are looked at, which are few in a log; where a file's text ends
+    comes from ``files``, or else from the lines.
     """
     line, place = F.col("line"), ["id", "ord", "line_no"]
     blank, digit = F.trim(line) == "", line.rlike(r"(?Ud)^\s*\d")
     bare = line.rlike(r"(?Ud)\[gc\s*\] GC\(\d+\) (Pause Young \([^)]+\)|Pause \w+|Concurrent [A-Za-z ]+?)\s*$")
-    ends = lines.filter(~blank).groupBy("id", "ord").agg(F.max("line_no").alias("line_no"))
-    few = lines.filter(blank | digit | bare).select(*place, blank.alias("blank"), digit.alias("digit"))
+    typed = line.rlike(G1_TYPE.pattern)
+    few = stage(lines.filter(blank | digit | bare | typed).select("id", "ord", "name", "line_no", "line", blank.alias("blank"), digit.alias("digit"), bare.alias("bare")))
+    if files is not None and "last_text" in files.columns:
+        ends = files.select("id", "ord", F.col("last_text").alias("line_no"))
+    else:
+        ends = lines.filter(~blank).groupBy("id", "ord").agg(F.max("line_no").alias("line_no"))
     run = F.col("line_no") - F.row_number().over(Window.partitionBy("id", "ord").orderBy("line_no"))
     after = F.lead("digit").over(Window.partitionBy("id", "ord", "run").orderBy("line_no"))
     followed = few.withColumn("run", run).filter("not blank").withColumn("after", after).filter("after").select(*place)
     counted = ends.select(*place).unionByName(followed).distinct()
-    found = captures(lines.select("id", "ord", "name", "line_no", "line"), G1_TYPE)
-    found = found.filter(~bare).unionByName(found.filter(bare).join(counted, place, "left_semi").select(found.columns))
+    found = captures(few.select("id", "ord", "name", "line_no", "line", "bare"), G1_TYPE)
+    found = found.filter("not bare").unionByName(found.filter("bare").join(counted, place, "left_semi").select(found.columns))
     return first_wins(read_fields(found, G1_TYPE), ["id", "ord", "gc_number"], ["line_no", "pos"], "gc_type")
 
 
 def g1_phases(lines: DataFrame, **how) -> Made:
     rows, issues = extract(lines, G1_PHASE, "g1_phases", **how)
-    rows = lookup_with_default(rows, g1_types(lines), ["id", "ord", "gc_number"], "gc_type")
+    rows = lookup_with_default(rows, g1_types(lines, **how), ["id", "ord", "gc_number"], "gc_type")
     rows = suffix_sum(rows, "time_ms", ["id", "ord", "gc_number"], ["line_no", "pos"], "rest_ms")
     clock = C.parse_iso(F.col("clock_text"))
     return rows.select(clock.alias("clock_time"), "gc_number", "gc_type", "name", C.to_micros(F.col("time_ms"), 1e3).alias("time_us"), C.minus_ms(clock, F.col("rest_ms")).alias("start_time"), "id"), issues

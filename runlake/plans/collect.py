@@ -76,7 +76,7 @@ class Corpus:
             self.lines = staging.put(lines.withColumn("file_kind", kind).filter("file_kind <> ''").withColumn("line", text), "lines", by="file_kind")
         finally:
             spark.conf.set(key, before)
-        self.files = staging.put(self.lines.filter("is_last").select("id", "ord", "name", "file_kind", "valid"), "files")
+        self.files = staging.put(self.lines.filter("is_last").select("id", "ord", "name", "file_kind", "valid", "last_text"), "files")
         broken = self.lines.filter("file_kind = 'error'").select("id", F.lit(None).cast("string").alias("name"), "error").distinct()
         self.broken = quality.issue(broken, "run", None, F.col("error"))
 

@@ -70,7 +70,7 @@ OPTIONAL_KINDS = {
 KINDS = REQUIRED_KINDS | OPTIONAL_KINDS
 RUN = T.StructType([T.StructField(name, TYPES[kind], name not in REQUIRED_KINDS) for name, kind in KINDS.items()])
 
-LOG_LINES = "id long, ord int, name string, line_no long, line binary, is_last boolean, error string, valid boolean"
+LOG_LINES = "id long, ord int, name string, line_no long, line binary, is_last boolean, error string, valid boolean, last_text long"
 ISSUES = "id long, stage string, collector string, name string, message string"
 
 THREADSTAT_EVENT = "read_id long, count long, event_id long"

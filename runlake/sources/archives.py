@@ -16,8 +16,8 @@ from ..schema import LOG_LINES
 #: Lines of a batch, and bytes of it, whichever comes first.
 BATCH_LINES, BATCH_BYTES = 5000, 4 << 20
 
-_NAMES = ("id", "ord", "name", "line_no", "line", "is_last", "error", "valid")
-_KINDS = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.bool_())
+_NAMES = ("id", "ord", "name", "line_no", "line", "is_last", "error", "valid", "last_text")
+_KINDS = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.bool_(), pa.int64())
 #: Endings of CSV members, whose records may run over lines.
 CSV_ENDINGS = (".csv", ".sadf", ".time")
 
@@ -51,7 +51,7 @@ def _records(member: Iterator[bytes]) -> Iterator[bytes]:
 def _members(id_: int, file, wanted: tuple[str, ...]) -> Iterator[tuple]:
     """The lines of an open archive; only members whose name has a wanted ending are read.
 
-    A member's last row tells whether all of it is UTF-8.
+    A member's last row tells whether all of it is UTF-8, and which line is the last that isn't blank.
     """
     with lzma.open(file) as plain, tarfile.open(fileobj=plain, mode="r|") as archive:
         ord_ = 0
@@ -59,15 +59,15 @@ def _members(id_: int, file, wanted: tuple[str, ...]) -> Iterator[tuple]:
             if not member.isfile():
                 continue
             if not wanted or member.name.endswith(wanted):
-                last, n, valid = None, 0, True
+                last, n, valid, text = None, 0, True, None
                 content = archive.extractfile(member)
                 for line in _records(content) if member.name.endswith(CSV_ENDINGS) else content:
                     if last is not None:
-                        yield id_, ord_, member.name, n, last, False, None, None
+                        yield id_, ord_, member.name, n, last, False, None, None, None
                         n += 1
                     last = line.removesuffix(b"\n")
-                    valid = valid and _is_text(last)
-                yield id_, ord_, member.name, n, last or b"", True, None, valid
+                    valid, text = valid and _is_text(last), n if last.strip(b" ") else text
+                yield id_, ord_, member.name, n, last or b"", True, None, valid, text
             ord_ += 1
         while plain.read(1 << 20):  # a stream that was cut off after the last member is found out here
             pass
@@ -87,7 +87,7 @@ def _scanned(open_: callable, wanted: tuple[str, ...]):
                                 yield _batch(rows)
                                 rows, held = [], 0
                 except (OSError, EOFError, tarfile.TarError, lzma.LZMAError) as wrong:
-                    rows.append((id_, None, None, None, None, None, f"cannot read archive: {type(wrong).__name__}", None))
+                    rows.append((id_, None, None, None, None, None, f"cannot read archive: {type(wrong).__name__}", None, None))
         if rows:
             yield _batch(rows)
 

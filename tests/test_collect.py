@@ -147,8 +147,9 @@ def test_row_groups_have_their_rows(spark, tmp_path, monkeypatch):
 
 
 def test_lines_of_members(spark, tmp_path):
-    pack(tmp_path, 7, {"a.raw": "one\ntwo", "b.raw": "", "c.bin": "no"})
+    pack(tmp_path, 7, {"a.raw": "one\ntwo\n  \n", "b.raw": "", "c.bin": "no", "d.raw": b"\xff"})
     paths = spark.createDataFrame([(7, f"{tmp_path}/runs/{7:016X}.tar.xz"), (8, f"{tmp_path}/runs/none")], "id long, path string")
     rows = archives.scan_archives(paths, (".raw",)).orderBy("id", "ord", "line_no").collect()
-    assert [(r.id, r.ord, r.name, r.line_no, bytes(r.line), r.is_last) for r in rows if r.error is None] == [(7, 0, "a.raw", 0, b"one", False), (7, 0, "a.raw", 1, b"two", True), (7, 1, "b.raw", 0, b"", True)]
+    assert [(r.id, r.ord, r.name, r.line_no, bytes(r.line), r.is_last) for r in rows if r.error is None] == [(7, 0, "a.raw", 0, b"one", False), (7, 0, "a.raw", 1, b"two", False), (7, 0, "a.raw", 2, b"  ", True), (7, 1, "b.raw", 0, b"", True), (7, 3, "d.raw", 0, b"\xff", True)]
+    assert [(r.name, r.valid, r.last_text) for r in rows if r.is_last] == [("a.raw", True, 1), ("b.raw", True, None), ("d.raw", False, 0)]
     assert [(r.id, r.error) for r in rows if r.error] == [(8, "cannot read archive: FileNotFoundError")]

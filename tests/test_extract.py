@@ -69,6 +69,8 @@ def test_a_bare_type_line_counts_only_at_the_end_of_the_file(spark):
     assert {r.gc_type for r in rows.collect()} == {"Pause Remark"}
     types = {r.gc_number: r.gc_type for r in X.g1_types(lines(spark, G1[1], "[x][info][gc ] GC(3) Concurrent Mark Cycle", "  ")).collect()}
     assert types == {2: "Pause Remark", 3: "Concurrent Mark Cycle"}
+    files = spark.createDataFrame([(1, 0, 1)], "id long, ord int, last_text long")  # as the scan tells it
+    assert types == {r.gc_number: r.gc_type for r in X.g1_types(lines(spark, G1[1], "[x][info][gc ] GC(3) Concurrent Mark Cycle", "  "), files).collect()}
     types = {r.gc_number: r.gc_type for r in X.g1_types(lines(spark, "[x][info][gc ] GC(3) Concurrent Mark Cycle", "", "7 more", "end")).collect()}
     assert types == {3: "Concurrent Mark Cycle"}
 
