@@ -66,7 +66,7 @@ def threadstat_read(lines: DataFrame, files: DataFrame | None = None, stage: Sta
     return rows.select("read_id", C.from_epoch_ns(F.col("timestamp")).alias("timestamp"), F.col("timestamp").alias("timestamp_ns"), "time_running", "time_enabled", "id"), issues
 
 
-def load_table(lines: DataFrame, table: str, sep: str = ";", files: DataFrame | None = None, stage: Stage = _itself) -> Made:
+def load_table(lines: DataFrame, table: str, sep: str = ";", files: DataFrame | None = None, stage: Stage | None = None) -> Made:
     """A load export as a table: its time read, the host's columns dropped, the whole-machine row of the per-core table left out.
 
     A file with a time that isn't one is bad.
@@ -82,7 +82,7 @@ def load_table(lines: DataFrame, table: str, sep: str = ";", files: DataFrame |
     return (not_sentinel(rows, "CPU") if table == PER_CORE and "CPU" in rows.columns else rows), issues
 
 
-def time_table(lines: DataFrame, files: DataFrame | None = None, stage: Stage = _itself) -> Made:
+def time_table(lines: DataFrame, files: DataFrame | None = None, stage: Stage | None = None) -> Made:
     """Process times; the per cent sign goes from cpu_percent, which becomes a whole number or null."""
     rows, bad = csvfiles.inferred(lines, stage=stage)
     rows, issues = kept_rows(rows, bad, _files(lines, files), "time")
@@ -90,7 +90,7 @@ def time_table(lines: DataFrame, files: DataFrame | None = None, stage: Stage =
     return (rows.withColumn("cpu_percent", C.to_int(C.strip_suffix(F.col("cpu_percent").cast("string"), "%"), C.U32)) if "cpu_percent" in rows.columns else rows), issues
 
 
-def git_info(lines: DataFrame, files: DataFrame | None = None, stage: Stage = _itself) -> Made:
+def git_info(lines: DataFrame, files: DataFrame | None = None, stage: Stage | None = None) -> Made:
     rows, bad = csvfiles.inferred(lines, stage=stage)
     rows, issues = kept_rows(rows, bad, _files(lines, files), "git_info")
     return _tidy(rows), issues

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_folder
+
 CORRUPT = "__corrupt"
 FILE = ["id", "ord", "name"]
 #: Columns that tell a row's place; a column of the file with such a name gets a line after it.
@@ -69,17 +71,25 @@ def header_names(head: Column) -> Column:
     return F.transform(named, numbered)
 
 
-def inferred(lines: DataFrame, sep: str = ",", comment: str = "", stage: Stage = lambda df: df) -> tuple[DataFrame, DataFrame]:
+def spooled(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read back."""
+    path = shared_folder(df.sparkSession, "cells")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def inferred(lines: DataFrame, sep: str = ",", comment: str = "", stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of files with a header each, and the files (id, ord, name) that don't parse. Rows carry id, ord, name and line_no.
 
     Types are inferred once for each column, over all files that have it: whole numbers of 64 bits, of 38 digits,
     doubles, or text. A file is bad if a record has more or fewer cells than its header, or text beside quotes.
-    ``stage`` may write the records' cells and read them back, so that lines are read once.
+    The records' cells are looked at for headers, for bad records, for types and for the rows, so ``stage`` writes
+    them and reads them back; by default to the shared folder.
     """
     text = _records(lines)
     if comment:
         text = text.withColumn("line", F.when(F.col("line_no") == 0, F.regexp_replace("line", f"^{re.escape(comment)}", "")).otherwise(F.col("line")))
-    split = stage(text.select(*PLACE, cells(F.col("line"), sep).alias("__cells")))
+    split = (stage or spooled)(text.select(*PLACE, cells(F.col("line"), sep).alias("__cells")))
     heads = split.filter("line_no = 0").select(*FILE, header_names(F.col("__cells")).alias("__head"))
     rows = split.filter("line_no > 0").join(heads, FILE, "left")
     fits = F.coalesce(F.size("__cells") == F.size("__head"), F.lit(False))
