@@ -83,4 +83,22 @@ SELECT n.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, r.component AS com
 FROM numbered n JOIN reached r USING (row) LEFT JOIN counted c USING (row) LEFT JOIN usable u USING (row)
 """
 
-ORACLES: dict[str, str] = {"op1_mixing": MIXING, "op7_warc": WARC, "op10_embedding_near_dedup": EMBEDDINGS}
+#: Each anchor against all rows, in whole numbers that doubles hold exactly.
+NEGATIVES = """
+WITH usable AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.row <> b.row WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS k FROM scored WHERE same QUALIFY k <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_mixing": MIXING, "op7_warc": WARC, "op10_embedding_near_dedup": EMBEDDINGS, "op13_hard_negatives": NEGATIVES}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, byte_bpe, embedding_dedup, license_scan, mixing, oracles, quality_mil, quality_rules, secret_scan, sharding, simhash, warc
+from . import alignment, byte_bpe, embedding_dedup, hard_negatives, license_scan, mixing, oracles, quality_mil, quality_rules, secret_scan, sharding, simhash, warc
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secret_scan": op2_secret_scan,
@@ -68,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_mil": op9_quality_mil,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op12_alignment": op12_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
