@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, byte_bpe, embedding_dedup, hard_negatives, license_scan, mixing, oracles, quality_mil, quality_rules, secret_scan, sharding, simhash, warc
+from . import alignment, byte_bpe, embedding_dedup, hard_negatives, license_scan, mixing, oracles, quality_mil, quality_rules, secret_scan, sharding, simhash, warc, weighted_sampling
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_mil": op9_quality_mil,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_fingerprints": op11_fingerprints,
     "op12_alignment": op12_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
