@@ -34,8 +34,9 @@ def _declared(lines: DataFrame, schema: str, table: str, files: DataFrame | None
 
 
 def _tidy(rows: DataFrame) -> DataFrame:
-    """Without a row's place; columns that made way for it get their names back."""
+    """Without a row's place but the id, which comes last; columns that made way for it get their names back."""
     rows = without(rows, "ord", "name", "line_no")
+    rows = rows.select(*(F.col(f"`{c}`") for c in rows.columns if c != "id"), "id")
     return rows.withColumnsRenamed({f"{n}_": n for n in ("ord", "name", "line_no") if f"{n}_" in rows.columns})
 
 
@@ -75,7 +76,8 @@ def load_table(lines: DataFrame, table: str, sep: str = ";", files: DataFrame |
     rows = rename_prefix(rows, "%idle[", "%idle")
     if "timestamp" in rows.columns:
         rows = rows.withColumn("__said", F.col("timestamp").cast("string")).withColumn("timestamp", C.parse_sadf(F.col("__said")))
-        bad = bad.unionByName(rows.filter("timestamp is null and __said is not null").select(*FILE)).distinct()
+        odd = csvfiles.first_failure(rows.filter("timestamp is null and __said is not null"), F.lit("timestamp"), F.col("__said"))
+        bad = bad.unionByName(odd.join(bad.select(*FILE), FILE, "left_anti"))
         rows = rows.drop("__said")
     rows, issues = kept_rows(rows, bad, _files(lines, files), table)
     rows = without(_tidy(rows), *ALWAYS_DROPPED, *DROPPED.get(table, ()))

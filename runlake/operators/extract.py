@@ -58,31 +58,34 @@ def captures(lines: DataFrame, grammar: Grammar) -> DataFrame:
 
 
 def read_fields(found: DataFrame, grammar: Grammar) -> DataFrame:
-    """The groups read; ``bad`` where a field that must be read can't be."""
+    """The groups read; ``bad`` where a field that must be read can't be, with the first such one in ``why``."""
     read = {n: f(F.col(f"raw_{n}")) for n, f in grammar.fields.items()}
-    bad = F.lit(False)
-    for n, c in read.items():
-        bad = bad if n in grammar.lenient else bad | c.isNull()
+    bad, why = F.lit(False), F.lit(None).cast("struct<field:string,value:string>")
+    for n, c in reversed(read.items()):
+        if n not in grammar.lenient:
+            bad = bad | c.isNull()
+            why = F.when(c.isNull(), F.struct(F.lit(n).alias("field"), F.col(f"raw_{n}").alias("value"))).otherwise(why)
     keep = [c for c in found.columns if not c.startswith("raw_") and c not in grammar.fields]
     # the name of the file makes way for a field of that name
     keep = [F.col(c) for c in keep] + ([F.col("name").alias("file_name")] if "name" in grammar.fields else [])
-    return found.select(*keep, *(c.alias(n) for n, c in read.items()), bad.alias("bad"))
+    return found.select(*keep, *(c.alias(n) for n, c in read.items()), bad.alias("bad"), why.alias("why"))
 
 
 def extract(lines: DataFrame, grammar: Grammar, table: str, once: bool = True, files: DataFrame | None = None, stage: Stage = lambda df: df) -> Made:
     """The table's rows (with id, ord, line_no, pos) and issues, for text lines of the files that feed it.
 
-    A file with a field that can't be read gives no rows. With ``once`` only each run's first good file
-    counts; otherwise all good files do. ``files`` are the files that feed the table (id, ord, name, perhaps valid), or
+    A file with a field that can't be read gives no rows; its issue tells the first one. With ``once`` only each run's first good file
+    counts; otherwise all good files do. ``files`` are the files that feed the table (id, ord, name, perhaps fault), or
     else found from the lines. ``stage`` may write what is captured and read it back, so that lines are read once.
     """
     rows = read_fields(captures(lines, grammar), grammar)
     file_name = "file_name" if "name" in grammar.fields else "name"
-    rows = stage(rows.drop(file_name, "line", "is_last", "error", "valid", "last_text", "file_kind"))
-    failed = rows.filter("bad").select("id", "ord", F.lit(True).alias("__bad")).distinct()
+    rows = stage(rows.drop(file_name, "line", "is_last", "error", "fault", "last_text", "file_kind"))
+    first = rows.filter("bad").groupBy("id", "ord").agg(F.min_by(F.struct("line_no", "why"), F.struct("line_no", "pos")).alias("at"))
+    failed = first.select("id", "ord", F.lit(True).alias("__bad"), "at.line_no", "at.why.field", "at.why.value")
     files = lines.select(*FILE).distinct() if files is None else files
     kept, issues = file_verdicts(files.join(failed, ["id", "ord"], "left"), F.coalesce("__bad", F.lit(False)), table, once)
-    return rows.filter("not bad").drop("bad").join(kept.select("id", "ord"), ["id", "ord"], "left_semi"), issues
+    return rows.filter("not bad").drop("bad", "why").join(kept.select("id", "ord"), ["id", "ord"], "left_semi"), issues
 
 
 def zgc_phases(lines: DataFrame, **how) -> Made:

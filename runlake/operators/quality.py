@@ -10,30 +10,50 @@ from ..schema import KINDS
 FILE = ["id", "ord", "name"]
 
 
+#: Code points of a value that an issue tells.
+TOLD = 200
+
+
 def issue(df: DataFrame, stage: str, collector: str | None, message: Column) -> DataFrame:
-    name = F.col("name") if "name" in df.columns else F.lit(None).cast("string")
-    return df.select("id", F.lit(stage).alias("stage"), F.lit(collector).cast("string").alias("collector"), name.alias("name"), message.alias("message"))
+    """An issue for each row, with the file's name and the place of its failure where ``df`` has them."""
+
+    def own(name: str, kind: str) -> Column:
+        return F.col(name).cast(kind).alias(name) if name in df.columns else F.lit(None).cast(kind).alias(name)
+
+    value = F.left(own("value", "string"), F.lit(TOLD)).alias("value")
+    return df.select("id", F.lit(stage).alias("stage"), F.lit(collector).cast("string").alias("collector"), own("name", "string"), message.alias("message"), own("line_no", "bigint"), own("field", "string"), value)
+
+
+def told() -> Column:
+    """An issue in words: the file, what happened, and the line, field and value where it happened first. Lines count from 1."""
+    place = F.concat_ws(", ", F.concat(F.lit("line "), F.col("line_no") + 1), F.concat(F.lit("field "), "field"), F.concat(F.lit("value '"), "value", F.lit("'")))
+    return F.concat(F.coalesce(F.concat("name", F.lit(": ")), F.lit("")), "message", F.when(place != "", F.concat(F.lit(": "), place)).otherwise(""))
 
 
 def file_verdicts(files: DataFrame, failed: Column, table: str, once: bool = True) -> tuple[DataFrame, DataFrame]:
     """Which of each run's files for a table count: (kept files, issues).
 
-    ``files`` has one row for each (id, ord, name), and perhaps ``valid``: whether the file is UTF-8; ``failed``
-    is whether it failed to parse. With ``once`` the first good file of each run is kept: a bad file lets the next one in, and
-    a second good file is an issue. Otherwise all good files are kept.
+    ``files`` has one row for each (id, ord, name), and perhaps ``fault``: what is wrong with all of the file, and
+    where it failed; ``failed`` is whether it failed to parse. With ``once`` the first good file of each run is kept: a bad
+    file lets the next one in, and a second good file is an issue. Otherwise all good files are kept.
     """
-    valid = F.coalesce("valid", F.lit(True)) if "valid" in files.columns else F.lit(True)
-    judged = files.withColumn("__valid", valid).withColumn("__failed", failed | ~valid)
+    fault = F.col("fault") if "fault" in files.columns else F.lit(None).cast("string")
+    judged = files.withColumn("__fault", fault).withColumn("__failed", failed | F.col("__fault").isNotNull())
     rank = F.row_number().over(Window.partitionBy("id").orderBy("__failed", "ord")) if once else F.lit(1)
-    judged = judged.withColumn("__rank", rank)
-    message = F.when(~F.col("__valid"), F.lit("invalid UTF-8")).when(F.col("__failed"), F.lit("failed to parse")).otherwise(F.lit("Duplicate file"))
-    issues = issue(judged.filter("__failed or __rank > 1"), "collector", table, F.concat(message, F.lit(f" for {table}")))
-    return judged.filter("not __failed and __rank = 1").select(*FILE), issues
+    # whether there is a good file already is asked before a file is read
+    late = F.coalesce(F.min(F.when(~F.col("__failed"), F.col("ord"))).over(Window.partitionBy("id")) < F.col("ord"), F.lit(False)) if once else F.lit(False)
+    judged = judged.withColumns({"__rank": rank, "__late": late})
+    line = F.regexp_extract("__fault", " in line ([0-9]+)$", 1).try_cast("bigint")
+    message = F.when(F.col("__late"), "Duplicate file").when(F.col("__fault").isNotNull(), F.regexp_replace("__fault", " in line [0-9]+$", "")).when(F.col("__failed"), "failed to parse").otherwise("Duplicate file")
+    wrong = judged.filter("__failed or __rank > 1")
+    place = {"line_no": F.coalesce(line, "line_no") if "line_no" in files.columns else line, **{c: F.col(c) for c in ("field", "value") if c in files.columns}}
+    wrong = wrong.withColumns({n: F.when(~F.col("__late"), c) for n, c in place.items()})
+    return judged.filter("not __failed and __rank = 1").select(*FILE), issue(wrong, "collector", table, F.concat(message, F.lit(f" for {table}")))
 
 
 def kept_rows(rows: DataFrame, bad: DataFrame, files: DataFrame, table: str, once: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Rows of the files that count, and issues: ``bad`` are the files (id, ord, name) that failed to parse."""
-    judged = files.join(bad.select(*FILE).withColumn("__bad", F.lit(True)), FILE, "left")
+    """Rows of the files that count, and issues: ``bad`` are the files (id, ord, name) that failed to parse, perhaps with the place."""
+    judged = files.join(bad.withColumn("__bad", F.lit(True)), FILE, "left")
     kept, issues = file_verdicts(judged, F.coalesce("__bad", F.lit(False)), table, once)
     return rows.join(kept, FILE, "left_semi"), issues
 
@@ -52,7 +72,7 @@ def withhold(df: DataFrame, issues: DataFrame, stage: str = "run") -> DataFrame:
 def assert_unique_tables(made: DataFrame) -> DataFrame:
     """An issue for each run in which two collectors make one table: ``made`` is (id, collector, table)."""
     twice = made.groupBy("id", "table").count().filter("count > 1")
-    return twice.select("id", F.lit("run").alias("stage"), F.lit(None).cast("string").alias("collector"), F.lit(None).cast("string").alias("name"), F.concat(F.lit("table made twice: "), "table").alias("message"))
+    return issue(twice, "run", None, F.concat(F.lit("table made twice: "), "table"))
 
 
 def _broken(kind: str, c: Column) -> Column:

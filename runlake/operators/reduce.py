@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import trim_ws
+from ..functions.columns import U32, to_int, trim_ws
+from .quality import file_verdicts, issue
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
@@ -69,6 +70,29 @@ def run_status(runs: DataFrame, status: DataFrame, exits: DataFrame, os_lines: D
     return all_.select("id", outcome.alias("status"))
 
 
+def run_outcomes(runs: DataFrame, status: tuple[DataFrame, DataFrame], exits: tuple[DataFrame, DataFrame], os: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(id, status) for every run, and the issues of the files that tell it: each argument is (text lines, files).
+
+    A run's first readable status file counts and a further one is an issue; so is a runner's file that isn't one whole
+    number of 32 bits, which then tells nothing: an earlier one of that runner stays. Files that aren't UTF-8 are issues. Lines of
+    ``exits`` have the column ``runner``.
+    """
+    texts = status[0].groupBy("id", "ord").agg(F.concat_ws("\n", F.array_sort(F.collect_list(F.struct("line_no", "line"))).getField("line")).alias("text"))
+    kept, issues = file_verdicts(status[1], F.lit(False), "status")
+    written = texts.join(kept.select("id", "ord"), ["id", "ord"], "left_semi")
+    said = exits[0].withColumns({"said": trim_ws(F.col("line")), "runner": to_int(F.col("runner"), U32)}).filter("runner is not null")
+    first = F.min(F.when(F.col("said") != "", F.struct("line_no", "said"))).alias("first")
+    read = said.groupBy("id", "ord", "name", "runner").agg(F.count_if(F.col("said") != "").alias("n"), first)
+    code = to_int(F.col("first.said"))
+    read = read.withColumn("code", F.when((F.col("n") == 1) & code.between(-(1 << 31), (1 << 31) - 1), code))
+    codes = last_wins(read.filter("code is not null"), ["id", "runner"], ["ord"], ["code"])
+    odd = read.filter("code is null").select("id", "name", F.coalesce("first.line_no", F.lit(0)).alias("line_no"), F.lit("exit code").alias("field"), F.coalesce("first.said", F.lit("")).alias("value"))
+    issues = issues.unionByName(issue(odd, "collector", "status", F.lit("failed to parse for status")))
+    for _, files in (exits, os):
+        issues = issues.unionByName(file_verdicts(files, F.lit(False), "status", once=False)[1])
+    return run_status(runs, written, codes, os[0].select("id", "line")), issues
+
+
 def extremes(df: DataFrame) -> list[Column]:
     """The least and the greatest of each long column, for ``narrowed``."""
     return [f(F.col(f"`{n}`")).alias(f"{k}{i}") for i, (n, kind) in enumerate(df.dtypes) if kind == "bigint" for k, f in (("least", F.min), ("most", F.max))]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schema import COLLECTORS, KINDS, RUN
 from ..sources.manifest import Task
+from .quality import issue
 
 
 def membership(wanted: dict[str, list], strict: bool = True) -> Column:
@@ -37,7 +38,7 @@ def route_collectors(runs: DataFrame, table: dict[str, tuple[str, ...]] | None =
     table = COLLECTORS if table is None else table
     known = F.create_map(*(x for name, own in table.items() for x in (F.lit(name), F.array(*map(F.lit, own)))))
     own = runs.select("id", "benchmark", F.try_element_at(known, F.col("benchmark")).alias("own"))
-    issues = own.filter("own is null").select("id", F.lit("run").alias("stage"), F.lit(None).cast("string").alias("collector"), F.lit(None).cast("string").alias("name"), F.concat(F.lit("no collectors for benchmark "), F.coalesce("benchmark", F.lit(""))).alias("message"))
+    issues = issue(own.filter("own is null"), "run", None, F.concat(F.lit("no collectors for benchmark "), F.coalesce("benchmark", F.lit(""))))
     return own.filter("own is not null").select("id", F.explode("own").alias("collector")), issues
 
 

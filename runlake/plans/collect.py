@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import csvtables, extract, quality, selection
-from ..operators.reduce import run_status
+from ..operators.reduce import run_outcomes
 from ..schema import ISSUES
 from ..sources import archives, manifest
 from ..sources.routing import RULES, Rule, feeds, kind_of, route_files
@@ -76,7 +76,7 @@ class Corpus:
             self.lines = staging.put(lines.withColumn("file_kind", kind).filter("file_kind <> ''").withColumn("line", text), "lines", by="file_kind")
         finally:
             spark.conf.set(key, before)
-        self.files = staging.put(self.lines.filter("is_last").select("id", "ord", "name", "file_kind", "valid", "last_text"), "files")
+        self.files = staging.put(self.lines.filter("is_last").select("id", "ord", "name", "file_kind", "fault", "last_text"), "files")
         broken = self.lines.filter("file_kind = 'error'").select("id", F.lit(None).cast("string").alias("name"), "error").distinct()
         self.broken = quality.issue(broken, "run", None, F.col("error"))
 
@@ -131,11 +131,11 @@ def extract_all(corpus: Corpus, runs: DataFrame, routed: DataFrame, own: list[Ex
     for table, some in _loads(of, stage):
         tables[table] = some[0]
         issues += some[1:]
-    tables["status"] = _status(runs, of, corpus)
+    take("status", _status(runs, of))
     for e in own:
         lines, files = corpus.of(list(e.rules), selection.gc_gate(runs, runs, e.gate) if e.gate else runs)
         if not isinstance(e.how, extract.Grammar):
-            lines = lines.join(files.filter("not valid").select("id", "ord"), ["id", "ord"], "left_anti")
+            lines = lines.join(files.filter("fault is not null").select("id", "ord"), ["id", "ord"], "left_anti")
             take(e.table, run_extractor(e, lines))
         else:
             take(e.table, run_extractor(e, lines, files=files, stage=stage(e.table)))
@@ -163,16 +163,12 @@ def _loads(of, stage):
             yield table, (rows, issues)
 
 
-def _status(runs: DataFrame, of, corpus: Corpus) -> DataFrame:
-    def text(table: str) -> DataFrame:
+def _status(runs: DataFrame, of) -> tuple[DataFrame, DataFrame]:
+    def text(table: str) -> tuple[DataFrame, DataFrame]:
         lines, files = of(table)
-        return lines.join(files.filter("not valid").select("id", "ord"), ["id", "ord"], "left_anti")
+        return lines.join(files.filter("fault is not null").select("id", "ord"), ["id", "ord"], "left_anti"), files
 
-    said = text("status").groupBy("id", "ord").agg(F.concat_ws("\n", F.array_sort(F.collect_list(F.struct("line_no", "line"))).getField("line")).alias("text"))
-    first = said.groupBy("id").agg(F.min_by("text", "ord").alias("text"))
-    exits = text("runner_exit").filter("trim(line) <> ''")
-    codes = exits.groupBy("id", F.col("runner").try_cast("int").alias("runner")).agg(F.max_by(F.trim("line").try_cast("int"), F.col("ord")).alias("code"))
-    return run_status(runs, first, codes, text("os_log").select("id", "line"))
+    return run_outcomes(runs, text("status"), text("runner_exit"), text("os_log"))
 
 
 def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str, narrow: bool = True, strict: bool = True) -> list[str]:
@@ -199,7 +195,7 @@ def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str
     tables, issues = extract_all(corpus, good, quality.withhold(routed, failed), own)
     for some in issues:
         some.write.mode("append").parquet(issues_at)
-    tables["parse_status"] = spark.read.schema(ISSUES).parquet(issues_at).select("message", "id")
+    tables["parse_status"] = spark.read.schema(ISSUES).parquet(issues_at).select(quality.told().alias("message"), "id")
     reset_collections(spark, base, sorted(task.collect))
     written = write_tables(tables, selected, base, task.drop_tables, narrow, sorted(task.collect))
     staging.clear()

@@ -70,8 +70,9 @@ OPTIONAL_KINDS = {
 KINDS = REQUIRED_KINDS | OPTIONAL_KINDS
 RUN = T.StructType([T.StructField(name, TYPES[kind], name not in REQUIRED_KINDS) for name, kind in KINDS.items()])
 
-LOG_LINES = "id long, ord int, name string, line_no long, line binary, is_last boolean, error string, valid boolean, last_text long"
-ISSUES = "id long, stage string, collector string, name string, message string"
+LOG_LINES = "id long, ord int, name string, line_no long, line binary, is_last boolean, error string, fault string, last_text long"
+#: ``line_no``, ``field`` and ``value`` tell where in the file ``name`` it failed first, as far as that is known.
+ISSUES = "id long, stage string, collector string, name string, message string, line_no long, field string, value string"
 
 THREADSTAT_EVENT = "read_id long, count long, event_id long"
 THREADSTAT_DESCRIPTION = "event_id long, name string, pid long"

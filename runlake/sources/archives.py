@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
 import io
 import lzma
+import math
+import os
 import tarfile
 from collections.abc import Iterator
 
@@ -15,15 +18,19 @@ from ..schema import LOG_LINES
 
 #: Lines of a batch, and bytes of it, whichever comes first.
 BATCH_LINES, BATCH_BYTES = 5000, 4 << 20
+#: Bytes of a CSV record at most: a longer one, as a stray quote makes, is a fault of its file.
+RECORD_BYTES = 16 << 20
+#: Compressed bytes of archives that a task scans, and archives that are packed together: a bound of what one task holds of their sizes.
+TASK_BYTES, PACKED_TOGETHER = 32 << 20, 50_000
 
-_NAMES = ("id", "ord", "name", "line_no", "line", "is_last", "error", "valid", "last_text")
-_KINDS = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.bool_(), pa.int64())
+_NAMES = ("id", "ord", "name", "line_no", "line", "is_last", "error", "fault", "last_text")
+_KINDS = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.string(), pa.int64())
 #: Endings of CSV members, whose records may run over lines.
 CSV_ENDINGS = (".csv", ".sadf", ".time")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], names=list(_NAMES))
+class TooLong(ValueError):
+    """A CSV record of more than ``RECORD_BYTES``; ``args`` hold the number of the record."""
 
 
 def _is_text(line: bytes) -> bool:
@@ -37,37 +44,80 @@ def _is_text(line: bytes) -> bool:
 
 
 def _records(member: Iterator[bytes]) -> Iterator[bytes]:
-    """The lines of a CSV member, those that a quoted cell runs over as one."""
-    held = b""
+    """The lines of a CSV member, those that a quoted cell runs over as one.
+
+    Whether a quote is open is carried from line to line, so each byte is looked at once.
+    """
+    held: list[bytes] = []
+    size, open_, n = 0, False, 0
     for line in member:
-        held += line
-        if held.count(b'"') % 2 == 0:
-            yield held
-            held = b""
+        open_ ^= line.count(b'"') % 2 == 1
+        if not held and not open_:
+            yield line
+            n += 1
+            continue
+        held.append(line)
+        size += len(line)
+        if size > RECORD_BYTES:
+            raise TooLong(n)
+        if not open_:
+            yield b"".join(held)
+            n += 1
+            held, size = [], 0
     if held:
-        yield held
+        yield b"".join(held)
+
+
+class _Rows:
+    """Columns of lines that are gathered into batches."""
+
+    def __init__(self):
+        self.columns: list[list] = [[] for _ in _NAMES]
+        self.held = 0
+
+    def add(self, *row) -> None:
+        for column, value in zip(self.columns, row):
+            column.append(value)
+        self.held += len(row[4] or b"")
+
+    def full(self) -> bool:
+        return len(self.columns[0]) >= BATCH_LINES or self.held >= BATCH_BYTES
 
+    def taken(self) -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(self.columns, _KINDS, strict=True)], names=list(_NAMES))
+        self.__init__()
+        return out
 
-def _members(id_: int, file, wanted: tuple[str, ...]) -> Iterator[tuple]:
-    """The lines of an open archive; only members whose name has a wanted ending are read.
 
-    A member's last row tells whether all of it is UTF-8, and which line is the last that isn't blank.
+def _members(rows: _Rows, id_: int, file, wanted: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Batches of the lines of an open archive; only members whose name has a wanted ending are read.
+
+    A member's last row tells what is wrong with all of it, if anything, and which line is the last that isn't blank.
     """
     with lzma.open(file) as plain, tarfile.open(fileobj=plain, mode="r|") as archive:
         ord_ = 0
         for member in archive:
             if not member.isfile():
                 continue
-            if not wanted or member.name.endswith(wanted):
-                last, n, valid, text = None, 0, True, None
+            name = member.name
+            if not wanted or name.endswith(wanted):
+                last, n, fault, text = None, 0, None, None
                 content = archive.extractfile(member)
-                for line in _records(content) if member.name.endswith(CSV_ENDINGS) else content:
-                    if last is not None:
-                        yield id_, ord_, member.name, n, last, False, None, None, None
-                        n += 1
-                    last = line.removesuffix(b"\n")
-                    valid, text = valid and _is_text(last), n if last.strip(b" ") else text
-                yield id_, ord_, member.name, n, last or b"", True, None, valid, text
+                try:
+                    for line in _records(content) if name.endswith(CSV_ENDINGS) else content:
+                        if last is not None:
+                            rows.add(id_, ord_, name, n, last, False, None, None, None)
+                            n += 1
+                            if rows.full():
+                                yield rows.taken()
+                        last = line.removesuffix(b"\n")
+                        if fault is None and not _is_text(last):
+                            fault = f"invalid UTF-8 in line {n}"
+                        if last.strip(b" "):
+                            text = n
+                except TooLong as long:
+                    last, fault = None, fault or f"a record of more than {RECORD_BYTES} bytes from record {long.args[0]} on"
+                rows.add(id_, ord_, name, n, last or b"", True, None, fault, text)
             ord_ += 1
         while plain.read(1 << 20):  # a stream that was cut off after the last member is found out here
             pass
@@ -75,34 +125,88 @@ def _members(id_: int, file, wanted: tuple[str, ...]) -> Iterator[tuple]:
 
 def _scanned(open_: callable, wanted: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
+        rows = _Rows()
         for batch in batches:
             for id_, source in zip(batch["id"].to_pylist(), batch["source"], strict=True):
                 try:
                     with open_(source.as_py()) as file:
-                        for row in _members(id_, file, wanted):
-                            rows.append(row)
-                            held += len(row[4])
-                            if len(rows) >= BATCH_LINES or held >= BATCH_BYTES:
-                                yield _batch(rows)
-                                rows, held = [], 0
+                        yield from _members(rows, id_, file, wanted)
                 except (OSError, EOFError, tarfile.TarError, lzma.LZMAError) as wrong:
-                    rows.append((id_, None, None, None, None, None, f"cannot read archive: {type(wrong).__name__}", None, None))
-        if rows:
-            yield _batch(rows)
+                    rows.add(id_, None, None, None, None, None, f"cannot read archive: {type(wrong).__name__}", None, None)
+        if rows.held or rows.columns[0]:
+            yield rows.taken()
 
     return run
 
 
+def _local(path: str) -> str:
+    return path.removeprefix("file:")
+
+
+def with_sizes(paths: DataFrame) -> DataFrame:
+    """(id, path, size) of archives at ``paths`` (id, path), which executors can open; 0 for one that isn't there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = []
+            for path in batch["path"].to_pylist():
+                try:
+                    sizes.append(os.path.getsize(_local(path)))
+                except OSError:
+                    sizes.append(0)
+            yield batch.append_column("size", pa.array(sizes, pa.int64()))
+
+    cores = paths.sparkSession.sparkContext.defaultParallelism
+    return paths.select(F.col("id").cast("long").alias("id"), "path").repartition(cores, "id").mapInArrow(run, "id long, path string, size long")
+
+
+def lightest_first(sizes: list[int], tasks: int) -> list[int]:
+    """A task for each size: from the largest on, each goes to the task that has least so far; of equal tasks to the first."""
+    heap = [(0, 0, t) for t in range(tasks)]
+    out = [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        total, n, task = heapq.heappop(heap)
+        out[i] = task
+        heapq.heappush(heap, (total + sizes[i], n + 1, task))
+    return out
+
+
+def tasks_for(total: int, n: int, cores: int) -> int:
+    """How many tasks scan ``n`` archives of ``total`` bytes: enough for their bytes and for all cores, but no empty one."""
+    return max(1, min(n, max(cores, math.ceil(total / TASK_BYTES))))
+
+
+def packed(sized: DataFrame, tasks: int, n: int) -> DataFrame:
+    """``sized`` (id, path, size) with a ``task`` for each of ``n`` archives, under ``tasks``.
+
+    Archives are dealt at random into groups of a bounded number, and each group packs its own over its share of the tasks.
+    A very large archive so has a task of its own.
+    """
+    groups = max(1, min(tasks, math.ceil(n / PACKED_TOGETHER)))
+
+    def run(rows: pa.Table) -> pa.Table:
+        group = rows["group"][0].as_py()
+        first, after = group * tasks // groups, (group + 1) * tasks // groups
+        rows = rows.sort_by([("size", "descending"), ("id", "ascending"), ("path", "ascending")])
+        return rows.append_column("task", pa.array([first + t for t in lightest_first(rows["size"].to_pylist(), after - first)], pa.int32()))
+
+    grouped = sized.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
+    return grouped.groupBy("group").applyInArrow(run, "id long, path string, size long, group int, task int").drop("group")
+
+
 def scan_archives(paths: DataFrame, wanted: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:
-    """Lines of all archives at ``paths`` (id, path), which executors can open.
+    """Lines of all archives at ``paths`` (id, path, perhaps size), which executors can open.
 
-    An archive that is missing or broken gives one row with an error after whatever lines came before;
-    ``withhold`` removes the latter. Each task streams its archives one after another.
+    Archives are dealt to tasks by their sizes; as many tasks as ``tasks`` says, or as the bytes and the cores ask for.
+    Partitions stand for tasks one by one, so adaptive execution doesn't merge them, few bytes as their rows are. An archive that is missing
+    or broken gives one row with an error after whatever lines came before; ``withhold`` removes the latter. Each
+    task streams its archives one after another.
     """
-    spread = paths.select(F.col("id"), F.col("path").alias("source"))
-    spread = spread.repartition(tasks, "id") if tasks else spread.repartition("id")
-    return spread.mapInArrow(_scanned(lambda path: open(path.removeprefix("file:"), "rb"), wanted), LOG_LINES)
+    sized = paths if "size" in paths.columns else with_sizes(paths)
+    found = sized.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("total")).first()
+    tasks = tasks or tasks_for(found["total"], found["n"], paths.sparkSession.sparkContext.defaultParallelism)
+    dealt = packed(sized, tasks, found["n"]).repartitionById(tasks, "task").select("id", F.col("path").alias("source"))
+    return dealt.mapInArrow(_scanned(lambda path: open(_local(path), "rb"), wanted), LOG_LINES)
 
 
 def scan_stored(archives: DataFrame, wanted: tuple[str, ...] = ()) -> DataFrame:

@@ -1,7 +1,8 @@
 """CSV members read record by record, without a schema or with one.
 
 A record is a line, or some lines where a quoted cell holds line ends (the scan joins those). Line ends may be \\n or \\r\\n.
-A file with a record that doesn't fit gives no rows at all.
+A byte order mark at a file's start is passed over. A file with a record that doesn't fit gives no rows at all; the
+files that don't fit come with the place of their first failure: ``line_no`` (of the record), ``field`` and ``value``.
 """
 
 from __future__ import annotations
@@ -25,14 +26,21 @@ Stage = Callable[[DataFrame], DataFrame]
 
 def _records(lines: DataFrame) -> DataFrame:
     """Lines as text, without the carriage return of a \\r\\n, and without empty ones below the first."""
-    text = lines.withColumn("line", F.regexp_replace(F.col("line").cast("string"), r"\r$", ""))
-    return text.filter("line_no = 0 or line <> '' or line is null")
+    text = lines.withColumn("line", F.col("line").cast("string")).filter((F.col("line_no") == 0) | ~F.col("line").isin("", "\r") | F.col("line").isNull())
+    line = F.when(F.col("line").endswith("\r"), F.left("line", F.length("line") - 1)).otherwise(F.col("line"))
+    return text.withColumn("line", F.when((F.col("line_no") == 0) & F.col("line").startswith("\ufeff"), F.substring(line, 2, 1 << 30)).otherwise(line))
 
 
 def _clear(name: str) -> str:
     return f"{name}_" if name.lower() in PLACE else name
 
 
+def first_failure(rows: DataFrame, field: Column, value: Column) -> DataFrame:
+    """For each file of the failed ``rows`` the first one's line, field and value."""
+    first = rows.groupBy(*FILE).agg(F.min_by(F.struct("line_no", field.alias("field"), value.alias("value")), "line_no").alias("at"))
+    return first.select(*FILE, "at.*")
+
+
 def declared(lines: DataFrame, schema: str, header: bool = True, sep: str = ",", keep: tuple[str, ...] = (), stage: Stage = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Rows of files with known columns, and the files (id, ord, name) with a value or a record that doesn't fit.
 
@@ -40,21 +48,30 @@ def declared(lines: DataFrame, schema: str, header: bool = True, sep: str = ",",
     """
     body = _records(lines)
     body = body.filter("line_no > 0 or line is null") if header else body
-    fields = T._parse_datatype_string(schema).fieldNames()
-    wide = f"{schema}, {CORRUPT} string"
-    row = F.from_csv("line", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep, "multiLine": "true"})
-    parsed = body.select(*PLACE, *keep, row.alias("__row"))
+    fields = T._parse_datatype_string(schema).fields
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep, "multiLine": "true"}
+    row = F.from_csv("line", f"{schema}, {CORRUPT} string", how)
+    parsed = body.select(*PLACE, *keep, "line", row.alias("__row"))
     broken = F.col(f"__row.{CORRUPT}").isNotNull() | F.col("__row").isNull()
-    parsed = stage(parsed.select(*PLACE, *keep, broken.alias("__broken"), *(F.col(f"__row.`{f}`").alias(_clear(f)) for f in fields)))
-    bad = parsed.filter("__broken").select(*FILE).distinct()
-    return parsed.join(bad, FILE, "left_anti").drop("__broken"), bad
+    parsed = stage(parsed.select(*PLACE, *keep, F.when(broken, F.coalesce("line", F.lit(""))).alias("__broken"), *(F.col(f"__row.`{f.name}`").alias(_clear(f.name)) for f in fields)))
+    first = first_failure(parsed.filter("__broken is not null"), F.lit(None).cast("string"), F.col("__broken"))
+    # the one record of each such file is read again as text, to find the field
+    texts = F.from_csv("value", ", ".join(f"`{f.name}` string" for f in fields) + f", {CORRUPT} string", how).alias("__text")
+    bad = first.select(*FILE, "line_no", "value", texts)
+    wrong = F.lit(None).cast("struct<field:string,value:string>")
+    for f in reversed(fields):
+        own = F.col(f"__text.`{f.name}`")
+        wrong = F.when(own.isNotNull() & own.try_cast(f.dataType).isNull(), F.struct(F.lit(f.name).alias("field"), own.alias("value"))).otherwise(wrong)
+    wrong = F.when(F.col(f"__text.{CORRUPT}").isNull(), wrong)  # a cell too many or too few is no one field's failure
+    bad = bad.withColumn("__wrong", wrong).select(*FILE, "line_no", "__wrong.field", F.coalesce("__wrong.value", "value").alias("value"))
+    return parsed.join(bad.select(*FILE), FILE, "left_anti").drop("__broken"), bad
 
 
 def cells(line: Column, sep: str) -> Column:
     """The cells of a record; null for one with text beside a cell's quotes. An empty cell is null, a quoted one isn't."""
     mark = re.escape(sep)
     led = F.concat(F.lit(sep), line)
-    found = F.regexp_extract_all(led, F.lit(rf'{mark}("(?:[^"]|"")*"|[^"{mark}][^{mark}]*|)(?={mark}|\z)'), F.lit(0))
+    found = F.regexp_extract_all(led, F.lit(rf'{mark}("[^"]*+(?:""[^"]*+)*+"|[^"{mark}][^{mark}]*+|)(?={mark}|\z)'), F.lit(0))
     cut = F.transform(found, lambda c: F.substring(c, len(sep) + 1, 1 << 30))
     plain = F.transform(cut, lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).when(c != "", c))
     return F.when(F.array_join(found, "") == led, plain)
@@ -82,43 +99,92 @@ def inferred(lines: DataFrame, sep: str = ",", comment: str = "", stage: Stage |
     """Rows of files with a header each, and the files (id, ord, name) that don't parse. Rows carry id, ord, name and line_no.
 
     Types are inferred once for each column, over all files that have it: whole numbers of 64 bits, of 38 digits,
-    doubles, or text. A file is bad if a record has more or fewer cells than its header, or text beside quotes.
+    doubles, or text. A file is bad if a record has more or fewer cells than its header, or text beside quotes. Columns
+    stand in the order in which files have them; see ``merged_order``.
     The records' cells are looked at for headers, for bad records, for types and for the rows, so ``stage`` writes
     them and reads them back; by default to the shared folder.
     """
     text = _records(lines)
     if comment:
         text = text.withColumn("line", F.when(F.col("line_no") == 0, F.regexp_replace("line", f"^{re.escape(comment)}", "")).otherwise(F.col("line")))
-    split = (stage or spooled)(text.select(*PLACE, cells(F.col("line"), sep).alias("__cells")))
-    heads = split.filter("line_no = 0").select(*FILE, header_names(F.col("__cells")).alias("__head"))
+    found = cells(F.col("line"), sep)
+    split = (stage or spooled)(text.select(*PLACE, found.alias("__cells"), F.when(found.isNull(), F.col("line")).alias("__odd")))
+    heads = split.filter("line_no = 0").select(*FILE, header_names(F.col("__cells")).alias("__head"), F.coalesce("__odd", F.lit("")).alias("__said"))
     rows = split.filter("line_no > 0").join(heads, FILE, "left")
     fits = F.coalesce(F.size("__cells") == F.size("__head"), F.lit(False))
-    bad = rows.filter(~fits).select(*FILE).unionByName(heads.filter("__head is null").select(*FILE)).distinct()
-    good = rows.filter(fits).join(bad, FILE, "left_anti")
-    mapped = good.select(*FILE, "line_no", F.map_from_arrays("__head", "__cells").alias("__row"))
-    spelled: dict[str, list[tuple[str, str]]] = {}
-    for name, kind in _inferred_types(mapped, heads.join(bad, FILE, "left_anti")):
-        spelled.setdefault(name.lower(), []).append((name, kind))
-    columns = [_column(own) for _, own in sorted(spelled.items())]
-    return mapped.select(*FILE, "line_no", *columns), bad
+    count = F.concat(F.size("__cells").cast("string"), F.lit(" cells under "), F.size("__head").cast("string"), F.lit(" names"))
+    bad = first_failure(rows.filter(~fits & F.col("__head").isNotNull()), F.lit(None).cast("string"), F.coalesce("__odd", count))
+    headless = heads.filter("__head is null").select(*FILE, F.lit(0).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("field"), F.col("__said").alias("value"))
+    lost = rows.filter("__head is null").join(headless, FILE, "left_anti").select(*FILE).distinct()
+    bad = bad.unionByName(headless).unionByName(lost, allowMissingColumns=True)
+    good = heads.join(bad.select(*FILE), FILE, "left_anti")
+    # a row for each different header, whose names make the table's columns
+    kinds = [tuple(r["__head"]) for r in good.groupBy("__head").agg(F.min(F.struct("id", "ord")).alias("first")).orderBy("first").collect()]
+    which = F.array_position(F.array(*(F.array(*map(F.lit, k)) for k in kinds)), F.col("__head")) - 1 if kinds else F.lit(-1).cast("bigint")
+    rows = split.filter("line_no > 0").join(good.select(*FILE, which.alias("__kind")), FILE)
+    columns = _columns(kinds, _inferred_types(rows, kinds))
+    return rows.select(*FILE, "line_no", *columns), bad
 
 
 #: Kinds of columns from the narrowest; a column takes the widest that one of its values needs.
 KINDS = ("bigint", "decimal(38,0)", "double", "string")
 
 
-def _inferred_types(rows: DataFrame, heads: DataFrame) -> list[tuple[str, str]]:
-    """(column, type) for each name in a header, by one aggregate over all values: one row for each column."""
-    c = F.col("value")
-    whole = c.rlike(r"^[+-]?[0-9]+$")
-    kind = F.when(c.isNull(), -1).when(whole & c.try_cast("bigint").isNotNull(), 0).when(whole & (F.length(c) <= 38), 1).when(c.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity|nan)$"), 2).otherwise(3)
-    of_values = rows.select(F.explode("__row").alias("key", "value")).groupBy("key").agg(F.max(kind).alias("kind"))
-    named = heads.select(F.explode("__head").alias("key")).distinct()
-    found = named.join(of_values, "key", "left").select("key", F.coalesce("kind", F.lit(3)).alias("kind")).collect()
-    return sorted((r["key"], KINDS[3 if r["kind"] < 0 else r["kind"]]) for r in found)
+def _inferred_types(rows: DataFrame, kinds: list[tuple[str, ...]]) -> list[list[int]]:
+    """For each kind of header the place in ``KINDS`` of each of its columns, by one aggregate: a row for each kind of header."""
+
+    def kind(c: Column) -> Column:
+        whole = c.rlike(r"^[+-]?[0-9]+$")
+        return F.when(c.isNull(), -1).when(whole & c.try_cast("bigint").isNotNull(), 0).when(whole & (F.length(c) <= 38), 1).when(c.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity|nan)$"), 2).otherwise(3)
 
+    widest = max(map(len, kinds), default=0)
+    places = [F.max(kind(F.get("__cells", F.lit(i)))).alias(f"k{i}") for i in range(widest)]
+    found = {r["__kind"]: r for r in rows.groupBy("__kind").agg(*places).collect()} if places else {}
+    return [[3 if k not in found or (found[k][f"k{i}"] or 0) < 0 else found[k][f"k{i}"] or 0 for i in range(len(head))] for k, head in enumerate(kinds)]
 
-def _column(own: list[tuple[str, str]]) -> Column:
-    """One column for the spellings of a name, of the widest type among them."""
-    kind = max((kind for _, kind in own), key=KINDS.index)
-    return F.coalesce(*(F.try_element_at("__row", F.lit(name)) for name, _ in own)).try_cast(kind).alias(_clear(own[0][0]))
+
+def merged_order(heads: list[tuple[str, ...]]) -> list[str]:
+    """Names of all headers in an order that keeps each header's own; where headers disagree, the earlier one's.
+
+    Names that no header sets apart come in the order of the first headers that have them.
+    """
+    before: dict[str, list[str]] = {n: [] for head in heads for n in head}
+
+    def behind(name: str, other: str) -> bool:
+        """Whether ``name`` comes after ``other`` by what is known so far."""
+        open_, seen = [name], set()
+        while open_:
+            n = open_.pop()
+            if n == other:
+                return True
+            if n not in seen:
+                seen.add(n)
+                open_ += before[n]
+        return False
+
+    for head in heads:
+        for one, next_ in zip(head, head[1:]):
+            if not behind(one, next_):
+                before[next_].append(one)
+    out: dict[str, None] = {}
+    for name in before:
+        open_ = [name]
+        while open_:
+            lacking = [n for n in before[open_[-1]] if n not in out]
+            if lacking:
+                open_.append(lacking[0])
+            else:
+                out[open_.pop()] = None
+    return list(out)
+
+
+def _columns(kinds: list[tuple[str, ...]], types: list[list[int]]) -> list[Column]:
+    """One column for all spellings of a name, in that which sorts first, of the widest type that a file needs."""
+    order = merged_order([tuple(n.lower() for n in head) for head in kinds])
+    out = []
+    for name in order:
+        own = [(k, i, head[i]) for k, head in enumerate(kinds) for i in range(len(head)) if head[i].lower() == name]
+        value = F.coalesce(*(F.when(F.col("__kind") == k, F.get("__cells", F.lit(i))) for k, i, _ in own))
+        known = [types[k][i] for k, i, _ in own]
+        out.append(value.try_cast(KINDS[max(known)]).alias(_clear(min(spelled for _, _, spelled in own))))
+    return out

@@ -1,12 +1,17 @@
 """CSV members: line ends, quotes, ragged records, repeated names, large numbers, and the entry's guard."""
 
 import importlib
+import io
+import lzma
 import sys
+import tarfile
+import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from runlake.operators import csvtables
+from runlake.operators import csvtables, quality
 from runlake.session import shared_folder
 from runlake.sources import archives, csvfiles
 
@@ -63,6 +68,69 @@ def test_quoted_cells_may_run_over_lines():
     assert list(archives._records(iter([b"a,b\n", b'1,"x\n', b'y"\n', b'2,"open\n', b"end"]))) == [b"a,b\n", b'1,"x\ny"\n', b'2,"open\nend']
 
 
+def test_long_cells_and_stray_quotes(spark, tmp_path):
+    """A cell of a megabyte reads, with as many quotes and line ends; a stray quote ends its file alone, in linear time."""
+    long = 'x""\n' * 250_000
+    rows, bad = csvfiles.inferred(lines(spark, "a,b", f'1,"{long}"', "2,y"))
+    assert sorted((r.a, len(r.b)) for r in rows.collect()) == [(1, 750_000), (2, 1)] and bad.count() == 0
+    assert csvfiles.declared(lines(spark, "a,b", f'1,"{long}"'), "a long, b string")[0].first().b.count("\n") == 250_000
+    hundred = ["0123456789,abcdefghij,0123456789,abcdefghij,0123456789\n" * 20_000] * 100
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as archive:
+        for name, data in (("stray.csv", ('a,"b\n' + "".join(hundred)).encode()), ("jvm0.time", b"a\n1\n")):
+            member = tarfile.TarInfo(name)
+            member.size = len(data)
+            archive.addfile(member, io.BytesIO(data))
+    packed = lzma.compress(out.getvalue(), preset=0)
+    began = time.monotonic()
+    batches = list(archives._scanned(io.BytesIO, ())([pa.RecordBatch.from_pydict({"id": [1], "source": pa.array([packed], pa.binary())})]))
+    found = [r for b in batches for r in b.to_pylist() if r["is_last"]]
+    assert time.monotonic() - began < 10
+    assert [(r["name"], r["fault"]) for r in found] == [("stray.csv", f"a record of more than {archives.RECORD_BYTES} bytes from record 0 on"), ("jvm0.time", None)]
+
+
+def test_a_byte_order_mark(spark):
+    rows, _ = csvfiles.inferred(lines(spark, "\ufeffa,b", "1,2"))
+    assert set(rows.columns) >= {"a", "b"}
+    rows, bad = csvfiles.declared(lines(spark, "\ufeff1,2", "3,4"), "a long, b long", header=False)
+    assert sorted(r.a for r in rows.collect()) == [1, 3] and bad.count() == 0
+
+
+def test_columns_stand_as_files_have_them(spark):
+    df = lines(spark, "t,user,idle", "1,2,3").unionByName(lines(spark, "t,nice,user,steal,idle,guest", "1,2,3,4,5,6", id_=2)).unionByName(lines(spark, "B,t,Idle", "1,2,3", id_=3))
+    rows, _ = csvtables.git_info(df)
+    assert rows.columns == ["B", "t", "nice", "user", "steal", "Idle", "guest", "id"]
+    assert csvfiles.merged_order([("a", "b"), ("b", "a"), ("c",)]) == ["a", "b", "c"]
+
+
+def test_where_and_why_a_file_fails(spark):
+    head = "read_id,timestamp,time_running,time_enabled"
+    df = lines(spark, head, "1,2,3,4", "5,6,x,y", "z,1,1,1").unionByName(lines(spark, head, "1,2,3", id_=2)).unionByName(lines(spark, head, "1,2,3,4", id_=3))
+    _, issues = csvtables.threadstat_read(df)
+    assert sorted((r.id, r.line_no, r.field, r.value) for r in issues.collect()) == [(1, 2, "time_running", "x"), (2, 1, None, "1,2,3")]
+    _, issues = csvtables.git_info(lines(spark, 'a,"b', id_=4).unionByName(lines(spark, "a,b", "1,2", '"q"r,2', id_=5)))
+    assert sorted((r.id, r.line_no, r.field, r.value) for r in issues.collect()) == [(4, 0, None, 'a,"b'), (5, 2, None, '"q"r,2')]
+    assert sorted(r[0] for r in issues.select(quality.told()).collect()) == ["a.csv: failed to parse for git_info: line 1, value 'a,\"b'", "a.csv: failed to parse for git_info: line 3, value '\"q\"r,2'"]
+    long = lines(spark, head, "1,2,3," + "y" * 5000, id_=6)
+    assert csvtables.threadstat_read(long)[1].first().value == "y" * quality.TOLD
+
+
+def test_archives_are_dealt_by_size(spark, tmp_path):
+    assert archives.lightest_first([10, 1, 1, 1, 1, 9], 3) == [0, 2, 2, 2, 2, 1]
+    assert archives.tasks_for(10, 1000, 4) == 4 and archives.tasks_for(10, 2, 4) == 2 and archives.tasks_for(archives.TASK_BYTES * 50, 1000, 4) == 50 and archives.tasks_for(0, 0, 4) == 1
+    sized = spark.range(1001).selectExpr("id", "concat('p', id) AS path", "if(id = 500, 1000000L, 100 + id % 7) AS size")
+    tasks = archives.packed(sized, 8, 1001).groupBy("task").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+    rest = sorted(r["size"] for r in tasks)[:-1]
+    assert len(tasks) == 8 and [r.n for r in tasks if r["size"] >= 1000000] == [1] and rest[-1] - rest[0] <= 106  # one task for the large one, the others alike
+    small = lzma.compress(b"\0" * 1024)
+    for k in range(1000):
+        (tmp_path / f"{k}").write_bytes(small)
+    paths = spark.range(1000).selectExpr("id", f"concat('{tmp_path}/', id) AS path")
+    assert archives.with_sizes(paths).agg(F.sum("size")).first()[0] == 1000 * len(small)
+    parts = archives.scan_archives(paths.repartition(1)).groupBy(F.spark_partition_id().alias("t")).count().count()
+    assert archives.scan_archives(paths.withColumn("path", F.concat("path", F.lit("x")))).groupBy(F.spark_partition_id().alias("t")).count().count() == 4 and parts == 0  # empty archives have no rows, missing ones have one each
+
+
 def test_folders_of_one_machine_are_refused_on_a_cluster(spark):
     class Elsewhere:
         class conf:
