@@ -54,17 +54,28 @@ def csv_crlf(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("csv_quoted", """
-SELECT user_id AS id, event_id AS n, event_type || ', "' || event_id || '"' || chr(10) || 'more' AS "a,b", value AS n_duplicated_0, CAST(event_id * 1000000000000000000::DECIMAL(38,0) AS VARCHAR) AS big,
+SELECT user_id AS id, event_id AS n, event_type || ', "' || event_id || '"' || chr(10) || 'more' || CASE WHEN event_id % 500 = 0 THEN repeat('"long" ', 3000) ELSE '' END AS "a,b", value AS n_duplicated_0, CAST(event_id * 1000000000000000000::DECIMAL(38,0) AS VARCHAR) AS big,
   CASE WHEN event_id % 2 = 0 THEN '' END AS note FROM events WHERE user_id % 7 <> 0""")
 def csv_quoted(spark: SparkSession, d: str) -> DataFrame:
-    """Cells that hold separators, quotes and line ends, a name that stands twice in the header, numbers beyond 64 bits and
+    """Cells that hold separators, quotes and line ends, some of them very long, a name that stands twice in the header, numbers beyond 64 bits and
     cells that are empty or quoted; each seventh run has records with a cell too many and gives no rows."""
-    cell = "concat('\"', event_type, ', \"\"', event_id, '\"\"\\nmore\"')"
+    cell = "concat('\"', event_type, ', \"\"', event_id, '\"\"\\nmore', if(event_id % 500 = 0, repeat('\"\"long\"\" ', 3000), ''), '\"')"
     text = f"concat_ws(',', event_id, {cell}, number, cast(event_id * 1000000000000000000BD as decimal(38,0)), if(event_id % 2 = 0, '\"\"', ''), if(user_id % 7 = 0, 'x', null))"
     body = with_header(lines(events(spark, d), text, "'any.csv'"), 'n,"a,b",n,big,note')
     return csvfiles.inferred(body)[0].select("id", "n", "a,b", "n_duplicated_0", F.col("big").cast("string").alias("big"), "note")
 
 
+@query("csv_versions", """
+SELECT user_id AS id, event_id AS n, CASE WHEN user_id % 2 = 1 THEN value END AS added, event_type AS kind, 'n,added,kind,id' AS order_ FROM events""")
+def csv_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Files of two header versions: the column that the newer one adds stands where it has it."""
+    rows = events(spark, d)
+    old = with_header(lines(rows.filter("user_id % 2 = 0"), "concat_ws(',', event_id, event_type)", "'git_info.csv'"), "n,kind")
+    new = with_header(lines(rows.filter("user_id % 2 = 1"), "concat_ws(',', event_id, number, event_type)", "'git_info.csv'"), "n,added,kind")
+    made, _ = T.git_info(old.unionByName(new))
+    return made.select("*", F.lit(",".join(made.columns)).alias("order_"))
+
+
 @query("sadf_issues", """
 WITH bad AS (SELECT DISTINCT user_id FROM events WHERE event_id % 50 = 0)
 SELECT user_id AS id, date_trunc('second', ts) AS timestamp, value AS "%user", NULL AS message FROM events WHERE user_id NOT IN (SELECT user_id FROM bad)

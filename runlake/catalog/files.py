@@ -53,6 +53,19 @@ def archive_scan(spark: SparkSession, d: str) -> DataFrame:
     return read.unionByName(failed.select("id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("line"), F.lit("cannot read archive").alias("error")))
 
 
+#: Tasks of the query that follows.
+_TASKS = 12
+
+
+@query("archive_packing", f"SELECT count(*) AS archives, CAST(sum(CAST(l_partkey * l_quantity AS BIGINT)) AS BIGINT) AS bytes, {_TASKS}::BIGINT AS tasks, TRUE AS balanced FROM lineitem")
+def archive_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Archives of uneven sizes dealt to tasks: all of them, and no task has more than its share and the largest archive, but for what groups differ by."""
+    rows = table(spark, d, "lineitem").select(F.expr("l_orderkey * 8 + l_linenumber").alias("id"), F.lit("").alias("path"), F.expr("cast(l_partkey * l_quantity as bigint)").alias("size"))
+    tasks = archives.packed(rows, _TASKS, rows.count()).groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), F.max("size").alias("largest"))
+    fair = F.sum("size") / _TASKS * 1.05 + F.max("largest")
+    return tasks.agg(F.sum("n").alias("archives"), F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("tasks"), (F.max("size") <= fair).alias("balanced"))
+
+
 @query("utf8_decode", """
 SELECT user_id AS id, event_id AS line_no, event_type || ' é' AS line, NULL AS bad FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 97 = 0)
 UNION ALL SELECT DISTINCT user_id, NULL::BIGINT, NULL, 'os.javalog' FROM events WHERE event_id % 97 = 0""")
@@ -121,8 +134,8 @@ def drop_tables(spark: SparkSession, d: str) -> DataFrame:
     return there.select(place[0].alias("table_name"), place[1].alias("collection")).distinct().join(n, "collection").select("table_name", "collection", "n")
 
 
-#: Bytes in memory of a file of the query that follows: about five hundred rows.
-_SMALL_FILE = 16_000
+#: Bytes in memory of a file of the query that follows.
+_SMALL_FILE = 400_000
 
 
 def _footers(batches):
@@ -138,14 +151,20 @@ def _footers(batches):
 
 @query("sink_options", f"SELECT count(*) AS n, TRUE AS zstd, TRUE AS has_statistics, TRUE AS groups_bounded, TRUE AS files_bounded, TRUE AS rolled_over FROM {_COLLECTED}")
 def sink_options(spark: SparkSession, d: str) -> DataFrame:
-    """What the footers of a lake's files tell: compression, statistics, rows of groups and of files, and that files roll over."""
+    """What a lake's files tell, whose rows have 10 to 10,000 bytes: compression, statistics, rows of groups, that no file exceeds its bytes, and that files roll over."""
     base = shared_folder(spark, "lake")
-    rows = S.fan_out(_prices(spark, d), S.select_runs(runs(spark, d), _lake_task(base)))
+    prices = _prices(spark, d).withColumn("note", F.when(F.col("id") % 50 == 0, F.repeat(F.lit("n"), (F.col("customer") % 10_000).cast("int"))))
+    rows = S.fan_out(prices, S.select_runs(runs(spark, d), _lake_task(base)))
     sink.write_table(rows, "prices", base, narrow=True, file_bytes=_SMALL_FILE)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{base}/prices").select("content")
     found = files.mapInArrow(_footers, "n long, most long, zstd boolean, stats boolean")
-    limit = F.lit(_SMALL_FILE / 28)  # three columns of eight bytes, and a collection's name
-    return found.agg(F.sum("n").alias("n"), F.bool_and("zstd").alias("zstd"), F.bool_and("stats").alias("has_statistics"), (F.max("most") <= sink.GROUP_ROWS).alias("groups_bounded"), (F.max("n") <= limit).alias("files_bounded"), (F.count(F.lit(1)) * limit >= F.sum("n")).alias("rolled_over"))
+    written = spark.read.parquet(f"{base}/prices")
+    sizes = written.groupBy("collection", F.col("_metadata.file_path").alias("file")).agg(F.sum(sink.width(rows)).alias("bytes"))
+    # all files but each collection's last are more than half full
+    full = sizes.agg(F.max("bytes").alias("largest"), F.count_if(F.col("bytes") < _SMALL_FILE / 2).alias("small"), F.count_distinct("collection").alias("collections"))
+    told = found.agg(F.sum("n").alias("n"), F.bool_and("zstd").alias("zstd"), F.bool_and("stats").alias("has_statistics"), (F.max("most") <= sink.GROUP_ROWS).alias("groups_bounded"))
+    both = told.join(F.broadcast(full))  # a row each
+    return both.select("n", "zstd", "has_statistics", "groups_bounded", (F.col("largest") <= _SMALL_FILE).alias("files_bounded"), (F.col("small") <= F.col("collections")).alias("rolled_over"))
 
 
 @query("task_read", """

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import extract as X
 from ..operators import quality as Q
 from ..operators import reduce as R
-from ..plans.extractors import Extractor, run_extractor
+from ..plans.extractors import Extractor, StatefulExtractor, run_extractor, run_stateful, runs_of
+from ..sources import archives, csvfiles
 from ..sources.routing import Rule
 from .registry import events, lines, query, table
 
@@ -141,3 +142,74 @@ def custom_extractor(spark: SparkSession, d: str) -> DataFrame:
     own = Extractor("docs", (Rule("docs", r"^docs\.log$"),), X.Grammar("doc lang=", r"doc lang=(\S+) source=(\S+) chars=(\d+)", {"language": X.text, "origin": X.text, "size": X.C.to_int}))
     rows, _ = run_extractor(own, body)
     return rows.select("id", "language", "origin", "size")
+
+
+class _Scaled:
+    """Keeps the factors of the first file, which its run's timeout multiplies, for the events of the second."""
+
+    def __init__(self, run: dict):
+        self.times, self.factors, self.n = run["timeout"], {}, 0
+
+    def read(self, name: str, lines: list[str], first: int):
+        for line in lines:
+            kind, number = line.rsplit(" ", 1)
+            if name == "factors.log":
+                self.factors[kind] = int(number) * self.times
+            else:
+                self.n += 1
+                yield "scaled", {"event_id": int(number), "value": int(number) + self.factors[kind]}
+
+    def finish(self):
+        yield "seen", {"events": self.n, "kinds": len(self.factors)}
+
+
+@query("custom_stateful", """
+WITH mine AS (SELECT user_id, event_id, event_id + min(event_id) OVER (PARTITION BY user_id, event_type) * (user_id % 5 + 1) AS value, event_type FROM events WHERE user_id % 3 <> 0)
+SELECT 'scaled' AS made, user_id AS id, event_id, value FROM mine UNION ALL SELECT 'seen', user_id, count(*), count(DISTINCT event_type) FROM mine GROUP BY user_id""")
+def custom_stateful(spark: SparkSession, d: str) -> DataFrame:
+    """Two tables of a run from two of its files and one of its attributes; runs of another benchmark aren't touched."""
+    rows = events(spark, d)
+    factors = rows.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    body = lines(factors, "concat(event_type, ' ', event_id)", "'factors.log'").unionByName(lines(rows, "concat(event_type, ' ', event_id)", "'events.log'").withColumn("ord", F.lit(1)))
+    runs = rows.select(F.col("user_id").alias("id")).distinct().select("id", F.expr("if(id % 3 = 0, 'other', 'mine')").alias("benchmark"), (F.col("id") % 5 + 1).alias("timeout"))
+    own = StatefulExtractor("scaling", (Rule("scaling", r"^(factors|events)\.log$"),), {"scaled": "event_id long, value long", "seen": "events long, kinds long"}, _Scaled, benchmarks=("mine",))
+    mine = runs_of(own, runs)
+    tables, _ = run_stateful(own, body.join(mine.select("id"), "id", "left_semi"), mine)
+    scaled = tables["scaled"].select(F.lit("scaled").alias("made"), "id", "event_id", "value")
+    return scaled.unionByName(tables["seen"].select(F.lit("seen").alias("made"), "id", F.col("events").alias("event_id"), F.col("kinds").alias("value")))
+
+
+@query("issue_provenance", """
+WITH bad AS (SELECT user_id, min(event_id) AS event_id FROM events WHERE user_id % 9 = 0 AND event_id % 5 = 0 GROUP BY 1)
+SELECT user_id AS id, event_id AS line_no, 'gc_number' AS field, '99999999999' AS value,
+  'gc.javalog: failed to parse for zgc_task_workers: line ' || (event_id + 1) || ', field gc_number, value ' || chr(39) || '99999999999' || chr(39) AS told FROM bad
+UNION ALL SELECT user_id, event_id, 'amount', 'n/a' || event_id, 'threads.csv: failed to parse for amounts: line ' || (event_id + 1) || ', field amount, value ' || chr(39) || 'n/a' || event_id || chr(39) FROM bad""")
+def issue_provenance(spark: SparkSession, d: str) -> DataFrame:
+    """The line, field and value where a log and a CSV file failed first."""
+    _, of_logs = X.zgc_task_workers(_overflowing(spark, d))
+    text = "concat_ws(',', event_id, if(user_id % 9 = 0 and event_id % 5 = 0, concat('n/a', event_id), number))"
+    body = lines(events(spark, d), text, "'threads.csv'")
+    rows, bad = csvfiles.declared(body, "read_id long, amount double", header=False)
+    _, of_csv = Q.kept_rows(rows, bad, body.select(*Q.FILE).distinct(), "amounts")
+    return of_logs.unionByName(of_csv).select("id", "line_no", "field", "value", Q.told().alias("told"))
+
+
+@query("status_issues", """
+WITH users AS (SELECT DISTINCT user_id AS id FROM events)
+SELECT id, CASE WHEN id % 5 = 0 THEN 'unknown' WHEN id % 5 = 1 THEN 'failed' WHEN id % 4 = 3 THEN 'runner7 exited with code 3' ELSE 'success' END AS told FROM users
+UNION ALL SELECT id, 'status.txt: invalid UTF-8 for status' FROM users WHERE id % 5 = 0
+UNION ALL SELECT id, 'status.txt: Duplicate file for status' FROM users WHERE id % 5 = 2
+UNION ALL SELECT id, 'runner7.exit: failed to parse for status: line 1, field exit code, value ' || chr(39) || CASE id % 4 WHEN 0 THEN 'x' ELSE '0' END || chr(39) FROM users WHERE id % 4 < 2""")
+def status_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Status files twice or not UTF-8, exit codes that are no number, or two: issues, and no part of the outcome."""
+    users = events(spark, d).select("user_id").distinct()
+    said = "array(if(user_id % 5 = 0, unhex('FF'), encode(if(user_id % 5 = 1, ' failed ', 'success'), 'utf-8')))"
+    again = lines(users.filter("user_id % 5 = 2"), "array(encode('late', 'utf-8'))", "'status.txt'", "user_id", "0").withColumn("ord", F.lit(4))
+    raw = lines(users, said, "'status.txt'", "user_id", "0").unionByName(again)
+    text, bad = archives.as_text(raw.withColumn("error", F.lit(None).cast("string")))
+    files = raw.select(*Q.FILE).distinct().join(bad.withColumn("fault", F.lit("invalid UTF-8")), Q.FILE, "left")
+    codes = "case user_id % 4 when 0 then array('x') when 1 then array('0', '1') when 3 then array('', ' 3 ') else array('0') end"
+    exits = lines(users.select("user_id", F.posexplode(F.expr(codes)).alias("at", "code")), "code", "'runner7.exit'", "user_id", "at").withColumns({"ord": F.lit(1), "runner": F.lit("7")})
+    logs = lines(users, "'nothing'", "'os.javalog'", "user_id", "0").withColumn("ord", F.lit(2))
+    rows, issues = R.run_outcomes(users.select(F.col("user_id").alias("id")), (text, files), (exits, exits.select(*Q.FILE).distinct()), (logs, logs.select(*Q.FILE).distinct()))
+    return rows.select("id", F.col("status").alias("told")).unionByName(issues.select("id", Q.told().alias("told")))

@@ -71,4 +71,5 @@ def config_table(runs: DataFrame) -> DataFrame:
 
 def fan_out(df: DataFrame, selected: DataFrame) -> DataFrame:
     """Rows of each collection that the row's run belongs to: extraction runs once, rows are repeated after it."""
-    return df.join(selected.select("id", F.explode("collections").alias("collection")), "id")
+    named = df.join(selected.select("id", F.explode("collections").alias("collection")), "id")
+    return named.select(*(F.col(f"`{c}`") for c in df.columns), "collection")

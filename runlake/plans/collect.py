@@ -17,7 +17,7 @@ from ..operators.reduce import run_outcomes
 from ..schema import ISSUES
 from ..sources import archives, manifest
 from ..sources.routing import RULES, Rule, feeds, kind_of, route_files
-from .extractors import Extractor, registered, run_extractor
+from .extractors import Extractor, StatefulExtractor, registered, run_extractor, run_stateful, runs_of
 from .sink import delete, reset_collections, write_tables
 
 #: Endings of the members that any table reads; others aren't decompressed into lines.
@@ -65,7 +65,7 @@ class Staging:
 class Corpus:
     """The staged lines of all archives and the files that they came from."""
 
-    def __init__(self, staging: Staging, lines: DataFrame, own: list[Extractor]):
+    def __init__(self, staging: Staging, lines: DataFrame, own: list[Extractor | StatefulExtractor]):
         self.staging, self.rules = staging, RULES + [r for e in own for r in e.rules]
         kind = F.when(F.col("error").isNotNull(), "error").otherwise(kind_of(F.col("name"), self.rules))
         text = F.expr("try_validate_utf8(cast(line as string))")
@@ -86,17 +86,21 @@ class Corpus:
         return tuple(df.filter(mine).join(runs.select("id"), "id", "left_semi") for df in (self.lines.drop("error"), self.files))
 
 
-def made_tables(files: DataFrame, routed: DataFrame, own: list[Extractor]) -> DataFrame:
-    """(id, collector, table) for each table that a run's files make."""
+def made_tables(files: DataFrame, runs: DataFrame, routed: DataFrame, own: list[Extractor | StatefulExtractor]) -> DataFrame:
+    """(id, collector, table) for each table that a run's files make, or its attributes by themselves."""
     fed = route_files(files.select("id", "name")).withColumn("collector", F.try_element_at(F.create_map(*(F.lit(x) for pair in COLLECTOR.items() for x in pair)), F.col("table")))
     name = F.when(F.col("table") == "sadf", F.concat("stem", F.lit("_sadf"))).when(F.col("table") == "dacapo_latency", F.concat(F.lit("dacapo_latency_"), F.replace("latency_type", F.lit("-"), F.lit("_")))).otherwise(F.col("table"))
     fed = fed.filter("collector is not null").select("id", "collector", name.alias("table")).join(routed, ["id", "collector"], "left_semi")
     for e in own:
-        fed = fed.unionByName(route_files(files.select("id", "name"), rules=list(e.rules)).select("id", F.lit(f"own {e.table}").alias("collector"), F.lit(e.table).alias("table")))
+        mine = runs_of(e, runs).select("id")
+        if isinstance(e, Extractor):
+            mine = mine.join(route_files(files.select("id", "name"), rules=list(e.rules)).select("id"), "id", "left_semi")
+        for table in e.tables:
+            fed = fed.unionByName(mine.select("id", F.lit(f"own {table}").alias("collector"), F.lit(table).alias("table")))
     return fed.distinct()
 
 
-def extract_all(corpus: Corpus, runs: DataFrame, routed: DataFrame, own: list[Extractor]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+def extract_all(corpus: Corpus, runs: DataFrame, routed: DataFrame, own: list[Extractor | StatefulExtractor]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """Every table of the lines, and the issues of their files, frame by frame."""
     issues: list[DataFrame] = []
     tables: dict[str, DataFrame] = {"config": selection.config_table(runs)}
@@ -133,12 +137,18 @@ def extract_all(corpus: Corpus, runs: DataFrame, routed: DataFrame, own: list[Ex
         issues += some[1:]
     take("status", _status(runs, of))
     for e in own:
-        lines, files = corpus.of(list(e.rules), selection.gc_gate(runs, runs, e.gate) if e.gate else runs)
-        if not isinstance(e.how, extract.Grammar):
-            lines = lines.join(files.filter("fault is not null").select("id", "ord"), ["id", "ord"], "left_anti")
+        mine = runs_of(e, runs)
+        lines, files = corpus.of(list(e.rules), mine)
+        if isinstance(e, Extractor) and isinstance(e.how, extract.Grammar):
+            take(e.table, run_extractor(e, lines, files=files, stage=stage(e.table)))
+            continue
+        lines = lines.join(files.filter("fault is not null").select("id", "ord"), ["id", "ord"], "left_anti")
+        if isinstance(e, Extractor):
             take(e.table, run_extractor(e, lines))
         else:
-            take(e.table, run_extractor(e, lines, files=files, stage=stage(e.table)))
+            made, wrong = run_stateful(e, lines, mine, stage(e.name))
+            tables.update(made)
+            issues.append(wrong.unionByName(quality.file_verdicts(files, F.lit(False), e.name, once=False)[1]))
     return tables, issues
 
 
@@ -175,9 +185,9 @@ def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str
     """Select runs, scan their archives once, extract every table and write the lake; returns the tables written."""
     staging, own = Staging(spark, base), registered()
     taken = {*LOG_TABLES, *CSV_TABLES, *PLAIN_TABLES, "config", "status", "parse_status", "cpu_sadf"}
-    for e in own:
-        if e.table in taken:
-            raise ValueError(f"two extractors make the table {e.table}")
+    for table in (t for e in own for t in e.tables):
+        if table in taken:
+            raise ValueError(f"two extractors make the table {table}")
     checked, _ = quality.validate(runs)
     selected = staging.put(selection.select_runs(checked, task, strict), "runs")
     known, unknown = selection.route_collectors(selected)
@@ -185,7 +195,7 @@ def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str
     paths = routed.select("id").distinct().select("id", manifest.archive_path(F.col("id"), task.location).alias("path"))
     wanted = (*WANTED, *(x for e in own for x in e.endings)) if all(e.endings for e in own) else ()
     corpus = Corpus(staging, archives.scan_archives(paths, wanted), own)
-    twice = quality.assert_unique_tables(made_tables(corpus.files, routed, own))
+    twice = quality.assert_unique_tables(made_tables(corpus.files, selected, routed, own))
     failed = staging.put(unknown.unionByName(corpus.broken).unionByName(twice), "failed")
     # a failed run has no rows but those of its failure, whether they come from its lines or its attributes
     good = staging.put(quality.withhold(selected, failed), "good")
@@ -196,7 +206,7 @@ def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str
     for some in issues:
         some.write.mode("append").parquet(issues_at)
     tables["parse_status"] = spark.read.schema(ISSUES).parquet(issues_at).select(quality.told().alias("message"), "id")
-    reset_collections(spark, base, sorted(task.collect))
     written = write_tables(tables, selected, base, task.drop_tables, narrow, sorted(task.collect))
+    reset_collections(spark, base, sorted(task.collect), written)  # what earlier runs had goes when the new is there
     staging.clear()
     return written

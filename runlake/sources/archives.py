@@ -21,7 +21,7 @@ BATCH_LINES, BATCH_BYTES = 5000, 4 << 20
 #: Bytes of a CSV record at most: a longer one, as a stray quote makes, is a fault of its file.
 RECORD_BYTES = 16 << 20
 #: Compressed bytes of archives that a task scans, and archives that are packed together: a bound of what one task holds of their sizes.
-TASK_BYTES, PACKED_TOGETHER = 32 << 20, 50_000
+TASK_BYTES, PACKED_TOGETHER = 32 << 20, 200_000
 
 _NAMES = ("id", "ord", "name", "line_no", "line", "is_last", "error", "fault", "last_text")
 _KINDS = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.string(), pa.int64())

@@ -137,12 +137,63 @@ def test_files_that_do_not_parse_are_issues_of_their_own(spark, tmp_path):
 
 def test_files_of_the_lake(spark, tmp_path):
     rows = spark.range(50_000).selectExpr("id", "concat('text ', id) AS t", "if(id < 40000, 'a', 'b') AS collection")
-    sink.write_table(rows, "wide", str(tmp_path), narrow=True, file_bytes=400_000)
+    schema, names = sink.write_table(rows, "wide", str(tmp_path), narrow=True, file_bytes=400_000)
     found = {p: pq.ParquetFile(p).metadata for p in tmp_path.glob("wide/*/*.parquet")}
     assert len(found) >= 4 and all(m.num_rows * 27 <= 450_000 for m in found.values()) and sum(m.num_rows for m in found.values()) == 50_000
     meta = next(iter(found.values())).row_group(0).column(0)
     assert meta.compression == "ZSTD" and meta.is_stats_set and str(meta.physical_type) == "INT32"
-    assert not list(tmp_path.glob("_wide/*/*.parquet"))
+    assert not list(tmp_path.glob("_wide/*/*.parquet")) and names == ["a", "b"] and dict((f.name, f.dataType.simpleString()) for f in schema)["id"] == "int"
+
+
+def test_files_keep_to_their_bytes(spark, tmp_path):
+    """Rows of 10 to 10,000 bytes, each once, in files that never exceed the limit, and as few as that allows."""
+    rows = spark.range(3000).selectExpr("id", "repeat('x', cast(pow(10, 1 + id % 4) AS int)) AS t", "if(id % 3 = 0, 'a', 'b') AS collection").repartition(5)
+    sink.write_table(rows, "uneven", str(tmp_path), narrow=True, file_bytes=200_000)
+    read = spark.read.parquet(f"{tmp_path}/uneven")
+    sizes = read.groupBy("collection", F.col("_metadata.file_path").alias("f")).agg(F.sum(F.length("t") + 17).alias("b")).collect()
+    total = sum(r.b for r in sizes)
+    assert read.count() == read.select("id").distinct().count() == 3000 and max(r.b for r in sizes) <= 200_000
+    assert len(sizes) <= total / 180_000 + 4 and sum(r.b < 150_000 for r in sizes) <= 2  # the last of each collection
+    sink.write_table(rows.filter("id % 4 = 3").limit(9), "uneven", str(tmp_path), narrow=True, file_bytes=3000)  # each row is more than a file
+    assert spark.read.parquet(f"{tmp_path}/uneven").filter("collection = 'a'").count() <= 9
+
+
+def test_a_table_is_measured_while_it_is_written(spark, tmp_path, monkeypatch):
+    """What makes a table runs once, and a small one of which nothing narrows is written once."""
+    ran, writes = spark.sparkContext.accumulator(0), []
+
+    def run(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("cast(id AS string) AS t", "if(id % 2 = 0, 'a', 'b') AS collection").mapInArrow(run, "t string, collection string")
+    real = sink._as_files
+    monkeypatch.setattr(sink, "_as_files", lambda df: writes.append(df) or real(df))
+    schema, names = sink.write_table(rows, "once", str(tmp_path), narrow=True)
+    assert ran.value == 1000 and len(writes) == 1 and sorted(names) == ["a", "b"] and spark.read.parquet(f"{tmp_path}/once").count() == 1000
+    assert len(list(tmp_path.glob("once/*/*.parquet"))) == 2
+    longer = rows.selectExpr("length(t) + 0L AS n", "*")
+    sink.write_table(longer, "twice", str(tmp_path), narrow=True)
+    assert ran.value == 2000 and len(writes) == 2 and dict(spark.read.parquet(f"{tmp_path}/twice").dtypes)["n"] == "tinyint"
+
+
+def test_tables_side_by_side(spark, tmp_path):
+    selected = spark.createDataFrame([(k, ["a", "b"] if k % 2 else ["a"]) for k in range(10)], "id long, collections array<string>")
+    tables = {f"t{k}": spark.range(10).selectExpr("id * 1000 AS big", "id") for k in range(9)}
+    tables["none"] = tables["t0"].filter("id < 0")
+    assert sink.write_tables(tables, selected, str(tmp_path), ("t8",), True, ["a", "b", "c"]) == ["none", *(f"t{k}" for k in range(8))]
+    for name in ("t0", "t7"):
+        read = spark.read.parquet(f"{tmp_path}/{name}")
+        assert read.columns == ["big", "id", "collection"] and sorted((r.collection, r.id) for r in read.collect()) == sorted([("a", k) for k in range(10)] + [("b", k) for k in range(1, 10, 2)])
+        assert {p.name for p in (tmp_path / name).glob("collection=*")} == {"collection=a", "collection=b", "collection=c"}
+    assert spark.read.parquet(f"{tmp_path}/none").count() == 0
+    sink.write_tables({"t0": tables["t0"].filter("id % 2 = 0")}, selected, str(tmp_path), (), True, ["a", "b"])  # b has no rows any more
+    assert {r.collection for r in spark.read.parquet(f"{tmp_path}/t0").collect()} == {"a"}
+    bad = {"bad": spark.range(1).selectExpr("id", "raise_error('no such') AS x"), **{f"z{k}": tables["t0"] for k in range(20)}}
+    with pytest.raises(Exception, match="no such"):
+        sink.write_tables(bad, selected, str(tmp_path), at_once=2)
+    assert not (tmp_path / "z19").exists()
 
 
 def test_row_groups_have_their_rows(spark, tmp_path, monkeypatch):
