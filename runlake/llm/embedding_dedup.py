@@ -33,12 +33,18 @@ CHUNK, SIDE_BYTES = 32768, 64 << 20
 TOGETHER = 256
 #: Rotated coordinates are whole multiples of 1 / SCALE, so that squared distances are exact in any order of adding.
 SCALE = float(1 << 20)
-#: What rounding to those multiples may add to a squared distance, for any number of axes up to 4,096.
-SLACK = 1e-3 / 4
+#: What rounding to those multiples may add to a squared distance, for any number of axes up to 4,096; in proportion beyond.
+SLACK, SLACK_AXES = 1e-3 / 4, 4096
 
 Rotation = list[np.ndarray]
 
 
+def balanced(x: np.ndarray) -> np.ndarray:
+    """Each row by a power of two, which changes no cosine, so that its greatest number is from a half to one: squares neither vanish nor overflow."""
+    _, power = np.frexp(np.abs(x).max(1, initial=0.0))
+    return np.ldexp(x, -power[:, None])
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     """Rows of at most ``dim`` numbers, filled up with zeros, as float64."""
     flat, sizes = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), column.value_lengths().to_numpy(zero_copy_only=False)
@@ -59,7 +65,7 @@ def rotation(classes: DataFrame, dim: int) -> tuple[Rotation, np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = [np.zeros((g.stop - g.start,) * 2) for g in groups], 0
         for batch in batches:
-            x = _matrix(batch["embedding"], dim)
+            x = balanced(_matrix(batch["embedding"], dim))
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             for t, g in zip(total, groups):
                 t += x[:, g].T @ x[:, g]
@@ -89,6 +95,7 @@ def turned(x: np.ndarray, axes: Rotation) -> np.ndarray:
     Added axis by axis, so that a vector gets the same numbers in whatever batch it stands: each block's
     join must come to the same verdict on which block a pair belongs to.
     """
+    x = balanced(x)
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     out, at = np.zeros(x.shape), 0
     for own in axes:
@@ -246,7 +253,7 @@ def _verified(axes: Rotation, parts: list[np.ndarray], budgets: np.ndarray, leas
     def side(rows: dict, role: int) -> dict:
         own = rows["role"] == role
         out = {c: rows[c][own] for c in ("cid", "n")}
-        out["plain"] = np.frombuffer(b"".join(rows["plain"][own]), width).reshape(int(own.sum()), sum(map(len, axes))).astype(np.float64)
+        out["plain"] = balanced(np.frombuffer(b"".join(rows["plain"][own]), width).reshape(int(own.sum()), sum(map(len, axes))).astype(np.float64))
         out["turned"] = turned(out["plain"], axes)
         out["norm"] = np.linalg.norm(out["plain"], axis=1)
         return out
@@ -305,7 +312,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     dim = classes.agg(F.max(F.size("embedding"))).first()[0] or 1
     width = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
     axes, variance, n = rotation(classes, dim)
-    parts, budgets, grids = plan(variance, n, 2 - 2 * least + SLACK)
+    parts, budgets, grids = plan(variance, n, 2 - 2 * least + SLACK * max(1.0, dim / SLACK_AXES))
     schema = ", ".join(["block int, dims int", *(f"c{j} long" for j in range(max(GRID_AXES))), "role int, cid long, n long, plain binary"])
     placed = classes.select("cid", "n", "embedding").mapInArrow(_placed(axes, parts, budgets, grids, dim, width), schema)
     units = _units(placed, max(1, min(CHUNK, SIDE_BYTES // (24 * dim)))).repartition(*UNIT).sortWithinPartitions(*UNIT)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import spooled
@@ -23,6 +23,14 @@ def fold(doc_id: F.Column) -> F.Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS)).cast("int")
 
 
+def within(rows: DataFrame, size: F.Column, most: int) -> DataFrame:
+    """Of a bounded sample the rows whose sizes add up to ``most``, in the order of their ids' hashes; a larger row is passed over."""
+    rows = spooled(rows, "sample")
+    sized = rows.select("doc_id", size.alias("size")).filter(F.col("size") <= most)
+    running = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    return rows.join(F.broadcast(sized.withColumn("running", running).filter(F.col("running") <= most).select("doc_id")), "doc_id")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """doc_id, text, label and fold of at most ``most`` labelled documents outside the held-out fold.
 
@@ -50,7 +58,7 @@ def fitted(rows: DataFrame, encode: Callable[[str], np.ndarray], fit: Callable[[
     """Encode the sample's texts in parallel, fit in one task over the bounded sample, return the small model.
 
     ``fit`` gets (features, label, fold) in the order of doc_id and may return None, which is warned of. What
-    ``encode`` returns must have a bound of its own, whatever the text's length: one task holds all of the sample.
+    ``encode`` returns for all rows must have a bound, whatever the texts' lengths: one task holds all of the sample.
     """
 
     def encoded(batches):

@@ -59,11 +59,20 @@ def counted(docs: DataFrame, carry: bool) -> tuple[DataFrame, DataFrame]:
     return keyed, spooled(keyed.groupBy("source", "range").agg(F.count(F.lit(1)).alias("n")), "ranges")
 
 
+def divisor(shares: DataFrame) -> int:
+    """The greatest common divisor of the weights: the least rest that one leaves takes the divisor's place until none leaves any."""
+    found = shares.agg(F.min(F.when(F.col("w") > 0, F.col("w")))).first()[0] or 1
+    while (rest := shares.agg(F.min(F.when(F.col("w") % found > 0, F.col("w") % found))).first()[0]) is not None:
+        found = rest
+    return found
+
+
 def weighed(ranges: DataFrame, weights: Weights | None, block: int) -> DataFrame:
-    """(source, n, blocks, w): the weight by default is the whole part of the square root of a source's rows."""
+    """(source, n, blocks, w): weights by default are in the ratios of the whole parts of the square roots of the sources' rows."""
     sizes = ranges.groupBy("source").agg(F.sum("n").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block))
     if weights is None:
-        return sizes.withColumn("w", F.floor(F.sqrt("n")))
+        rooted = sizes.withColumn("w", F.floor(F.sqrt("n")))
+        return rooted.withColumn("w", F.expr(f"w div {divisor(rooted)}L"))
     stated = {source: w for source, w in exact(weights).items() if w}
     if not stated:
         return sizes.withColumn("w", F.lit(None).cast("long"))

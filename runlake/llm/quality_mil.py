@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from . import text_features
 from .common import smaller_batches, text_or_empty
-from .learning import HELD_OUT, calibration, fitted, fold, sigmoid, training_rows
+from .learning import HELD_OUT, calibration, fitted, fold, sigmoid, training_rows, within
 
-#: At most so many labelled rows teach the model, with so many passages each, spread over the document: the bounds of
-#: its sample, 200 MB in the task that fits. Scores are made of all passages.
-SAMPLE, TAUGHT_PASSAGES = 3000, 32
+#: At most so many labelled rows teach the model, of no more than so many passages together: the bounds of its sample of
+#: rows, 130 MB in the task that fits. A row that is taken is learnt from whole. Scores are made of all passages.
+SAMPLE, SAMPLE_PASSAGES = 3000, 60_000
 #: Words of a passage, 2**BITS features of each family, sizes of the encoding and of the attention.
 PASSAGE, BITS, CODE, GATE = 128, 9, 24, 12
 EPOCHS, BATCH, RATE, PENALTY, CALIBRATION_FOLD, SEED = 12, 64, 0.01, 1e-5, 1, 7
@@ -100,16 +100,14 @@ def _bags(features: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(text: str) -> np.ndarray:
-    """At most TAUGHT_PASSAGES passages of a text, evenly spaced, whatever its length."""
-    kept, every, at = [], 1, 0
-    for rows in text_features.passages(text, BITS, PASSAGE):
-        for row in rows.astype(np.float16):
-            if at % every == 0:
-                kept.append(row)
-            if len(kept) > TAUGHT_PASSAGES:
-                kept, every = kept[::2], 2 * every
-            at += 1
-    return np.stack(kept)
+    """All passages of a text."""
+    return np.concatenate([rows.astype(np.float16) for rows in text_features.passages(text, BITS, PASSAGE)])
+
+
+def taught(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """The rows to learn from: as many whole documents as SAMPLE_PASSAGES passages hold, of at most ``sample``."""
+    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    return within(training_rows(docs, labels, "quality", sample), F.greatest(F.ceil(words / PASSAGE), F.lit(1)), SAMPLE_PASSAGES)
 
 
 def score(model: Model | None, text: str) -> tuple[float, int, float]:
@@ -131,7 +129,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     in no fold (held_out false). Repeated rows each give a row, other columns are ignored, an empty table
     gives an empty one.
     """
-    model = fitted(training_rows(docs, labels, "quality", sample), encode, _fit)
+    model = fitted(taught(docs, labels, sample), encode, _fit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -302,6 +302,55 @@ def test_a_damaged_archive_is_an_error(spark, tmp_path):
         warc.read(spark, str(tmp_path)).collect()
 
 
+def test_archives_are_read_in_bounded_memory():
+    """200 MB of records, gzipped as a whole or one by one, take a few megabytes; a file that is cut off is an error."""
+    import gzip
+    import tracemalloc
+
+    record = warc.record("response", {"WARC-Record-ID": "<urn:x-page:1:X>"}, bytes(range(256)) * 64) + warc.END
+    once = gzip.compress(record * 500)
+    for data, n in ((once * 24, 12_000), (gzip.compress(record) * 100, 100), (gzip.compress(b""), 0)):
+        tracemalloc.start()
+        assert sum(len(block) == 16384 for _, block in warc.parse(warc.inflated(data))) == n
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20
+        tracemalloc.stop()
+    assert list(warc.parse(record * 3)) == list(warc.parse(iter([record[:9], record[9:] + record[:1], record[1:] + record]))) and len(list(warc.parse(record))) == 1
+    for wrong in (once[:-9], gzip.compress(record[:-5]), gzip.compress(b"WARC/1.1" + b"x" * (2 << 20))):
+        with pytest.raises((EOFError, ValueError)):
+            list(warc.parse(warc.inflated(wrong)))
+
+
+def test_large_pages(spark, tmp_path, monkeypatch):
+    """Pages of megabytes: files hold a bounded number of records, and the pages come back whole."""
+    monkeypatch.setattr(warc, "FILE_RECORDS", 300)
+    pages = spark.createDataFrame([(k, f"u{k}", f"page {k} " * 400_000) for k in range(4)] + [(9, "u9", "page 1 " * 400_000)], "page_id long, url string, html string")
+    warc.write(pages, str(tmp_path / "w"))
+    files = list((tmp_path / "w").glob("*.gz"))
+    assert len(files) >= 4 * 2_800_000 / (300 * warc.SEGMENT)
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.read(spark, str(tmp_path / "w")).collect()}
+    assert got == {k: (2_800_000, "response", None) for k in range(4)} | {9: (2_800_000, "revisit", 1)}
+
+
+def test_very_large_and_very_small_vectors(spark):
+    """Squares of such numbers vanish or overflow; their cosines are as those of others."""
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2.1e200]), (3, [1e-200, 1e-200]), (4, [-1e-200, 3e-200]), (5, [1.0, 1.0]), (6, [5e-324, 0.0]), (7, [3.0, 0.0]), (8, [1e308, -1e308]), (9, [0.0, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 5: (3, 1), 4: (0, 4), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9)}
+    x = np.array([[0.1, 0.7, -0.3], [3.0, 1e-3, 0.0], [0.0, 0.0, 0.0]])
+    assert np.array_equal(embedding_dedup.balanced(x), x * [[1.0], [0.25], [1.0]])  # powers of two, so nothing is rounded
+
+
+def test_equal_sources_of_any_size_have_a_short_period(spark):
+    """The weights' common divisor goes: a hundred sources of 120 million rows each take a period of a hundred slots."""
+    ranges = spark.range(100).selectExpr("cast(id AS string) AS source", "0 AS range", "120000000L AS n")
+    shares = mixing.weighed(ranges, None, mixing.BLOCK)
+    _, period, slots = mixing.schedule(shares)
+    assert (period, slots) == (100, 100) and {r.w for r in shares.collect()} == {1}
+    uneven = spark.createDataFrame([("a", 0, 36 * 49), ("b", 0, 36 * 100), ("c", 0, 36 * 225)], "source string, range int, n long")
+    assert sorted(r.w for r in mixing.weighed(uneven, None, mixing.BLOCK).collect()) == [7, 10, 15]
+    assert mixing.weighed(uneven.limit(0), None, mixing.BLOCK).count() == 0
+
+
 def test_shards(spark, odd, empty):
     rows = sharding.shard_documents(odd, target=1 << 20).collect()
     digest = lambda t: None if t is None else hashlib.sha256(t.encode()).hexdigest()

@@ -386,6 +386,20 @@ def test_gradients_of_the_attention():
         assert abs((above - below) / (2 * step) - got[name][at]) < 1e-5
 
 
+def test_documents_that_are_learnt_from_are_learnt_from_whole(spark, monkeypatch):
+    """The sample's bound is on rows: as many whole documents as its passages allow, and none in part."""
+    docs = spark.createDataFrame([(k, "word " * (128 * (k % 7 + 1))) for k in range(60)] + [(100, "word " * 128 * 99), (101, None)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS quality")
+    every = {r.doc_id for r in quality_mil.taught(docs, labels, 3000).collect()}
+    assert len(every) > 40
+    monkeypatch.setattr(quality_mil, "SAMPLE_PASSAGES", 40)
+    kept = quality_mil.taught(docs, labels, 3000).collect()
+    sizes = [len(quality_mil.encode(r.text)) for r in kept]
+    assert 30 <= sum(sizes) <= 40 and 100 not in {r.doc_id for r in kept} and {r.doc_id for r in kept} < every
+    assert all(n == max(1, -(-len((r.text or "").split()) // 128)) for r, n in zip(kept, sizes))
+    assert sorted(r.doc_id for r in quality_mil.taught(docs.repartition(7), labels, 3000).collect()) == sorted(r.doc_id for r in kept)
+
+
 def test_scores_of_a_table(odd, empty, labels):
     import zlib
 
