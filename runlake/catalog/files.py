@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import os
 import tarfile
+import uuid
 
 import pyarrow as pa
 import pyarrow.compute
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import selection as S
-from ..plans import sink
+from ..plans import collect, sink
 from ..session import shared_folder
 from ..sources import archives, manifest
 from ..sources.routing import route_files
@@ -53,6 +55,45 @@ def archive_scan(spark: SparkSession, d: str) -> DataFrame:
     return read.unionByName(failed.select("id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("line"), F.lit("cannot read archive").alias("error")))
 
 
+def _stored(folder: str):
+    """For ``applyInArrow``: packs a run's log lines as its archive in ``folder``; a second attempt puts the same file there."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        data = "".join(f"{t}\n" for t in rows.sort_by("event_id")["line"].to_pylist()).encode()
+        id_, out = rows["id"][0].as_py(), io.BytesIO()
+        with tarfile.open(fileobj=out, mode="w:xz", preset=0) as archive:
+            for name, content in (("gc.javalog", data), ("status.txt", b"success\n")):
+                member = tarfile.TarInfo(name)
+                member.size = len(content)
+                archive.addfile(member, io.BytesIO(content))
+        os.makedirs(folder, exist_ok=True)
+        path = f"{folder}/{id_:016X}.tar.xz"
+        part = f"{path}.{uuid.uuid4().hex}"
+        with open(part, "wb") as file:
+            file.write(out.getvalue())
+        os.replace(part, path)
+        return pa.table({"id": pa.array([id_], pa.int64())})
+
+    return run
+
+
+@query("collect_lake", """
+SELECT user_id AS id, event_id AS gc_number, event_id % 16 AS num_workers, 'o' AS age, NULL AS status FROM events
+UNION ALL SELECT DISTINCT user_id * 1048576 + event_id // 20000, NULL, NULL, NULL, 'success' FROM events""")
+def collect_lake(spark: SparkSession, d: str) -> DataFrame:
+    """The whole job: events packed as archives of runs in the shared folder, collected into a lake, and two of its tables read."""
+    base = shared_folder(spark, "collected")
+    line = F.concat(F.lit("[gc,task ] GC("), "event_id", F.lit(") Using "), F.col("event_id") % 16, F.lit(" Workers for Old Generation"))
+    rows = table(spark, d, "events").select(F.expr(f"user_id * 1048576 + event_id div {PACKED}").alias("id"), "event_id", line.alias("line"))
+    ids = rows.groupBy("id").applyInArrow(_stored(f"{base.removeprefix('file:')}/runs"), "id long")
+    ids.write.parquet(f"{base}/ids")
+    runs_ = spark.read.schema("id long").parquet(f"{base}/ids").select("id", F.lit("mark_abuse").alias("benchmark"), F.lit("t").alias("tar_file"), F.lit(1).cast("bigint").alias("iteration"), F.lit("ZGC").alias("gc"))
+    collect.collect(spark, manifest.Task(base, {"all": {"gc": ["ZGC"]}}, tuple(t for t in collect.COLLECTOR if t not in ("zgc_task_workers", "status"))), runs_, f"{base}/lake")
+    read = lambda name: spark.read.parquet(f"{base}/lake/{name}")
+    workers = read("zgc_task_workers").select(F.expr("cast(id as bigint) div 1048576").alias("id"), F.col("gc_number").cast("bigint").alias("gc_number"), F.col("num_workers").cast("bigint").alias("num_workers"), "age", F.lit(None).cast("string").alias("status"))
+    return workers.unionByName(read("status").select(F.col("id").cast("bigint").alias("id"), *(F.lit(None).cast(k).alias(n) for n, k in (("gc_number", "bigint"), ("num_workers", "bigint"), ("age", "string"))), "status"))
+
+
 #: Tasks of the query that follows.
 _TASKS = 12
 

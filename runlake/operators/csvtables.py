@@ -67,19 +67,29 @@ def threadstat_read(lines: DataFrame, files: DataFrame | None = None, stage: Sta
     return rows.select("read_id", C.from_epoch_ns(F.col("timestamp")).alias("timestamp"), F.col("timestamp").alias("timestamp_ns"), "time_running", "time_enabled", "id"), issues
 
 
+# Fixed value: what stands before the header of a load export.
+LOAD_COMMENT = "# "
+
+
 def load_table(lines: DataFrame, table: str, sep: str = ";", files: DataFrame | None = None, stage: Stage | None = None) -> Made:
+    """A load export as a table, from its lines; see ``load_of``."""
+    split = (stage or csvfiles.spooled)(csvfiles.split_records(lines, sep, LOAD_COMMENT))
+    return load_of(split, table, files)
+
+
+def load_of(split: DataFrame, table: str, files: DataFrame | None = None) -> Made:
     """A load export as a table: its time read, the host's columns dropped, the whole-machine row of the per-core table left out.
 
     A file with a time that isn't one is bad.
     """
-    rows, bad = csvfiles.inferred(lines, sep=sep, comment="# ", stage=stage)
+    rows, bad = csvfiles.typed(split)
     rows = rename_prefix(rows, "%idle[", "%idle")
     if "timestamp" in rows.columns:
         rows = rows.withColumn("__said", F.col("timestamp").cast("string")).withColumn("timestamp", C.parse_sadf(F.col("__said")))
         odd = csvfiles.first_failure(rows.filter("timestamp is null and __said is not null"), F.lit("timestamp"), F.col("__said"))
         bad = bad.unionByName(odd.join(bad.select(*FILE), FILE, "left_anti"))
         rows = rows.drop("__said")
-    rows, issues = kept_rows(rows, bad, _files(lines, files), table)
+    rows, issues = kept_rows(rows, bad, _files(split, files), table)
     rows = without(_tidy(rows), *ALWAYS_DROPPED, *DROPPED.get(table, ()))
     return (not_sentinel(rows, "CPU") if table == PER_CORE and "CPU" in rows.columns else rows), issues
 

@@ -8,6 +8,7 @@ in a small table, from which names, duplicates and verdicts come without a look
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,10 @@ from pyspark.sql import functions as F
 from ..operators import csvtables, extract, quality, selection
 from ..operators.reduce import run_outcomes
 from ..schema import ISSUES
-from ..sources import archives, manifest
+from ..sources import archives, csvfiles, manifest
 from ..sources.routing import RULES, Rule, feeds, kind_of, route_files
 from .extractors import Extractor, StatefulExtractor, registered, run_extractor, run_stateful, runs_of
-from .sink import delete, reset_collections, write_tables
+from .sink import delete, reset_collections, side_by_side, write_tables
 
 #: Endings of the members that any table reads; others aren't decompressed into lines.
 WANTED = (".javalog", "jvm0.txt", "jvm0.stdout", "status.txt", ".exit", "jvm0.time", ".csv", ".sadf", ".raw", "-Controller.log")
@@ -46,6 +47,10 @@ LOADS = ("cpu_sadf", "sadf")
 COLLECTOR = {t: c for tables in (LOG_TABLES, CSV_TABLES, PLAIN_TABLES) for t, (c, *_) in tables.items()} | {"cpu_sadf": "system_load", "sadf": "system_load"} | dict.fromkeys(("status", "runner_exit", "os_log"), "status")
 
 
+#: A table's name, and its rows and issues; without a name there are issues only.
+Taken = tuple[str, tuple]
+
+
 class Staging:
     """A folder of intermediate tables: written, not cached, so plans stay short and a lost executor loses nothing."""
 
@@ -111,55 +116,63 @@ def extract_all(corpus: Corpus, runs: DataFrame, routed: DataFrame, own: list[Ex
         lines, files = corpus.of([r for r in RULES if r.table == table], selection.gc_gate(mine, runs, gate) if gate else mine)
         return route_files(lines, (table,)), files
 
-    def stage(table: str):
+    def stage(table: str, by: str | None = None):
         n = iter(range(99))
-        return lambda df: corpus.staging.put(df, f"captured/{table}-{next(n)}")
+        return lambda df: corpus.staging.put(df, f"captured/{table}-{next(n)}", by)
 
-    def take(table: str, made: tuple[DataFrame, DataFrame]) -> None:
-        tables[table] = made[0]
-        issues.append(made[1])
-
-    for table, (_, make, gate) in LOG_TABLES.items():
+    def log(table: str) -> list[Taken]:
+        _, make, gate = LOG_TABLES[table]
         lines, files = of(table, gate)
-        take(table, make(lines.drop("table"), files=files, stage=stage(table)))
-    for table, (_, make) in CSV_TABLES.items():
+        return [(table, make(lines.drop("table"), files=files, stage=stage(table)))]
+
+    def csv(table: str) -> list[Taken]:
         lines, files = of(table)
-        take(table, make(lines, files=files, stage=stage(table)))
-    latency = tables.pop("dacapo_latency")
-    kinds = route_files(of("dacapo_latency")[1].select("name"), ("dacapo_latency",)).select(F.replace("latency_type", F.lit("-"), F.lit("_"))).distinct().collect()  # a few names
-    tables |= {f"dacapo_latency_{k}": latency.filter(F.col("latency_type") == k).drop("latency_type") for (k,) in kinds}
-    for table, (_, make) in PLAIN_TABLES.items():
+        if table != "dacapo_latency":
+            return [(table, CSV_TABLES[table][1](lines, files=files, stage=stage(table)))]
+        # each type of latency is a table of its own, which reads its own rows
+        latency, wrong = csvtables.dacapo_latency(lines, files=files, stage=stage(table, "latency_type"))
+        kinds = route_files(files.select("name"), (table,)).select(F.replace("latency_type", F.lit("-"), F.lit("_"))).distinct().collect()  # a few names
+        return [(f"{table}_{k}", (latency.filter(F.col("latency_type") == k).drop("latency_type"),)) for (k,) in kinds] + [("", (None, wrong))]
+
+    def plain(table: str) -> list[Taken]:
         lines, files = of(table)
-        if not files.isEmpty():
-            take(table, make(lines, files=files, stage=stage(table)))
-    for table, some in _loads(of, stage):
-        tables[table] = some[0]
-        issues += some[1:]
-    take("status", _status(runs, of))
-    for e in own:
+        return [] if files.isEmpty() else [(table, PLAIN_TABLES[table][1](lines, files=files, stage=stage(table)))]
+
+    def ours(e: Extractor | StatefulExtractor) -> list[Taken]:
         mine = runs_of(e, runs)
         lines, files = corpus.of(list(e.rules), mine)
         if isinstance(e, Extractor) and isinstance(e.how, extract.Grammar):
-            take(e.table, run_extractor(e, lines, files=files, stage=stage(e.table)))
-            continue
+            return [(e.table, run_extractor(e, lines, files=files, stage=stage(e.table)))]
         lines = lines.join(files.filter("fault is not null").select("id", "ord"), ["id", "ord"], "left_anti")
         if isinstance(e, Extractor):
-            take(e.table, run_extractor(e, lines))
-        else:
-            made, wrong = run_stateful(e, lines, mine, stage(e.name))
-            tables.update(made)
-            issues.append(wrong.unionByName(quality.file_verdicts(files, F.lit(False), e.name, once=False)[1]))
+            return [(e.table, run_extractor(e, lines))]
+        made, wrong = run_stateful(e, lines, mine, stage(e.name))
+        wrong = wrong.unionByName(quality.file_verdicts(files, F.lit(False), e.name, once=False)[1])
+        return [*((t, (rows,)) for t, rows in made.items()), ("", (None, wrong))]
+
+    jobs: dict[str, Callable[[], list[Taken]]] = {"loads": lambda: list(_loads(of, stage)), "status": lambda: [("status", _status(runs, of))]}
+    for how, names in ((log, LOG_TABLES), (csv, CSV_TABLES), (plain, PLAIN_TABLES)):
+        jobs |= {t: (lambda t=t, how=how: how(t)) for t in names}
+    jobs |= {f"own {e.tables[0]}": (lambda e=e: ours(e)) for e in own}
+    for table, (rows, *wrong) in (x for found in side_by_side(corpus.staging.spark, jobs).values() for x in found):
+        if table:
+            tables[table] = rows
+        issues += wrong
     return tables, issues
 
 
 def _loads(of, stage):
-    """(table, (rows, issues, ...)) of the load exports; a comma parts the cells of one file name and a semicolon those of others."""
+    """(table, (rows, issues, ...)) of the load exports; a comma parts the cells of one file name and a semicolon those of others.
+
+    All exports' lines are read and split once, and staged in a partition for each table.
+    """
     (commas, comma_files), (lines, files) = of("cpu_sadf"), of("sadf")
     made = route_files(files, ("sadf",)).select(*files.columns, F.concat("stem", F.lit("_sadf")).alias("made"))
     names = [r[0] for r in made.select("made").distinct().collect()]  # a name for each kind of export
+    split = stage("loads", "made")(csvfiles.split_records(lines.withColumn("made", F.concat("stem", F.lit("_sadf"))), ";", csvtables.LOAD_COMMENT, ("made",))) if names else None
     for table in sorted({*names, *(() if comma_files.isEmpty() else ("cpu_sadf",))}):
-        own = lines.filter(F.concat("stem", F.lit("_sadf")) == table)
-        rows, issues = csvtables.load_table(own, table, ";", made.filter(F.col("made") == table).drop("made"), stage(table))
+        if table in names:
+            rows, issues = csvtables.load_of(split.filter(F.col("made") == table).drop("made"), table, made.filter(F.col("made") == table).drop("made"))
         if table == "cpu_sadf" and not comma_files.isEmpty():
             more, wrong = csvtables.load_table(commas, table, ",", comma_files, stage(f"{table}-commas"))
             if table not in names:
@@ -199,13 +212,10 @@ def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str
     failed = staging.put(unknown.unionByName(corpus.broken).unionByName(twice), "failed")
     # a failed run has no rows but those of its failure, whether they come from its lines or its attributes
     good = staging.put(quality.withhold(selected, failed), "good")
-    # issues are gathered one small job after another: one plan over all tables would be too large to plan
-    issues_at = f"{staging.folder}/issues"
-    failed.write.mode("overwrite").parquet(issues_at)
     tables, issues = extract_all(corpus, good, quality.withhold(routed, failed), own)
-    for some in issues:
-        some.write.mode("append").parquet(issues_at)
-    tables["parse_status"] = spark.read.schema(ISSUES).parquet(issues_at).select(quality.told().alias("message"), "id")
+    # issues are gathered by small jobs: one plan over all tables would be too large to plan
+    side_by_side(spark, {f"issues {n}": (lambda n=n, some=some: staging.put(some, f"issues/{n}")) for n, some in enumerate([failed, *issues])})
+    tables["parse_status"] = spark.read.schema(ISSUES).parquet(f"{staging.folder}/issues/*").select(quality.told().alias("message"), "id")
     written = write_tables(tables, selected, base, task.drop_tables, narrow, sorted(task.collect))
     reset_collections(spark, base, sorted(task.collect), written)  # what earlier runs had goes when the new is there
     staging.clear()

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window
@@ -18,6 +20,8 @@ FILE_BYTES, GROUP_ROWS, LEVEL = 750 << 20, 1_000_000, 18
 #: Tables that are written at a time.
 SIDE_BY_SIDE = 4
 
+T = TypeVar("T")
+
 
 def reset_collections(spark: SparkSession, base: str, names: list[str], kept: list[str] | None = None) -> None:
     """Delete what earlier runs wrote of these collections, but for tables named in ``kept``, and nothing of others."""
@@ -113,6 +117,23 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], T]], at_once: int = SIDE_BY_SIDE) -> dict[str, T]:
+    """What each job returns; some run at a time, in pools of their own where the scheduler is fair. The first failure ends the rest."""
+
+    def run(name: str) -> T:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return jobs[name]()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        begun = {name: pool.submit(inheritable_thread_target(spark)(run), name) for name in jobs}
+        done, _ = wait(begun.values(), return_when=FIRST_EXCEPTION)
+        if any(job.exception() for job in done):
+            pool.shutdown(cancel_futures=True)
+        for job in done:
+            job.result()
+        return {name: job.result() for name, job in begun.items()}
+
+
 def fill_empty(spark: SparkSession, schema: StructType, table: str, base: str, names: list[str]) -> None:
     """Give each collection without rows of a table a file that holds its schema, in place of what it had: empty isn't absent."""
     plain = StructType([f for f in schema.fields if f.name != "collection"])
@@ -123,21 +144,13 @@ def fill_empty(spark: SparkSession, schema: StructType, table: str, base: str, n
 def write_tables(tables: dict[str, DataFrame], selected: DataFrame, base: str, drop_tables: tuple[str, ...] = (), narrow: bool = False, collections: list[str] | None = None, at_once: int = SIDE_BY_SIDE) -> list[str]:
     """Write each table to the collections of its runs; dropped tables are never computed. Returns the names written.
 
-    Of ``collections``, those without rows get an empty table. ``at_once`` tables are written side by side, in pools of
-    their own where the scheduler is fair; the first failure ends the rest.
+    Of ``collections``, those without rows get an empty table. ``at_once`` tables are written side by side.
     """
     kept, spark = sorted(set(tables) - set(drop_tables)), selected.sparkSession
 
     def write(name: str) -> None:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         schema, names = write_table(fan_out(tables[name], selected), name, base, narrow)
         fill_empty(spark, schema, name, base, sorted(set(collections or ()) - set(names)))
 
-    with ThreadPoolExecutor(at_once) as pool:
-        jobs = [pool.submit(inheritable_thread_target(spark)(write), name) for name in kept]
-        done, _ = wait(jobs, return_when=FIRST_EXCEPTION)
-        if any(job.exception() for job in done):
-            pool.shutdown(cancel_futures=True)
-        for job in done:
-            job.result()
+    side_by_side(spark, {name: lambda name=name: write(name) for name in kept}, at_once)
     return kept

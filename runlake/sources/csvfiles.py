@@ -95,20 +95,31 @@ def spooled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def split_records(lines: DataFrame, sep: str = ",", comment: str = "", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each record's cells, or the record itself where it doesn't part into cells; headers are record 0, without their comment mark."""
+    text = _records(lines)
+    if comment:
+        text = text.withColumn("line", F.when(F.col("line_no") == 0, F.regexp_replace("line", f"^{re.escape(comment)}", "")).otherwise(F.col("line")))
+    found = cells(F.col("line"), sep)
+    return text.select(*PLACE, *keep, found.alias("__cells"), F.when(found.isNull(), F.col("line")).alias("__odd"))
+
+
 def inferred(lines: DataFrame, sep: str = ",", comment: str = "", stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows of files with a header each, and the files (id, ord, name) that don't parse. Rows carry id, ord, name and line_no.
+    """Rows of files with a header each, and the files (id, ord, name) that don't parse, as ``typed`` gives them.
+
+    The records' cells are looked at for headers, for bad records, for types and for the rows, so ``stage`` writes
+    them and reads them back; by default to the shared folder.
+    """
+    return typed((stage or spooled)(split_records(lines, sep, comment)))
+
+
+def typed(split: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of split records, under id, ord, name and line_no, and the files that don't parse.
 
     Types are inferred once for each column, over all files that have it: whole numbers of 64 bits, of 38 digits,
     doubles, or text. A file is bad if a record has more or fewer cells than its header, or text beside quotes. Columns
     stand in the order in which files have them; see ``merged_order``.
-    The records' cells are looked at for headers, for bad records, for types and for the rows, so ``stage`` writes
-    them and reads them back; by default to the shared folder.
     """
-    text = _records(lines)
-    if comment:
-        text = text.withColumn("line", F.when(F.col("line_no") == 0, F.regexp_replace("line", f"^{re.escape(comment)}", "")).otherwise(F.col("line")))
-    found = cells(F.col("line"), sep)
-    split = (stage or spooled)(text.select(*PLACE, found.alias("__cells"), F.when(found.isNull(), F.col("line")).alias("__odd")))
     heads = split.filter("line_no = 0").select(*FILE, header_names(F.col("__cells")).alias("__head"), F.coalesce("__odd", F.lit("")).alias("__said"))
     rows = split.filter("line_no > 0").join(heads, FILE, "left")
     fits = F.coalesce(F.size("__cells") == F.size("__head"), F.lit(False))

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from runlake.operators.selection import config_table
 from runlake.plans import extractors, sink
-from runlake.plans.collect import Staging, collect
+from runlake.plans.collect import WANTED, Corpus, Staging, collect
 from runlake.plans.extractors import Extractor, register_extractor
 from runlake.operators.extract import Grammar, text
 from runlake.sources import archives
-from runlake.sources.manifest import Task, parse_runs
+from runlake.sources.manifest import Task, archive_path, parse_runs
 from runlake.sources.routing import Rule
 
 ZGC = {
@@ -135,6 +135,19 @@ def test_files_that_do_not_parse_are_issues_of_their_own(spark, tmp_path):
     assert dict(read("config").dtypes)["iteration"] == "tinyint"
 
 
+def test_many_archives_are_scanned_by_many_tasks(spark, tmp_path):
+    """A thousand small archives, which adaptive execution would take for one task's work, are staged by as many tasks as there are cores."""
+    pack(tmp_path, 0, {"status.txt": "success", "runner1.exit": "0"})
+    small = (tmp_path / "runs" / f"{0:016X}.tar.xz").read_bytes()
+    for k in range(1, 1000):
+        (tmp_path / "runs" / f"{k:016X}.tar.xz").write_bytes(small)
+    paths = spark.range(1000).select("id", archive_path(F.col("id"), str(tmp_path)).alias("path"))
+    corpus = Corpus(Staging(spark, str(tmp_path)), archives.scan_archives(paths, WANTED), [])
+    by = corpus.lines.groupBy(F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).alias("task")).agg(F.count_distinct("id").alias("n")).collect()
+    assert len(by) == 4 and all(r.n == 250 for r in by)
+    assert corpus.files.count() == 2000 and corpus.files.filter("fault is not null").count() == 0
+
+
 def test_files_of_the_lake(spark, tmp_path):
     rows = spark.range(50_000).selectExpr("id", "concat('text ', id) AS t", "if(id < 40000, 'a', 'b') AS collection")
     schema, names = sink.write_table(rows, "wide", str(tmp_path), narrow=True, file_bytes=400_000)
