@@ -84,3 +84,43 @@ def test_unknown_benchmarks_are_issues(spark):
     routed, issues = selection.route_collectors(runs)
     assert routed.filter("id = 1").count() == 13 and [i.id for i in issues.collect()] == [2]
     assert quality.withhold(runs, issues).select(F.max("id")).first()[0] == 1
+
+
+def test_manifests_are_streams(spark, tmp_path):
+    """Read in pieces of any size a manifest gives the runs that it gives as one text; what breaks a rule ends the load."""
+    import io
+    import json
+    import tracemalloc
+
+    run = {"benchmark": "specjbb", "tar_file": "t {\\" + '"}' + "\\u00e9", "iteration": 1, "gc": "ZGC", "memory_ratio": 1.25}
+    whole = json.dumps({"bench_index": 12.5, "more": [{"benchmark_runs": 1}], "benchmark_runs": {str(k): run for k in range(40)}, "after": None}, indent=1)
+    for piece in (1, 7, 64, 1 << 20):
+        found = dict(manifest.runs_in(io.StringIO(whole), piece))
+        assert list(found) == [str(k) for k in range(40)] and all(json.loads(v) == run for v in found.values())
+    (tmp_path / "m.json").write_text(whole)
+    texts = spark.createDataFrame([(whole,)], "value string")
+    assert sorted(manifest.read_runs(spark, f"{tmp_path}/m.json").collect()) == sorted(manifest.parse_runs(texts).collect())
+    assert manifest.stream_runs(spark, f"{tmp_path}/m.json", f"file:{tmp_path}/m.json").count() == 80
+    for wrong in ("[]", '{"benchmark_runs": 3}', '{"benchmark_runs": {"1": {"a": 1}', whole[:-9], '{"benchmark_runs": {"1": {"a": }}}'):
+        with pytest.raises(ValueError):
+            list(manifest.runs_in(io.StringIO(wrong), 5))
+    for key, own, told in (("x1", run, "invalid run id"), ("1", run | {"nope": 1}, "unknown attribute"), ("1", {"benchmark": "b"}, "missing attribute")):
+        (tmp_path / "bad.json").write_text(json.dumps({"benchmark_runs": {"0": run, key: own}}))
+        with pytest.raises(Exception, match=told):
+            manifest.read_runs(spark, f"{tmp_path}/bad.json").collect()
+    assert list(manifest.runs_in(io.StringIO('{"benchmark_runs": {}}'))) == [] == list(manifest.runs_in(io.StringIO("{}")))
+
+    class Endless(io.TextIOBase):
+        """A manifest of 36 MB that is never there as a whole."""
+
+        def __init__(self):
+            self.n = 0
+
+        def read(self, size=-1):
+            self.n += 1
+            own = ", ".join(f'"{self.n * 1000 + k}": {{"tar_file": "{"x" * 150}"}}' for k in range(1000))
+            return '{"benchmark_runs": {' + own if self.n == 1 else ", " + own if self.n < 200 else "}}" if self.n == 200 else ""
+
+    tracemalloc.start()
+    assert sum(1 for _ in manifest.runs_in(Endless())) == 199 * 1000 and tracemalloc.get_traced_memory()[1] < 4 << 20
+    tracemalloc.stop()
