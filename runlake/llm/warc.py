@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 
 from .common import shared_dir, smaller_batches, spooled
 
-#: Bytes of a block before it goes on in another record, bytes of a chunk, records of a file at most.
-SEGMENT, CHUNK, FILE_RECORDS = 16384, 4096, 20_000
+#: Bytes of a block before it goes on in another record, bytes of a chunk, records of a file at most. A record has little
+#: more than SEGMENT bytes, so a file has some 130 MB at most, and a fraction of that gzipped.
+SEGMENT, CHUNK, FILE_RECORDS = 16384, 4096, 8_000
+#: Bytes that are inflated at a time, and bytes of a record's head at most.
+INFLATED, HEAD_BYTES = 1 << 20, 1 << 20
 HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 END = b"\r\n\r\n"
@@ -143,20 +146,56 @@ def write(pages: DataFrame, path: str) -> None:
     out.mapInArrow(run, "value string").write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The fields (names in lower case) and the block of each record, in order; breaks off with an error on bad framing."""
-    at = 0
-    while at < len(data):
-        head = data.index(END, at)
-        lines = data[at:head].decode().split("\r\n")
+def inflated(data: bytes, most: int = INFLATED) -> Iterator[bytes]:
+    """The content of a gzipped file, which may be many gzipped parts one after another, in pieces of at most ``most`` bytes."""
+    at, view = 0, memoryview(data)
+    while at < len(view):
+        part = zlib.decompressobj(31)
+        while not part.eof:
+            given = part.unconsumed_tail or view[at : at + most]
+            if not len(given):
+                raise EOFError("a gzipped file ends before its end")
+            at += 0 if part.unconsumed_tail else len(given)
+            if piece := part.decompress(given, most):
+                yield piece
+        at -= len(part.unused_data)
+
+
+def parse(data: bytes | Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """The fields (names in lower case) and the block of each record, in order; breaks off with an error on bad framing.
+
+    Of a file given in pieces no more than a record and a piece is held.
+    """
+    pieces = iter([data] if isinstance(data, bytes) else data)
+    held, at = bytearray(), 0
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        if piece is None:
+            return False
+        held.extend(piece)
+        return True
+
+    place = 0
+    while at < len(held) or more():
+        while (head := held.find(END, at)) < 0:
+            if len(held) - at > HEAD_BYTES or not more():
+                raise ValueError(f"no record at byte {place}")
+        lines = held[at:head].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record at byte {place}")
         fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
         start, size = head + 4, int(fields["content-length"])
-        if data[start + size : start + size + 4] != END:
-            raise ValueError(f"the record at byte {at} doesn't have its stated length")
-        yield fields, data[start : start + size]
+        while len(held) < start + size + 4 and more():
+            pass
+        if held[start + size : start + size + 4] != END:
+            raise ValueError(f"the record at byte {place} doesn't have its stated length")
+        yield fields, bytes(held[start : start + size])
+        place += start + size + 4 - at
         at = start + size + 4
+        if at > INFLATED:
+            del held[:at]
+            at = 0
 
 
 def whole(segments: list[tuple[int, int | None, bytes]]) -> bytes:
@@ -189,7 +228,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             for content in batch["content"]:
                 data = content.as_py()
                 rows, held = [], 0
-                for f, block in parse(zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data):
+                for f, block in parse(inflated(data) if data[:2] == b"\x1f\x8b" else data):
                     name = f["warc-record-id"]
                     page = name[len("<urn:x-page:") :].split(":")[0]
                     number = int(f["warc-segment-number"]) if "warc-segment-number" in f else None
