@@ -3,12 +3,14 @@
 The words within reach of one that speaks of licensing make a block, however its lines are broken. Each template
 is fitted to the block's words, wherever it differs least; stretches that fit are compressed once alone and once with
 the template as a raw dictionary. Fits are ranked by the bytes that this saves, less what the words that differ
-would take; a fit is confirmed if few words differ and none of those that tell licenses apart. Of fits that
+would take; a fit is confirmed by its exact wording: few words differ, none of those that tell licenses apart, and
+never many in a row, for a clause that is added or missing makes another license. Of fits that
 overlap, the first in rank tells what is stated there.
 """
 
 from __future__ import annotations
 
+import difflib
 import functools
 import re
 from array import array
@@ -31,11 +33,13 @@ _GRANT = (
     "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
     "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 )
+_MIT_0 = _GRANT.replace(", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", ".")
 _MAY_USE = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
 _RETAIN = (
     "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
     "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 )
+_ADVERTISING = "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization."
 _NO_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
 _NO_WARRANTY = (
     'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY '
@@ -67,11 +71,17 @@ def _commons(terms: str, names: str, version: str) -> tuple[str, ...]:
 
 #: Wordings of notices, by SPDX identifier, a list for each license.
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES "
+        "WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    ),
     "AGPL-3.0": _gnu("Affero General Public License", "3"),
+    "Apache-1.1": ("Licensed under the Apache Software License, Version 1.1.",),
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", _APACHE, f"{_APACHE} {_APACHE_REST}"),
     "Artistic-2.0": ("This is free software, licensed under the Artistic License 2.0.",),
     "BSD-2-Clause": ("Released under the BSD 2-Clause License.", _MAY_USE, f"{_MAY_USE} {_RETAIN} {_NO_WARRANTY}"),
     "BSD-3-Clause": ("Released under the BSD 3-Clause License.", _NO_NAMES, f"{_MAY_USE} {_RETAIN} {_NO_NAMES} {_NO_WARRANTY}"),
+    "BSD-4-Clause": ("Released under the BSD 4-Clause License.", f"{_MAY_USE} {_RETAIN} {_ADVERTISING} {_NO_NAMES} {_NO_WARRANTY}"),
     "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
     "CC-BY-4.0": _commons("BY", "Attribution", "4.0"),
     "CC-BY-NC-4.0": _commons("BY-NC", "Attribution-NonCommercial", "4.0"),
@@ -81,6 +91,9 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-SA-4.0": _commons("BY-SA", "Attribution-ShareAlike", "4.0"),
     "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
     "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",),
+    "GFDL-1.3": (
+        "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation.",
+    ),
     "GPL-2.0": _gnu("General Public License", "2"),
     "GPL-3.0": _gnu("General Public License", "3"),
     "ISC": (
@@ -91,6 +104,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "LGPL-2.1": _gnu("Lesser General Public License", "2.1"),
     "LGPL-3.0": _gnu("Lesser General Public License", "3"),
     "MIT": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.", _GRANT),
+    "MIT-0": ("Released under the MIT-0 License.", _MIT_0),
+    "MPL-1.1": ("The contents of this file are subject to the Mozilla Public License Version 1.1; you may not use this file except in compliance with the License.",),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
@@ -98,30 +113,58 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "Zlib": ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",),
 }
+
+# How one states a license by its identifier, and titles that stand over a copyright line.
+STATED = ("SPDX-License-Identifier: {}", "License: {}")
+GNU_ENDINGS = ("", "-only", "-or-later")
+TITLES = {"MIT": "MIT License Copyright (c)", "ISC": "ISC License Copyright (c)", "BSD-2-Clause": "BSD 2-Clause License Copyright (c)", "BSD-3-Clause": "BSD 3-Clause License Copyright (c)", "Apache-2.0": "Apache License Version 2.0, January 2004"}
+
 #: Words that a block must hold one of to be a candidate, in lower case.
 SIGNS = ("licen", "copyright", "public domain", "permission is hereby", "permission to use", "redistribution and use", "software is provided")
 #: Words that tell licenses of like wording apart: a notice has those of its template and no others. So it is with words that hold digits.
 TELLING = ("affero", "lesser", "noncommercial", "sharealike", "noderivatives", "noderivs")
 #: Words that may differ, out of a hundred of the template's, and the bytes that each of them counts for in the rank.
 MAY_DIFFER, WORD_BYTES = 34, 6
+#: Words in a row, added or missing, that make a clause: a fit with so many is another license's.
+CLAUSE = 9
+#: Words between a title and its license's notice at most, such as those of a copyright line.
+TITLE_WORDS = 25
 
 #: A sign's own words may stand on two lines, with comment marks between them.
 _SIGN = re.compile("|".join(x.replace(" ", r"\W+") for x in SIGNS), re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"\w+(?:[-.]\w+)*")
 _BREAK = re.compile(r"\s*\n[^\w\n]*")
+_IS = re.compile("[:=]")
 _STOP = re.compile(r"[^\w\s]*")
 
 #: Each template as (license, text, words as numbers, numbers of the words it must hold, words that may differ).
 _NUMBER: dict[str, int] = {w: i for i, w in enumerate(TELLING, 1)}
 _TELL = set(_NUMBER.values())
 _FITTED: list[tuple[str, str, list[int], set[int], int]] = []
+_IDENTIFIERS = {n: [n + e for e in (GNU_ENDINGS if "GPL" in n else ("",))] for n in TEMPLATES}
+_STATEMENTS = {n: [how.format(i) for how in STATED for i in own] for n, own in _IDENTIFIERS.items()}
+#: Templates that are statements: a colon or an equals sign stands between their two words.
+_STATING: set[int] = set()
+_TITLING: set[int] = set()
 for _name, _texts in TEMPLATES.items():
-    for _text in _texts:
+    for _text in (*_texts, *((TITLES[_name],) if _name in TITLES else ()), *_STATEMENTS[_name]):
+        if _text in _STATEMENTS[_name]:
+            _STATING.add(len(_FITTED))
+        if _text == TITLES.get(_name):
+            _TITLING.add(len(_FITTED))
         _words = [(w, _NUMBER.setdefault(w, len(_NUMBER) + 1)) for w in _WORD.findall(_text.lower())]
         _FITTED.append((_name, _text, [n for _, n in _words], {n for w, n in _words if n in _TELL or any(ch.isdigit() for ch in w)}, MAY_DIFFER * len(_words) // 100))
 _HOLDS = np.zeros((len(_FITTED), len(_NUMBER) + 1), dtype=np.int32)
 for _i, _fitted in enumerate(_FITTED):
     _HOLDS[_i, _fitted[2]] = 1
+#: Templates by their length, so that those of a group take about the same time: (numbers of the templates, words by template and place).
+_GROUPS: list[tuple[np.ndarray, np.ndarray]] = []
+for _least, _most in ((0, 8), (8, 50), (50, 1 << 30)):
+    _own = [i for i, x in enumerate(_FITTED) if _least <= len(x[2]) < _most]
+    _want = np.full((len(_own), max(len(_FITTED[i][2]) for i in _own)), -1, dtype=np.int64)
+    for _row, _i in enumerate(_own):
+        _want[_row, : len(_FITTED[_i][2])] = _FITTED[_i][2]
+    _GROUPS.append((np.array(_own), _want))
 #: Words of the longest fit, which is how far a block reaches round a sign; words that are looked at at once.
 REACH, AT_ONCE = max(len(x[2]) + x[4] for x in _FITTED), 1 << 14
 
@@ -164,55 +207,81 @@ def blocks(text: str, starts: array, ends: array) -> list[tuple[int, int]]:
     return out
 
 
-def fits(have: list[int], want: list[int], most: int) -> list[tuple[int, int, int]]:
-    """(words that differ, from, to) for each end of a stretch of ``have`` that differs from ``want`` in at most ``most`` words.
+def least_different(have: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each end in ``have`` and each row of ``wanted`` (filled up with -1) the stretch that differs from it in fewest words.
 
     Words differ that one side has and the other lacks. Of stretches with one end the least different is taken,
-    then the shortest. A cell holds differences times ``big`` less the start.
+    then the shortest. A cell holds differences times ``len(have) + 1`` less the start. All templates and all of their places
+    are computed at once for one word after another.
     """
-    big, n = len(have) + 1, len(want)
-    column, out = [i * big for i in range(n + 1)], []
-    for j, word in enumerate(have, 1):
-        before, column[0] = column[0], -j
-        for i in range(1, n + 1):
-            here, left = column[i - 1] + big, column[i] + big
-            least = here if here < left else left
-            if want[i - 1] == word and before < least:
-                least = before
-            before, column[i] = column[i], least
-        differ = -(-column[n] // big)
-        if differ <= most:
-            out.append((differ, differ * big - column[n], j))
+    big, (rows, wide) = len(have) + 1, wanted.shape
+    sizes = (wanted >= 0).sum(1)
+    steps = np.arange(wide + 1, dtype=np.int64) * big
+    column = np.broadcast_to(steps, (rows, wide + 1)).copy()
+    out, every = np.empty((len(have), rows), dtype=np.int64), np.arange(rows)
+    beyond = np.int64(1) << 62
+    for j, word in enumerate(have.tolist(), 1):
+        here = column + big
+        here[:, 0] = -j
+        np.minimum(here[:, 1:], np.where(wanted == word, column[:, :-1], beyond), out=here[:, 1:])
+        here -= steps  # a word of the template that is lacking costs one, wherever the stretch stood before
+        np.minimum.accumulate(here, axis=1, out=here)
+        here += steps
+        column = here
+        out[j - 1] = column[every, sizes]
     return out
 
 
+def fits(have: list[int], want: list[int], most: int) -> list[tuple[int, int, int]]:
+    """(words that differ, from, to) for each end of a stretch of ``have`` that differs from ``want`` in at most ``most`` words."""
+    big = len(have) + 1
+    cells = least_different(np.array(have, dtype=np.int64), np.array([want], dtype=np.int64))[:, 0].tolist()
+    return [(-(-c // big), -(-c // big) * big - c, j) for j, c in enumerate(cells, 1) if -(-c // big) <= most]
+
+
 def confirmed(named: set[int], have: list[int]) -> bool:
     """Whether a stretch has the words that tell its template from others, and none that tell others from it."""
     held = set(have)
     return named <= held and not (held & _TELL) - named
 
 
+def same_clauses(have: list[int], want: list[int]) -> bool:
+    """Whether no CLAUSE words in a row are added or missing in ``have``."""
+    matched = difflib.SequenceMatcher(None, want, have, autojunk=False).get_opcodes()
+    return all(max(b - a, d - c) < CLAUSE for kind, a, b, c, d in matched if kind != "equal")
+
+
 @functools.lru_cache(maxsize=20_000)
 def found_in(numbers: bytes) -> list[tuple[int, int, int, int]]:
     """(differences, template, from, to) for each fit of each template to some words in order."""
     ids = np.frombuffer(numbers, dtype=np.int32)
     sums = np.concatenate([np.zeros((len(_FITTED), 1), dtype=np.int32), np.cumsum(_HOLDS[:, ids], axis=1, dtype=np.int32)], axis=1)
     out = []
-    for k, (_, _, want, named, most) in enumerate(_FITTED):
-        wide = len(want) + most
-        ends = np.minimum(np.arange(len(ids)) + wide, len(ids))
-        enough = np.flatnonzero(sums[k, ends] - sums[k, :-1] >= len(want) - most)  # a fit has so many of the template's words
-        for part in np.split(enough, np.flatnonzero(np.diff(enough) > 1) + 1) if len(enough) else []:
-            low, high = int(part[0]), int(ends[part[-1]])
-            have = ids[low:high].tolist()
-            out += [(d, k, low + s, low + e) for d, s, e in fits(have, want, most) if confirmed(named, have[s:e])]
+    for own, wanted in _GROUPS:
+        near = np.zeros(len(ids) + 1, dtype=np.int64)  # where stretches of words that are looked at begin and end
+        for k in own.tolist():
+            _, _, want, _, most = _FITTED[k]
+            ends = np.minimum(np.arange(len(ids)) + len(want) + most, len(ids))
+            enough = np.flatnonzero(sums[k, ends] - sums[k, :-1] >= len(want) - most)  # a fit has so many of the template's words
+            np.add.at(near, enough, 1)
+            np.add.at(near, ends[enough], -1)
+        looked = np.flatnonzero(np.diff(np.concatenate([[False], np.cumsum(near)[:-1] > 0, [False]]).astype(np.int8)))
+        for low, high in looked.reshape(-1, 2).tolist():
+            have = ids[low:high]
+            cells, big = least_different(have, wanted), high - low + 1
+            differ = -(-cells // big)
+            for j, row in np.argwhere(differ <= np.array([_FITTED[k][4] for k in own])).tolist():
+                k, d = int(own[row]), int(differ[j, row])
+                s, e = d * big - int(cells[j, row]), j + 1
+                if confirmed(_FITTED[k][3], have[s:e].tolist()):
+                    out.append((d, k, low + s, low + e))
     return out
 
 
 def notices(text: str) -> tuple[int, list[tuple[int, int, str, int, int]]]:
     """The number of blocks, and (start, end, license, bytes saved, words that differ) of each notice by start.
 
-    A notice ends with the stops that follow its last word.
+    A notice ends with the stops that follow its last word. A title over a notice of its license is no notice by itself.
     """
     if not _SIGN.search(text):
         return 0, []
@@ -223,16 +292,25 @@ def notices(text: str) -> tuple[int, list[tuple[int, int, str, int, int]]]:
             fitted |= {(d, k, s + a, s + e) for d, k, a, e in found_in(numbers[s : min(high, s + AT_ONCE + REACH)].tobytes())}
     ranked = []
     for differ, k, a, e in fitted:
+        if k in _STATING and not _IS.search(text, ends[a], starts[e - 1]):
+            continue
         start, end = starts[a], _STOP.match(text, ends[e - 1]).end()
         bytes_saved = saved(_BREAK.sub(" ", text[start:end]), k)
         if bytes_saved > 0:
-            ranked.append((WORD_BYTES * differ - bytes_saved, differ, _FITTED[k][0], a, e, start, end, bytes_saved))
+            ranked.append((WORD_BYTES * differ - bytes_saved, differ, _FITTED[k][0], a, e, start, end, bytes_saved, k))
     taken, used = [], bytearray(len(starts))
-    for _, differ, name, a, e, start, end, bytes_saved in sorted(ranked):
-        if not any(used[a:e]):
-            used[a:e] = b"\1" * (e - a)
-            taken.append((start, end, name, bytes_saved, differ))
-    return len(at), sorted(taken)
+    refused: dict[str, bytearray] = {}  # words of fits that lack a clause or have one more, where shorter wordings of that license tell nothing
+    for _, differ, name, a, e, start, end, bytes_saved, k in sorted(ranked):
+        if any(used[a:e]) or (name in refused and any(refused[name][a:e])):
+            continue
+        if differ >= CLAUSE and not same_clauses(list(numbers[a:e]), _FITTED[k][2]):
+            refused.setdefault(name, bytearray(len(starts)))[a:e] = b"\1" * (e - a)
+            continue
+        used[a:e] = b"\1" * (e - a)
+        taken.append((a, e, k, start, end, name, bytes_saved, differ))
+    taken.sort()
+    led = [k in _TITLING and name == after[5] and after[0] - e <= TITLE_WORDS for (_, e, k, _, _, name, *_), after in zip(taken, taken[1:])]
+    return len(at), [found[3:] for found, part in zip(taken, [*led, False]) if not part]
 
 
 def licence(block: str) -> tuple[str, int, int] | None:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -546,6 +547,46 @@ def test_the_first_in_rank_is_taken():
     assert [x[2] for x in license_scan.notices(text)[1]] == [n for *_, n in sorted(taken)] == ["MIT", "Apache-2.0", "CC-BY-SA-4.0"]
 
 
+_EVIL = license_scan._GRANT.replace("THE SOFTWARE IS PROVIDED", "The Software shall be used for Good, not Evil. THE SOFTWARE IS PROVIDED")
+
+
+@pytest.mark.parametrize("text, names", [
+    (license_scan._MIT_0, ["MIT-0"]),
+    ("MIT No Attribution\n\nCopyright A. Person\n\n" + license_scan._MIT_0, ["MIT-0"]),
+    (f"{license_scan._MAY_USE} {license_scan._RETAIN} {license_scan._ADVERTISING} {license_scan._NO_NAMES} {license_scan._NO_WARRANTY}", ["BSD-4-Clause"]),
+    (_EVIL, []),  # a clause of nine words makes it another license, whose first words don't make it the one again
+    ("# SPDX-License-Identifier: MIT", ["MIT"]),
+    ("// SPDX-License-Identifier: GPL-3.0-or-later", ["GPL-3.0"]),
+    ("license = 'LGPL-2.1-only'", ["LGPL-2.1"]),
+    ("License: Apache-2.0", ["Apache-2.0"]),
+    ("MIT License\n\nCopyright (c) 2021 A. Person", ["MIT"]),
+    ("Apache License\n  Version 2.0, January 2004", ["Apache-2.0"]),
+    ("It has no license. MIT researchers said so.", []),
+    ("SPDX-License-Identifier: GPL-4.0", []),
+    ("Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation\nLicense, Version 1.3 or any later version published by the Free Software Foundation; with no Invariant Sections", ["GFDL-1.3"]),
+])
+def test_near_relatives_and_statements(text, names):
+    assert [x[2] for x in license_scan.notices(f"before\n{text}\nafter")[1]] == names
+
+
+def test_every_template_has_a_sign_and_is_itself():
+    """No template is passed over, and each full wording of a license is that license's."""
+    for name, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            assert license_scan._SIGN.search(text), text
+            assert {x[2] for x in license_scan.notices(text)[1]} == {name}, text
+
+
+def test_a_page_of_legal_words_takes_a_second():
+    """Words of all templates in no order, twenty thousand of them, and forty texts of one license."""
+    words = [w for texts in license_scan.TEMPLATES.values() for t in texts for w in t.split()]
+    page = " ".join(random.Random(3).choices(words, k=20_000))
+    for text, most in ((page, 3), ("\n".join(f"file {k}\n{license_scan._GRANT}" for k in range(40)), 3)):
+        began = time.monotonic()
+        license_scan.notices(text)
+        assert time.monotonic() - began < most
+
+
 def test_licenses_of_a_table_are_those_of_its_texts(odd):
     rows = license_scan.find_licenses(odd).collect()
     want = Counter()
