@@ -207,7 +207,7 @@ def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str
     routed = staging.put(known, "collectors")
     paths = routed.select("id").distinct().select("id", manifest.archive_path(F.col("id"), task.location).alias("path"))
     wanted = (*WANTED, *(x for e in own for x in e.endings)) if all(e.endings for e in own) else ()
-    corpus = Corpus(staging, archives.scan_archives(paths, wanted), own)
+    corpus = Corpus(staging, archives.scan_archives(staging.put(archives.with_sizes(paths), "archives"), wanted), own)
     twice = quality.assert_unique_tables(made_tables(corpus.files, selected, routed, own))
     failed = staging.put(unknown.unionByName(corpus.broken).unionByName(twice), "failed")
     # a failed run has no rows but those of its failure, whether they come from its lines or its attributes
