@@ -327,9 +327,8 @@ def test_a_long_text_has_the_features_of_one_piece(monkeypatch):
     assert np.array_equal(cut[0], text_features.document(text, 9)) and np.allclose(cut[1], np.concatenate(list(text_features.passages(text, 6, 128))))
 
 
-def test_few_passages_of_a_long_text_teach():
-    rows = quality_mil.encode(prose(4, 30_000))
-    assert 16 <= len(rows) <= quality_mil.TAUGHT_PASSAGES
+def test_all_passages_of_a_long_text_teach():
+    assert len(quality_mil.encode(prose(4, 30_000))) == -(-30_000 // quality_mil.PASSAGE)
     assert len(quality_mil.encode("")) == 1 and len(quality_mil.encode(prose(4, 300))) == 3
 
 
