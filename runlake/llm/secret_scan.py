@@ -1,16 +1,21 @@
 """Secret scans: fixed patterns, and tokens that a battery of randomness tests tells from ordinary text.
 
-For each long token the encoding is inferred as the smallest usual alphabet that holds it. Three tests look at
-its symbols, twice each. As tests of randomness, a chi-squared statistic against uniform use of the alphabet, the
-number of runs of one class of characters and the correlation of neighbours leave out tokens that random ones
-would hardly look like (words, counting up, keyboard rows). As evidence against ordinary text, the same three (letters
-used as in prose or evenly, changes between words and numbers, vowels beside consonants) give a likelihood ratio;
-ordinary tokens exceed one of x with a chance of at most 1 / x. That chance is held to a rate of false
-discoveries for each token, which grows with its length and doesn't depend on the text around it.
+For each long token, and the parts it falls into at its signs, the encoding is inferred as the smallest usual alphabet
+that holds it. Three tests look at its symbols, twice each. As evidence against ordinary text, the use of the alphabet
+(letters as in prose or evenly; digits, capitals and signs in the alphabet's share or in any), the number of runs
+(changes between words and numbers) and the correlation of neighbours (vowels beside consonants) give likelihood ratios,
+whose product ordinary text exceeds x times with a chance of at most 1 / x: an e-value. As tests of randomness,
+chi-squared against uniform use, runs and serial correlation give levels: the least of them refuses the token under LEVEL
+(words, counting up, keyboard rows) and, times their number, lessens that value where it is under DOUBTED.
+
+What is found is decided for a document as a whole: the e-values of all its parts, weighted by their lengths, go through a
+step-up (the k largest are found if the k-th is at least m / (k * FALSE_RATE), m parts in all). The expected share of
+false ones among those found is then at most FALSE_RATE, however the parts depend on each other.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -48,8 +53,9 @@ PROSE = dict(zip("abcdefghijklmnopqrstuvwxyz", (82, 15, 28, 43, 127, 22, 20, 61,
 #: How often ordinary tokens change from one word or number to the next, and how many times as often as by chance a
 #: vowel (True) or consonant (False) follows another in words.
 CHANGES, FOLLOWS = 0.06, {(True, True): 0.3, (True, False): 1.45, (False, True): 1.5, (False, False): 0.68}
-#: Ordinary tokens of AT_LENGTH symbols that are taken for secrets, at most; a test of randomness must be passed at this level.
-FALSE_RATE, AT_LENGTH, LEVEL = 1e-3, 32, 1e-3
+#: The expected share of ordinary parts among those found in a document, at most. A test of randomness that is failed at
+#: LEVEL refuses a part; a battery failed at DOUBTED lessens its evidence.
+FALSE_RATE, DOUBTED, LEVEL = 5e-4, 0.05, 1e-3
 LEAST = 16
 
 
@@ -57,103 +63,120 @@ def _kind(symbol: str) -> int:
     return 0 if symbol.isdigit() else 1 if symbol.islower() else 2 if symbol.isupper() else 3
 
 
-def _facts(letters: str) -> tuple[dict[str, int], dict[str, float], float, float]:
-    """Each symbol's place, the evidence of each letter, and the share of digits and the rate of changes in random tokens."""
-    share = Counter(ch.lower() for ch in letters if ch.isalpha())
-    prose = sum(PROSE[ch] for ch in share)
-    evidence = {ch: math.log(n / share.total() / (PROSE[ch] / prose)) for ch, n in share.items()}
-    kinds = Counter(map(_kind, letters))
-    known = sum(kinds[k] for k in (0, 1, 2))
-    same = sum((kinds[k] / known) ** 2 for k in (0, 1, 2)) + kinds[2] * kinds[1] / known**2
-    return {ch: i for i, ch in enumerate(letters)}, evidence, kinds[0] / known, 1 - same
+class Encoding:
+    """An alphabet: each symbol's place, the evidence of each letter, and what random tokens look like."""
 
+    def __init__(self, letters: str):
+        share = Counter(ch.lower() for ch in letters if ch.isalpha())
+        prose = sum(PROSE[ch] for ch in share)
+        kinds = Counter(map(_kind, letters))
+        known = sum(kinds[k] for k in (0, 1, 2))
+        self.places = {ch: i for i, ch in enumerate(letters)}
+        self.letters = {ch: math.log(n / share.total() / (PROSE[ch] / prose)) for ch, n in share.items()}
+        #: What a letter tells that ordinary text takes from all letters and this alphabet has few of.
+        self.narrow = math.log(sum(PROSE.values()) / prose)
+        self.digits, self.signs = kinds[0] / known, kinds[3] / len(letters)
+        self.both_cases = kinds[1] > 0 and kinds[2] > 0
+        self.changed = 1 - sum((kinds[k] / known) ** 2 for k in (0, 1, 2)) - kinds[2] * kinds[1] / known**2
 
-_VALUES = [(name, *_facts(letters)) for name, letters in ALPHABETS]
+
+_ENCODINGS = [Encoding(letters) for _, letters in ALPHABETS]
 _KIND = {ch: _kind(ch) for ch in ALPHABETS[-1][1]}
 _FOLDED = {ch: i for i, ch in enumerate("abcdefghijklmnopqrstuvwxyz0123456789+/-_")}
 _VOWELS = frozenset("aeiouAEIOU")
 
 
-def encoding_of(token: str) -> tuple[str, dict[str, int], dict[str, float], float, float] | None:
+def encoding_of(token: str) -> Encoding | None:
     """The smallest alphabet that holds the token without its padding."""
     symbols = set(token)
-    return next((x for x in _VALUES if symbols <= x[1].keys()), None)
+    return next((x for x in _ENCODINGS if symbols <= x.places.keys()), None)
 
 
 def _above(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def _log_binomial(k: int, n: int, p: float) -> float:
-    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log(1 - p)
+def _share_evidence(k: int, n: int, p: float) -> float:
+    """Evidence of k of n symbols of a sort: random tokens have their share p, ordinary ones none or else any number alike."""
+    ways = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    return ways + k * math.log(p) + (n - k) * math.log(1 - p) - math.log(0.5 if not k else 0.5 / n)
 
 
-def _correlated(values: list[int]) -> bool:
-    """Whether neighbours go together as those of a random token wouldn't."""
+def _correlated(values: list[int]) -> float:
+    """The level at which neighbours go together as those of a random token wouldn't."""
     at = np.array(values, dtype=np.float64)
     centred = at - at.mean()
     spread = float((centred**2).sum())
-    return not spread or math.erfc(abs(float((centred[1:] * centred[:-1]).sum()) / spread) * math.sqrt(len(at) / 2)) < LEVEL
+    return math.erfc(abs(float((centred[1:] * centred[:-1]).sum()) / spread) * math.sqrt(len(at) / 2)) if spread else 0.0
 
 
-def looks_random(token: str, values: dict[str, int], changed: float, changes: int, pairs: int) -> bool:
-    """The battery against a random token: alphabet use, runs and neighbours, each at LEVEL."""
-    n, k = len(token), len(values)
-    at = [values[ch] for ch in token]
+def battery(token: str, encoding: Encoding, changes: int, pairs: int) -> list[float]:
+    """The levels at which a random token looks as little like one: alphabet use, neighbours twice, runs."""
+    n, k = len(token), len(encoding.places)
+    at = [encoding.places[ch] for ch in token]
     uniform = float(((np.bincount(at, minlength=k) - n / k) ** 2).sum() * k / n)
     spread = 2 / (9 * (k - 1))  # the cube root of a chi-squared variable is nearly normal
-    if _above(((uniform / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)) < LEVEL:
-        return False
-    if pairs and _above((pairs * changed - changes) / math.sqrt(pairs * changed * (1 - changed))) < LEVEL:  # too few runs
-        return False
-    return not _correlated(at) and not _correlated([_FOLDED[ch.lower()] for ch in token])
+    levels = [_above(((uniform / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)), _correlated(at), _correlated([_FOLDED[ch.lower()] for ch in token])]
+    if pairs:  # too few runs
+        p = encoding.changed
+        levels.append(_above((pairs * p - changes) / math.sqrt(pairs * p * (1 - p))))
+    return levels
 
 
-def chance(token: str) -> float:
-    """The chance, at most, that an ordinary token looks as random as this one; 1 if it fails a test of randomness."""
+def evidence(token: str) -> float:
+    """The logarithm of the token's e-value against ordinary text; 0 where there is none or the battery refuses it."""
     token = token.rstrip("=")
-    found = encoding_of(token)
-    if found is None or len(token) < LEAST:
-        return 1.0
-    _, values, letters, share, changed = found
+    encoding = encoding_of(token)
+    if encoding is None or len(token) < LEAST:
+        return 0.0
     kinds = [_KIND[ch] for ch in token]
+    digits, small, large, signs = (kinds.count(k) for k in range(4))
+    if not small + large:
+        return 0.0
     changes = pairs = 0
     for x, y in zip(kinds, kinds[1:]):
         if x < 3 and y < 3:  # a capital goes with the small letters of its word
             pairs += 1
             changes += x != y and (x, y) != (2, 1)
-    if not any(k in (1, 2) for k in kinds) or not looks_random(token, values, changed, changes, pairs):
-        return 1.0
-    # ordinary tokens have no digits or else any number of them alike; random ones have their alphabet's share
-    digits, known = kinds.count(0), len(kinds) - kinds.count(3)
-    evidence = _log_binomial(digits, known, share) - math.log(0.5 if not digits else 0.5 / known)
-    evidence += sum(letters[ch.lower()] for ch, k in zip(token, kinds) if k in (1, 2))
-    evidence += changes * math.log(changed / CHANGES) + (pairs - changes) * math.log((1 - changed) / (1 - CHANGES))
+    levels = battery(token, encoding, changes, pairs)
+    if min(levels) < LEVEL:
+        return 0.0
+    out = min(0.0, math.log(min(levels) * len(levels) / DOUBTED)) + _share_evidence(digits, digits + small + large, encoding.digits)
+    if encoding.signs:
+        out += _share_evidence(signs, len(token), encoding.signs)
+    if encoding.both_cases:
+        out += _share_evidence(large, small + large, 0.5)
+    out += sum(encoding.letters[ch.lower()] for ch, k in zip(token, kinds) if k in (1, 2))
+    out += float(np.logaddexp(0.0, (small + large) * encoding.narrow)) - math.log(2)  # half for text of any alphabet, half for that of this one
+    out += changes * math.log(encoding.changed / CHANGES) + (pairs - changes) * math.log((1 - encoding.changed) / (1 - CHANGES))
     for x, y in zip(token, token[1:]):
         if x.isalpha() and y.isalpha():
-            evidence -= math.log(FOLLOWS[x in _VOWELS, y in _VOWELS])
-    return math.exp(-max(evidence, 0.0))
+            out -= math.log(FOLLOWS[x in _VOWELS, y in _VOWELS])
+    return max(out, 0.0)
 
 
-def allowed(length: int) -> float:
-    """The rate of false discoveries for a token of so many symbols."""
-    return FALSE_RATE * length / AT_LENGTH
+def parts_of(text: str, start: int, end: int) -> set[tuple[int, int]]:
+    """A token as a whole and what each way of cutting leaves of it, as far as these are long enough."""
+    if end - start < LEAST:
+        return set()
+    return {(start, end)} | {(m.start(), m.end()) for way in CUTS for m in way.finditer(text, start, end) if m.end() - m.start() >= LEAST}
 
 
-def discoveries(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """Where a token holds what is taken for random: the whole of it, or parts.
+def discoveries(text: str, parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Which parts of a document are taken for random, by the step-up over all of them.
 
-    Of parts that overlap the one of least chance for its length is taken; chances are raised by the number of ways to cut.
+    Of those found that overlap, the one of the largest weighted e-value is taken.
     """
-    if end - start < LEAST:
+    if not parts:
         return []
-    parts = {(start, end)} | {(m.start(), m.end()) for way in CUTS for m in way.finditer(text, start, end) if m.end() - m.start() >= LEAST}
-    ways = 1 if len(parts) == 1 else len(CUTS) + 1
-    found = sorted((ways * chance(text[s:e]) / allowed(e - s), s, e) for s, e in parts)
-    taken: list[tuple[int, int]] = []
-    for ratio, s, e in found:
-        if ratio <= 1 and all(e <= other or s >= until for other, until in taken):
-            taken.append((s, e))
+    mean = sum(e - s for s, e in parts) / len(parts)
+    ranked = sorted((-evidence(text[s:e]) - math.log((e - s) / mean), s, e) for s, e in parts)
+    last = max((k for k, (weight, _, _) in enumerate(ranked, 1) if -weight >= math.log(len(parts) / (k * FALSE_RATE))), default=0)
+    taken: list[tuple[int, int]] = []  # by start; they don't overlap, so their ends ascend as well
+    for _, s, e in ranked[:last]:
+        at = bisect.bisect_left(taken, (s, e))
+        if (at == 0 or taken[at - 1][1] <= s) and (at == len(taken) or taken[at][0] >= e):
+            taken.insert(at, (s, e))
     return taken
 
 
@@ -169,7 +192,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The base spans and all spans of a whole text, each by start, then kind."""
-    base, tested = base_spans(text), []
+    base, parts = base_spans(text), []
     tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
     for start, end in tokens:  # a run of hex digits lies within one token
         if end - start >= LEAST_HEX:
@@ -181,8 +204,8 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             reach = max(reach, base[at][2])
             at += 1
         if reach <= start:
-            tested += discoveries(text, start, end)
-    return base, sorted(base + [(start, 3, end) for start, end in tested])
+            parts += parts_of(text, start, end)
+    return base, sorted(base + [(start, 3, end) for start, end in discoveries(text, parts)])
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

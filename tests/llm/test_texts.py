@@ -5,6 +5,7 @@ import hashlib
 import random
 import time
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -119,7 +120,7 @@ def test_false_discoveries_are_held_to_their_rate():
 @pytest.mark.parametrize("name, letters", secret_scan.ALPHABETS)
 def test_recall_of_random_tokens_by_encoding_and_length(name, letters):
     rng = random.Random(name)
-    for n, least in ((16, 0.7), (20, 0.85), (24, 0.88), (32, 0.94), (64, 0.96)):
+    for n, least in ((16, 0.88 if name.lower() == "hex" else 0.82), (20, 0.9), (24, 0.94), (32, 0.96), (64, 0.97)):
         tokens = ["".join(rng.choices(letters, k=n)) for _ in range(250)]
         found = sum(any(min(e, 8 + n) - max(s, 8) >= 0.8 * n for s, _, e in secret_scan.scan(f"we keep {t} here")[1]) for t in tokens)
         assert found >= least * len(tokens), (n, found)
@@ -133,13 +134,59 @@ def test_identifiers_are_left_alone(token):
     assert secret_scan.scan(f"we keep {token} here")[1] == []
 
 
-def test_a_verdict_does_not_depend_on_the_text_around():
+def test_names_of_pods_and_uuids_are_left_alone():
+    rng = random.Random(17)
+    apart = "bcdfghjklmnpqrstvwxz2456789"
+    pods = [f"{rng.choice(['kubernetes-deployment', 'frontend-service-api', 'my-nginx-ingress'])}-{''.join(rng.choices(apart, k=10))}-{''.join(rng.choices(apart, k=5))}" for _ in range(400)]
+    assert sum(bool(secret_scan.scan(f"see {x} here")[1]) for x in pods) <= 12
+    assert not [x for _ in range(400) if secret_scan.scan(x := f"see {uuid.UUID(int=rng.getrandbits(128))} here")[1]]
+
+
+def test_the_step_up_over_a_documents_parts(monkeypatch):
+    """Values of parts of one length, given outright: the k largest count if the k-th is m / (k * rate) or more."""
+    n = 40
+    text = " ".join(f"{k:016d}" for k in range(n))
+    parts = [(17 * k, 17 * k + 16) for k in range(n)]
+    for seed in range(200):
+        rng = random.Random(seed)
+        value = {f"{k:016d}": rng.choice([0.0, rng.uniform(0, 14)]) for k in range(n)}
+        monkeypatch.setattr(secret_scan, "evidence", value.__getitem__)
+        ranked = sorted(value.values(), reverse=True)
+        want = max((k for k in range(1, n + 1) if np.exp(ranked[k - 1]) >= n / (k * secret_scan.FALSE_RATE)), default=0)
+        assert len(secret_scan.discoveries(text, parts)) == want
+
+
+def test_longer_parts_and_more_finds_need_less(monkeypatch):
+    monkeypatch.setattr(secret_scan, "evidence", lambda t: {"l": 9.0, "s": 9.0, "r": 30.0}.get(t[0], 0.0))
+    threshold = np.log(2 / secret_scan.FALSE_RATE)
+    text = "l" * 64 + " " + "s" * 16
+    assert 9 + np.log(16 / 40) < threshold < 9 + np.log(64 / 40)
+    assert secret_scan.discoveries(text, [(0, 64), (65, 81)]) == [(0, 64), (65, 81)]  # the second of two, at half the threshold
+    monkeypatch.setattr(secret_scan, "evidence", lambda t: 8.0 if t[0] == "s" else 0.0)
+    assert secret_scan.discoveries("s" * 16, [(0, 16)]) == [(0, 16)]
+    assert secret_scan.discoveries("s" * 16 + " " + "w" * 16, [(0, 16), (17, 33)]) == []  # a part beside it that isn't random raises it
+
+
+def test_false_discoveries_among_many_ordinary_tokens():
+    """A document of ordinary long tokens with a few random ones: those are found, the others left alone."""
     rng = random.Random(11)
-    long_words = [w for w in IDENTIFIERS.split() for _ in range(10)]
-    for token in ["".join(rng.choices(secret_scan.ALPHABETS[4][1], k=24)) for _ in range(50)]:
-        alone = [text[s:e] for text in [f"a {token} b"] for s, _, e in secret_scan.scan(text)[1]]
-        within = " ".join(long_words[:100] + [token] + long_words[100:])
-        assert alone == [within[s:e] for s, _, e in secret_scan.scan(within)[1]]
+    found = 0
+    for _ in range(50):
+        tokens = ["".join(rng.choices(secret_scan.ALPHABETS[4][1], k=32)) for _ in range(3)]
+        words = [w for w in IDENTIFIERS.split() for _ in range(10)]
+        text = " ".join(words[:100] + tokens + words[100:])
+        spans = {text[s:e] for s, _, e in secret_scan.scan(text)[1]}
+        assert spans <= set(tokens)
+        found += len(spans)
+    assert found >= 0.95 * 150
+
+
+def test_a_token_of_very_many_parts_takes_time_in_proportion():
+    rng = random.Random(19)
+    text = "-".join("".join(rng.choices(secret_scan.ALPHABETS[4][1], k=24)) for _ in range(20_000))
+    start = time.monotonic()
+    assert len(secret_scan.scan(text)[1]) > 19_000
+    assert time.monotonic() - start < 30
 
 
 def plain_random(text):
@@ -174,14 +221,25 @@ def plain_random(text):
             levels.append(normal.cdf((changes - len(pairs) * changed) / np.sqrt(len(pairs) * changed * (1 - changed))))
         if min(levels) < 1e-3:
             return 0.0
-        digits, total = kinds.count("d"), n - kinds.count("x")
-        ways = 1
-        for i in range(digits):
-            ways = ways * (total - i) // (i + 1)
-        out = float(log(ways) + digits * log(share["d"]) + (total - digits) * log(1 - share["d"]) - log(0.5 if digits == 0 else 0.5 / total))
+        doubt = min(levels) * len(levels)
+        out = float(log(doubt / 0.05)) if doubt < 0.05 else 0.0
+
+        def any_or_share(k, total, p):
+            ways = 1
+            for i in range(k):
+                ways = ways * (total - i) // (i + 1)
+            return float(log(float(ways)) + k * log(p) + (total - k) * log(1 - p) - log(0.5 if k == 0 else 0.5 / total))
+
+        out += any_or_share(kinds.count("d"), n - kinds.count("x"), share["d"])
+        if len(known) < size:
+            out += any_or_share(kinds.count("x"), n, 1 - len(known) / size)
+        if share["l"] and share["u"]:
+            out += any_or_share(kinds.count("u"), kinds.count("u") + kinds.count("l"), 0.5)
         used = Counter(ch.lower() for ch in letters if ch.isalpha())
         prose = sum(secret_scan.PROSE[ch] for ch in used)
-        out += sum(log(used[ch.lower()] / used.total() * prose / secret_scan.PROSE[ch.lower()]) for ch in token if ch.isalpha())
+        of_alphabet = sum(log(used[ch.lower()] / used.total() * prose / secret_scan.PROSE[ch.lower()]) for ch in token if ch.isalpha())
+        of_any = sum(log(used[ch.lower()] / used.total() * sum(secret_scan.PROSE.values()) / secret_scan.PROSE[ch.lower()]) for ch in token if ch.isalpha())
+        out += float(log((np.exp(of_alphabet) + np.exp(of_any)) / 2))
         out += changes * log(changed / 0.06) + (len(pairs) - changes) * log((1 - changed) / 0.94)
         follows = {"vv": 0.3, "vc": 1.45, "cv": 1.5, "cc": 0.68}
         for word, own in groupby(token, str.isalpha):
@@ -189,19 +247,20 @@ def plain_random(text):
             out -= sum(log(follows[a + b]) for a, b in zip(sounds, sounds[1:]))
         return max(0.0, out)
 
-    found = []
+    family = set()
     base = plain_spans(text)
     for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?", text):
         if any(s < m.end() and e > m.start() for s, _, e in base):
             continue
-        parts = {(m.start(), m.end())} | {(m.start() + p.start(), m.start() + p.end()) for cut in ("[^+/]+", "[^_-]+", "[^+/_-]+") for p in re.finditer(cut, m[0]) if len(p[0]) >= 16}
-        ranked = sorted(((1 if len(parts) == 1 else 4) * np.exp(-evidence(text[s:e].rstrip("="))) / (1e-3 * (e - s) / 32) if len(text[s:e].rstrip("=")) >= 16 else 1e9, s, e) for s, e in parts)
-        taken = []
-        for ratio, s, e in ranked:
-            if ratio <= 1 and not any(s < b and e > a for a, b in taken):
-                taken.append((s, e))
-        found += [(s, 3, e) for s, e in taken]
-    return sorted(found)
+        family |= {(m.start(), m.end())} | {(m.start() + p.start(), m.start() + p.end()) for cut in ("[^+/]+", "[^_-]+", "[^+/_-]+") for p in re.finditer(cut, m[0]) if len(p[0]) >= 16}
+    mean = np.mean([e - s for s, e in family]) if family else 0
+    ranked = sorted((-(evidence(text[s:e].rstrip("=")) if len(text[s:e].rstrip("=")) >= 16 else 0.0) - log((e - s) / mean), s, e) for s, e in family)
+    k = next((k for k in range(len(ranked), 0, -1) if np.exp(-ranked[k - 1][0]) * k * 5e-4 >= len(ranked)), 0)
+    taken = []
+    for _, s, e in ranked[:k]:
+        if not any(s < b and e > a for a, b in taken):
+            taken.append((s, e))
+    return sorted((s, 3, e) for s, e in taken)
 
 
 def test_random_spans_are_those_of_a_plain_battery(spark):
