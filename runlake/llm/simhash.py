@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import smaller_batches, spooled, text_or_empty
 from .components import connected_components, forest, in_units, whole_units
+from .shingle_links import band_keys, root_links, shingles
 
 BITS = 64
 #: Rows of one chunk of a group; a unit compares two chunks.
@@ -46,17 +47,25 @@ def fingerprint(text: str, width: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, carry: str | None = None) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a long) and the string column ``carry`` of each row; a null text counts as an empty one."""
+def fingerprints(docs: DataFrame, width: int = 3, carry: str | None = None, sketch: bool = False) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a long) and the string column ``carry`` of each row; a null text counts as an empty one.
+
+    With ``sketch`` also n_shingles and band_keys, by which texts of similar shingles are found.
+    """
     more = [] if carry is None else [carry]
+    sketched = ["n_shingles", "band_keys"] if sketch else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in smaller_batches(whole, "text", 8 << 20)):
             prints = np.fromiter((fingerprint(t.as_py(), width) for t in batch["text"]), dtype=np.uint64, count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), *(batch[c] for c in more)], names=["doc_id", "fp", *more])
+            found = []
+            if sketch:
+                hashes = [shingles(t.as_py()) for t in batch["text"]]
+                found = [pa.array([len(x) for x in hashes], pa.int64()), pa.array([band_keys(x) for x in hashes], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), *(batch[c] for c in more), *found], names=["doc_id", "fp", *more, *sketched])
 
     columns = [F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *(F.col(c) for c in more)]
-    return docs.select(*columns).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"`{c}` string" for c in more)]))
+    return docs.select(*columns).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"`{c}` string" for c in more), *(["n_shingles long, band_keys array<long>"] if sketch else [])]))
 
 
 def agreement(distinct: DataFrame) -> tuple[int, np.ndarray]:
@@ -174,7 +183,7 @@ def _links(radius: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, carry: str | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, carry: str | None = None, similar: float | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, kept.
 
     Rows with one fingerprint are one class, represented by it, so copies are never paired. component_id is
@@ -184,8 +193,14 @@ def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, carry: str
     component_id and kept false). Rows that repeat a doc_id each give a row. Other columns are ignored; an
     empty table gives an empty one. With ``carry`` that string column is kept, and ``root`` tells components
     apart that have one component_id, as they may where an id is repeated with several texts.
+
+    With ``similar`` (and ``carry``, which then has to tell texts apart) texts link as well whose different five-word
+    shingles have at least that Jaccard similarity, whatever their fingerprints: found by bands of minima (0.991 of
+    pairs at 0.8, more above), confirmed exactly.
     """
-    prints = spooled(fingerprints(docs, width, carry), "simhash")
+    if similar is not None and carry is None:
+        raise ValueError("similar needs carry, a column that tells texts apart")
+    prints = spooled(fingerprints(docs, width, carry, similar is not None), "simhash")
     classes = spooled(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     n, both = agreement(classes)
     parts = plan(n, both, radius)
@@ -194,6 +209,11 @@ def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, carry: str
     links = units.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(_links(radius), "a long, b long")
     reached = connected_components(links)
     named = classes.join(reached, classes["fp"] == reached["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
+    if similar is not None:
+        named = spooled(named, "roots")
+        sketches = prints.join(named.select("fp", "root"), "fp")
+        joined = connected_components(root_links(docs, sketches, carry, similar)).withColumnsRenamed({"node": "__node", "component": "__component"})
+        named = named.join(joined, named["root"] == joined["__node"], "left").select("fp", "first_id", F.coalesce("__component", "root").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = named.join(least, "root").select("fp", "component_id", *([] if carry is None else ["root"]))
     return prints.join(members, "fp").select(

@@ -1,6 +1,7 @@
 """The pipeline's stages against brute force over each stage's own input."""
 
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -10,6 +11,7 @@ import corpus_pipeline
 from runlake.llm import byte_bpe, mixing, quality_rules, secret_scan
 
 from .conftest import SCHEMA, prose
+from .test_shingle_links import plain_runs
 from .test_tables import plain_fingerprint, roots
 
 
@@ -37,7 +39,9 @@ def test_stages(spark, odd, data):
     left = corpus_pipeline.near_dedup(spark, docs, data)
     rows = docs.collect()
     prints = [plain_fingerprint(r.text or "") for r in rows]
-    root = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= corpus_pipeline.RADIUS])
+    runs = [plain_runs(r.text or "") for r in rows]
+    linked = lambda i, j: (prints[i] ^ prints[j]).bit_count() <= corpus_pipeline.RADIUS or (runs[i] and runs[j] and len(runs[i] & runs[j]) >= 0.8 * len(runs[i] | runs[j]))
+    root = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if linked(i, j)])
     assert left.columns == docs.columns
     kept = left.collect()
     assert len(kept) == len(set(root))
@@ -91,3 +95,31 @@ def test_near_dedup_tells_texts_of_one_id_apart(spark, data):
     docs = spark.createDataFrame([(k, t, "en", "src0", 1) for k, t in rows], SCHEMA)
     left = [(r.doc_id, r.text or "") for r in corpus_pipeline.near_dedup(spark, docs, data).collect()]
     assert sorted(left) == sorted([(5, a), (2, b), (9, c), (9, prose(8)), (8, "")])
+
+
+def test_repeated_rows_that_differ_in_other_columns(spark, data):
+    text = prose(31)
+    rows = [(3, text, lang, source, n) for lang in ("fr", "en") for source in ("b", "a", None) for n in (2, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    left = {tuple(corpus_pipeline.near_dedup(spark, d, data).first()) for d in (docs, docs.orderBy("n_chars"), docs.coalesce(1))}
+    assert len(left) == 1
+
+
+def test_texts_of_similar_shingles_are_one_document(spark, data):
+    """Edits spread so that most fingerprints differ in more bits than the radius; texts that share less stay."""
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in "bcdfghjk" for b in ("an", "er", "il", "om", "ut", "ess", "ing")]
+    rows, far = [], 0
+    for k in range(60):
+        own = [rng.choice(words) + str(rng.randrange(50)) for _ in range(150)]
+        edited = list(own)
+        for at in range(9, 150, 50):  # three words: 15 of 146 runs gone on either side, 131 / 161 = 0.81
+            edited[at] = "changed"
+        other = own[:75] + [rng.choice(words) for _ in range(75)]
+        texts = [" ".join(x) for x in (own, edited, other)]
+        far += (plain_fingerprint(texts[0]) ^ plain_fingerprint(texts[1])).bit_count() > corpus_pipeline.RADIUS
+        rows += [(3 * k + i, t, "en", "src0", 1) for i, t in enumerate(texts)]
+    assert far >= 5
+    left = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, SCHEMA), data).collect())
+    missed = [i for i in left if i % 3 == 1]
+    assert len(missed) <= 2 and [i for i in left if i % 3 != 1] == [i for i in range(180) if i % 3 != 1]
