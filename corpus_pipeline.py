@@ -16,9 +16,9 @@ from runlake.llm.common import shared_dir, table
 from runlake.session import ship
 
 
-#: Fingerprints of near copies differ in at most so many of 64 bits: more than operator 5's contract has, which finds
-#: only a third as many of the pairs that share 0.8 of their five-word shingles. The README has the figures.
-RADIUS = 6
+#: Near copies are texts whose fingerprints differ in at most so many of 64 bits, more than operator 5's contract has,
+#: or that share at least so much of their five-word shingles. The README has figures of both.
+RADIUS, SIMILAR = 6, 0.8
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,19 +27,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest doc_id of each group of linked fingerprints.
+    """Keeps the document of smallest doc_id of each group that near fingerprints or similar shingles link.
 
     Documents without an id get one from their text that is larger than any real one, so they give way to
-    documents with an id. Of rows that repeat an id and a text one stays; of different texts of one id, one in
-    each group that has that id as its smallest.
+    documents with an id. Of rows that repeat an id and a text one stays, the first by its other columns; of different
+    texts of one id, one in each group that has that id as its smallest.
     """
     ship(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
     stand_in = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
     named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), stand_in), "__text": F.sha2(text, 256)})
-    found = simhash.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text", "__text"), RADIUS, carry="__text")
+    found = simhash.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text", "__text"), RADIUS, carry="__text", similar=SIMILAR)
     kept = found.filter("kept").groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("__text").alias("__text")).select("__id", "__text").distinct()
-    return named.join(kept, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select(docs.columns)
+    left = named.join(kept, ["__id", "__text"], "left_semi")
+    others = F.to_json(F.struct([c for c in docs.columns if c != "text"]))
+    return left.groupBy("__id", "__text").agg(F.min_by(F.struct(docs.columns), others).alias("__row")).select("__row.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
