@@ -111,19 +111,21 @@ def root_links(docs: DataFrame, sketches: DataFrame, key: str, least: float) ->
     """Pairs (a, b) of roots that texts with a shingle similarity of ``least`` or more link.
 
     ``docs`` has the texts and in ``key`` a string that tells them apart; ``sketches`` has a row or more for each key:
-    its root, band_keys and n_shingles. Each text counts once. Buckets whose texts have one root hold nothing to find,
+    its doc_id, root, band_keys and n_shingles. Each text counts once. Buckets whose texts have one root hold nothing to find,
     of buckets with the same texts one is read; larger ones are cut into units of bounded size, none is dropped.
     """
-    once = sketches.filter("n_shingles > 0").groupBy(F.col(key).alias("key")).agg(F.first("root").alias("root"), F.first("n_shingles").alias("n"), F.first("band_keys").alias("keys"))
-    dealt = spooled(once.select("key", "root", "n", F.posexplode("keys").alias("band", "bucket")), "bands")
+    once = sketches.filter("n_shingles > 0").groupBy(F.col(key).alias("key")).agg(F.first("root").alias("root"), F.first("n_shingles").alias("n"), F.first("band_keys").alias("keys"), F.min(F.coalesce("doc_id", F.lit(0))).alias("first"))
+    dealt = spooled(once.select("key", "root", "n", "first", F.posexplode("keys").alias("band", "bucket")), "bands")
     buckets = dealt.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("texts"), F.sum("n").alias("all"), F.bit_xor(F.xxhash64("key")).alias("those"))
     one = buckets.filter("lo <> hi").groupBy("lo", "hi", "texts", "all", "those").agg(F.min(F.struct("band", "bucket")).alias("at"))
     chunks = F.greatest(F.ceil(F.col("texts") / CHUNK), F.ceil(F.col("all") / CHUNK_SHINGLES)).cast("int")
     read = dealt.join(one.select("at.*", chunks.alias("chunks")), ["band", "bucket"])
     own, other = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     units = spooled(
-        read.withColumn("own", own).withColumn("other", other).select("band", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"), "key", "root"), "units"
+        read.withColumn("own", own).withColumn("other", other).select("band", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"), "key", "root", "first"), "units"
     )
-    texts = docs.select(F.col(key).alias("key"), text_or_empty().alias("text")).join(units.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    # of copies the row of the smallest id is read, so that a text with very many is no task's burden
+    named = docs.select(F.col(key).alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("first"), text_or_empty().alias("text"))
+    texts = named.join(units.select("key", "first").distinct(), ["key", "first"], "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     full = units.join(texts.mapInArrow(_hashes, "key string, hashes binary"), "key").select(*UNIT, "side", "root", "hashes")
     return full.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(_verified(least), "a long, b long")
