@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import io
+import lzma
 import os
 import tarfile
 import uuid
 
 import pyarrow as pa
-import pyarrow.compute
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from ..operators import selection as S
 from ..plans import collect, sink
 from ..session import shared_folder
 from ..sources import archives, manifest
+from ..sources.csvfiles import spooled
 from ..sources.routing import route_files
 from .registry import events, lines, query, table
 from .selections import runs
@@ -24,22 +25,55 @@ from .selections import runs
 
 #: Events of one archive at most.
 PACKED = 20_000
+#: Bytes of archives that are handed on together.
+_TOGETHER = 4 << 20
 
 
-def _packed(rows: pa.Table) -> pa.Table:
-    """An archive of events of one run: a member for each kind of event, a line for each event."""
-    rows = rows.sort_by("event_id")
+#: How the archives are compressed: with a small window, since setting up a large one takes longer than a small archive itself.
+_XZ = [{"id": lzma.FILTER_LZMA2, "preset": 0, "dict_size": 1 << 16}]
+
+
+def _archive(members: dict[str, list[str]]) -> bytes:
+    """An archive with a member of each name and lines."""
     out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w:xz", preset=0) as archive:
-        for kind in sorted(set(rows["event_type"].to_pylist())):
-            own = rows.filter(pa.compute.equal(rows["event_type"], kind))
-            data = "".join(f"{t}\n" for t in own["text"].to_pylist()).encode()
-            member = tarfile.TarInfo(f"{kind}.log")
+    with tarfile.open(fileobj=out, mode="w") as archive:
+        for name, texts in members.items():
+            data = "".join(f"{t}\n" for t in texts).encode()
+            member = tarfile.TarInfo(name)
             member.size = len(data)
             archive.addfile(member, io.BytesIO(data))
-    content = out.getvalue()
-    id_ = rows["id"][0].as_py()
-    return pa.table({"id": pa.array([id_], pa.int64()), "content": pa.array([content[: len(content) // 2] if id_ % 10 == 0 else content], pa.binary())})
+    return lzma.compress(out.getvalue(), filters=_XZ)
+
+
+def _gathered(rows: DataFrame, *keys: str) -> DataFrame:
+    """A row for each archive, with its ``events`` by number: archives reach Python by the batch, not each as a group of its own."""
+    values = F.struct("event_id", *(c for c in rows.columns if c not in (*keys, "event_id")))
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(values)).alias("events"))
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """Rows with their archive's number in the run, ``part``: 0, but for runs of more than ``PACKED`` events, which are cut by ranges of numbers."""
+    many = rows.groupBy("id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > PACKED).select("id", F.lit(True).alias("__many"))
+    return rows.join(many, "id", "left").withColumn("part", F.when(F.col("__many"), F.expr(f"event_id div {PACKED}")).otherwise(0)).drop("__many")
+
+
+def _packed(batches):
+    """For ``mapInArrow``: archives of gathered events, a member for each kind of event, a line for each event; cut off in the middle for each tenth run."""
+    schema = pa.schema([("id", pa.int64()), ("content", pa.binary())])
+    ids, contents, held = [], [], 0
+    for batch in batches:
+        for id_, events in zip(batch["id"].to_pylist(), batch["events"], strict=True):
+            members: dict[str, list[str]] = {}
+            for e in sorted(events.as_py(), key=lambda e: e["event_type"]):
+                members.setdefault(f"{e['event_type']}.log", []).append(e["text"])
+            content = _archive(members)
+            ids.append(id_)
+            contents.append(content[: len(content) // 2] if id_ % 10 == 0 else content)
+            held += len(contents[-1])
+            if held >= _TOGETHER:
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(contents, pa.binary())], schema=schema)
+                ids, contents, held = [], [], 0
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(contents, pa.binary())], schema=schema)
 
 
 @query("archive_scan", """
@@ -48,31 +82,26 @@ UNION ALL SELECT DISTINCT user_id, NULL, NULL, 'cannot read archive' FROM events
 def archive_scan(spark: SparkSession, d: str) -> DataFrame:
     """Events packed as archives of a bounded size and scanned again; those of every tenth run are cut off in the middle."""
     rows = table(spark, d, "events").select(F.col("user_id").alias("id"), "event_id", "event_type", F.concat_ws(" ", "event_id", "event_type").alias("text"))
-    packed = rows.groupBy("id", F.expr(f"event_id div {PACKED}")).applyInArrow(_packed, "id long, content binary")
-    scanned = archives.scan_stored(packed)
+    packed = _gathered(_parts(rows), "id", "part").mapInArrow(_packed, "id long, content binary")
+    scanned = spooled(archives.scan_stored(packed))  # lines and failures are told apart after one scan
     failed = scanned.filter("error is not null").select("id").distinct()
     read = scanned.filter("error is null").join(failed, "id", "left_anti").select("id", "name", F.col("line").cast("string").alias("line"), "error")
     return read.unionByName(failed.select("id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("line"), F.lit("cannot read archive").alias("error")))
 
 
 def _stored(folder: str):
-    """For ``applyInArrow``: packs a run's log lines as its archive in ``folder``; a second attempt puts the same file there."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        data = "".join(f"{t}\n" for t in rows.sort_by("event_id")["line"].to_pylist()).encode()
-        id_, out = rows["id"][0].as_py(), io.BytesIO()
-        with tarfile.open(fileobj=out, mode="w:xz", preset=0) as archive:
-            for name, content in (("gc.javalog", data), ("status.txt", b"success\n")):
-                member = tarfile.TarInfo(name)
-                member.size = len(content)
-                archive.addfile(member, io.BytesIO(content))
+    """For ``mapInArrow``: packs gathered log lines as archives of their runs in ``folder``; a second attempt puts the same files there."""
+
+    def run(batches):
         os.makedirs(folder, exist_ok=True)
-        path = f"{folder}/{id_:016X}.tar.xz"
-        part = f"{path}.{uuid.uuid4().hex}"
-        with open(part, "wb") as file:
-            file.write(out.getvalue())
-        os.replace(part, path)
-        return pa.table({"id": pa.array([id_], pa.int64())})
+        for batch in batches:
+            for id_, events in zip(batch["id"].to_pylist(), batch["events"], strict=True):
+                path = f"{folder}/{id_:016X}.tar.xz"
+                part = f"{path}.{uuid.uuid4().hex}"
+                with open(part, "wb") as file:
+                    file.write(_archive({"gc.javalog": [e["line"] for e in events.as_py()], "status.txt": ["success"]}))
+                os.replace(part, path)
+            yield batch.select(["id"])
 
     return run
 
@@ -85,7 +114,7 @@ def collect_lake(spark: SparkSession, d: str) -> DataFrame:
     base = shared_folder(spark, "collected")
     line = F.concat(F.lit("[gc,task ] GC("), "event_id", F.lit(") Using "), F.col("event_id") % 16, F.lit(" Workers for Old Generation"))
     rows = table(spark, d, "events").select(F.expr(f"user_id * 1048576 + event_id div {PACKED}").alias("id"), "event_id", line.alias("line"))
-    ids = rows.groupBy("id").applyInArrow(_stored(f"{base.removeprefix('file:')}/runs"), "id long")
+    ids = _gathered(rows, "id").mapInArrow(_stored(f"{base.removeprefix('file:')}/runs"), "id long")
     ids.write.parquet(f"{base}/ids")
     runs_ = spark.read.schema("id long").parquet(f"{base}/ids").select("id", F.lit("mark_abuse").alias("benchmark"), F.lit("t").alias("tar_file"), F.lit(1).cast("bigint").alias("iteration"), F.lit("ZGC").alias("gc"))
     collect.collect(spark, manifest.Task(base, {"all": {"gc": ["ZGC"]}}, tuple(t for t in collect.COLLECTOR if t not in ("zgc_task_workers", "status"))), runs_, f"{base}/lake")

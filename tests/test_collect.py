@@ -1,12 +1,14 @@
 """Archives packed by hand, collected into a lake, and read back."""
 
 import io
+import os
 import tarfile
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from runlake.catalog import QUERIES, files
 from runlake.operators.selection import config_table
 from runlake.plans import extractors, sink
 from runlake.plans.collect import WANTED, Corpus, Staging, collect
@@ -16,6 +18,7 @@ from runlake.sources import archives
 from runlake.sources.manifest import Task, archive_path, parse_runs
 from runlake.sources.routing import Rule
 
+DATA = "/root/testdata/sf0.001"
 ZGC = {
     "gc.javalog": "[2031-03-05T08:15:20.125-0400][info   ][gc          ] GC(2) Minor Collection (Timer) 640M(8%)->80M(1%) 0.125s\n[2031-03-05T08:15:20.125-0400][info][gc,phases   ] GC(2) y: Pause Mark End 0.75ms",
     "status.txt": "success\n",
@@ -223,3 +226,13 @@ def test_lines_of_members(spark, tmp_path):
     assert [(r.id, r.ord, r.name, r.line_no, bytes(r.line), r.is_last) for r in rows if r.error is None] == [(7, 0, "a.raw", 0, b"one", False), (7, 0, "a.raw", 1, b"two", False), (7, 0, "a.raw", 2, b"  ", True), (7, 1, "b.raw", 0, b"", True), (7, 3, "d.raw", 0, b"\xff", True)]
     assert [(r.name, r.fault, r.last_text) for r in rows if r.is_last] == [("a.raw", None, 1), ("b.raw", None, None), ("d.raw", "invalid UTF-8 in line 0", 0)]
     assert [(r.id, r.error) for r in rows if r.error] == [(8, "cannot read archive: FileNotFoundError")]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+def test_archives_are_packed_and_scanned_once(spark, monkeypatch):
+    """What the query gives is read from one scan's lines; a run's events are one archive, but for a long run's."""
+    assert "Arrow" not in QUERIES["archive_scan"](spark, DATA)._jdf.queryExecution().toString()
+    monkeypatch.setattr(files, "PACKED", 10)
+    rows = spark.range(0, 90, 10).selectExpr("1L AS id", "id AS event_id").unionByName(spark.range(25).selectExpr("2L AS id", "id AS event_id"))
+    parts = files._parts(rows).groupBy("id", "part").count().collect()
+    assert sorted(tuple(r) for r in parts) == [(1, 0, 9), (2, 0, 10), (2, 1, 10), (2, 2, 5)]
