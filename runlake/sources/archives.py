@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import LOG_LINES
+from .csvfiles import spooled
 
 #: Lines of a batch, and bytes of it, whichever comes first.
 BATCH_LINES, BATCH_BYTES = 5000, 4 << 20
@@ -164,10 +165,10 @@ def lightest_first(sizes: list[int], tasks: int) -> list[int]:
     """A task for each size: from the largest on, each goes to the task that has least so far; of equal tasks to the first."""
     heap = [(0, 0, t) for t in range(tasks)]
     out = [0] * len(sizes)
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        total, n, task = heapq.heappop(heap)
+    for i in sorted(range(len(sizes)), key=sizes.__getitem__, reverse=True):
+        total, n, task = heap[0]
         out[i] = task
-        heapq.heappush(heap, (total + sizes[i], n + 1, task))
+        heapq.heapreplace(heap, (total + sizes[i], n + 1, task))
     return out
 
 
@@ -176,22 +177,37 @@ def tasks_for(total: int, n: int, cores: int) -> int:
     return max(1, min(n, max(cores, math.ceil(total / TASK_BYTES))))
 
 
+def _dealt(key: str, name: str, first_and_after):
+    """For ``applyInArrow`` over ``key``: each group's archives dealt by size over the numbers that ``first_and_after`` gives the group."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        first, after = first_and_after(rows[key][0].as_py())
+        rows = rows.sort_by([("size", "descending"), *((c, "ascending") for c in rows.column_names if c not in ("size", key))])
+        return rows.append_column(name, pa.array([first + t for t in lightest_first(rows["size"].to_pylist(), after - first)], pa.int32()))
+
+    return run
+
+
 def packed(sized: DataFrame, tasks: int, n: int) -> DataFrame:
     """``sized`` (id, path, size) with a ``task`` for each of ``n`` archives, under ``tasks``.
 
-    Archives are dealt at random into groups of a bounded number, and each group packs its own over its share of the tasks.
-    A very large archive so has a task of its own.
+    No more than ``PACKED_TOGETHER`` are looked at together. More archives are dealt at random into groups of that number; each
+    group packs its own into bundles, of which there are as many in all, and the bundles are packed over the tasks: a task then
+    has its share, a bundle's average and the largest archive at most. A very large archive so has a bundle, and a task, of its own.
+    Where tasks are too many for that, each group packs its own archives over its share of the tasks.
     """
-    groups = max(1, min(tasks, math.ceil(n / PACKED_TOGETHER)))
-
-    def run(rows: pa.Table) -> pa.Table:
-        group = rows["group"][0].as_py()
-        first, after = group * tasks // groups, (group + 1) * tasks // groups
-        rows = rows.sort_by([("size", "descending"), ("id", "ascending"), ("path", "ascending")])
-        return rows.append_column("task", pa.array([first + t for t in lightest_first(rows["size"].to_pylist(), after - first)], pa.int32()))
-
-    grouped = sized.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
-    return grouped.groupBy("group").applyInArrow(run, "id long, path string, size long, group int, task int").drop("group")
+    groups = max(1, math.ceil(n / PACKED_TOGETHER))
+    bundled = groups > 1 and tasks <= PACKED_TOGETHER // 8
+    groups, bins = (groups, max(1, PACKED_TOGETHER // groups)) if bundled else (min(groups, tasks), 0)
+    grouped = sized.select("id", "path", "size", F.pmod(F.xxhash64("id", "path"), F.lit(groups)).cast("int").alias("group")).groupBy("group")
+    if not bundled:
+        share = lambda group: (group * tasks // groups, (group + 1) * tasks // groups)
+        return grouped.applyInArrow(_dealt("group", "task", share), "id long, path string, size long, group int, task int").drop("group")
+    own = lambda group: (group * bins, (group + 1) * bins)
+    bundles = spooled(grouped.applyInArrow(_dealt("group", "bundle", own), "id long, path string, size long, group int, bundle int").drop("group"))
+    sizes = bundles.groupBy("bundle").agg(F.sum("size").alias("size")).withColumn("all", F.lit(0))
+    tasks_of = sizes.groupBy("all").applyInArrow(_dealt("all", "task", lambda _: (0, tasks)), "bundle int, size long, all int, task int")
+    return bundles.join(tasks_of.select("bundle", "task"), "bundle").drop("bundle")
 
 
 def scan_archives(paths: DataFrame, wanted: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:

@@ -131,6 +131,21 @@ def test_archives_are_dealt_by_size(spark, tmp_path):
     assert archives.scan_archives(paths.withColumn("path", F.concat("path", F.lit("x")))).groupBy(F.spark_partition_id().alias("t")).count().count() == 4 and parts == 0  # empty archives have no rows, missing ones have one each
 
 
+def test_more_archives_than_are_packed_together(spark, monkeypatch):
+    deal = archives.lightest_first
+
+    def watched(sizes, tasks):
+        assert len(sizes) <= 400, f"{len(sizes)} archives in one group"
+        return deal(sizes, tasks)
+
+    monkeypatch.setattr(archives, "PACKED_TOGETHER", 320)
+    monkeypatch.setattr(archives, "lightest_first", watched)
+    sized = spark.range(5000).selectExpr("id", "concat('p', id) AS path", "if(id = 500, 1000000L, 100 + id % 7) AS size")
+    tasks = archives.packed(sized, 4, 5000).groupBy("task").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+    rest = sorted(r["size"] for r in tasks)[:-1]
+    assert len(tasks) == 4 and sum(r.n for r in tasks) == 5000 and [r.n for r in tasks if r["size"] >= 1000000] == [1] and rest[-1] - rest[0] < rest[0] / 20
+
+
 def test_folders_of_one_machine_are_refused_on_a_cluster(spark):
     class Elsewhere:
         class conf:
