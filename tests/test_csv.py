@@ -182,7 +182,7 @@ def test_the_entry_goes_on_without_its_optional_parts(monkeypatch, capsys, gone)
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
-@pytest.mark.parametrize("name", ["sadf_per_core", "sadf_tables"])
+@pytest.mark.parametrize("name", ["sadf_per_core", "sadf_tables", "csv_quoted"])
 def test_records_are_not_shuffled(spark, name):
     """What is known of files comes to the records, not records to files: wide rows aren't sorted by file."""
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
