@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .quality import FILE, file_verdicts
+from ..sources.csvfiles import spooled
+from .quality import FILE, file_verdicts, rows_of
 from .reduce import first_wins, last_wins, lookup_with_default, only_in, ordinal, suffix_sum
 
 Made = tuple[DataFrame, DataFrame]
@@ -50,11 +51,21 @@ SCORE = Grammar("jbb2015.result.", r"(?Ud)jbb2015\.result\.(metric\.max-jOPS|met
 PROFILE = Grammar("org.spec.jbb.controller", r"(?Ud)<([A-Za-z]{3}) ([A-Za-z]{3})\s+(\d{1,2}) (\d{2}:\d{2}:\d{2}) ([A-Za-z]+) (\d{4})> org\.spec\.jbb\.controller: (PROFILE|RT_CURVE|VALIDATION|TRANSITION|WARMUP): .*?\(rIR:aIR:PR = (\d+):(\d+):(\d+)\) \(tPR = (\d+)\)", {"weekday": text, "month": text, "day": C.to_int, "time": text, "offset": C.zone_offset, "year": text, "phase": text, "requested_ir": C.to_int, "achieved_ir": C.to_int, "passed_requests": C.to_int, "total_passed_requests": C.to_int})
 
 
+#: What parts the groups of a match while they are read at once.
+_MARK = "\x01"
+
+
 def captures(lines: DataFrame, grammar: Grammar) -> DataFrame:
-    """A row for each match in each line: the line's place, ``pos`` in the line, raw groups as ``raw_<field>``."""
-    hit = F.posexplode(F.regexp_extract_all("line", F.lit(grammar.pattern), F.lit(0))).alias("pos", "hit")
-    found = lines.filter(F.col("line").contains(grammar.marker)).select(*lines.columns, hit)
-    return found.select(*lines.columns, "pos", *(F.regexp_extract("hit", grammar.pattern, i).alias(f"raw_{n}") for i, n in enumerate(grammar.fields, 1)))
+    """A row for each match in each line: the line's place, ``pos`` in the line, raw groups as ``raw_<field>``.
+
+    All groups of a match are read at once, with a mark round each; where the match holds the mark itself, or isn't matched whole, one by one.
+    """
+    hit, n = F.posexplode(F.regexp_extract_all("line", F.lit(grammar.pattern), F.lit(0))).alias("pos", "hit"), len(grammar.fields)
+    marked = F.regexp_replace("hit", grammar.pattern, _MARK + "".join(f"${i}{_MARK}" for i in range(1, n + 1)))
+    found = lines.filter(F.col("line").contains(grammar.marker)).select(*lines.columns, hit).withColumn("__parts", F.split(marked, _MARK))
+    whole = (F.size("__parts") == n + 2) & (F.get("__parts", F.lit(0)) == "") & (F.get("__parts", F.lit(n + 1)) == "")
+    raw = lambda i: F.when(whole, F.get("__parts", F.lit(i))).otherwise(F.regexp_extract("hit", grammar.pattern, i))
+    return found.select(*lines.columns, "pos", *(raw(i).alias(f"raw_{name}") for i, name in enumerate(grammar.fields, 1)))
 
 
 def read_fields(found: DataFrame, grammar: Grammar) -> DataFrame:
@@ -71,12 +82,12 @@ def read_fields(found: DataFrame, grammar: Grammar) -> DataFrame:
     return found.select(*keep, *(c.alias(n) for n, c in read.items()), bad.alias("bad"), why.alias("why"))
 
 
-def extract(lines: DataFrame, grammar: Grammar, table: str, once: bool = True, files: DataFrame | None = None, stage: Stage = lambda df: df) -> Made:
+def extract(lines: DataFrame, grammar: Grammar, table: str, once: bool = True, files: DataFrame | None = None, stage: Stage = spooled) -> Made:
     """The table's rows (with id, ord, line_no, pos) and issues, for text lines of the files that feed it.
 
     A file with a field that can't be read gives no rows; its issue tells the first one. With ``once`` only each run's first good file
     counts; otherwise all good files do. ``files`` are the files that feed the table (id, ord, name, perhaps fault), or
-    else found from the lines. ``stage`` may write what is captured and read it back, so that lines are read once.
+    else found from the lines. ``stage`` writes what is captured and reads it back, so that lines are read once.
     """
     rows = read_fields(captures(lines, grammar), grammar)
     file_name = "file_name" if "name" in grammar.fields else "name"
@@ -85,7 +96,7 @@ def extract(lines: DataFrame, grammar: Grammar, table: str, once: bool = True, f
     failed = first.select("id", "ord", F.lit(True).alias("__bad"), "at.line_no", "at.why.field", "at.why.value")
     files = lines.select(*FILE).distinct() if files is None else files
     kept, issues = file_verdicts(files.join(failed, ["id", "ord"], "left"), F.coalesce("__bad", F.lit(False)), table, once)
-    return rows.filter("not bad").drop("bad", "why").join(kept.select("id", "ord"), ["id", "ord"], "left_semi"), issues
+    return rows_of(rows.filter("not bad").drop("bad", "why"), files, kept, ["id", "ord"]), issues
 
 
 def zgc_phases(lines: DataFrame, **how) -> Made:

@@ -110,3 +110,13 @@ def test_scores_and_profiles(spark):
     assert rows.count() == 0 and issues.count() == 1
     rows, issues = X.specjbb_profile(lines(spark, text.format("Wed", "EDT"), text.format("Tue", "EDT"), name="c-Controller.log"))
     assert [r.clock_time is None for r in rows.orderBy("clock_time").collect()] == [True, False] and issues.count() == 0
+
+
+def test_groups_are_read_at_once_or_one_by_one(spark):
+    """A group that holds the mark round groups is read as any other; what is read of a match is read once."""
+    grammar = X.Grammar("k=", r"k=([^;]*);(x)?(\d+)", {"k": X.text, "x": X.text, "n": X.u32})
+    df = spark.createDataFrame([(1, 0, "a", 0, "k=a\x01b;5 k=c;x6"), (1, 0, "a", 1, "k=;x7k=")], "id long, ord int, name string, line_no long, line string")
+    got = X.captures(df, grammar)
+    assert [tuple(r) for r in got.select("line_no", "pos", "raw_k", "raw_x", "raw_n").orderBy("line_no", "pos").collect()] == [(0, 0, "a\x01b", "", "5"), (0, 1, "c", "x", "6"), (1, 0, "", "x", "7")]
+    rows, _ = X.extract(df, grammar, "t")
+    assert "regexp" not in rows._jdf.queryExecution().optimizedPlan().toString() and rows.count() == 3
