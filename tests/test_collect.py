@@ -4,6 +4,7 @@ import io
 import os
 import tarfile
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -236,3 +237,11 @@ def test_archives_are_packed_and_scanned_once(spark, monkeypatch):
     rows = spark.range(0, 90, 10).selectExpr("1L AS id", "id AS event_id").unionByName(spark.range(25).selectExpr("2L AS id", "id AS event_id"))
     parts = files._parts(rows).groupBy("id", "part").count().collect()
     assert sorted(tuple(r) for r in parts) == [(1, 0, 9), (2, 0, 10), (2, 1, 10), (2, 2, 5)]
+
+
+def test_archives_are_stored_by_the_batch(tmp_path):
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "events": [[{"event_id": 0, "line": "a"}, {"event_id": 1, "line": "b"}], [{"event_id": 2, "line": "c"}]]})
+    assert [b.to_pydict() for b in files._stored(f"{tmp_path}/runs")(iter([batch]))] == [{"id": [1, 2]}]
+    with tarfile.open(tmp_path / "runs" / f"{1:016X}.tar.xz") as archive:
+        assert [(m.name, archive.extractfile(m).read()) for m in archive] == [("gc.javalog", b"a\nb\n"), ("status.txt", b"success\n")]
+    assert len(list((tmp_path / "runs").iterdir())) == 2
