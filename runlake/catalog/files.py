@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import io
+import functools
+import itertools
 import lzma
 import os
 import tarfile
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +35,21 @@ _TOGETHER = 4 << 20
 _XZ = [{"id": lzma.FILTER_LZMA2, "preset": 0, "dict_size": 1 << 16}]
 
 
+@functools.lru_cache(maxsize=4096)
+def _header(name: str, size: int) -> bytes:
+    """A member's header; small archives have many alike."""
+    member = tarfile.TarInfo(name)
+    member.size = size
+    return member.tobuf(tarfile.GNU_FORMAT)
+
+
 def _archive(members: dict[str, list[str]]) -> bytes:
-    """An archive with a member of each name and lines."""
-    out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w") as archive:
-        for name, texts in members.items():
-            data = "".join(f"{t}\n" for t in texts).encode()
-            member = tarfile.TarInfo(name)
-            member.size = len(data)
-            archive.addfile(member, io.BytesIO(data))
-    return lzma.compress(out.getvalue(), filters=_XZ)
+    """An archive with a member of each name and lines: headers and contents in whole blocks, and two empty blocks at the end."""
+    out = []
+    for name, texts in members.items():
+        data = "".join(f"{t}\n" for t in texts).encode()
+        out += [_header(name, len(data)), data, bytes(-len(data) % tarfile.BLOCKSIZE)]
+    return lzma.compress(b"".join([*out, bytes(2 * tarfile.BLOCKSIZE)]), filters=_XZ)
 
 
 def _gathered(rows: DataFrame, *keys: str) -> DataFrame:
@@ -93,15 +100,17 @@ def _stored(folder: str):
     """For ``mapInArrow``: packs gathered log lines as archives of their runs in ``folder``; a second attempt puts the same files there."""
 
     def run(batches):
-        os.makedirs(folder, exist_ok=True)
+        own = f"{folder}/parts-{uuid.uuid4().hex}"  # tasks that make files in one folder wait for one another
+        os.makedirs(own)
         for batch in batches:
-            for id_, events in zip(batch["id"].to_pylist(), batch["events"], strict=True):
-                path = f"{folder}/{id_:016X}.tar.xz"
-                part = f"{path}.{uuid.uuid4().hex}"
-                with open(part, "wb") as file:
-                    file.write(_archive({"gc.javalog": [e["line"] for e in events.as_py()], "status.txt": ["success"]}))
-                os.replace(part, path)
+            texts = batch["events"].flatten().field("line").to_pylist()
+            ends = list(itertools.accumulate(pc.list_value_length(batch["events"]).to_pylist()))
+            for id_, first, end in zip(batch["id"].to_pylist(), [0, *ends], ends):
+                with open(f"{own}/part", "wb") as file:
+                    file.write(_archive({"gc.javalog": texts[first:end], "status.txt": ["success"]}))
+                os.replace(f"{own}/part", f"{folder}/{id_:016X}.tar.xz")
             yield batch.select(["id"])
+        os.rmdir(own)
 
     return run
 

@@ -41,7 +41,8 @@ def width(df: DataFrame) -> Column:
 
 def _as_files(rows: DataFrame) -> DataFrameWriter:
     writer = rows.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL)
-    return writer.option("parquet.block.row.count.limit", GROUP_ROWS).partitionBy("collection")
+    # pages end by their bytes alone: to set up this level takes tens of milliseconds a page, far more than to compress a small one
+    return writer.option("parquet.block.row.count.limit", GROUP_ROWS).option("parquet.page.row.count.limit", GROUP_ROWS).partitionBy("collection")
 
 
 def numbered(written: DataFrame, file_bytes: int, widest: int) -> tuple[DataFrame, list[str], int]:

@@ -245,3 +245,24 @@ def test_archives_are_stored_by_the_batch(tmp_path):
     with tarfile.open(tmp_path / "runs" / f"{1:016X}.tar.xz") as archive:
         assert [(m.name, archive.extractfile(m).read()) for m in archive] == [("gc.javalog", b"a\nb\n"), ("status.txt", b"success\n")]
     assert len(list((tmp_path / "runs").iterdir())) == 2
+
+
+def test_pages_end_by_their_bytes(spark, tmp_path):
+    """Each 25,000 numbers are repeated: within a page that costs next to nothing, in pages of 20,000 rows each costs its two bytes."""
+    rows = spark.range(0, 100_000, 1, 1).selectExpr("xxhash64(id % 25000) AS n", "'a' AS collection")
+    sink.write_table(rows, "paged", str(tmp_path))
+    (file,) = tmp_path.glob("paged/*/*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).total_compressed_size < 300_000
+
+
+def test_stored_archives(tmp_path):
+    """Archives that the collect query packs hold their members, whichever batch they come in, and nothing else is left beside them."""
+    kind = pa.list_(pa.struct([("event_id", pa.int64()), ("line", pa.string())]))
+    made = [[{"event_id": k, "line": f"é {n} {k}"} for k in range(n)] for n in (1, 0, 600)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 255]), pa.array(made, kind)], names=["id", "events"])
+    told = list(files._stored(str(tmp_path / "runs"))(iter([batch.slice(0, 1), batch.slice(1)])))
+    assert [b["id"].to_pylist() for b in told] == [[1], [2, 255]]
+    assert sorted(p.name for p in (tmp_path / "runs").iterdir()) == [f"{k:016X}.tar.xz" for k in (1, 2, 255)]
+    for k, events in zip((1, 2, 255), made):
+        with tarfile.open(tmp_path / "runs" / f"{k:016X}.tar.xz") as archive:
+            assert {m.name: archive.extractfile(m).read().decode() for m in archive} == {"gc.javalog": "".join(f"{e['line']}\n" for e in events), "status.txt": "success\n"}
