@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -28,6 +30,8 @@ from .common import smaller_batches, spooled, text_or_empty
 
 #: Bytes of text of a block (one long text may hold more), and ends of a piece of its merge.
 BLOCK_BYTES, PIECE = 4 << 20, 1 << 16
+#: Stretches of text whose ids a process keeps, and their characters, beside those of the block at hand, and how many are encoded as one text.
+KEPT, KEPT_CHARS, TOGETHER = 1 << 18, 4 << 20, 1 << 14
 
 BLOCKS = (
     "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
@@ -61,6 +65,7 @@ class Tokenizers:
         self.bytes_a = [t or b"\xff" for t in self.bytes_a]
         self.sizes = [np.array([len(t) for t in own], np.int64) for own in (self.bytes_a, self.bytes_b)]
         self.digits = [_digits(len(own)) for own in (self.bytes_a, self.bytes_b)]
+        self.stretches = Stretches(self.a, self.bytes_a) if _cut_at_spaces(path_a) else None
 
     def _piece(self, i: int) -> bytes:
         if self.b.is_control(i) or self.b.is_unknown(i):
@@ -70,15 +75,101 @@ class Tokenizers:
             return bytes([int(re.fullmatch("<0x([0-9A-F]{2})>", piece)[1], 16)])
         return piece.replace("▁", " ").encode() or b"\xff"
 
-    def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of each text on either side; none where the joined bytes of a side aren't the text after a space."""
-        a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+    def ids(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """The ids of all texts on either side, and where each text's start; none where the joined bytes of a side aren't the text after a space."""
+        wholes = [f" {t}".encode() for t in texts]
         b = self.b.encode(texts, num_threads=1)
-        for i, text in enumerate(texts):
-            whole = f" {text}".encode()
-            if not text or b"".join(map(self.bytes_a.__getitem__, a[i])) != whole or b"".join(map(self.bytes_b.__getitem__, b[i])) != whole:
-                a[i] = b[i] = []
-        return a, b
+        good = np.array([bool(t) and b"".join(map(self.bytes_b.__getitem__, own)) == whole for t, own, whole in zip(texts, b, wholes)], bool)
+        if self.stretches:
+            flat, starts, same = self.stretches.ids([t if ok else "" for t, ok in zip(texts, good.tolist())])
+        else:
+            a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+            same = np.array([b"".join(map(self.bytes_a.__getitem__, own)) == whole for own, whole in zip(a, wholes)], bool)
+            flat, starts = _flat(a)
+        good &= same
+        return _only(flat, starts, good), _only(*_flat(b), good)
+
+
+#: Where a byte-level vocabulary always cuts: before a space that no white space follows.
+_CUT = re.compile(r" (?=\S)")
+
+
+def _cut_at_spaces(path: str) -> bool:
+    """Whether a tokenizer's file cuts texts by the byte-level pattern alone, before all else, and joins each cut's bytes by itself."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    cut, model = told["pre_tokenizer"] or {}, told["model"]
+    plain = told["normalizer"] is None and all(t["special"] for t in told["added_tokens"]) and model["type"] == "BPE" and not model.get("dropout")
+    return plain and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+
+
+class Stretches:
+    """Ids of texts from those of their stretches: each begins with a space, and the tokenizer cuts a text between any two.
+
+    The pattern gives a space to what follows it, and keeps white space to itself but for its last space, so what a
+    stretch's ids are depends on it alone. Most stretches are words that come again and again: each is encoded once.
+    """
+
+    def __init__(self, tokenizer, token_bytes: list[bytes]):
+        self.tokenizer, self.token_bytes = tokenizer, token_bytes
+        self.sizes = np.array([len(t) for t in token_bytes], np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        # stretch 0 is nothing, which stands before a text's first space
+        self.places, self.chars = {"": 0}, 0
+        self.flat, self.starts, self.same = np.zeros(0, np.int64), np.zeros(2, np.int64), np.ones(1, bool)
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode stretches, many as one text, unless they begin with more white space, which one before might draw to itself."""
+        plain = [s for s in new if s[0] != " "]
+        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)] + [[s] for s in new if s[0] == " "]
+        flats, starts, sames, end = [self.flat], [self.starts], [self.same], len(self.flat)
+        while groups:
+            wholes = [[s.encode() if s[0] == " " else f" {s}".encode() for s in group] for group in groups]
+            texts = [b"".join(whole) for whole in wholes]
+            split = []
+            for group, whole, text, e in zip(groups, wholes, texts, self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)):
+                listed = e.ids
+                ids = np.array(listed, np.int64)
+                same = b"".join(map(self.token_bytes.__getitem__, listed)) == text
+                ends, until = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, whole), np.int64, len(whole)))
+                after = np.searchsorted(ends, until) + 1 if same else np.array([len(ids)])
+                if len(group) > 1 and not (same and (ends[after - 1] == until).all()):
+                    split += [[s] for s in group]  # not what the pattern promises: each by itself
+                    continue
+                self.places.update(zip(group, range(len(self.places), len(self.places) + len(group))))
+                flats.append(ids)
+                starts.append(end + after)
+                sames.append(np.full(len(group), same))
+                end += len(ids)
+            groups = split
+        self.flat, self.starts, self.same = (np.concatenate(x) for x in (flats, starts, sames))
+        self.chars += sum(map(len, new))
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts, each after a space, where each text's start and the last one's end, and whether each one's bytes are the text's."""
+        if len(self.places) > KEPT or self.chars > KEPT_CHARS:
+            self._forget()
+        cut = [_CUT.split(f" {t}") for t in texts]
+        stretches = [s for own in cut for s in own]
+        if new := set(stretches).difference(self.places):
+            self._learn(list(new))
+        at = np.fromiter(map(self.places.__getitem__, stretches), np.int64, len(stretches))
+        sizes = np.diff(self.starts)[at]
+        until = np.concatenate([[0], np.cumsum(sizes)])
+        flat = self.flat[np.repeat(self.starts[at] - until[:-1], sizes) + np.arange(until[-1])]
+        firsts = np.concatenate([[0], np.cumsum([len(own) for own in cut], dtype=np.int64)])
+        wrong = np.concatenate([[0], np.cumsum(~self.same[at])])
+        return flat, until[firsts], np.diff(wrong[firsts]) == 0
+
+
+def _only(flat: np.ndarray, starts: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ids of which those that aren't good are empty."""
+    sizes = np.diff(starts)
+    if good.all():
+        return flat, starts
+    return flat[np.repeat(good, sizes)], np.concatenate([[0], np.cumsum(np.where(good, sizes, 0))])
 
 
 def _digits(n: int) -> np.ndarray:
@@ -150,7 +241,7 @@ def groups_text(ids: tuple[np.ndarray, np.ndarray], shared: tuple[np.ndarray, np
 def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the rows, and where each row starts and the last one ends."""
     starts = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
-    return np.fromiter((x for r in rows for x in r), np.int64, int(starts[-1])), starts
+    return np.fromiter(itertools.chain.from_iterable(rows), np.int64, int(starts[-1])), starts
 
 
 def _list(values: np.ndarray | pa.Array, kind: pa.DataType) -> pa.ListArray:
@@ -160,7 +251,7 @@ def _list(values: np.ndarray | pa.Array, kind: pa.DataType) -> pa.ListArray:
 
 def align_block(both: Tokenizers, number: int, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
     """One row for a block of texts: each one's counts and hash, and its different pairs of ids by their place among the block's."""
-    (a, a_at), (b, b_at) = (_flat(rows) for rows in both.ids(texts))
+    (a, a_at), (b, b_at) = both.ids(texts)
     n = len(texts)
     ends = [np.cumsum(both.sizes[0][a]), np.cumsum(both.sizes[1][b])]
     link_a, link_b, shared_a, shared_b = merged(*ends)

@@ -117,3 +117,43 @@ def test_merge_of_ends(a, b, piece):
 def test_ends_of_one_token(piece):
     la, lb, sa, sb = alignment.merged(np.array([5]), np.array([1, 2, 5]), piece)
     assert sorted(zip(la.tolist(), lb.tolist())) == [(0, 0), (0, 1), (0, 2)] and (sa.tolist(), sb.tolist()) == ([0], [2])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab'sé1.\u0301  \t\n\r\x1c\x85\xa0\u180e\u200b\u2003\u3000\ufeff日<|>"), max_size=40))
+def test_stretches_have_the_ids_of_the_whole(text):
+    both = alignment.load(A, B)
+    texts = [text, f"{text} {text}", f" the<|endoftext|> {text}", ""]
+    flat, starts, same = both.stretches.ids(texts)
+    assert [flat[s:e].tolist() for s, e in zip(starts, starts[1:])] == [both.a.encode(f" {t}", add_special_tokens=False).ids for t in texts]
+    assert same.all()
+
+
+def test_no_character_but_white_space_is_white_space_to_the_tokenizer():
+    """Texts are cut before a space and a character that isn't white space, as Python has it; the tokenizer must cut there as well."""
+    cut = alignment.load(A, B).a.pre_tokenizer
+    for first in range(0, 0x20000, 0x1000):
+        chars = [c for c in map(chr, range(first, first + 0x1000)) if not 0xD800 <= ord(c) <= 0xDFFF and not c.isspace()]
+        assert "Ġ" not in {p for p, _ in cut.pre_tokenize_str("".join(f"x {c}.\n" for c in chars))}
+
+
+def test_each_stretch_is_encoded_once(monkeypatch):
+    """What a process keeps is bounded, and forgetting changes nothing."""
+
+    class Counted:
+        def __init__(self, real):
+            self.real, self.chars = real, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.chars += sum(map(len, texts))
+            return self.real.encode_batch_fast(texts, **how)
+
+    both = alignment.Tokenizers(A, B)
+    both.a = both.stretches.tokenizer = Counted(both.a)
+    texts = [" ".join(f"word{k % 50}" for k in range(n)) for n in range(1, 300)]
+    first = both.ids(texts)
+    assert both.a.chars == sum(len(f" word{k}") for k in range(50))
+    monkeypatch.setattr(alignment, "KEPT", 10)
+    for known, again in zip(first, both.ids(texts)):
+        assert all((x == y).all() for x, y in zip(known, again))
+    assert both.a.chars == 2 * sum(len(f" word{k}") for k in range(50))
