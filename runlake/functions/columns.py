@@ -53,7 +53,7 @@ def parse_iso(c: Column) -> Column:
 def parse_sadf(c: Column) -> Column:
     """The first date and time in the text, as UTC; null where there is none, which fails a load export."""
     found = F.regexp_extract(c, r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", 0)
-    return F.try_to_timestamp(F.concat(F.nullif(found, F.lit("")), F.lit("+0000")), F.lit("yyyy-MM-dd HH:mm:ssxx"))
+    return F.concat(F.nullif(found, F.lit("")), F.lit("Z")).try_cast("timestamp")
 
 
 def zone_offset(zone: Column, zones: dict[str, str] | None = None) -> Column:

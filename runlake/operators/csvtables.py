@@ -82,14 +82,11 @@ def load_of(split: DataFrame, table: str, files: DataFrame | None = None) -> Mad
 
     A file with a time that isn't one is bad.
     """
-    rows, bad = csvfiles.typed(split)
+    rows, bad, own = csvfiles.typed(split, {"timestamp": lambda c: C.parse_sadf(c).isNotNull()})
     rows = rename_prefix(rows, "%idle[", "%idle")
     if "timestamp" in rows.columns:
-        rows = rows.withColumn("__said", F.col("timestamp").cast("string")).withColumn("timestamp", C.parse_sadf(F.col("__said")))
-        odd = csvfiles.first_failure(rows.filter("timestamp is null and __said is not null"), F.lit("timestamp"), F.col("__said"))
-        bad = bad.unionByName(odd.join(bad.select(*FILE), FILE, "left_anti"))
-        rows = rows.drop("__said")
-    rows, issues = kept_rows(rows, bad, _files(split, files), table)
+        rows = rows.withColumn("timestamp", C.parse_sadf(F.col("timestamp").cast("string")))
+    rows, issues = kept_rows(rows, bad, own if files is None else files, table)
     rows = without(_tidy(rows), *ALWAYS_DROPPED, *DROPPED.get(table, ()))
     return (not_sentinel(rows, "CPU") if table == PER_CORE and "CPU" in rows.columns else rows), issues
 

@@ -199,3 +199,46 @@ def test_bad_records_are_found_without_a_sort_of_all(spark, monkeypatch):
     assert sorted((r.id, r.line_no, r.field, r.value) for r in bad.collect()) == [(1, 2, None, "3 cells under 2 names"), (2, 1, None, '"x"y,1')]
     assert [(r.id, r.a, r.b) for r in rows.collect()] == [(3, 1, 2)]
     assert not [line for plan in plans for line in plan.splitlines() if "SortAggregate" in line and "partial_min(" in line]
+
+
+def test_plain_records_are_cut_without_the_pattern(spark):
+    """A record is parted once, whichever columns come of it, and only one with quotes or empty cells by the pattern; both ways give the same cells."""
+    texts = ["a;b", "a;;b", ";a", "a;", ";", "", "a", 'a;"b"', 'a"b;c', '"a"b;c', "é;ü\n;x", " ;\t", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, line string")
+    plain = [r.c for r in df.select(csvfiles.cells(F.col("line"), ";").alias("c")).collect()]
+    assert plain == [["a", "b"], ["a", None, "b"], [None, "a"], ["a", None], [None, None], [None], ["a"], ["a", "b"], ['a"b', "c"], None, ["é", "ü\n", "x"], [" ", "\t"], None]
+    plan = csvfiles.split_records(lines(spark, "a,b", "1,2"))._jdf.queryExecution().optimizedPlan().toString()
+    parts = [line for line in plan.splitlines() if "regexp_extract_all" in line]
+    assert len(parts) == 1 and parts[0].count("array_join") == 1 and parts[0].count("split(") == 1
+
+
+def test_records_of_load_exports_are_read_few_times(spark):
+    """Five looks at the records: headers, numbers of cells, records that don't part, types with times, and the rows."""
+    head = "# hostname;interval;timestamp;CPU;%user"
+    texts = [(k, 0, "cpu.sadf", n, t) for k in (1, 2) for n, t in enumerate([head, f"h;1;2031-03-05 08:15:2{k} UTC;0;1.5", "h;1;2031-03-05 08:15:30 UTC;1;2"])]
+    looks, folder = spark.sparkContext.accumulator(0), shared_folder(spark, "records")
+    spark.createDataFrame(texts, "id long, ord int, name string, line_no long, line string").write.parquet(folder)
+
+    def counted(df):
+        def seen(batches):
+            for batch in batches:
+                looks.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(seen, df.schema)
+
+    rows, issues = csvtables.load_table(spark.read.parquet(folder), "cpu_sadf", stage=lambda df: counted(csvfiles.spooled(df)))
+    assert sorted((r.id, str(r.timestamp), r.CPU, r["%user"]) for r in rows.collect()) == [(k, f"2031-03-05 08:15:{s}", c, u) for k in (1, 2) for s, c, u in ((f"2{k}", 0, 1.5), ("30", 1, 2.0))]
+    assert looks.value == 5 * len(texts) and issues.count() == 0
+
+
+def test_times_that_fail_a_load_export(spark):
+    """The first time that isn't one fails its file, in columns of text and of numbers; files of other headers have their own place for it."""
+    late, own = "# hostname;timestamp;%user", "# timestamp;hostname;%user"
+    files = {1: [late, "h;2031-03-05 08:15:20;1", "h;then;2", "h;now;3"], 2: [own, "2031-03-05 08:15:21 UTC;h;1", ";h;2"], 3: [own, "2031-02-30 00:00:00;h;1"], 4: [late, "h;2031-03-05 08:15:22;1;9", "h;x;1"]}
+    df = spark.createDataFrame([(k, 0, "disk.sadf", n, t) for k, texts in files.items() for n, t in enumerate(texts)], "id long, ord int, name string, line_no long, line string")
+    rows, issues = csvtables.load_table(df, "disk_sadf")
+    assert sorted((r.id, str(r.timestamp), r["%user"]) for r in rows.collect()) == [(2, "2031-03-05 08:15:21", 1), (2, "None", 2)]
+    assert sorted((r.id, r.line_no, r.field, r.value) for r in issues.collect()) == [(1, 2, "timestamp", "then"), (3, 1, "timestamp", "2031-02-30 00:00:00"), (4, 1, None, "4 cells under 3 names")]
+    rows, issues = csvtables.load_table(lines(spark, late, "h;7;1", name="disk.sadf"), "disk_sadf")
+    assert rows.count() == 0 and [(r.line_no, r.field, r.value) for r in issues.collect()] == [(1, "timestamp", "7")]
