@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import KINDS
-from ..sources.csvfiles import spooled
+from ..sources.csvfiles import few
 
 FILE = ["id", "ord", "name"]
 
@@ -64,8 +64,8 @@ def kept_rows(rows: DataFrame, bad: DataFrame, files: DataFrame, table: str, onc
 
 def rows_of(rows: DataFrame, files: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the ``kept`` of all ``files``, by those that aren't kept: they are few, as a rule, so that rows, which are many and wide, needn't be shuffled and sorted."""
-    left_out = spooled(files.select(*keys).distinct().join(kept.select(*keys), keys, "left_anti"))
-    return rows.join(left_out, keys, "left_anti")
+    left_out, sent = few(files.select(*keys).distinct().join(kept.select(*keys), keys, "left_anti"))
+    return rows.join(sent(left_out), keys, "left_anti")
 
 
 def first_file_wins(routed: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import csvtables, extract, quality, selection
 from ..operators.reduce import run_outcomes
 from ..schema import ISSUES
+from ..session import joined_by_rows
 from ..sources import archives, csvfiles, manifest
 from ..sources.routing import RULES, Rule, feeds, kind_of, route_files
 from .extractors import Extractor, StatefulExtractor, registered, run_extractor, run_stateful, runs_of
@@ -196,6 +197,11 @@ def _status(runs: DataFrame, of) -> tuple[DataFrame, DataFrame]:
 
 def collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str, narrow: bool = True, strict: bool = True) -> list[str]:
     """Select runs, scan their archives once, extract every table and write the lake; returns the tables written."""
+    with joined_by_rows(spark):  # there is a row for each run, file or collector in small files
+        return _collect(spark, task, runs, base, narrow, strict)
+
+
+def _collect(spark: SparkSession, task: manifest.Task, runs: DataFrame, base: str, narrow: bool, strict: bool) -> list[str]:
     staging, own = Staging(spark, base), registered()
     taken = {*LOG_TABLES, *CSV_TABLES, *PLAIN_TABLES, "config", "status", "parse_status", "cpu_sadf"}
     for table in (t for e in own for t in e.tables):

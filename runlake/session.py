@@ -7,12 +7,17 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+#: Bytes of a table's rows, as they are seen while it is shuffled, up to which joins send it to all tasks within ``joined_by_rows``.
+SENT_BYTES = 1 << 20
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors, once for each application, as ``--py-files`` would.
@@ -33,6 +38,26 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def joined_by_rows(spark: SparkSession) -> Iterator[None]:
+    """Within it joins don't send a table to all tasks, by way of the driver, for how few bytes its files have.
+
+    Rows take many times those bytes in memory: a file of a few megabytes may hold millions of runs. Tables are shuffled, and sent only
+    if their rows turn out to be small (or are marked as few, see ``csvfiles.few``). These are settings of the session, and come back after.
+    """
+    files, rows = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {files: spark.conf.get(files), rows: spark.conf.get(rows, None)}
+    said = before[rows] or before[files]
+    most = said if said.startswith("-") else min(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said), SENT_BYTES)
+    spark.conf.set(rows, str(most))
+    spark.conf.set(files, "-1")
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder under the one that all executors share, for intermediate tables.
 

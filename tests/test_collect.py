@@ -8,14 +8,16 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from runlake.catalog import QUERIES, files
 from runlake.operators.selection import config_table
 from runlake.plans import extractors, sink
 from runlake.plans.collect import WANTED, Corpus, Staging, collect
 from runlake.plans.extractors import Extractor, register_extractor
+from runlake.session import joined_by_rows
 from runlake.operators.extract import Grammar, text
-from runlake.sources import archives
+from runlake.sources import archives, csvfiles
 from runlake.sources.manifest import Task, archive_path, parse_runs
 from runlake.sources.routing import Rule
 
@@ -266,3 +268,57 @@ def test_stored_archives(tmp_path):
     for k, events in zip((1, 2, 255), made):
         with tarfile.open(tmp_path / "runs" / f"{k:016X}.tar.xz") as archive:
             assert {m.name: archive.extractfile(m).read().decode() for m in archive} == {"gc.javalog": "".join(f"{e['line']}\n" for e in events), "status.txt": "success\n"}
+
+
+def test_no_table_is_sent_to_all_tasks_for_its_files_bytes(spark, tmp_path, monkeypatch):
+    """Staged tables hold many rows in few bytes; the collect job's joins send those alone that were counted. Settings of the session come back."""
+    pack(tmp_path, 1, ZGC)
+    pack(tmp_path, 2, ZGC | {"jvm0.time": "elapsed,cpu_percent\n12\n"})
+    sent, marked, write = [], [], DataFrameWriter.parquet
+
+    def watched(self, *args, **how):
+        made = self._df._jdf.queryExecution()
+        sent.append(made.sparkPlan().toString().count("BroadcastHashJoin"))
+        marked.append(made.optimizedPlan().toString().count("strategy=broadcast"))
+        return write(self, *args, **how)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    keys = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = [spark.conf.get(k, None) for k in keys], spark.conf.get(keys[0])
+    collect(spark, Task(str(tmp_path), {"all": {}}), runs_of(spark, (1, 2)), f"{tmp_path}/lake")
+    assert len(sent) > 40 and sum(marked) > 5 and sent == marked
+    assert spark.conf.get(keys[0]) == before[1] and spark.conf.get(keys[1], None) == before[0][1]
+    assert [r.id for r in spark.read.parquet(f"{tmp_path}/lake/time").collect()] == [1]
+
+
+def test_small_files_of_many_rows(spark, tmp_path):
+    """200,000 equal rows have a file of some kilobytes: they are joined where they are, and ten rows are sent once their size is seen."""
+    for name, n in (("many", 200_000), ("ten", 10)):
+        spark.range(0, n, 1, 1).selectExpr("id % 5 AS id").write.parquet(f"{tmp_path}/{name}")
+    assert sum(p.stat().st_size for p in tmp_path.glob("many/*.parquet")) < 300_000
+
+    def plan(name):
+        rows = spark.range(1000).join(spark.read.parquet(f"{tmp_path}/{name}"), "id", "left_semi")
+        assert sorted(r.id for r in rows.collect()) == [0, 1, 2, 3, 4]
+        return rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    assert "BroadcastHashJoin" in plan("many")
+    with joined_by_rows(spark):
+        assert "SortMergeJoin" in plan("many") and "BroadcastHashJoin" not in plan("many") and "BroadcastHashJoin" in plan("ten")
+    with pytest.raises(ZeroDivisionError), joined_by_rows(spark):
+        1 / 0  # noqa: B018
+    assert "BroadcastHashJoin" in plan("many")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with joined_by_rows(spark):
+            assert "BroadcastHashJoin" not in plan("ten")  # nothing is to be sent, as was said before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_are_counted_before_they_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(csvfiles, "FEW", 100)
+    for n in (0, 100, 101):
+        kept, sent = csvfiles.few(spark.range(n))
+        hinted = "strategy=broadcast" in spark.range(9).join(sent(kept), "id")._jdf.queryExecution().optimizedPlan().toString()
+        assert kept.count() == n and hinted == (n <= 100)
